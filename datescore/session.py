@@ -25,11 +25,15 @@ JOB_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **extra) -> SparkSession:
+def build_session(
+    master: str = "local[*]", shuffle_partitions: int = 8, driver_memory: str = "8g", **extra
+) -> SparkSession:
+    """A local session for tests and benchmarks (on a cluster, use the cluster's)."""
     builder = (
         SparkSession.builder.master(master)
         .appName("datescore")
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", driver_memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for k, v in {**JOB_CONF, **extra}.items():
