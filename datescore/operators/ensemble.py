@@ -145,37 +145,41 @@ def to_arrays(node: Node, features: list[str]) -> NodeArrays:
     )
 
 
-def _eval_tree(t: NodeArrays, x: np.ndarray) -> np.ndarray:
-    idx = np.zeros(x.shape[0], dtype=np.int32)
-    rows = np.arange(x.shape[0])
-    while True:
-        f = t.feature[idx]
-        inner = f >= 0
-        if not inner.any():
-            return t.value[idx]
-        xv = x[rows, np.where(inner, f, 0)]
-        go_left = xv <= t.threshold[idx] if t.inclusive else xv < t.threshold[idx]
-        idx = np.where(inner, np.where(go_left, t.left[idx], t.right[idx]), idx)
-
-
 def prefix_margins_udf(ensemble: Ensemble, features: list[str], checkpoints: list[int]):
     """Pandas UDF: margins of the first k trees for every k in ``checkpoints``.
 
     The node arrays are captured in the closure: their size is fixed by the
     model (trees x nodes), not by the data. One pass over the trees serves all
     prefixes, so scoring 20 prefixes of a 2000-tree model costs one scoring.
+    The closure holds only numpy arrays and a nested function, so executors
+    need numpy and pandas but not this package.
     """
-    trees = [(float(w), to_arrays(t, features)) for w, t in ensemble]
+    trees = []
+    for w, t in ensemble:
+        a = to_arrays(t, features)
+        trees.append((float(w), a.feature, a.threshold, a.left, a.right, a.value, a.inclusive))
     marks = sorted(set(checkpoints))
 
+    def eval_tree(feature, thr, left, right, value, inclusive, x):
+        idx = np.zeros(x.shape[0], dtype=np.int32)
+        rows = np.arange(x.shape[0])
+        while True:
+            f = feature[idx]
+            inner = f >= 0
+            if not inner.any():
+                return value[idx]
+            xv = x[rows, np.where(inner, f, 0)]
+            go_left = xv <= thr[idx] if inclusive else xv < thr[idx]
+            idx = np.where(inner, np.where(go_left, left[idx], right[idx]), idx)
+
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def margins(*cols: pd.Series) -> pd.Series:
         x = np.column_stack([c.to_numpy(dtype=np.float64, na_value=np.nan) for c in cols])
         total = np.zeros(x.shape[0])
         out = np.zeros((x.shape[0], len(marks)))
         j = 0
-        for i, (w, t) in enumerate(trees, start=1):
-            total += w * _eval_tree(t, x)
+        for i, (w, *arrays) in enumerate(trees, start=1):
+            total += w * eval_tree(*arrays, x)
             while j < len(marks) and marks[j] == i:
                 out[:, j] = total
                 j += 1

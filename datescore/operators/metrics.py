@@ -164,12 +164,12 @@ def auc(
         _check_binary(lab).alias("_bad"),
     )
     fractions = [i / buckets for i in range(1, buckets)]
-    # Cut points: one scalar subquery, evaluated once; a score's bucket is the
-    # number of cut points below it (monotone in the score).
+    # Cut points: one scalar subquery (referenced once, so evaluated once). A
+    # score's bucket is the number of cut points strictly below it: its first
+    # position in the sorted array of cuts plus itself, minus one.
     cuts = distinct.select(F.percentile_approx("_s", fractions, 10000).alias("_c")).scalar()
-    bucket = F.lit(0)
-    for i in range(1, len(fractions) + 1):
-        bucket = bucket + F.when(F.element_at(cuts, i) < F.col("_s"), F.lit(1)).otherwise(F.lit(0))
+    s = F.col("_s")
+    bucket = F.array_position(F.sort_array(F.concat(cuts, F.array(s))), s) - F.lit(1) if fractions else F.lit(0)
     within = Window.partitionBy(*by, "_bk").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     ranked = distinct.withColumn("_bk", bucket).withColumn(
         "_nb", F.coalesce(F.sum("_neg").over(within), F.lit(0)).cast(_EXACT)

@@ -32,7 +32,7 @@ from datescore.operators.prepare import (
 from datescore.plans import jobs
 from datescore.plans.oracle import DAY, N_SAMPLE, NEXT_DAY, OTHER_DAY
 from datescore.schema import DEP_DATE, EXTRACT_SCHEMA, FEATURES, KEY, LABEL, PARTITION, RESULT_SCHEMA, USER
-from datescore.session import work_path
+from datescore.session import materialize, work_path
 from datescore.sources import model_store, result_table, text
 from datescore.sources.feature_table import read_feature_table, scan_partition, write_feature_table
 from datescore.sources.fixture import features_from_dir
@@ -228,9 +228,7 @@ def best_trial(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _copy_out(df: DataFrame, name: str) -> DataFrame:
     """Write a read-back to the shared folder so it outlives the catalog table."""
-    path = work_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return materialize(df, name)
 
 
 def _table_name(spark: SparkSession, tag: str) -> tuple[str, str]:

@@ -22,7 +22,7 @@ from datescore.operators.metrics import auc, subset_sizes
 from datescore.operators.prepare import result_rows
 from datescore.schema import DEP_DATE, FEATURES, KEY, LABEL, PARTITION, USER
 from datescore.sources import model_store, result_table, text
-from datescore.session import checkpoint_root
+from datescore.session import checkpoint_root, materialize
 from datescore.sources.feature_table import scan_partition
 
 
@@ -101,13 +101,13 @@ def train_evaluate(
     """P7 -> D1 -> J1/J2 -> D2 -> M2 -> M7 -> A2 -> S9.
 
     The sample flag splits sample and holdout with no join. The split rows
-    are written once under the shared checkpoint folder (``checkpoint``), so
-    the boosting loop and the evaluation read a fixed, fault-tolerant input.
+    are written once under the shared checkpoint folder, so the boosting loop
+    (one pass per tree) and the evaluation read a fixed, fault-tolerant input.
     """
     checkpoint_root(training.sparkSession)
     flagged = S.flag_class_sample(training, n_sample)
     sample = flagged.where(F.col("sampled")).drop("sampled")
-    split = S.half_split(sample).checkpoint()
+    split = materialize(S.half_split(sample), "split")
     train_part = split.where(~F.col("is_test"))
     val_part = split.where(F.col("is_test"))
     held = flagged.where(~F.col("sampled")).drop("sampled")
@@ -147,7 +147,7 @@ def tune(
     """D1 -> D3 -> M8 (+A10) -> M9 -> L3. Returns (trials, best trial)."""
     checkpoint_root(training.sparkSession)
     sample = S.class_sample(training, n_sample)
-    folded = S.fold_assign(sample).checkpoint()
+    folded = materialize(S.fold_assign(sample), "folds")
     trials = TU.search(folded, init_points=init_points, n_iter=n_iter, seed=seed, parallelism=parallelism)
     return trials, TU.best_trial(trials)
 

@@ -59,3 +59,14 @@ def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder for one job's output."""
     root = checkpoint_root(spark)
     return os.path.join(root, f"datescore-{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads files instead of recomputing
+    the upstream plan) and, unlike an RDD checkpoint, computes ``df`` once.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
