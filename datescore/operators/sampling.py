@@ -123,7 +123,7 @@ def flag_first_k(
     edge_rank = F.col("_before") + F.row_number().over(Window.partitionBy(*groups, "_b").orderBy("_h"))
     edge = joined.where(F.col("_s") == "edge").withColumn(flag, edge_rank <= F.col("_k"))
     rest = joined.where(F.col("_s") != "edge").withColumn(flag, F.col("_s") == "in")
-    return edge.unionByName(rest).drop(*_TMP, "_k")
+    return edge.unionByName(rest).select(*df.columns, flag)
 
 
 def rank_by_hash(df: DataFrame, order_hash: Column, groups: list[str] | None = None, name: str = "rank") -> DataFrame:
@@ -133,7 +133,7 @@ def rank_by_hash(df: DataFrame, order_hash: Column, groups: list[str] | None = N
     off = _bucket_offsets(d, groups).select(*groups, "_b", "_before")
     joined = d.join(F.broadcast(off), [*groups, "_b"], "inner")
     w = Window.partitionBy(*groups, "_b").orderBy("_h")
-    return joined.withColumn(name, F.col("_before") + F.row_number().over(w)).drop(*_TMP)
+    return joined.withColumn(name, F.col("_before") + F.row_number().over(w)).select(*df.columns, name)
 
 
 # --- D1 / J1 / J2 -------------------------------------------------------------
@@ -180,7 +180,7 @@ def holdout(df: DataFrame, n: int, seeds: dict[int, int] | None = None, key: lis
 def holdout_anti_join(df: DataFrame, sample: DataFrame, key: list[str] | None = None) -> DataFrame:
     """J1 literally: all rows minus the sampled ones, on the row key."""
     key = key or KEY
-    return df.join(sample.select(*key), key, "left_anti")
+    return df.join(sample.select(*key), key, "left_anti").select(*df.columns)
 
 
 def union_rows(*parts: DataFrame) -> DataFrame:
