@@ -47,6 +47,9 @@ class TreeParams:
     seed: int = 123
     max_bins: int = 32
     checkpoint_interval: int = 10
+    # Node-id caching pays off for deep trees on large inputs; off by default
+    # (MLlib's default), as the training sample is usually small.
+    cache_node_ids: bool = False
 
     def replace(self, **kw) -> TreeParams:
         return TreeParams(**{**asdict(self), **kw})
@@ -72,7 +75,7 @@ def gbt(params: TreeParams) -> GBTClassifier:
         maxBins=params.max_bins,
         seed=params.seed,
         checkpointInterval=params.checkpoint_interval,
-        cacheNodeIds=True,
+        cacheNodeIds=params.cache_node_ids,
     )
 
 

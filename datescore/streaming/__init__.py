@@ -1,0 +1 @@
+"""Incremental execution of the daily scoring job (Structured Streaming)."""
