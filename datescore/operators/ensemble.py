@@ -148,16 +148,20 @@ def to_arrays(node: Node, features: list[str]) -> NodeArrays:
 def prefix_margins_udf(ensemble: Ensemble, features: list[str], checkpoints: list[int]):
     """Pandas UDF: margins of the first k trees for every k in ``checkpoints``.
 
-    The node arrays are captured in the closure: their size is fixed by the
-    model (trees x nodes), not by the data. One pass over the trees serves all
-    prefixes, so scoring 20 prefixes of a 2000-tree model costs one scoring.
-    The closure holds only numpy arrays and a nested function, so executors
-    need numpy and pandas but not this package.
+    The node arrays travel as a broadcast variable (once per executor, not
+    per task); their size is fixed by the model (trees x nodes), not by the
+    data. One pass over the trees serves all prefixes, so scoring 20 prefixes
+    of a 2000-tree model costs one scoring. The UDF holds only numpy arrays
+    and a nested function, so executors need numpy and pandas, not this
+    package.
     """
+    from pyspark import SparkContext
+
     trees = []
     for w, t in ensemble:
         a = to_arrays(t, features)
         trees.append((float(w), a.feature, a.threshold, a.left, a.right, a.value, a.inclusive))
+    shared = SparkContext.getOrCreate().broadcast(trees)
     marks = sorted(set(checkpoints))
 
     def eval_tree(feature, thr, left, right, value, inclusive, x):
@@ -178,7 +182,7 @@ def prefix_margins_udf(ensemble: Ensemble, features: list[str], checkpoints: lis
         total = np.zeros(x.shape[0])
         out = np.zeros((x.shape[0], len(marks)))
         j = 0
-        for i, (w, *arrays) in enumerate(trees, start=1):
+        for i, (w, *arrays) in enumerate(shared.value, start=1):
             total += w * eval_tree(*arrays, x)
             while j < len(marks) and marks[j] == i:
                 out[:, j] = total

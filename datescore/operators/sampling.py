@@ -120,14 +120,44 @@ def flag_first_k(
     )
     # At most groups x 65,536 rows: broadcast by construction.
     joined = d.join(F.broadcast(status), [*groups, "_b"], "inner")
-    edge_rank = F.col("_before") + F.row_number().over(Window.partitionBy(*groups, "_b").orderBy("_h"))
-    edge = joined.where(F.col("_s") == "edge").withColumn(flag, edge_rank <= F.col("_k"))
     rest = joined.where(F.col("_s") != "edge").withColumn(flag, F.col("_s") == "in")
-    return edge.unionByName(rest).select(*df.columns, flag)
+    edge = joined.where(F.col("_s") == "edge")
+    out = [*df.columns, flag]
+    return edge_flags(edge, groups, flag).select(*out).unionByName(rest.select(*out))
+
+
+def edge_flags(edge: DataFrame, groups: list[str], flag: str) -> DataFrame:
+    """Rank the rows of a boundary bucket by hash, robust to hot groups of copies.
+
+    Copies of one key share a hash. Rows are first aggregated per distinct
+    hash (partial aggregation collapses any number of copies to one row per
+    map task), the distinct hashes are ranked, and each row takes its hash's
+    decision. A hash whose copies straddle rank k cannot be split without an
+    arbitrary choice: that is a duplicate key, an input error, and it fails
+    the job naming the hash.
+    """
+    per_hash = edge.groupBy(*groups, "_b", "_h", "_before", "_k").agg(F.count(F.lit(1)).alias("_c"))
+    earlier = Window.partitionBy(*groups, "_b").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("_before") + F.coalesce(F.sum("_c").over(earlier), F.lit(0))
+    per_hash = per_hash.withColumn("_r0", start)
+    straddles = (F.col("_r0") < F.col("_k")) & (F.col("_r0") + F.col("_c") > F.col("_k"))
+    msg = F.concat(F.lit("duplicate key at the sampling boundary, order hash "), F.col("_h"))
+    decided = per_hash.select(
+        *groups,
+        "_b",
+        "_h",
+        F.when(straddles, F.raise_error(msg)).otherwise(F.col("_r0") + F.col("_c") <= F.col("_k")).alias(flag),
+    )
+    return edge.join(decided, [*groups, "_b", "_h"], "inner")
 
 
 def rank_by_hash(df: DataFrame, order_hash: Column, groups: list[str] | None = None, name: str = "rank") -> DataFrame:
-    """Exact 1-based rank of every row within its group, ordered by ``order_hash``."""
+    """Exact 1-based rank of every row within its group, ordered by ``order_hash``.
+
+    Rows are ranked within (group, hash bucket): every task holds about
+    1/65,536 of a group. Keys are unique (a class sample draws distinct keys),
+    so no bucket concentrates copies.
+    """
     groups = list(groups or [])
     d = _bucketed(df, order_hash)
     off = _bucket_offsets(d, groups).select(*groups, "_b", "_before")
