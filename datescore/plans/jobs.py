@@ -19,7 +19,7 @@ from datescore.operators import model as M
 from datescore.operators import sampling as S
 from datescore.operators import tuning as TU
 from datescore.operators.metrics import auc, subset_sizes
-from datescore.operators.prepare import result_rows
+from datescore.operators.prepare import check_unique_key, result_rows
 from datescore.schema import DEP_DATE, FEATURES, KEY, LABEL, PARTITION, USER
 from datescore.sources import model_store, result_table, text
 from datescore.session import checkpoint_root, materialize
@@ -49,14 +49,20 @@ def daily_scoring(
     model: PipelineModel | None = None,
     ntree_limit: int | None = 1500,
     ensemble: E.Ensemble | None = None,
+    validate_keys: bool = False,
 ) -> DataFrame:
     """F1 -> S1 -> P1 -> P7 -> M1 -> M5/M6 -> P8 -> S5; returns the audit (A1 + L1).
 
     No shuffle between the scan and the write: every step is row-local, so a
     day of any size streams through the executors in one stage.
+    ``validate_keys`` first checks that (user, dt, departure date) is unique
+    in the day (one extra aggregation; copies of a hot key are pre-aggregated
+    before its shuffle) and fails naming a duplicate.
     """
     dt = previous_day_value(run_date)
     day = scan_partition(source, dt)
+    if validate_keys:
+        check_unique_key(day)
     if model is not None:
         res = score_with_model(day, model, ntree_limit)
     else:

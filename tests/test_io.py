@@ -111,3 +111,12 @@ def test_dynamic_overwrite_on_path(spark, tmpdir_path):
     result_table.overwrite_partitions_at(_result(spark, 1, "x", 0.3).withColumn("dt", F.lit("20240101")), p)
     back = spark.read.option("basePath", p).parquet(p)
     assert dict(back.groupBy("dt").count().collect()) == {"20240101": 1, "20240102": 2}
+
+
+def test_result_csv_plain_and_scientific_text(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "txt")
+    os.makedirs(p)
+    with open(os.path.join(p, "part-0.csv"), "w") as fh:
+        fh.write("user_name,dep_date,q_ratio\nu1,2024-01-02,0.00012345\nu2,2024-01-03,1.2345E-4\n")
+    vals = [r.q_ratio for r in text.read_result_csv(spark, p, RESULT_SCHEMA).collect()]
+    assert vals[0] == vals[1] and abs(vals[0] - 0.00012345) < 1e-10

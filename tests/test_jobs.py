@@ -62,3 +62,18 @@ def test_prefix_auc_matches_single(spark):
     f = features_from_dir(spark, SF001)
     per_k = {r.trees: r.auc for r in jobs.prefix_auc(f).collect()}
     assert set(per_k) == {1, 2, 3}
+
+
+def test_duplicate_key_is_reported(spark, tmpdir_path):
+    import pytest
+
+    from datescore.operators.prepare import check_unique_key
+
+    f = features_from_dir(spark, SF001, training=False).where(F.col("dt") == "20240115")
+    check_unique_key(f)
+    dup = f.unionByName(f.limit(1))
+    with pytest.raises(ValueError, match="duplicate key"):
+        check_unique_key(dup)
+    src = read_feature_table(spark, write_feature_table(dup, os.path.join(tmpdir_path, "f")))
+    with pytest.raises(ValueError, match="user_name"):
+        jobs.daily_scoring(src, "never_created", "2024-01-16", validate_keys=True)
