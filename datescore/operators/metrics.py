@@ -8,15 +8,17 @@ Tie-aware AUC without a global sort
 -----------------------------------
 AUC = P(score of a positive > score of a negative) + 1/2 P(equal). Scores are
 grouped first (one row per distinct score with its positive and negative
-counts). Approximate quantiles of the distinct scores cut them into B ordered
-buckets; a running sum inside each bucket gives the negatives below a score
-within its bucket, and a running sum over the B bucket totals gives the
-negatives in all lower buckets. No step orders all rows in one task; the only
-unpartitioned window runs over B rows.
+counts), so a score shared by a third of all rows is one row. Approximate
+quantiles of the distinct scores cut them into B ordered buckets, B growing
+with the shuffle partitions; a running sum inside each bucket gives the
+negatives below a score within its bucket, and a running sum over the B
+bucket totals gives the negatives in all lower buckets. No step orders all
+rows in one task; the only unpartitioned window runs over B rows.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -144,17 +146,32 @@ def binary_metrics(pairs: DataFrame, truth: str = "true_label", pred: str = "pre
 # --- AUC of scores -------------------------------------------------------------
 
 
+def default_buckets(spark) -> int:
+    """Buckets for the AUC: a few per shuffle partition, so each window task
+    holds about distinct scores / (4 x partitions) rows."""
+    return max(DEFAULT_AUC_BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def auc(
     scored: DataFrame,
     score: str = "score",
     label: str = LABEL,
     by: list[str] | None = None,
-    buckets: int = DEFAULT_AUC_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Tie-aware area under the ROC curve of ``score``, per group of ``by``.
 
     Output: ``by`` columns, auc (DOUBLE, null when a class is absent),
     positives, negatives (BIGINT).
+
+    Cut points are approximate quantiles of the distinct scores (at most
+    ``buckets`` doubles reach the driver); a score's bucket is found by
+    binary search (``Bucketizer``, JVM-side). Buckets only balance the work:
+    any monotone cut set gives the exact same AUC.
+
+    Like MLlib's evaluators this is an action: the distinct-score table is
+    persisted so the scoring upstream runs once for both the cut points and
+    the sums, and the result (one row per group) is returned as a frame.
     """
     by = list(by or [])
     lab = F.col(label)
@@ -162,18 +179,22 @@ def auc(
         F.sum(F.when(lab == 1, F.lit(1)).otherwise(F.lit(0))).cast("long").alias("_pos"),
         F.sum(F.when(lab == 0, F.lit(1)).otherwise(F.lit(0))).cast("long").alias("_neg"),
         _check_binary(lab).alias("_bad"),
-    )
-    fractions = [i / buckets for i in range(1, buckets)]
-    # Cut points: one scalar subquery (referenced once, so evaluated once). A
-    # score's bucket is the number of cut points strictly below it: its first
-    # position in the sorted array of cuts plus itself, minus one.
-    cuts = distinct.select(F.percentile_approx("_s", fractions, 10000).alias("_c")).scalar()
-    s = F.col("_s")
-    bucket = F.array_position(F.sort_array(F.concat(cuts, F.array(s))), s) - F.lit(1) if fractions else F.lit(0)
+    ).persist()
+    try:
+        result = _auc_from_distinct(distinct, by, buckets or default_buckets(scored.sparkSession))
+        rows = result.collect()
+    finally:
+        distinct.unpersist()
+    return scored.sparkSession.createDataFrame(rows, result.schema)
+
+
+def _auc_from_distinct(distinct: DataFrame, by: list[str], b: int) -> DataFrame:
+    fractions = [i / b for i in range(1, b)]
+    cuts = distinct.approxQuantile("_s", fractions, 1.0 / (10 * b)) if fractions else []
+    splits = [float("-inf"), *sorted({c for c in cuts if c == c}), float("inf")]
+    bucketed = Bucketizer(splits=splits, inputCol="_s", outputCol="_bk", handleInvalid="error").transform(distinct)
     within = Window.partitionBy(*by, "_bk").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = distinct.withColumn("_bk", bucket).withColumn(
-        "_nb", F.coalesce(F.sum("_neg").over(within), F.lit(0)).cast(_EXACT)
-    )
+    ranked = bucketed.withColumn("_nb", F.coalesce(F.sum("_neg").over(within), F.lit(0)).cast(_EXACT))
     # Twice the Mann-Whitney count: pos * (2 * negatives below + negatives tied).
     per_bucket = ranked.groupBy(*by, "_bk").agg(
         F.sum("_pos").alias("_P"),
@@ -181,6 +202,7 @@ def auc(
         F.sum(F.col("_pos").cast(_EXACT) * (F.lit(2) * F.col("_nb") + F.col("_neg").cast(_EXACT))).alias("_twice"),
         F.sum("_bad").alias("_bad"),
     )
+    # At most ``buckets`` rows per group: the running sum over buckets is small.
     lower = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = per_bucket.withColumn("_off", F.coalesce(F.sum("_N").over(lower), F.lit(0)).cast(_EXACT))
     total = per_bucket.groupBy(*by).agg(
