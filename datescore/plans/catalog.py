@@ -264,6 +264,20 @@ def drop_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
         result_table.drop_table(spark, table)
 
 
+def result_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 + S5 from a file: one day's result as CSV, loaded into a partition, read back."""
+    scored = _scored(spark, sf_dir)
+    day = _as_result(scored.where(F.col(PARTITION) == DAY)).drop(PARTITION)
+    csv = text.write_result_csv(day, work_path(spark, "result-day-csv"))
+    table, location = _table_name(spark, "csvload")
+    result_table.create_result_table(spark, table, location)
+    try:
+        result_table.load_csv_into_partition(spark, csv, table, DAY)
+        return _copy_out(spark.table(table).select("user_name", "dep_date", "q_ratio", PARTITION), "csvload-readback")
+    finally:
+        result_table.drop_table(spark, table)
+
+
 def _loaded_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days scored and written with dynamic partition overwrite (S5 on a path)."""
     path = work_path(spark, "results")
@@ -376,6 +390,7 @@ QUERIES: dict[str, Query] = {
     "tsv_roundtrip": tsv_roundtrip,
     "extract_job": extract_job,
     "result_csv_roundtrip": result_csv_roundtrip,
+    "result_csv_load": result_csv_load,
     "train_evaluate": train_evaluate,
     "tune": tune,
     "daily_scoring": daily_scoring,

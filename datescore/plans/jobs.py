@@ -50,6 +50,7 @@ def daily_scoring(
     ntree_limit: int | None = 1500,
     ensemble: E.Ensemble | None = None,
     validate_keys: bool = False,
+    csv_path: str | None = None,
 ) -> DataFrame:
     """F1 -> S1 -> P1 -> P7 -> M1 -> M5/M6 -> P8 -> S5; returns the audit (A1 + L1).
 
@@ -57,7 +58,9 @@ def daily_scoring(
     day of any size streams through the executors in one stage.
     ``validate_keys`` first checks that (user, dt, departure date) is unique
     in the day (one extra aggregation; copies of a hot key are pre-aggregated
-    before its shuffle) and fails naming a duplicate.
+    before its shuffle) and fails naming a duplicate. ``csv_path`` also writes
+    the day's result as a header CSV (S4), read back from the loaded
+    partition rather than scored twice.
     """
     dt = previous_day_value(run_date)
     day = scan_partition(source, dt)
@@ -69,6 +72,9 @@ def daily_scoring(
         res = score_with_ensemble(day, ensemble or E.FIXED_ENSEMBLE)
     result_table.overwrite_partition(res.drop(PARTITION), table, dt)
     spark = source.sparkSession
+    if csv_path:
+        loaded = spark.table(table).where(F.col(PARTITION) == dt).select("user_name", "dep_date", "q_ratio")
+        text.write_result_csv(loaded, csv_path)
     return result_table.latest_partitions(spark.table(table))
 
 

@@ -304,6 +304,7 @@ SQL: dict[str, str] = {
     + f"SELECT {RESULT_OF.format(s='score')} FROM scored ORDER BY dt, user_name, dep_date_of_search LIMIT 5",
     "tsv_roundtrip": with_ctes() + f"SELECT {EXTRACT} FROM features WHERE dt = '{DAY}'",
     "extract_job": with_ctes() + f"SELECT {EXTRACT} FROM features WHERE dt = '{DAY}'",
+    "result_csv_load": with_ctes(FILLED, SCORED) + f"SELECT {RESULT_OF.format(s='score')} FROM scored WHERE dt = '{DAY}'",
     "result_csv_roundtrip": with_ctes(FILLED, SCORED)
     + "SELECT user_name, dep_date_of_search AS dep_date, CAST(score AS FLOAT) AS q_ratio FROM scored",
 }

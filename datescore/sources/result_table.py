@@ -65,6 +65,19 @@ def overwrite_partition(result: DataFrame, table: str, dt: str) -> None:
         spark.catalog.dropTempView(view)
 
 
+def load_csv_into_partition(spark: SparkSession, csv_path: str, table: str, dt: str) -> None:
+    """S5 from a file: replace partition ``dt`` with the rows of a result CSV.
+
+    The counterpart of loading a local result file into one partition: the
+    header CSV is read with the fixed result schema (FAILFAST) and inserted
+    with static-partition overwrite.
+    """
+    from datescore.schema import RESULT_SCHEMA
+    from datescore.sources.text import read_result_csv
+
+    overwrite_partition(read_result_csv(spark, csv_path, RESULT_SCHEMA), table, dt)
+
+
 def overwrite_partitions_at(result_with_dt: DataFrame, path: str) -> None:
     """S5 on a path: replace only the days present in the frame (dynamic mode)."""
     (

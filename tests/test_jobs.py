@@ -77,3 +77,25 @@ def test_duplicate_key_is_reported(spark, tmpdir_path):
     src = read_feature_table(spark, write_feature_table(dup, os.path.join(tmpdir_path, "f")))
     with pytest.raises(ValueError, match="user_name"):
         jobs.daily_scoring(src, "never_created", "2024-01-16", validate_keys=True)
+
+
+def test_daily_scoring_writes_csv_and_loads_it_back(spark, tmpdir_path):
+    from datescore.schema import RESULT_SCHEMA
+
+    f = features_from_dir(spark, SF001, training=False)
+    src = read_feature_table(spark, write_feature_table(f, os.path.join(tmpdir_path, "f")))
+    t, t2 = "test_daily_csv", "test_daily_csv_copy"
+    for name in (t, t2):
+        result_table.drop_table(spark, name)
+        result_table.create_result_table(spark, name, os.path.join(tmpdir_path, name))
+    try:
+        csv = os.path.join(tmpdir_path, "csv")
+        jobs.daily_scoring(src, t, "2024-01-16", csv_path=csv)
+        back = text.read_result_csv(spark, csv, RESULT_SCHEMA)
+        loaded = spark.table(t).drop("dt")
+        assert back.exceptAll(loaded).count() == 0 and loaded.exceptAll(back).count() == 0
+        result_table.load_csv_into_partition(spark, csv, t2, "20240115")
+        assert spark.table(t2).exceptAll(spark.table(t)).count() == 0
+    finally:
+        for name in (t, t2):
+            result_table.drop_table(spark, name)
