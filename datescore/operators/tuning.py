@@ -104,30 +104,36 @@ def cross_validate(
     """M8 + A10: mean AUC over ``folds`` for each point; ``folded`` has a ``fold`` column.
 
     Every (point, fold) fit is an independent distributed job submitted from a
-    driver thread pool, so up to ``parallelism`` fits share the cluster. Each
-    held-out fold is scored and its tie-aware AUC (A9) computed by Spark; the
-    mean over folds is a Spark aggregation over the (point, fold) table. No
-    model is refit on all rows (only the scores are needed).
+    driver thread pool, so up to ``parallelism`` fits share the cluster. Then
+    all held-out folds are scored by their models in one plan and the
+    tie-aware AUC (A9) of every (point, fold) comes from one grouped AUC
+    computation; the mean over folds is a Spark aggregation. No model is
+    refit on all rows (only the scores are needed).
     """
     feats = list(features or FEATURES)
     data = M.training_frame(folded, feats, keep=["fold"]).withColumn("fold", F.col("fold").cast("int")).persist()
-    spark = folded.sparkSession
 
-    def run(task: tuple[int, int]) -> tuple[int, int, float | None]:
+    def fit(task: tuple[int, int]):
         i, k = task
-        model = M.estimator(points[i].params(base), feats).fit(data.where(F.col("fold") != k))
-        val = model.transform(data.where(F.col("fold") == k))
-        scored = val.select(LABEL, vector_to_array(F.col("probability")).getItem(1).alias("score"))
-        return i, k, auc(scored).first()["auc"]
+        return i, k, M.estimator(points[i].params(base), feats).fit(data.where(F.col("fold") != k))
 
     try:
         tasks = [(i, k) for i in range(len(points)) for k in range(folds)]
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = list(pool.map(run, tasks))
+            models = list(pool.map(fit, tasks))
+        scored = None
+        for i, k, model in models:
+            part = model.transform(data.where(F.col("fold") == k)).select(
+                F.lit(i).alias("trial"),
+                F.lit(k).alias("fold"),
+                LABEL,
+                vector_to_array(F.col("probability")).getItem(1).alias("score"),
+            )
+            scored = part if scored is None else scored.unionByName(part)
+        per_fold = auc(scored, by=["trial", "fold"])
+        means = {r["trial"]: r["score"] for r in mean_over(per_fold, "auc", ["trial"], "score").collect()}
     finally:
         data.unpersist()
-    per_fold = spark.createDataFrame(rows, "trial int, fold int, auc double")
-    means = {r["trial"]: r["score"] for r in mean_over(per_fold, "auc", ["trial"], "score").collect()}
     return [float("nan") if means.get(i) is None else float(means[i]) for i in range(len(points))]
 
 
