@@ -20,7 +20,8 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import SparkContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from datescore.functions.fill import fill_missing
@@ -116,11 +117,11 @@ def prefix_model(model: PipelineModel, k: int) -> PipelineModel:
     (classic session; not available over Spark Connect).
     """
     g = gbt_stage(model)
-    spark = SparkSession.getActiveSession()
+    sc = SparkContext.getOrCreate()
     jtrees = g._java_obj.trees()
     k = max(1, min(k, len(jtrees)))
-    gw = spark.sparkContext._gateway
-    jvm = spark.sparkContext._jvm
+    gw = sc._gateway
+    jvm = sc._jvm
     trees = gw.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, k)
     weights = gw.new_array(jvm.double, k)
     for i in range(k):

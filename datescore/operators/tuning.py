@@ -150,7 +150,9 @@ def search(
     box = box or SEARCH_BOX
     first = draw(box, init_points, seed)
     s1 = cross_validate(folded, first, base, parallelism=parallelism)
-    best = first[int(np.nanargmax(np.array(s1, dtype=float)))] if first else None
+    scores = np.array(s1, dtype=float)
+    # No stage 2 when no stage-1 point could be scored (e.g. a one-class fold).
+    best = first[int(np.nanargmax(scores))] if first and not np.isnan(scores).all() else None
     second = draw(shrink(box, best), n_iter, seed + 1) if best is not None and n_iter else []
     s2 = cross_validate(folded, second, base, parallelism=parallelism) if second else []
     rows = []

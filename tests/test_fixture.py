@@ -85,3 +85,23 @@ def test_label_horizon(spark):
     )
     got = {(r.search_date.isoformat(), r.label) for r in build_features(ev).collect()}
     assert got == {("2024-01-10", 1), ("2024-01-12", 0), ("2024-01-01", 0)}
+
+
+def test_hot_user_collapses_before_the_shuffle(spark):
+    """A user with 20x copies of their events: same keys, counts x20, bounded window rows."""
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    hot = ev.where(F.col("user_id") == 0)
+    copies = hot
+    for _ in range(19):
+        copies = copies.unionByName(hot)
+    skewed = ev.where(F.col("user_id") != 0).unionByName(copies)
+    base = {(r.dt, r.dep_date_of_search): r for r in build_features(ev).where("user_name = 'u0'").collect()}
+    got = {(r.dt, r.dep_date_of_search): r for r in build_features(skewed).where("user_name = 'u0'").collect()}
+    assert got.keys() == base.keys()
+    assert len(got) <= 15 * 31  # window partition of the user: days x lead times
+    for k, r in got.items():
+        b = base[k]
+        assert r.search_date_single_cnt == 20 * b.search_date_single_cnt
+        assert r.ota_date_single_cnt == 20 * b.ota_date_single_cnt
+        assert r.label == b.label and r.date_cnt == b.date_cnt
+        assert r.history_weekend_rate == b.history_weekend_rate
