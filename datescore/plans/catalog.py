@@ -31,7 +31,7 @@ from datescore.operators.prepare import (
 )
 from datescore.plans import jobs
 from datescore.plans.oracle import DAY, N_SAMPLE, NEXT_DAY, OTHER_DAY
-from datescore.schema import DEP_DATE, EXTRACT_SCHEMA, FEATURES, KEY, LABEL, PARTITION, RESULT_SCHEMA, USER
+from datescore.schema import EXTRACT_SCHEMA, FEATURES, KEY, LABEL, PARTITION, RESULT_SCHEMA
 from datescore.session import materialize, work_path
 from datescore.sources import model_store, result_table, text
 from datescore.sources.feature_table import read_feature_table, scan_partition, write_feature_table
@@ -60,12 +60,6 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _as_result(scored: DataFrame, score: str = "score") -> DataFrame:
-    return scored.select(
-        USER, F.col(DEP_DATE).alias("dep_date"), F.col(score).cast("float").alias("q_ratio"), PARTITION
-    )
-
-
 # --- sources, projections, fill -------------------------------------------------
 
 
@@ -236,44 +230,56 @@ def _table_name(spark: SparkSession, tag: str) -> tuple[str, str]:
     return f"datescore_{tag}_{location.rsplit('-', 1)[-1]}", location
 
 
+def _feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived feature table, written once (partitioned by day) and read back."""
+    f = features_from_dir(spark, sf_dir, training=False)
+    return read_feature_table(spark, write_feature_table(f, work_path(spark, "features")))
+
+
+def _day_result(table: DataFrame, dt: str, k: int | None = None) -> DataFrame:
+    """One day scanned from the feature table (partition pruning) and scored."""
+    return jobs.score_with_ensemble(scan_partition(table, dt), k=k).drop(PARTITION)
+
+
+def _read_back(spark: SparkSession, table: str, name: str) -> DataFrame:
+    return _copy_out(spark.table(table).select("user_name", "dep_date", "q_ratio", PARTITION), name)
+
+
 def result_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Create, load two days, reload one with other scores, read back, drop."""
-    scored = _scored(spark, sf_dir)
+    features = _feature_table(spark, sf_dir)
     table, location = _table_name(spark, "overwrite")
     result_table.create_result_table(spark, table, location)
     try:
-        for dt, score in [(DAY, "score"), (NEXT_DAY, "score"), (DAY, "score2")]:
-            day = _as_result(scored.where(F.col(PARTITION) == dt), score).drop(PARTITION)
-            result_table.overwrite_partition(day, table, dt)
-        return _copy_out(spark.table(table).select("user_name", "dep_date", "q_ratio", PARTITION), "overwrite-readback")
+        for dt, k in [(DAY, None), (NEXT_DAY, None), (DAY, 2)]:
+            result_table.overwrite_partition(_day_result(features, dt, k), table, dt)
+        return _read_back(spark, table, "overwrite-readback")
     finally:
         result_table.drop_table(spark, table)
 
 
 def drop_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load three days, drop the middle one, read back."""
-    scored = _scored(spark, sf_dir)
+    features = _feature_table(spark, sf_dir)
     table, location = _table_name(spark, "dropday")
     result_table.create_result_table(spark, table, location)
     try:
         for dt in (OTHER_DAY, DAY, NEXT_DAY):
-            result_table.overwrite_partition(_as_result(scored.where(F.col(PARTITION) == dt)).drop(PARTITION), table, dt)
+            result_table.overwrite_partition(_day_result(features, dt), table, dt)
         result_table.drop_partition(spark, table, DAY)
-        return _copy_out(spark.table(table).select("user_name", "dep_date", "q_ratio", PARTITION), "dropday-readback")
+        return _read_back(spark, table, "dropday-readback")
     finally:
         result_table.drop_table(spark, table)
 
 
 def result_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4 + S5 from a file: one day's result as CSV, loaded into a partition, read back."""
-    scored = _scored(spark, sf_dir)
-    day = _as_result(scored.where(F.col(PARTITION) == DAY)).drop(PARTITION)
-    csv = text.write_result_csv(day, work_path(spark, "result-day-csv"))
+    csv = text.write_result_csv(_day_result(_feature_table(spark, sf_dir), DAY), work_path(spark, "result-day-csv"))
     table, location = _table_name(spark, "csvload")
     result_table.create_result_table(spark, table, location)
     try:
         result_table.load_csv_into_partition(spark, csv, table, DAY)
-        return _copy_out(spark.table(table).select("user_name", "dep_date", "q_ratio", PARTITION), "csvload-readback")
+        return _read_back(spark, table, "csvload-readback")
     finally:
         result_table.drop_table(spark, table)
 
