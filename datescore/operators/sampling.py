@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from datescore.functions.hashing import hash_bucket, seeded_hash
+from datescore.session import materialize
 from datescore.schema import KEY, LABEL
 
 HEX_DIGITS = 4  # 16**4 = 65,536 buckets per group
@@ -71,6 +72,13 @@ def _k_column(k: KSpec) -> Column:
     return F.lit(k) if isinstance(k, int) else k(F.col("_total"))
 
 
+# Boundary rows up to this many: their per-hash decisions (one small row per
+# distinct hash) are broadcast and every row is decided in a single scan.
+# Beyond it the boundary rows go through a separate branch (a second scan)
+# rather than a shuffle of all rows.
+EDGE_BROADCAST_ROWS = 2_000_000
+
+
 def flag_first_k(
     df: DataFrame,
     order_hash: Column,
@@ -85,6 +93,13 @@ def flag_first_k(
     ``k`` is an int or a function of the group's row count (a Column). With
     ``require_k`` a group with fewer than k rows fails the job, naming it;
     ``expected`` (a frame of group values) makes absent groups fail too.
+
+    Three reads of ``df``, two of them pruned to the key columns:
+    1. counts per (group, bucket) -> a status table of at most
+       groups x 65,536 rows, written once under the shared folder (this runs
+       when the function is called, so a short group fails here);
+    2. the rows of the boundary buckets only, aggregated per distinct hash;
+    3. one full scan deciding every row with two broadcast lookups.
     """
     groups = list(groups or [])
     d = _bucketed(df, order_hash)
@@ -108,47 +123,58 @@ def flag_first_k(
             F.lit("] of "), F.col("_total").cast("string"), F.lit(" rows"),
         )
         before = F.when(F.col("_total") < kcol, F.raise_error(msg)).otherwise(before)
-    status = off.select(
-        *groups,
-        "_b",
-        before.alias("_before"),
-        kcol.alias("_k"),
-        F.when(before + F.col("_n") <= kcol, F.lit("in"))
-        .when(before >= kcol, F.lit("out"))
-        .otherwise(F.lit("edge"))
-        .alias("_s"),
+    status = materialize(
+        off.select(
+            *groups,
+            "_b",
+            "_n",
+            before.alias("_before"),
+            kcol.alias("_k"),
+            F.when(before + F.col("_n") <= kcol, F.lit("in"))
+            .when(before >= kcol, F.lit("out"))
+            .otherwise(F.lit("edge"))
+            .alias("_s"),
+        ),
+        "sample-status",
     )
-    # At most groups x 65,536 rows: broadcast by construction.
-    joined = d.join(F.broadcast(status), [*groups, "_b"], "inner")
-    rest = joined.where(F.col("_s") != "edge").withColumn(flag, F.col("_s") == "in")
-    edge = joined.where(F.col("_s") == "edge")
+    edge_status = status.where(F.col("_s") == "edge")
+    edge_rows = edge_status.agg(F.sum("_n")).first()[0] or 0
+    decided = edge_decisions(d, edge_status, groups)
+    # The status table has at most groups x 65,536 rows: broadcast by construction.
+    joined = d.join(F.broadcast(status.select(*groups, "_b", "_s")), [*groups, "_b"], "inner")
     out = [*df.columns, flag]
-    return edge_flags(edge, groups, flag).select(*out).unionByName(rest.select(*out))
+    if edge_rows <= EDGE_BROADCAST_ROWS:
+        marked = joined.join(F.broadcast(decided), [*groups, "_b", "_h"], "left")
+        return marked.withColumn(flag, F.coalesce(F.col("_edge"), F.col("_s") == "in")).select(*out)
+    rest = joined.where(F.col("_s") != "edge").withColumn(flag, F.col("_s") == "in")
+    edge = joined.where(F.col("_s") == "edge").join(decided, [*groups, "_b", "_h"], "inner")
+    return edge.withColumnRenamed("_edge", flag).select(*out).unionByName(rest.select(*out))
 
 
-def edge_flags(edge: DataFrame, groups: list[str], flag: str) -> DataFrame:
-    """Rank the rows of a boundary bucket by hash, robust to hot groups of copies.
+def edge_decisions(d: DataFrame, edge_status: DataFrame, groups: list[str]) -> DataFrame:
+    """In or out for every distinct hash of the boundary buckets; robust to hot copies.
 
-    Copies of one key share a hash. Rows are first aggregated per distinct
-    hash (partial aggregation collapses any number of copies to one row per
-    map task), the distinct hashes are ranked, and each row takes its hash's
-    decision. A hash whose copies straddle rank k cannot be split without an
-    arbitrary choice: that is a duplicate key, an input error, and it fails
-    the job naming the hash.
+    Copies of one key share a hash. Boundary rows (key columns only) are
+    aggregated per distinct hash, so any number of copies becomes one row
+    per map task before the shuffle; the distinct hashes are then ranked.
+    A hash whose copies straddle rank k cannot be split without an arbitrary
+    choice: that is a duplicate key, an input error, and the job fails
+    naming the hash.
     """
+    edge = d.select(*groups, "_b", "_h").join(
+        F.broadcast(edge_status.select(*groups, "_b", "_before", "_k")), [*groups, "_b"], "inner"
+    )
     per_hash = edge.groupBy(*groups, "_b", "_h", "_before", "_k").agg(F.count(F.lit(1)).alias("_c"))
     earlier = Window.partitionBy(*groups, "_b").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("_before") + F.coalesce(F.sum("_c").over(earlier), F.lit(0))
-    per_hash = per_hash.withColumn("_r0", start)
+    per_hash = per_hash.withColumn("_r0", F.col("_before") + F.coalesce(F.sum("_c").over(earlier), F.lit(0)))
     straddles = (F.col("_r0") < F.col("_k")) & (F.col("_r0") + F.col("_c") > F.col("_k"))
     msg = F.concat(F.lit("duplicate key at the sampling boundary, order hash "), F.col("_h"))
-    decided = per_hash.select(
+    return per_hash.select(
         *groups,
         "_b",
         "_h",
-        F.when(straddles, F.raise_error(msg)).otherwise(F.col("_r0") + F.col("_c") <= F.col("_k")).alias(flag),
+        F.when(straddles, F.raise_error(msg)).otherwise(F.col("_r0") + F.col("_c") <= F.col("_k")).alias("_edge"),
     )
-    return edge.join(decided, [*groups, "_b", "_h"], "inner")
 
 
 def rank_by_hash(df: DataFrame, order_hash: Column, groups: list[str] | None = None, name: str = "rank") -> DataFrame:

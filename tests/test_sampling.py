@@ -117,3 +117,12 @@ def test_duplicate_key_straddling_k_fails(spark):
     df = spark.createDataFrame(rows, "user_name string, dt string, dep_date_of_search string, label int")
     with pytest.raises(Exception, match="duplicate key"):
         S.flag_class_sample(df, 3, seeds={1: 1, 0: 1}).where("label = 1").collect()
+
+
+def test_large_boundary_path_agrees(features01, monkeypatch):
+    """Boundary decisions joined in a separate branch give the same flags as broadcast."""
+    small = S.flag_class_sample(features01, 211).select(*KEY, "sampled")
+    monkeypatch.setattr(S, "EDGE_BROADCAST_ROWS", 0)
+    large = S.flag_class_sample(features01, 211).select(*KEY, "sampled")
+    assert large.count() == features01.count()
+    assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
