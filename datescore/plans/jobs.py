@@ -51,6 +51,7 @@ def daily_scoring(
     ensemble: E.Ensemble | None = None,
     validate_keys: bool = False,
     csv_path: str | None = None,
+    rebalance_output: bool = False,
 ) -> DataFrame:
     """F1 -> S1 -> P1 -> P7 -> M1 -> M5/M6 -> P8 -> S5; returns the audit (A1 + L1).
 
@@ -60,7 +61,9 @@ def daily_scoring(
     in the day (one extra aggregation; copies of a hot key are pre-aggregated
     before its shuffle) and fails naming a duplicate. ``csv_path`` also writes
     the day's result as a header CSV (S4), read back from the loaded
-    partition rather than scored twice.
+    partition rather than scored twice. Without a shuffle every scan task
+    writes one result file; ``rebalance_output`` shuffles the three narrow
+    result columns once so AQE writes fewer, larger files.
     """
     dt = previous_day_value(run_date)
     day = scan_partition(source, dt)
@@ -70,7 +73,10 @@ def daily_scoring(
         res = score_with_model(day, model, ntree_limit)
     else:
         res = score_with_ensemble(day, ensemble or E.FIXED_ENSEMBLE)
-    result_table.overwrite_partition(res.drop(PARTITION), table, dt)
+    res = res.drop(PARTITION)
+    if rebalance_output:
+        res = res.hint("rebalance")
+    result_table.overwrite_partition(res, table, dt)
     spark = source.sparkSession
     if csv_path:
         loaded = spark.table(table).where(F.col(PARTITION) == dt).select("user_name", "dep_date", "q_ratio")

@@ -28,7 +28,7 @@ def test_daily_scoring_no_shuffle_and_idempotent(spark, tmpdir_path):
     try:
         audit1 = jobs.daily_scoring(src, t, "2024-01-16", ensemble=E.FIXED_ENSEMBLE).collect()
         audit2 = jobs.daily_scoring(src, t, "2024-01-16").collect()
-        jobs.daily_scoring(src, t, "2024-01-17")
+        jobs.daily_scoring(src, t, "2024-01-17", rebalance_output=True)
         n = f.where(F.col("dt") == "20240115").count()
         assert [tuple(r) for r in audit1] == [("20240115", n)] == [tuple(r) for r in audit2]
         counts = dict(result_table.partition_counts(spark.table(t)).collect())
