@@ -1,0 +1 @@
+"""Operators on DataFrames: projections, sampling, metrics, tree ensembles, models, tuning."""

@@ -1,0 +1 @@
+"""Jobs composed from the operators, the registered queries and their DuckDB oracles."""
