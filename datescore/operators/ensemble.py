@@ -193,3 +193,83 @@ def prefix_margins_udf(ensemble: Ensemble, features: list[str], checkpoints: lis
         return pd.Series(list(out))
 
     return margins, marks
+
+
+# --- M10 for large ensembles, and ensembles stored as node tables -------------
+
+# Ensembles with more nodes than this are not compiled to CASE expressions: the
+# generated method would exceed the JVM's 64 KB limit and fall out of codegen.
+CASE_NODE_LIMIT = 2000
+
+NODE_TABLE_SCHEMA = (
+    "tree int, weight double, node int, feature string, threshold double, "
+    "left int, right int, value double, inclusive boolean"
+)
+
+
+def node_count(ensemble: Ensemble) -> int:
+    def count(n: Node) -> int:
+        return 1 if isinstance(n, Leaf) else 1 + count(n.left) + count(n.right)
+
+    return sum(count(t) for _, t in ensemble)
+
+
+def probability_column(
+    ensemble: Ensemble, features: list[str], k: int | None = None, margin_scale: float = 1.0
+) -> Column:
+    """P(class 1) of the first ``k`` trees, as CASE code or, for large
+    ensembles, a vectorised UDF over broadcast node arrays."""
+    trees = ensemble[: k if k is not None else len(ensemble)]
+    if node_count(trees) <= CASE_NODE_LIMIT:
+        return probability(trees, margin_scale=margin_scale)
+    udf, _ = prefix_margins_udf(trees, features, [len(trees)])
+    m = udf(*[F.col(c) for c in features]).getItem(0)
+    return logistic(m if margin_scale == 1.0 else F.lit(margin_scale) * m)
+
+
+def node_rows(ensemble: Ensemble) -> list[tuple]:
+    """The ensemble as node-table rows (node 0 is each tree's root)."""
+    rows = []
+    for t_id, (w, tree) in enumerate(ensemble):
+        nodes: list[tuple] = []
+
+        def visit(n: Node) -> int:
+            i = len(nodes)
+            nodes.append(None)
+            if isinstance(n, Leaf):
+                nodes[i] = (t_id, float(w), i, None, None, None, None, float(n.value), None)
+                return i
+            left = visit(n.left)
+            right = visit(n.right)
+            nodes[i] = (t_id, float(w), i, n.feature, float(n.threshold), left, right, None, bool(n.inclusive))
+            return i
+
+        visit(tree)
+        rows.extend(nodes)
+    return rows
+
+
+def node_table(spark, ensemble: Ensemble):
+    """The ensemble as a DataFrame (one row per node), e.g. to store it as a table."""
+    return spark.createDataFrame(node_rows(ensemble), NODE_TABLE_SCHEMA)
+
+
+def from_node_table(nodes) -> Ensemble:
+    """Read an ensemble back from a node table.
+
+    A model's nodes are bounded by trees x 2^(depth+1), not by any data, so
+    they are read to the driver to build the scoring expression or arrays.
+    """
+    by_tree: dict[int, dict[int, tuple]] = {}
+    weights: dict[int, float] = {}
+    for r in nodes.select(*[c.split()[0] for c in NODE_TABLE_SCHEMA.split(", ")]).collect():
+        by_tree.setdefault(r["tree"], {})[r["node"]] = r
+        weights[r["tree"]] = r["weight"]
+
+    def build(tree: dict[int, tuple], i: int) -> Node:
+        r = tree[i]
+        if r["feature"] is None:
+            return Leaf(r["value"])
+        return Split(r["feature"], r["threshold"], build(tree, r["left"]), build(tree, r["right"]), bool(r["inclusive"]))
+
+    return [(weights[t], build(by_tree[t], 0)) for t in sorted(by_tree)]

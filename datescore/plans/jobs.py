@@ -32,7 +32,7 @@ from datescore.sources.feature_table import scan_partition
 def score_with_ensemble(features: DataFrame, ensemble: E.Ensemble = E.FIXED_ENSEMBLE, k: int | None = None) -> DataFrame:
     """P7 -> M10 (first ``k`` trees) -> P8/P9, with ``dt`` carried along."""
     filled = fill_missing(features, subset=[c for c in FEATURES if c in features.columns])
-    scored = filled.select(USER, DEP_DATE, PARTITION, E.probability(ensemble, k).alias("score"))
+    scored = filled.select(USER, DEP_DATE, PARTITION, E.probability_column(ensemble, FEATURES, k).alias("score"))
     return result_rows(scored, extra=[PARTITION])
 
 

@@ -54,3 +54,17 @@ def test_missing_is_zero_after_fill(spark):
     m = fill_missing(df).select(E.margin(E.FIXED_ENSEMBLE).alias("m")).first().m
     # rate 0 < 0.3, pre_days 0 < 3: -0.6; student 0 < 0.5: -0.1; history 0 < 0.25, date_cnt 0 < 2: 0.7
     assert m == pytest.approx(-0.6 - 0.1 + 0.7)
+
+
+def test_node_table_roundtrip_and_large_path(spark, features01, monkeypatch):
+    nodes = E.node_table(spark, E.FIXED_ENSEMBLE)
+    assert nodes.count() == E.node_count(E.FIXED_ENSEMBLE) == 17
+    back = E.from_node_table(nodes)
+    assert back == E.FIXED_ENSEMBLE
+    filled = fill_missing(features01, subset=FEATURES)
+    case_scores = filled.select(E.probability_column(back, FEATURES).alias("p"))
+    monkeypatch.setattr(E, "CASE_NODE_LIMIT", 0)  # force the vectorised path
+    udf_scores = filled.select(E.probability_column(back, FEATURES).alias("p"))
+    a = [r.p for r in case_scores.collect()]
+    b = [r.p for r in udf_scores.collect()]
+    assert np.allclose(a, b, atol=1e-12)
