@@ -44,30 +44,45 @@ def _guard(bad: Column, what: str) -> Column:
 # --- counts -------------------------------------------------------------------
 
 
-def confusion_counts(pairs: DataFrame, truth: str = "true_label", pred: str = "prediction_label") -> DataFrame:
-    """One row: tp, fp, fn, tn, n (BIGINT). Fails on a label other than 0/1."""
-    t, p = F.col(truth), F.col(pred)
+def _weight(weight: str | None) -> Column:
+    return F.lit(1) if weight is None else F.col(weight)
+
+
+def confusion_counts(
+    pairs: DataFrame, truth: str = "true_label", pred: str = "prediction_label", weight: str | None = None
+) -> DataFrame:
+    """One row: tp, fp, fn, tn, n (BIGINT). Fails on a label other than 0/1.
+
+    ``weight`` names a count column when each row stands for several pairs
+    (e.g. a score histogram); by default every row is one pair.
+    """
+    t, p, w = F.col(truth), F.col(pred), _weight(weight)
 
     def cnt(cond: Column) -> Column:
-        return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("long")
+        return F.coalesce(F.sum(F.when(cond, w).otherwise(F.lit(0))).cast("long"), F.lit(0).cast("long"))
 
     agg = pairs.agg(
         cnt((p == 1) & (t == 1)).alias("tp"),
         cnt((p == 1) & (t == 0)).alias("fp"),
         cnt((p == 0) & (t == 1)).alias("fn"),
         cnt((p == 0) & (t == 0)).alias("tn"),
-        F.count(F.lit(1)).alias("n"),
-        _check_binary(t).alias("_bad"),
+        cnt(F.lit(True)).alias("n"),
+        F.sum(F.when(F.coalesce(t.isin(0, 1), F.lit(False)), F.lit(0)).otherwise(w)).alias("_bad"),
     )
     return agg.select(F.coalesce(_guard(F.col("_bad"), "confusion counts"), F.col("tp")).alias("tp"), "fp", "fn", "tn", "n")
 
 
-def confusion_matrix(pairs: DataFrame, truth: str = "true_label", pred: str = "prediction_label") -> DataFrame:
+def confusion_matrix(
+    pairs: DataFrame, truth: str = "true_label", pred: str = "prediction_label", weight: str | None = None
+) -> DataFrame:
     """A2: prediction x truth counts; an absent cell is null (like a crosstab's NaN).
 
     A prediction value that never occurs has no row.
     """
-    wide = pairs.groupBy(pred).pivot(truth, [0, 1]).agg(F.count(F.lit(1)))
+    if weight is not None:
+        pairs = pairs.where(F.col(weight) > 0)
+    count = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    wide = pairs.groupBy(pred).pivot(truth, [0, 1]).agg(count)
     return wide.select(
         F.col(pred).alias("prediction_label"),
         F.col("0").cast("long").alias("true_0"),
@@ -85,9 +100,11 @@ def _class_stats(tp: Column, fp: Column, fn: Column) -> tuple[Column, Column, Co
     return precision, recall, f1
 
 
-def class_report(pairs: DataFrame, truth: str = "true_label", pred: str = "prediction_label") -> DataFrame:
+def class_report(
+    pairs: DataFrame, truth: str = "true_label", pred: str = "prediction_label", weight: str | None = None
+) -> DataFrame:
     """A3: per-class precision, recall, F1, support; accuracy; macro and weighted means."""
-    c = confusion_counts(pairs, truth, pred)
+    c = confusion_counts(pairs, truth, pred, weight)
     tp, fp, fn, tn, n = (F.col(x) for x in ("tp", "fp", "fn", "tn", "n"))
     p1, r1, f1 = _class_stats(tp, fp, fn)
     # Class 0 sees the matrix mirrored.
@@ -120,9 +137,11 @@ def class_report(pairs: DataFrame, truth: str = "true_label", pred: str = "predi
     return c.select(F.inline(rows))
 
 
-def binary_metrics(pairs: DataFrame, truth: str = "true_label", pred: str = "prediction_label") -> DataFrame:
+def binary_metrics(
+    pairs: DataFrame, truth: str = "true_label", pred: str = "prediction_label", weight: str | None = None
+) -> DataFrame:
     """Accuracy, AUC of hard labels, recall, F1 and precision of class 1."""
-    c = confusion_counts(pairs, truth, pred)
+    c = confusion_counts(pairs, truth, pred, weight)
     tp, fp, fn, tn, n = (F.col(x) for x in ("tp", "fp", "fn", "tn", "n"))
     precision, recall, f1 = _class_stats(tp, fp, fn)
     tnr = _ratio(tn, tn + fp)
@@ -174,18 +193,44 @@ def auc(
     the sums, and the result (one row per group) is returned as a frame.
     """
     by = list(by or [])
+    distinct = score_histogram(scored, score, label, by).persist()
+    try:
+        return auc_from_histogram(distinct, by, buckets)
+    finally:
+        distinct.unpersist()
+
+
+def score_histogram(scored: DataFrame, score: str = "score", label: str = LABEL, by: list[str] | None = None) -> DataFrame:
+    """Positives and negatives per distinct score (``_s, _pos, _neg, _bad``).
+
+    Every metric of a scored set is a function of this table, and a score
+    shared by any number of rows is one row of it (partial aggregation).
+    """
     lab = F.col(label)
-    distinct = scored.groupBy(*by, F.col(score).alias("_s")).agg(
+    return scored.groupBy(*(by or []), F.col(score).alias("_s")).agg(
         F.sum(F.when(lab == 1, F.lit(1)).otherwise(F.lit(0))).cast("long").alias("_pos"),
         F.sum(F.when(lab == 0, F.lit(1)).otherwise(F.lit(0))).cast("long").alias("_neg"),
         _check_binary(lab).alias("_bad"),
-    ).persist()
-    try:
-        result = _auc_from_distinct(distinct, by, buckets or default_buckets(scored.sparkSession))
-        rows = result.collect()
-    finally:
-        distinct.unpersist()
-    return scored.sparkSession.createDataFrame(rows, result.schema)
+    )
+
+
+def histogram_pairs(hist: DataFrame, t: float = 0.5, inclusive: bool = False) -> DataFrame:
+    """(true_label, prediction_label, w) rows of a score histogram, for the count metrics."""
+    s = F.col("_s")
+    pred = F.when(s >= F.lit(t) if inclusive else s > F.lit(t), F.lit(1)).otherwise(F.lit(0))
+    cells = F.array(
+        F.struct(F.lit(1).alias("true_label"), F.col("_pos").alias("w")),
+        F.struct(F.lit(0).alias("true_label"), F.col("_neg").alias("w")),
+    )
+    bad = F.struct(F.lit(-1).alias("true_label"), F.col("_bad").alias("w"))
+    return hist.select(pred.alias("prediction_label"), F.inline(F.array_append(cells, bad))).where(F.col("w") > 0)
+
+
+def auc_from_histogram(distinct: DataFrame, by: list[str] | None = None, buckets: int | None = None) -> DataFrame:
+    """A9 from a score histogram (an action; the result is one row per group)."""
+    by = list(by or [])
+    result = _auc_from_distinct(distinct, by, buckets or default_buckets(distinct.sparkSession))
+    return distinct.sparkSession.createDataFrame(result.collect(), result.schema)
 
 
 def _auc_from_distinct(distinct: DataFrame, by: list[str], b: int) -> DataFrame:

@@ -26,10 +26,18 @@ from pyspark.sql import functions as F
 
 from datescore.functions.fill import fill_missing
 from datescore.operators import ensemble as E
-from datescore.operators.metrics import auc, binary_metrics, class_report, confusion_matrix
-from datescore.operators.prepare import label_prediction_pairs, threshold
+from datescore.operators.metrics import (
+    auc,
+    auc_from_histogram,
+    binary_metrics,
+    class_report,
+    confusion_matrix,
+    histogram_pairs,
+    score_histogram,
+)
+from datescore.operators.prepare import threshold
 from datescore.schema import FEATURES, KEY, LABEL
-from datescore.session import checkpoint_root
+from datescore.session import checkpoint_root, materialize
 
 MLLIB_MARGIN_SCALE = 2.0
 
@@ -150,16 +158,20 @@ def score(
 def evaluate(scored: DataFrame, t: float = 0.5) -> dict[str, DataFrame]:
     """M7: reports on a scored holdout (columns ``score`` and ``label``).
 
-    Metrics use the strict threshold (>), the confusion matrix the inclusive
-    one (>=), as the reference does.
+    One pass over the holdout: it is reduced to its score histogram
+    (positives and negatives per distinct score), written once under the
+    shared folder; every report is derived from that small table. Metrics
+    use the strict threshold (>), the confusion matrix the inclusive one
+    (>=), as the reference does.
     """
-    strict = label_prediction_pairs(scored, t=t, inclusive=False)
-    inclusive = label_prediction_pairs(scored, t=t, inclusive=True)
+    hist = materialize(score_histogram(scored), "holdout-histogram")
+    strict = histogram_pairs(hist, t, inclusive=False)
+    inclusive = histogram_pairs(hist, t, inclusive=True)
     return {
-        "class_report": class_report(strict),
-        "metrics": binary_metrics(strict),
-        "confusion": confusion_matrix(inclusive),
-        "auc": auc(scored),
+        "class_report": class_report(strict, weight="w"),
+        "metrics": binary_metrics(strict, weight="w"),
+        "confusion": confusion_matrix(inclusive, weight="w"),
+        "auc": auc_from_histogram(hist),
     }
 
 

@@ -96,3 +96,21 @@ def test_cells_sum_to_n(spark):
 def test_subset_sizes(spark):
     df = spark.createDataFrame([("a",), ("b",), ("a",)], "role string")
     assert dict(MT.subset_sizes(df, "role").collect()) == {"a": 2, "b": 1}
+
+
+def test_histogram_reports_equal_row_reports(spark):
+    """Reports from a score histogram equal the reports from the rows."""
+    from datescore.operators.prepare import label_prediction_pairs
+
+    rows = [(round((i * 37 % 100) / 100, 2), int(i % 3 == 0)) for i in range(300)] + [(0.5, 1), (0.5, 0)]
+    df = spark.createDataFrame(rows, "score double, label int")
+    hist = MT.score_histogram(df)
+    for inclusive in (False, True):
+        by_rows = label_prediction_pairs(df, inclusive=inclusive)
+        by_hist = MT.histogram_pairs(hist, inclusive=inclusive)
+        assert MT.confusion_matrix(by_rows).orderBy("prediction_label").collect() == MT.confusion_matrix(
+            by_hist, weight="w"
+        ).orderBy("prediction_label").collect()
+        assert sorted(MT.class_report(by_rows).collect()) == sorted(MT.class_report(by_hist, weight="w").collect())
+        assert sorted(MT.binary_metrics(by_rows).collect()) == sorted(MT.binary_metrics(by_hist, weight="w").collect())
+    assert MT.auc(df).first() == MT.auc_from_histogram(hist).first()
