@@ -126,3 +126,15 @@ def test_large_boundary_path_agrees(features01, monkeypatch):
     large = S.flag_class_sample(features01, 211).select(*KEY, "sampled")
     assert large.count() == features01.count()
     assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
+
+
+def test_sample_plan_broadcasts_and_reads_input_at_most_three_times(spark):
+    from conftest import SF001
+    from datescore.sources.fixture import features_from_dir
+
+    df = S.class_sample(features_from_dir(spark, SF001), 20)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    assert "BroadcastHashJoin" in plan or "BroadcastQueryStage" in plan
+    assert plan.count("events.parquet") <= 3
