@@ -32,7 +32,10 @@ def _check_name(name: str) -> str:
 def create_result_table(spark: SparkSession, table: str, location: str | None = None) -> str:
     """Create the table if absent (commented, partitioned by ``dt``)."""
     c = COLUMN_COMMENTS
-    where = f" LOCATION '{location}'" if location else ""
+    where = ""
+    if location:
+        _mkdirs(spark, location)
+        where = f" LOCATION '{location}'"
     spark.sql(
         f"""
         CREATE TABLE IF NOT EXISTS {_check_name(table)} (
@@ -46,9 +49,20 @@ def create_result_table(spark: SparkSession, table: str, location: str | None =
         COMMENT '{TABLE_COMMENT}'{where}
         """
     )
+    if location:
+        # Days already stored at the location (written by earlier runs) become
+        # visible partitions, also when the catalog does not persist.
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     return table
 
 
+def _mkdirs(spark: SparkSession, location: str) -> None:
+    """Create the table folder on its file system (any Hadoop scheme) if absent."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+
+
 def overwrite_partition(result: DataFrame, table: str, dt: str) -> None:
     """Replace partition ``dt`` of ``table`` with ``result`` (user, dep_date, q_ratio)."""
     spark = result.sparkSession
