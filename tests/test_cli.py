@@ -39,3 +39,17 @@ def test_train_and_tune(spark, tmpdir_path, capsys):
     assert main(["tune", "--training", feats, "--n-sample", "60", "--init-points", "2", "--n-iter", "1",
                  "--parallelism", "2", "--out", os.path.join(tmpdir_path, "trials")]) == 0
     assert spark.read.parquet(os.path.join(tmpdir_path, "trials")).count() == 3
+
+
+def test_train_from_tsv(spark, tmpdir_path, capsys):
+    """W3 from a header TSV, as the reference reads its training file (S2 -> S3 -> W3)."""
+    from datescore.schema import TRAINING_COLUMNS
+    from datescore.sources import text
+    from datescore.sources.fixture import features_from_dir
+
+    tsv = text.write_tsv(features_from_dir(spark, "/root/testdata/sf0.01").select(*TRAINING_COLUMNS), os.path.join(tmpdir_path, "train.tsv"))
+    model = os.path.join(tmpdir_path, "model")
+    assert main(["train", "--training-tsv", tsv, "--n-sample", "80", "--model-out", model,
+                 "--max-iter", "2", "--max-depth", "2", "--history-every", "1"]) == 0
+    out = capsys.readouterr().out
+    assert '"holdout"' in out and os.path.isdir(os.path.join(model, "stages"))
