@@ -14,16 +14,17 @@ group into 65,536 buckets of (md5 being uniform) equal size:
 2. a running sum over the buckets of a group gives each bucket's offset
    (at most 65,536 rows per group);
 3. a bucket that lies wholly before rank k is in, one that starts at or after
-   k is out; only the one boundary bucket per group is ranked row by row.
+   k is out; only the one boundary bucket per group is ranked, per distinct
+   hash (copies of a key collapse before the shuffle).
 
-The count table is at most groups x 65,536 rows, a proven bound, so it is
-broadcast. Full ranks (folds) rank within (group, bucket): a shuffle whose
-partitions are balanced by the hash, whatever the class sizes.
+The count table is at most groups x 65,536 rows, a proven bound; it is
+written once and broadcast. Full ranks (folds) rank within (group, bucket):
+a shuffle whose partitions are balanced by the hash, whatever the class
+sizes.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -45,8 +46,6 @@ FOLD_SEED = 90
 SPLIT_STREAM = "split"
 FOLD_STREAM = "fold"
 
-_TMP = ["_h", "_b", "_n", "_before", "_total", "_s"]
-
 KSpec = int | Callable[[Column], Column]
 
 
@@ -266,7 +265,3 @@ def fold_assign(
     """D3: stratified folds: fold = (rank within class - 1) mod ``folds``."""
     ranked = rank_by_hash(df, seeded_hash(seed, key or KEY, stream=FOLD_STREAM), groups=[LABEL], name="_rank")
     return ranked.withColumn(name, ((F.col("_rank") - 1) % folds).cast("int")).drop("_rank")
-
-
-def ceil_fraction(n: int, fraction: float) -> int:
-    return int(math.ceil(n * fraction))
