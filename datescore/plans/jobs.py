@@ -124,7 +124,8 @@ def train_evaluate(
     """
     checkpoint_root(training.sparkSession)
     flagged = S.flag_class_sample(training, n_sample)
-    sample = flagged.where(F.col("sampled")).drop("sampled")
+    # 2 x n rows, written once: the split's two passes read it, not the input.
+    sample = materialize(flagged.where(F.col("sampled")).drop("sampled"), "sample")
     split = materialize(S.half_split(sample), "split")
     train_part = split.where(~F.col("is_test"))
     val_part = split.where(F.col("is_test"))
@@ -164,7 +165,7 @@ def tune(
 ) -> tuple[DataFrame, DataFrame]:
     """D1 -> D3 -> M8 (+A10) -> M9 -> L3. Returns (trials, best trial)."""
     checkpoint_root(training.sparkSession)
-    sample = S.class_sample(training, n_sample)
+    sample = materialize(S.class_sample(training, n_sample), "sample")
     folded = materialize(S.fold_assign(sample), "folds")
     trials = TU.search(folded, init_points=init_points, n_iter=n_iter, seed=seed, parallelism=parallelism)
     return trials, TU.best_trial(trials)
