@@ -324,6 +324,18 @@ def result_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.read_result_csv(spark, path, RESULT_SCHEMA)
 
 
+def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 as a stream: days arrive in two batches; each run scores only the new days."""
+    from datescore.streaming import daily
+
+    f = features_from_dir(spark, sf_dir, training=False)
+    src, out, ckpt = (work_path(spark, name) for name in ("stream-features", "stream-results", "stream-checkpoint"))
+    write_feature_table(f.where(F.col(PARTITION) <= DAY), src, mode="append")
+    daily.run_available(spark, src, out, ckpt)
+    write_feature_table(f.where(F.col(PARTITION) > DAY), src, mode="append")
+    return daily.run_available(spark, src, out, ckpt)
+
+
 # --- model jobs (rows-only checks) ------------------------------------------------------
 
 SMALL_TREES = M.TreeParams(max_iter=5, max_depth=4, min_instances_per_node=1)
@@ -397,6 +409,7 @@ QUERIES: dict[str, Query] = {
     "extract_job": extract_job,
     "result_csv_roundtrip": result_csv_roundtrip,
     "result_csv_load": result_csv_load,
+    "stream_scoring": stream_scoring,
     "train_evaluate": train_evaluate,
     "tune": tune,
     "daily_scoring": daily_scoring,

@@ -266,6 +266,7 @@ SQL: dict[str, str] = {
     )
     + f"SELECT {KEYS}, label, CAST((r - 1) % 3 AS INTEGER) AS fold FROM fo",
     "score_pairs": with_ctes(FILLED, SCORED) + f"SELECT {RESULT_OF.format(s='score')} FROM scored",
+    "stream_scoring": with_ctes(FILLED, SCORED) + f"SELECT {RESULT_OF.format(s='score')} FROM scored",
     "score_prefix": with_ctes(FILLED, SCORED) + f"SELECT {RESULT_OF.format(s='score2')} FROM scored",
     "threshold_strict": with_ctes(FILLED, SCORED)
     + f"""SELECT {KEYS}, CAST(score AS FLOAT) AS q_ratio,

@@ -32,7 +32,7 @@ def test_query_matches_oracle(spark, con: duckdb.DuckDBPyConnection, name):
 def test_every_query_has_a_callable():
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) - set(SQL) == {"train_evaluate", "tune", "daily_scoring"}
-    assert len(QUERIES) == 34
+    assert len(QUERIES) == 35
 
 
 def test_entry_smoke(spark):
