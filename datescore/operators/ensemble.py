@@ -272,4 +272,8 @@ def from_node_table(nodes) -> Ensemble:
             return Leaf(r["value"])
         return Split(r["feature"], r["threshold"], build(tree, r["left"]), build(tree, r["right"]), bool(r["inclusive"]))
 
-    return [(weights[t], build(by_tree[t], 0)) for t in sorted(by_tree)]
+    def root(tree: dict[int, tuple]) -> int:
+        children = {c for r in tree.values() for c in (r["left"], r["right"]) if c is not None}
+        return min(i for i in tree if i not in children)
+
+    return [(weights[t], build(by_tree[t], root(by_tree[t]))) for t in sorted(by_tree)]

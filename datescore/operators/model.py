@@ -21,7 +21,7 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark import SparkContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from datescore.functions.fill import fill_missing
@@ -37,7 +37,7 @@ from datescore.operators.metrics import (
 )
 from datescore.operators.prepare import threshold
 from datescore.schema import FEATURES, KEY, LABEL
-from datescore.session import checkpoint_root, materialize
+from datescore.session import checkpoint_root, materialize, work_path
 
 MLLIB_MARGIN_SCALE = 2.0
 
@@ -178,31 +178,40 @@ def evaluate(scored: DataFrame, t: float = 0.5) -> dict[str, DataFrame]:
 # --- trained trees as node structures (M3 history, CASE scoring) --------------
 
 
-def _to_node(jnode) -> E.Node:
-    if jnode.getClass().getSimpleName() == "LeafNode":
-        return E.Leaf(float(jnode.prediction()))
-    split = jnode.split()
-    return E.Split(
-        feature=str(split.featureIndex()),
-        threshold=float(split.threshold()),
-        left=_to_node(jnode.leftChild()),
-        right=_to_node(jnode.rightChild()),
-        inclusive=True,  # MLlib: x <= threshold goes left
-    )
-
+def node_table(model: PipelineModel, features: list[str] | None = None) -> DataFrame:
+    """The trained trees as a node table (``ensemble.NODE_TABLE_SCHEMA``).
 
-def to_ensemble(model: PipelineModel, features: list[str] | None = None) -> E.Ensemble:
-    """The trained trees as (weight, tree) with feature names (model metadata only)."""
+    MLlib stores a saved ensemble as Parquet rows (treeID, nodeData); the GBT
+    stage is written once under the shared folder and its nodes are reshaped
+    by Spark, so a model of any size needs no per-node calls to the JVM.
+    MLlib splits send ``x <= threshold`` to the left child.
+    """
     feats = list(features or FEATURES)
     g = gbt_stage(model)
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    path = work_path(spark, "model-nodes")
+    g.write().overwrite().save(path)
+    nodes = spark.read.parquet(f"{path}/data")
+    weights = F.array(*[F.lit(float(w)) for w in g.treeWeights])
+    names = F.array(*[F.lit(c) for c in feats])
+    n = F.col("nodeData")
+    leaf = n["leftChild"] < 0
+    return nodes.select(
+        F.col("treeID").cast("int").alias("tree"),
+        F.element_at(weights, F.col("treeID") + 1).alias("weight"),
+        n["id"].cast("int").alias("node"),
+        F.when(~leaf, F.element_at(names, n["split"]["featureIndex"] + 1)).alias("feature"),
+        F.when(~leaf, F.element_at(n["split"]["leftCategoriesOrThreshold"], 1)).alias("threshold"),
+        F.when(~leaf, n["leftChild"].cast("int")).alias("left"),
+        F.when(~leaf, n["rightChild"].cast("int")).alias("right"),
+        F.when(leaf, n["prediction"]).alias("value"),
+        F.when(~leaf, F.lit(True)).alias("inclusive"),
+    )
 
-    def rename(n: E.Node) -> E.Node:
-        if isinstance(n, E.Leaf):
-            return n
-        return E.Split(feats[int(n.feature)], n.threshold, rename(n.left), rename(n.right), n.inclusive)
 
-    jtrees = g._java_obj.trees()
-    return [(float(w), rename(_to_node(jtrees[i].rootNode()))) for i, w in enumerate(g.treeWeights)]
+def to_ensemble(model: PipelineModel, features: list[str] | None = None) -> E.Ensemble:
+    """The trained trees as (weight, tree) with feature names (bounded by the model's size)."""
+    return E.from_node_table(node_table(model, features))
 
 
 def auc_history(
