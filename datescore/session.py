@@ -44,14 +44,18 @@ def build_session(
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set one only when the session has none."""
+    """The shared checkpoint folder; set one only when the session has none (local mode)."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    base = conf_dir or tempfile.mkdtemp(prefix="datescore-ckpt-")
-    sc.setCheckpointDir(base)
+    if not conf_dir:
+        if not sc.master.startswith("local"):
+            # A machine-local folder is invisible to executors on other hosts.
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        conf_dir = tempfile.mkdtemp(prefix="datescore-ckpt-")
+    sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
 
 
