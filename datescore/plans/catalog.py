@@ -205,7 +205,9 @@ def fold_mean_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     filled = fill_missing(sample, subset=FEATURES)
     scored = filled.select("fold", LABEL, E.probability(E.FIXED_ENSEMBLE).alias("score"))
     per_fold = MT.auc(scored, by=["fold"])
-    # Three rows: the mean over an unpartitioned window is bounded by the fold count.
+    # Three rows: the mean over an unpartitioned window is bounded by the fold
+    # count. A mean of doubles depends on the order of summation, which
+    # differs between engines, so it is reported to 12 decimals.
     return per_fold.withColumn("mean_auc", F.round(F.avg("auc").over(Window.partitionBy()), 12))
 
 
