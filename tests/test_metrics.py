@@ -114,3 +114,21 @@ def test_histogram_reports_equal_row_reports(spark):
         assert sorted(MT.class_report(by_rows).collect()) == sorted(MT.class_report(by_hist, weight="w").collect())
         assert sorted(MT.binary_metrics(by_rows).collect()) == sorted(MT.binary_metrics(by_hist, weight="w").collect())
     assert MT.auc(df).first() == MT.auc_from_histogram(hist).first()
+
+
+def test_many_distinct_scores_many_buckets(features01):
+    """Thousands of distinct scores over 256 buckets equal one global ordered pass."""
+    from pyspark.sql import Window
+
+    scored = features01.select(
+        "label", ((F.abs(F.xxhash64("user_name", "dt", "dep_date_of_search")) % 5000) / 5000.0).alias("score")
+    )
+    ours = MT.auc(scored, buckets=256).first()
+    hist = MT.score_histogram(scored)
+    w = Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)  # test-sized data only
+    ranked = hist.withColumn("nb", F.coalesce(F.sum("_neg").over(w), F.lit(0)))
+    num, p, n = ranked.agg(
+        F.sum(F.col("_pos") * (2 * F.col("nb") + F.col("_neg"))), F.sum("_pos"), F.sum("_neg")
+    ).first()
+    assert hist.count() > 3000
+    assert ours.auc == num / (2 * p * n)
