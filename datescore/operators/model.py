@@ -172,6 +172,7 @@ def evaluate(scored: DataFrame, t: float = 0.5) -> dict[str, DataFrame]:
         "metrics": binary_metrics(strict, weight="w"),
         "confusion": confusion_matrix(inclusive, weight="w"),
         "auc": auc_from_histogram(hist),
+        "histogram": hist,
     }
 
 

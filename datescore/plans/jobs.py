@@ -130,15 +130,6 @@ def train_evaluate(
     train_part = split.where(~F.col("is_test"))
     val_part = split.where(F.col("is_test"))
     held = flagged.where(~F.col("sampled")).drop("sampled")
-    sizes = subset_sizes(
-        flagged.select(
-            F.when(F.col("sampled") & (F.col(LABEL) == 1), F.lit("positive"))
-            .when(F.col("sampled"), F.lit("negative"))
-            .otherwise(F.lit("holdout"))
-            .alias("role")
-        ),
-        "role",
-    )
     model = M.train(train_part, params)
     history, best = None, None
     if history_every:
@@ -147,6 +138,14 @@ def train_evaluate(
         best = M.early_stop(history, patience)
     scored = M.score(model, held, keep=[*KEY, LABEL], ntree_limit=ntree_limit)
     reports = M.evaluate(scored, threshold)
+    # A11 from what is already written: the sample and the holdout's histogram
+    # (every holdout row, any label, is counted there); no further pass.
+    hist = reports.pop("histogram")
+    sample_sizes = subset_sizes(
+        sample.select(F.when(F.col(LABEL) == 1, F.lit("positive")).otherwise(F.lit("negative")).alias("role")), "role"
+    )
+    held_size = hist.agg(F.sum(F.col("_pos") + F.col("_neg") + F.col("_bad")).cast("long").alias("rows"))
+    sizes = sample_sizes.unionByName(held_size.select(F.lit("holdout").alias("role"), "rows"))
     if model_path:
         model_store.save_model(model, model_path)
     return TrainResult(model, model_path, sizes, reports, history, best)
