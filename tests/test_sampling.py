@@ -138,3 +138,15 @@ def test_sample_plan_broadcasts_and_reads_input_at_most_three_times(spark):
     assert "SortMergeJoin" not in plan
     assert "BroadcastHashJoin" in plan or "BroadcastQueryStage" in plan
     assert plan.count("events.parquet") <= 3
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(sizes=st.tuples(st.integers(0, 50), st.integers(1, 50)), parts=st.integers(1, 4))
+def test_property_folds_cover_all(spark, sizes, parts):
+    rows = [(f"u{c}_{i}", "20240101", "2024-01-02", c) for c in (0, 1) for i in range(sizes[c])]
+    df = spark.createDataFrame(rows, "user_name string, dt string, dep_date_of_search string, label int").repartition(parts)
+    got = S.fold_assign(df).collect()
+    assert len(got) == len(rows) and {(r.user_name, r.label) for r in got} == {(r[0], r[3]) for r in rows}
+    for c in (0, 1):
+        per = [sum(1 for r in got if r.label == c and r.fold == k) for k in range(3)]
+        assert sum(per) == sizes[c] and max(per) - min(per) <= 1
