@@ -53,3 +53,23 @@ def test_train_from_tsv(spark, tmpdir_path, capsys):
                  "--max-iter", "2", "--max-depth", "2", "--history-every", "1"]) == 0
     out = capsys.readouterr().out
     assert '"holdout"' in out and os.path.isdir(os.path.join(model, "stages"))
+
+
+def test_daily_with_saved_model(spark, tmpdir_path, capsys):
+    """W3 saves a model (S9); W1 loads it (S10) and scores yesterday's partition."""
+    train_feats = os.path.join(tmpdir_path, "training")
+    main(["features", "--events", "/root/testdata/sf0.01/events.parquet", "--out", train_feats, "--training"])
+    model = os.path.join(tmpdir_path, "model")
+    main(["train", "--training", train_feats, "--n-sample", "100", "--model-out", model,
+          "--max-iter", "3", "--max-depth", "3", "--history-every", "0"])
+    feats = os.path.join(tmpdir_path, "features")
+    main(["features", "--events", "/root/testdata/sf0.01/events.parquet", "--out", feats])
+    table = "cli_model_results"
+    try:
+        assert main(["daily", "--features", feats, "--table", table, "--location", os.path.join(tmpdir_path, "t"),
+                     "--run-date", "2024-01-16", "--model", model, "--rebalance-output"]) == 0
+        assert "20240115\t239" in capsys.readouterr().out
+        scores = spark.table(table).where("q_ratio <= 0 OR q_ratio >= 1 OR q_ratio IS NULL").count()
+        assert scores == 0
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
