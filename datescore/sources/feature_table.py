@@ -9,11 +9,10 @@ list reaches the reader as ``ReadSchema``.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from datescore.functions.dates import previous_day
 from datescore.operators.prepare import partition_filter, project_extract
-from datescore.schema import EXTRACT_COLUMNS, EXTRACT_SCHEMA, PARTITION, TRAINING_SCHEMA
+from datescore.schema import EXTRACT_SCHEMA, PARTITION, TRAINING_SCHEMA
 
 
 def write_feature_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -48,11 +47,3 @@ def scan_partition(source: DataFrame, dt: str | Column | None = None) -> DataFra
 def scan_table_partition(spark: SparkSession, table: str, dt: str | Column | None = None) -> DataFrame:
     """S1 on a catalog table."""
     return scan_partition(spark.table(table), dt)
-
-
-def extract_columns() -> list[str]:
-    return list(EXTRACT_COLUMNS)
-
-
-def day_column() -> Column:
-    return F.col(PARTITION)
