@@ -35,7 +35,6 @@ from datescore.operators.metrics import (
     histogram_pairs,
     score_histogram,
 )
-from datescore.operators.prepare import threshold
 from datescore.schema import FEATURES, KEY, LABEL
 from datescore.session import checkpoint_root, materialize, work_path
 
@@ -260,7 +259,3 @@ def early_stop(history: DataFrame, patience: int = 50, set_name: str = "val") ->
         if r["auc"] > best:
             best_k, best = r["trees"], r["auc"]
     return int(best_k or (rows[-1]["trees"] if rows else 0))
-
-
-def hard_labels(scored: DataFrame, t: float = 0.5, inclusive: bool = False) -> DataFrame:
-    return scored.withColumn("prediction_label", threshold(F.col("score"), t, inclusive))

@@ -24,7 +24,6 @@ from datescore.operators import tuning as TU
 from datescore.operators.prepare import (
     class_rows,
     feature_matrix,
-    key_columns,
     label_prediction_pairs,
     project_extract,
     threshold,
@@ -424,4 +423,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.score_with_ensemble(scan_partition(f, previous_day_value(RUN_DATE))).drop(PARTITION)
 
 
-__all__ = ["QUERIES", "flagship", "key_columns"]
+__all__ = ["QUERIES", "flagship"]

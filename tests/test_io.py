@@ -120,3 +120,16 @@ def test_result_csv_plain_and_scientific_text(spark, tmpdir_path):
         fh.write("user_name,dep_date,q_ratio\nu1,2024-01-02,0.00012345\nu2,2024-01-03,1.2345E-4\n")
     vals = [r.q_ratio for r in text.read_result_csv(spark, p, RESULT_SCHEMA).collect()]
     assert vals[0] == vals[1] and abs(vals[0] - 0.00012345) < 1e-10
+
+
+def test_key_and_feature_projections(spark):
+    import pytest
+
+    from datescore.operators.prepare import feature_matrix, key_columns
+    from datescore.schema import FEATURES, KEY
+
+    f = features_from_dir(spark, SF001)
+    assert key_columns(f, with_label=True).columns == [*KEY, "label"]
+    assert feature_matrix(f).columns == FEATURES
+    with pytest.raises(ValueError, match="missing columns"):
+        feature_matrix(f.drop("is_trader"))
