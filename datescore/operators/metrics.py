@@ -2,7 +2,10 @@
 
 Every metric is computed from integer counts gathered in one distributed
 aggregation, and each output value is a single division of exact numbers,
-so results do not depend on partitioning or summation order.
+so results do not depend on partitioning or summation order. Every metric
+of a scored set is also a function of its score histogram (positives and
+negatives per distinct score, ``score_histogram``); the count metrics take a
+weight column so that a whole evaluation runs from that one small table.
 
 Tie-aware AUC without a global sort
 -----------------------------------
