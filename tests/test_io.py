@@ -133,3 +133,27 @@ def test_key_and_feature_projections(spark):
     assert feature_matrix(f).columns == FEATURES
     with pytest.raises(ValueError, match="missing columns"):
         feature_matrix(f.drop("is_trader"))
+
+
+def test_hot_day_is_split_across_writers(spark, tmpdir_path):
+    """A day with most of the rows is written by several tasks (REBALANCE on dt)."""
+    import glob
+
+    rows = spark.range(20000).select(
+        F.when(F.col("id") % 10 == 0, F.concat(F.lit("202401"), F.lpad((F.col("id") % 9 + 10).cast("string"), 2, "0")))
+        .otherwise(F.lit("20240101"))
+        .alias("dt"),
+        F.col("id").cast("string").alias("user_name"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        path = write_feature_table(rows, os.path.join(tmpdir_path, "hot"))
+    finally:
+        spark.conf.set(key, old)
+    hot_files = glob.glob(os.path.join(path, "dt=20240101", "*.parquet"))
+    cold_files = glob.glob(os.path.join(path, "dt=20240110", "*.parquet"))
+    assert len(hot_files) > 1 and len(cold_files) >= 1
+    assert spark.read.parquet(path).count() == 20000
