@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF01
-from tools.check_oracle import canon, duck
+from tools.check_oracle import canon, duck, type_differences
 
 SQL = entry.oracle_sql()
 QUERIES = entry.queries()
@@ -23,6 +23,7 @@ def test_query_matches_oracle(spark, con: duckdb.DuckDBPyConnection, name):
     df = QUERIES[name](spark, SF01)
     s_cols, s_body = canon(df.columns, [tuple(r) for r in df.collect()])
     r = con.sql(SQL[name])
+    assert type_differences(df.dtypes, r.columns, r.types) == {}
     o_cols, o_body = canon(r.columns, r.fetchall())
     assert s_cols == o_cols
     assert len(s_body) == len(o_body)
