@@ -97,7 +97,8 @@ def flag_first_k(
     1. counts per (group, bucket) -> a status table of at most
        groups x 65,536 rows, written once under the shared folder (this runs
        when the function is called, so a short group fails here);
-    2. the rows of the boundary buckets only, aggregated per distinct hash;
+    2. the rows of the boundary buckets only, aggregated per distinct hash
+       and written once (also at call time);
     3. one full scan deciding every row with two broadcast lookups.
     """
     groups = list(groups or [])
@@ -155,7 +156,10 @@ def edge_decisions(d: DataFrame, edge_status: DataFrame, groups: list[str]) -> D
 
     Copies of one key share a hash. Boundary rows (key columns only) are
     aggregated per distinct hash, so any number of copies becomes one row
-    per map task before the shuffle; the distinct hashes are then ranked.
+    per map task before the shuffle. The boundary bucket is split again by
+    the next hex digits of the hash: sub-bucket offsets (at most 65,536 rows
+    per group, broadcast) let each sub-bucket rank its distinct hashes on its
+    own, so one window partition holds about 1/2^32 of a group.
     A hash whose copies straddle rank k cannot be split without an arbitrary
     choice: that is a duplicate key, an input error, and the job fails
     naming the hash.
@@ -163,9 +167,24 @@ def edge_decisions(d: DataFrame, edge_status: DataFrame, groups: list[str]) -> D
     edge = d.select(*groups, "_b", "_h").join(
         F.broadcast(edge_status.select(*groups, "_b", "_before", "_k")), [*groups, "_b"], "inner"
     )
-    per_hash = edge.groupBy(*groups, "_b", "_h", "_before", "_k").agg(F.count(F.lit(1)).alias("_c"))
-    earlier = Window.partitionBy(*groups, "_b").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
-    per_hash = per_hash.withColumn("_r0", F.col("_before") + F.coalesce(F.sum("_c").over(earlier), F.lit(0)))
+    sub_bucket = F.conv(F.substring(F.col("_h"), HEX_DIGITS + 1, HEX_DIGITS), 16, 10).cast("int")
+    # About 1/65,536 of each group: written once, so the sub-bucket counts
+    # and the ranking below read it instead of the input.
+    per_hash = materialize(
+        edge.withColumn("_b2", sub_bucket)
+        .groupBy(*groups, "_b", "_b2", "_h", "_before", "_k")
+        .agg(F.count(F.lit(1)).alias("_c")),
+        "sample-boundary",
+    )
+    sub_counts = per_hash.groupBy(*groups, "_b", "_b2").agg(F.sum("_c").alias("_n2"))
+    earlier_sub = Window.partitionBy(*groups, "_b").orderBy("_b2").rowsBetween(Window.unboundedPreceding, -1)
+    sub_offsets = sub_counts.select(
+        *groups, "_b", "_b2", F.coalesce(F.sum("_n2").over(earlier_sub), F.lit(0)).alias("_before2")
+    )
+    per_hash = per_hash.join(F.broadcast(sub_offsets), [*groups, "_b", "_b2"], "inner")
+    earlier = Window.partitionBy(*groups, "_b", "_b2").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("_before") + F.col("_before2") + F.coalesce(F.sum("_c").over(earlier), F.lit(0))
+    per_hash = per_hash.withColumn("_r0", start)
     straddles = (F.col("_r0") < F.col("_k")) & (F.col("_r0") + F.col("_c") > F.col("_k"))
     msg = F.concat(F.lit("duplicate key at the sampling boundary, order hash "), F.col("_h"))
     return per_hash.select(
