@@ -7,11 +7,10 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF01
+from datescore.plans.catalog import QUERIES
+from datescore.plans.oracle import SQL
 from tools.check_oracle import canon, duck, type_differences
 
-SQL = entry.oracle_sql()
-QUERIES = entry.queries()
-
 
 @pytest.fixture(scope="module")
 def con():
