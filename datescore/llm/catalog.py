@@ -5,19 +5,51 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from datescore.llm import exact_dedup
+from datescore.llm import bpe, exact_dedup, fingerprints, packing, sharding
 from datescore.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """24 shards under the law ``rows``: with no slack the ring's bounded loads differ by one at most."""
+    placed = sharding.shard_documents(read_table(spark, sf_dir, "documents"), shards=24)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "moved",
+    )
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_and_decode(read_table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edits(spark, read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_sharding": op1_sharding,
+    "op3_byte_bpe": op3_byte_bpe,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_packing": op8_packing,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 SQL: dict[str, str] = {

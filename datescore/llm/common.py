@@ -7,9 +7,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The characters of the class [\x20\x09-\x0D] of the result contracts.
 WHITE = " \t\n\x0b\x0c\r"
@@ -53,7 +53,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20)
         n = batch.num_rows
         if n == 0:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(batch.schema.get_field_index(column))), 0)
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0)
         ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
         start = 0
         while start < n:
@@ -72,10 +72,19 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
-def arrow_schema(ddl: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
+_ARROW = {
+    "bigint": pa.int64(),
+    "int": pa.int32(),
+    "double": pa.float64(),
+    "boolean": pa.bool_(),
+    "string": pa.string(),
+    "binary": pa.binary(),
+}
+
 
-    return to_arrow_schema(T._parse_datatype_string(ddl))
+def arrow_schema(ddl: str) -> pa.Schema:
+    """Arrow form of a flat schema; usable in tasks, where there is no session to parse DDL."""
+    return pa.schema([(name, _ARROW[kind]) for name, kind in (f.split() for f in ddl.split(","))])
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -143,5 +152,3 @@ def repeat_rows(rows: DataFrame, copies: str, first: str, block: int = 10_000) -
     )
     return small.unionByName(blocks)
 
-
-__all__ = [name for name in dir() if not name.startswith("_") and name not in ("os", "annotations")]
