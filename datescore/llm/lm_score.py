@@ -14,9 +14,9 @@ text at once. ``PpmTrie`` is the same model one byte at a time; it also scores
 adaptively, learning each byte after coding it.
 
 At scale: one scan counts words and context grams (both summed in the task
-before the shuffle), a second scores. The trie of ORDER 3 is broadcast only if it
-has at most 2^24 nodes, as every trie of order 2 has by construction; beyond
-that the order is lowered by one. Word counts grow with the input and are never
+before the shuffle), a second scores. The trie is broadcast only if it has at
+most MAX_NODES nodes; beyond that the order is lowered by one, which sums the
+same counts over shorter contexts (order 1 has at most 2^16 nodes by construction). Word counts grow with the input and are never
 broadcast whole: the FREQUENT most frequent words are (a fixed number), the
 other words of a document are joined by shuffle.
 """
@@ -35,9 +35,10 @@ from pyspark.sql import functions as F
 
 from datescore.llm.common import arrow_schema, column, slices, written
 
-ORDER = 3
-MAX_NODES = 1 << 24
-FREQUENT = 300_000
+ORDER = 5
+MAX_NODES = 1 << 22
+FREQUENT = 200_000
+BLOCK = 1 << 16
 FLUSH = 400_000  # entries a task holds before it emits its partial counts
 END = b"\xff"
 END_WORD = b"\xff"  # the end token; no word of a text can be this byte
@@ -64,12 +65,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def grams(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
     """Keys (context and byte, ``order`` + 1 bytes) of all positions, and the positions of each text."""
     pad = END * order
-    a = np.frombuffer(b"".join([pad + t + END for t in texts]), dtype=np.uint8).astype(np.uint32)
+    a = np.frombuffer(b"".join([pad + t + END for t in texts]), dtype=np.uint8).astype(np.uint64)
     lengths = np.array([len(t) + 1 for t in texts], dtype=np.int64)
     n = len(a) - order
-    key = np.zeros(n, dtype=np.uint32)
+    key = np.zeros(n, dtype=np.uint64)
     for k in range(order + 1):
-        key = (key << np.uint32(8)) | a[k : k + n]
+        key = (key << np.uint64(8)) | a[k : k + n]
     # Of text i, the symbols begin at the sum of the lengths before it plus the pads up to it.
     keep = np.ones(n, dtype=bool)
     starts = np.cumsum(lengths) - lengths + order * np.arange(len(texts))
@@ -87,7 +88,7 @@ def add_counts(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 class _Table:
-    """Open-addressing table from 32-bit keys to their rank in the sorted key array."""
+    """Open-addressing table from 64-bit keys to their rank in the sorted key array."""
 
     def __init__(self, keys: np.ndarray):
         size = 64
@@ -97,7 +98,6 @@ class _Table:
         self.mask = size - 1
         self.rank = np.full(size, -1, dtype=np.int32)
         self.keys = keys
-        self.probes = 0
         todo = np.arange(len(keys), dtype=np.int32)
         slot = self._slot(keys)
         while len(todo):
@@ -108,27 +108,23 @@ class _Table:
             rest = np.ones(len(todo), dtype=bool)
             rest[put] = False
             todo, slot = todo[rest], (slot[rest] + 1) & self.mask
-            self.probes += 1
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Rank of each key, -1 where it is absent."""
-        out = np.full(len(keys), -1, dtype=np.int32)
         if not len(self.keys):
-            return out
-        todo = np.arange(len(keys))
+            return np.full(len(keys), -1, dtype=np.int32)
         slot = self._slot(keys)
-        for _ in range(self.probes):
-            rank = self.rank[slot]
-            hit = (rank >= 0) & (self.keys[rank] == keys[todo])
-            out[todo[hit]] = rank[hit]
-            on = (rank >= 0) & ~hit
-            if not on.any():
-                break
-            todo, slot = todo[on], (slot[on] + 1) & self.mask
-        return out
+        out = self.rank[slot]
+        on = np.flatnonzero((self.keys[out] != keys) & (out >= 0))
+        while len(on):
+            slot[on] = (slot[on] + 1) & self.mask
+            rank = self.rank[slot[on]]
+            out[on] = rank
+            on = on[(rank >= 0) & (self.keys[rank] != keys[on])]
+        return np.where(self.keys[out] == keys, out, np.int32(-1))
 
 
 class PpmModel:
@@ -136,26 +132,29 @@ class PpmModel:
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int = ORDER):
         self.order = order
-        keys, counts = add_counts(keys.astype(np.uint32), counts.astype(np.int64))
+        keys, counts = add_counts(keys.astype(np.uint64), counts.astype(np.int64))
         self.levels = []  # from order 0 up: grams, log counts, contexts and their logs
         for j in range(order + 1):
-            mask = np.uint32((1 << (8 * (j + 1))) - 1)
+            mask = np.uint64((1 << (8 * (j + 1))) - 1)
             g, c = add_counts(keys & mask, counts)
-            ctx = g >> np.uint32(8) if j else np.zeros(len(g), dtype=np.uint32)
+            ctx = g >> np.uint64(8) if j else np.zeros(len(g), dtype=np.uint64)
             first = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]])) if len(g) else np.zeros(0, np.int64)
             total = np.add.reduceat(c, first) if len(first) else c
             distinct = np.diff(np.concatenate([first, [len(g)]]))
-            level = {"grams": _Table(g), "count": c, "of": np.repeat(np.arange(len(first)), distinct)}
+            level = {"grams": _Table(g), "count": c, "of": np.repeat(np.arange(len(first), dtype=np.int32), distinct)}
             level |= {"contexts": _Table(ctx[first]), "total": total, "distinct": distinct}
             if j and len(g):
                 # Below this context, with its bytes excluded: what is left in the next shorter one.
                 lower = self.levels[j - 1]
-                short = lower["contexts"].find(ctx[first] & np.uint32((1 << (8 * (j - 1))) - 1))
-                gone = np.add.reduceat(lower["count"][lower["grams"].find(g & (mask >> np.uint32(8)))], first)
+                short = lower["contexts"].find(ctx[first] & np.uint64((1 << (8 * (j - 1))) - 1))
+                gone = np.add.reduceat(lower["count"][lower["grams"].find(g & (mask >> np.uint64(8)))], first)
                 fresh = lower["distinct"][short] - distinct
                 level["rest"] = lower["total"][short] - gone + fresh
                 level["fresh"] = fresh
             self.levels.append(level)
+        longest = self.levels[-1]
+        size = longest["total"] + longest["distinct"]
+        self.top = np.log10(longest["count"] / size[longest["of"]]) if len(counts) else np.zeros(0)
 
     @property
     def nodes(self) -> int:
@@ -163,14 +162,25 @@ class PpmModel:
 
     def log10(self, keys: np.ndarray) -> np.ndarray:
         """log10 probability of the last byte of each gram after the bytes before it."""
+        out = np.full(len(keys), -math.log10(256))
+        if self.nodes:
+            for start in range(0, len(keys), BLOCK):  # blocks that stay in the processor's cache
+                block = keys[start : start + BLOCK]
+                rank = self.levels[-1]["grams"].find(block)
+                here = self.top[rank]
+                miss = np.flatnonzero(rank < 0)
+                here[miss] = self._escaped(block[miss])
+                out[start : start + BLOCK] = here
+        return out
+
+    def _escaped(self, keys: np.ndarray) -> np.ndarray:
+        """The same for grams that the longest context has not seen."""
         out = np.zeros(len(keys))
-        if not self.nodes:
-            return np.full(len(keys), -math.log10(256))
         todo = np.arange(len(keys))
         above = np.full(len(keys), -1, dtype=np.int64)  # the context that excludes, one level up
         for j in range(self.order, -1, -1):
             level = self.levels[j]
-            g = keys[todo] & np.uint32((1 << (8 * (j + 1))) - 1)
+            g = keys[todo] & np.uint64((1 << (8 * (j + 1))) - 1)
             rank = level["grams"].find(g)
             hit = rank >= 0
             up = above[todo]
@@ -178,14 +188,12 @@ class PpmModel:
             ctx = np.full(len(g), -1, dtype=np.int64)
             ctx[hit] = level["of"][rank[hit]]
             miss = np.flatnonzero(~hit)
-            ctx[miss] = level["contexts"].find(g[miss] >> np.uint32(8) if j else np.zeros(len(miss), dtype=np.uint32))
+            ctx[miss] = level["contexts"].find(g[miss] >> np.uint64(8) if j else np.zeros(len(miss), dtype=np.uint64))
             known = ctx >= 0
-            size = np.zeros(len(g))
-            a = known & fresh
+            size, escape = np.zeros(len(g)), np.zeros(len(g))
+            a, b = known & fresh, ~fresh
             size[a] = level["total"][ctx[a]] + level["distinct"][ctx[a]]
-            escape = np.zeros(len(g))
             escape[a] = level["distinct"][ctx[a]]
-            b = ~fresh
             if b.any():
                 higher = self.levels[j + 1]
                 size[b], escape[b] = higher["rest"][up[b]], higher["fresh"][up[b]]
@@ -194,8 +202,6 @@ class PpmModel:
             out[todo[lost]] += np.log10(escape[lost] / size[lost])
             above[todo] = np.where(known, ctx, up)
             todo = todo[~hit]
-            if not len(todo):
-                return out
         out[todo] -= math.log10(256 - len(self.levels[0]["count"]))
         return out
 
@@ -265,14 +271,14 @@ def corpus_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
             columns = [w + [None] * g, [None] * len(w) + keys.tolist(), list(found.values()) + counts.tolist()]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-        found, keys, counts = Counter(), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        found, keys, counts = Counter(), np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in slices(batches, "text"):
             texts = [lowered(t) for t in column(batch, "text").to_pylist()]
             for t in texts:
                 found.update(words(t))
             new, n = np.unique(grams(texts, order)[0], return_counts=True)
             keys, counts = add_counts(np.concatenate([keys, new]), np.concatenate([counts, n]))
-            if len(found) > FLUSH or len(keys) > 4 * FLUSH:
+            if len(found) > FLUSH or len(keys) > 2 * FLUSH:
                 yield out(found, keys, counts)
                 found, keys, counts = Counter(), keys[:0], counts[:0]
         if found:
@@ -284,12 +290,12 @@ def corpus_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
 def ppm_model(counts: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES) -> PpmModel:
     """The trie from the counted grams; the order is lowered until it has at most ``max_nodes`` nodes."""
     table = counts.where("gram IS NOT NULL")
-    while order > 2 and table.count() > max_nodes:
+    while order > 1 and table.count() > max_nodes:
         order -= 1
         table = table.withColumn("gram", F.col("gram").bitwiseAND((1 << (8 * (order + 1))) - 1))
         table = table.groupBy("gram").agg(F.sum("n").alias("n"))
     pdf = table.select("gram", "n").toPandas()
-    return PpmModel(pdf["gram"].to_numpy().astype(np.uint32), pdf["n"].to_numpy(), order)
+    return PpmModel(pdf["gram"].to_numpy().astype(np.uint64), pdf["n"].to_numpy(), order)
 
 
 FIRST = "uid bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, logs double, score double"
