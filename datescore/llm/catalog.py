@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from datescore.llm import bpe, exact_dedup, fingerprints, lm_score, packing, pii, sharding, toxicity
+from datescore.llm import bpe, exact_dedup, fingerprints, html_text, lm_score, packing, pii, sharding, toxicity
 from datescore.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return toxicity.score_documents(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
@@ -62,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op2_pii": op2_pii,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_ppm": op4_ppm,
+    "op5_html_text": op5_html_text,
     "op6_toxicity": op6_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_packing": op8_packing,
