@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from datescore.llm import bpe, exact_dedup, fingerprints, html_text, lm_score, packing, pii, sharding, toxicity
+from datescore.llm import bpe, exact_dedup, fingerprints, html_text, lm_score, ngram_join, packing, pii, sharding, toxicity
 from datescore.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = ngram_join.near_classes(read_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+    return classes.select("doc_id", "n_shingles", "component_id")
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edits(spark, read_table(spark, sf_dir, "documents"))
 
@@ -70,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op6_toxicity": op6_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_packing": op8_packing,
+    "op9_ngram_join": op9_ngram_join,
     "op10_fingerprints": op10_fingerprints,
 }
 
