@@ -91,13 +91,23 @@ class _Table:
     """Open-addressing table from 64-bit keys to their rank in the sorted key array."""
 
     def __init__(self, keys: np.ndarray):
-        size = 64
-        while size < 2 * len(keys):
+        self.keys = keys
+        self._build()
+
+    def __getstate__(self):
+        return self.keys  # sent without the slots, which each worker builds
+
+    def __setstate__(self, keys: np.ndarray):
+        self.keys = keys
+        self._build()
+
+    def _build(self) -> None:
+        keys, size = self.keys, 64
+        while size < 1.5 * len(keys):
             size *= 2
         self.shift = np.uint64(64 - size.bit_length() + 1)
         self.mask = size - 1
         self.rank = np.full(size, -1, dtype=np.int32)
-        self.keys = keys
         todo = np.arange(len(keys), dtype=np.int32)
         slot = self._slot(keys)
         while len(todo):
@@ -155,10 +165,12 @@ class PpmModel:
         longest = self.levels[-1]
         size = longest["total"] + longest["distinct"]
         self.top = np.log10(longest["count"] / size[longest["of"]]) if len(counts) else np.zeros(0)
+        # Grams of the longest contexts are found in ``top`` alone.
+        longest["count"] = longest["of"] = None
 
     @property
     def nodes(self) -> int:
-        return len(self.levels[-1]["count"])
+        return len(self.top)
 
     def log10(self, keys: np.ndarray) -> np.ndarray:
         """log10 probability of the last byte of each gram after the bytes before it."""
@@ -186,7 +198,8 @@ class PpmModel:
             up = above[todo]
             fresh = up < 0  # no exclusion: the longest known context starts here
             ctx = np.full(len(g), -1, dtype=np.int64)
-            ctx[hit] = level["of"][rank[hit]]
+            if hit.any():
+                ctx[hit] = level["of"][rank[hit]]
             miss = np.flatnonzero(~hit)
             ctx[miss] = level["contexts"].find(g[miss] >> np.uint64(8) if j else np.zeros(len(miss), dtype=np.uint64))
             known = ctx >= 0
@@ -197,12 +210,13 @@ class PpmModel:
             if b.any():
                 higher = self.levels[j + 1]
                 size[b], escape[b] = higher["rest"][up[b]], higher["fresh"][up[b]]
-            out[todo[hit]] += np.log10(level["count"][rank[hit]] / size[hit])
+            if hit.any():
+                out[todo[hit]] += np.log10(level["count"][rank[hit]] / size[hit])
             lost = ~hit & (size > 0)
             out[todo[lost]] += np.log10(escape[lost] / size[lost])
             above[todo] = np.where(known, ctx, up)
             todo = todo[~hit]
-        out[todo] -= math.log10(256 - len(self.levels[0]["count"]))
+        out[todo] -= math.log10(256 - len(self.levels[0]["grams"].keys))
         return out
 
     def score(self, texts: list[bytes]) -> np.ndarray:
@@ -266,10 +280,14 @@ def corpus_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(COUNTS)
 
-        def out(found: Counter, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-            w, g = list(found), len(keys)
-            columns = [w + [None] * g, [None] * len(w) + keys.tolist(), list(found.values()) + counts.tolist()]
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+        def out(found: Counter, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+            w, g = len(found), len(keys)
+            if w:
+                arrays = [pa.array(list(found), pa.binary()), pa.nulls(w, pa.int64()), pa.array(list(found.values()), pa.int64())]
+                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+            if g:
+                arrays = [pa.nulls(g, pa.binary()), pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
         found, keys, counts = Counter(), np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in slices(batches, "text"):
@@ -279,10 +297,9 @@ def corpus_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
             new, n = np.unique(grams(texts, order)[0], return_counts=True)
             keys, counts = add_counts(np.concatenate([keys, new]), np.concatenate([counts, n]))
             if len(found) > FLUSH or len(keys) > 2 * FLUSH:
-                yield out(found, keys, counts)
+                yield from out(found, keys, counts)
                 found, keys, counts = Counter(), keys[:0], counts[:0]
-        if found:
-            yield out(found, keys, counts)
+        yield from out(found, keys, counts)
 
     return texts.select("text").mapInArrow(run, COUNTS).groupBy("word", "gram").agg(F.sum("n").alias("n"))
 
@@ -294,8 +311,8 @@ def ppm_model(counts: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES)
         order -= 1
         table = table.withColumn("gram", F.col("gram").bitwiseAND((1 << (8 * (order + 1))) - 1))
         table = table.groupBy("gram").agg(F.sum("n").alias("n"))
-    pdf = table.select("gram", "n").toPandas()
-    return PpmModel(pdf["gram"].to_numpy().astype(np.uint64), pdf["n"].to_numpy(), order)
+    rows = table.select("gram", "n").toArrow()
+    return PpmModel(rows["gram"].to_numpy().astype(np.uint64), rows["n"].to_numpy(), order)
 
 
 FIRST = "uid bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, logs double, score double"
@@ -315,12 +332,12 @@ def score_documents(docs: DataFrame, order: int = ORDER, frequent: int = FREQUEN
     vocabulary = counts.where("word IS NOT NULL").select("word", "n")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     model = ppm_model(counts, order)
-    top = vocabulary.orderBy(F.desc("n"), "word").limit(frequent).toPandas()  # a fixed number of words
-    known = {bytes(w): math.log10(n + 1) for w, n in zip(top["word"], top["n"])}
-    shared = spark.sparkContext.broadcast((model, known))
+    top = vocabulary.orderBy(F.desc("n"), "word").limit(frequent).toArrow()  # a fixed number of words
+    shared = spark.sparkContext.broadcast((model, top.combine_chunks()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = shared.value
+        model, top = shared.value
+        known = {w: math.log10(n + 1) for w, n in zip(top["word"].to_pylist(), top["n"].to_pylist())}
         rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
         schema = pa.schema([*arrow_schema(FIRST), ("rare", rare_type)])
         # Unique in the written table: the partition and a running number.
