@@ -385,16 +385,14 @@ def keep_one(docs: DataFrame) -> DataFrame:
     columns take free ones.
     """
     keys = written(_keys(docs), "dedup-keys")
-    d, n = free_name(docs, "_digest"), free_name(docs, "_rows")
-    same = keys.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias(n))
-    stay = classes(keys).where("kept").select(F.col("digest").alias("_d"), F.col("doc_id").alias("_i"))
-    on = (F.col("_d") == F.col("digest")) & F.col("_i").eqNullSafe(F.col("doc_id"))
-    stay = written(stay.join(same, on).select("_d", "_i", n), "dedup-stay")
+    d, k, i, n = (free_name(docs, f"_dedup_{c}") for c in ("digest", "keep", "id", "rows"))
+    same = keys.groupBy(F.col("digest").alias("of"), F.col("doc_id").alias("at")).agg(F.count(F.lit(1)).alias(n))
+    stay = classes(keys).where("kept").select(F.col("digest").alias(k), F.col("doc_id").alias(i))
+    stay = written(stay.join(same, (F.col(k) == F.col("of")) & F.col(i).eqNullSafe(F.col("at"))).select(k, i, n), "dedup-stay")
     mine = docs.withColumn(d, digest_of()).alias("m")
-    on = (F.col("_d") == F.col(f"m.{d}")) & F.col("_i").eqNullSafe(F.col("m.doc_id"))
 
     def rows(of: DataFrame) -> DataFrame:
-        return mine.join(of.alias("s"), on).select("m.*")
+        return mine.join(of, (F.col(d) == F.col(k)) & F.col("m.doc_id").eqNullSafe(F.col(i))).select("m.*")
 
     if stay.where(F.col(n) > 1).isEmpty():
         return rows(stay).select(*docs.columns)

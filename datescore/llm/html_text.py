@@ -13,19 +13,20 @@ are not the site's even when the neighbour has them too (copied articles, quoted
 passages), so they stay; and where a page marks its article, nothing outside
 it is main text, whether or not the neighbour happened to share it.
 
-At scale: one range shuffle of the pages by (host, path), which splits a host
-with any share of all pages over many tasks, then a stream through each task
-that holds three pages. The first and last page of a task have one neighbour to
-choose from, the others two.
+At scale: one shuffle of the pages by ranges of (host, path), which split a
+host with any share of all pages over many tasks, then a stream through each
+task that holds three pages.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from typing import NamedTuple
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -219,6 +220,8 @@ class _Page(NamedTuple):
     host: str
     path: str
     lines: list[Line]
+    part: int
+    guest: bool
 
 
 def _same_start(a: str, b: str) -> int:
@@ -227,7 +230,7 @@ def _same_start(a: str, b: str) -> int:
 
 
 def _result(before: _Page | None, page: _Page, after: _Page | None) -> tuple:
-    near = [p for p in (before, after) if p is not None and p.host == page.host]
+    near = [p for p in (before, after) if p is not None and (p.host, p.part) == (page.host, page.part)]
     best = max(near, key=lambda p: _same_start(p.path, page.path), default=None)
     text = main_text(page.lines, best.lines if best else None)
     return page.page_id, page.url, text, len(text)
@@ -243,18 +246,60 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     before = page = None
     for batch in slices(batches, "html"):
         rows = []
-        values = [column(batch, c).to_pylist() for c in ("page_id", "url", "host", "path")]
-        for page_id, url, host, path, html in zip(*values, texts_of(batch, "html")):
-            after = _Page(page_id, url, host, path, page_lines(html))
-            if page is not None:
+        values = [column(batch, c).to_pylist() for c in ("page_id", "url", "host", "path", "part", "guest")]
+        for page_id, url, host, path, part, guest, html in zip(*values, texts_of(batch, "html")):
+            after = _Page(page_id, url, host, path, page_lines(html), part, guest)
+            if page is not None and not page.guest:
                 rows.append(_result(before, page, after))
             before, page = page, after
         if rows:
             yield out(rows)
-    if page is not None:
+    if page is not None and not page.guest:
         yield out([_result(before, page, None)])
 
 
+CUT_SAMPLE = 32  # URLs looked at for each range
+
+
+def _range_of(cuts: list[str]):
+    """Range number of a sort key by the split points (UTF-8 order is code point order)."""
+
+    @F.pandas_udf("int")
+    def part(keys: pd.Series) -> pd.Series:
+        return keys.map(lambda k: bisect.bisect_right(cuts, k)).astype("int32")
+
+    return part
+
+
+def _in_url_order(rows: DataFrame) -> DataFrame:
+    """``rows`` (with the sort key ``k``) dealt by ranges of ``k``, with ``part`` and ``guest``.
+
+    The first and last page of a range also go, as guests, to the ranges before
+    and after it, so every page meets both its neighbours and the result does
+    not depend on the ranges. Split points come from the URLs with the least
+    hashes, CUT_SAMPLE for each range; they, and the ends of the ranges, are
+    all that reaches the driver.
+    """
+    spark = rows.sparkSession
+    n = parallelism(spark)
+    keys = rows.select("k")
+    some = keys.orderBy(F.xxhash64("k"), "k").limit(CUT_SAMPLE * n).collect()
+    seen = sorted(r.k for r in some)
+    cuts = sorted({seen[i * len(seen) // n] for i in range(1, n)}) if seen else []
+    part = _range_of(cuts)
+    ends = keys.groupBy(part("k").alias("part")).agg(F.min("k").alias("first"), F.max("k").alias("last")).collect()
+    ends = sorted(ends)
+    guests = [(b.part, b["first"], a.part) for a, b in zip(ends, ends[1:])] + [(a.part, a["last"], b.part) for a, b in zip(ends, ends[1:])]
+    # Two rows per range at most: a bounded broadcast. A range of one page sends it both ways.
+    table = spark.createDataFrame(guests, "of int, end string, to int").groupBy("of", "end").agg(F.collect_list("to").alias("to"))
+    mine = rows.withColumn("own", part("k"))
+    sent = mine.join(F.broadcast(table), (F.col("own") == F.col("of")) & (F.col("k") == F.col("end")), "left")
+    here = F.struct(F.col("own").alias("part"), F.lit(False).alias("guest"))
+    there = F.transform(F.coalesce("to", F.array().cast("array<int>")), lambda t: F.struct(t.alias("part"), F.lit(True).alias("guest")))
+    dealt = sent.select(*rows.columns, F.inline(F.concat(F.array(here), there)))
+    return dealt.repartition(n, "part").sortWithinPartitions("part", "k", "guest")
+
+
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages``, from the whole html.
 
@@ -271,6 +316,6 @@ def extract_pages(pages: DataFrame) -> DataFrame:
         F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1).alias("path"),
         "html",
     )
-    order = ["host", "path", "page_id", "url"]
-    dealt = rows.repartitionByRange(parallelism(pages.sparkSession), *order).sortWithinPartitions(*order)
-    return dealt.mapInArrow(_difference, RESULT)
+    number = F.lpad(F.coalesce(F.col("page_id").cast("string"), F.lit("")), 20, "0")
+    rows = rows.withColumn("k", F.concat_ws("\x01", "host", "path", number))
+    return _in_url_order(rows).drop("k").mapInArrow(_difference, RESULT)
