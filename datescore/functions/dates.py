@@ -29,7 +29,7 @@ def previous_day(run_date: Column | str | None = None) -> Column:
 def previous_day_value(run_date: _dt.date | str | None = None) -> str:
     """The same as a Python string, for static partition specs and paths."""
     if run_date is None:
-        day = _dt.date.today()
+        day = _dt.datetime.now(_dt.timezone.utc).date()  # the session's zone
     elif isinstance(run_date, str):
         day = _dt.date.fromisoformat(run_date)
     else:
@@ -37,5 +37,3 @@ def previous_day_value(run_date: _dt.date | str | None = None) -> str:
     return (day - _dt.timedelta(days=1)).strftime("%Y%m%d")
 
 
-def partition_to_date(dt: Column) -> Column:
-    return F.to_date(dt, PARTITION_FORMAT)

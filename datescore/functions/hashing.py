@@ -1,8 +1,11 @@
 """Seeded, partitioning-independent order keys.
 
 ``rand(seed)`` depends on how rows are split into partitions, so it is never
-used for sampling. Rows are ordered by ``md5('<seed>|k1|k2|...')`` instead:
-the same seed gives the same order on any cluster and in DuckDB.
+used for sampling. Rows are ordered by an md5 of the seed and the key fields
+instead: the same seed gives the same order on any cluster and in DuckDB.
+
+Every field enters as ``<length>:<text>`` and a missing one as ``-``: no key
+field can make the hash null, and no two different keys share a text.
 """
 
 from __future__ import annotations
@@ -15,18 +18,26 @@ from datescore.schema import KEY
 SEPARATOR = "|"
 
 
+def field_text(c: str | Column) -> Column:
+    """A field as unambiguous, never null text."""
+    text = (F.col(c) if isinstance(c, str) else c).cast("string")
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
+def fields_text(cols: list[str]) -> Column:
+    """Several fields as one unambiguous, never null text (empty for no fields)."""
+    return F.concat(F.lit(""), *[F.concat(F.lit(SEPARATOR), field_text(c)) for c in cols])
+
+
 def seeded_hash(seed: int | str | Column, cols: list[str] | None = None, stream: str | None = None) -> Column:
-    """md5 of '<seed>|k1|k2|...', or '<stream>|<seed>|k1|...' when a ``stream`` is named.
+    """md5 of '<seed>|<field>|...', or '<stream>|<seed>|<field>|...' when a ``stream`` is named.
 
     Operators that draw from the same seed use different streams so that their
     orders are independent (the class sample and the split both use seed 43).
     """
-    cols = cols or KEY
     seed_col = seed if isinstance(seed, Column) else F.lit(str(seed))
-    parts: list[Column] = [F.lit(stream + SEPARATOR), seed_col] if stream else [seed_col]
-    for c in cols:
-        parts += [F.lit(SEPARATOR), F.col(c).cast("string")]
-    return F.md5(F.concat(*parts))
+    head = [F.lit(stream + SEPARATOR), seed_col] if stream else [seed_col]
+    return F.md5(F.concat(*head, fields_text(cols or KEY)))
 
 
 def hash_bucket(h: Column, hex_digits: int) -> Column:

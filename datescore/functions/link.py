@@ -11,11 +11,6 @@ def logistic(margin: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
 
 
-def logistic_mllib(margin: Column) -> Column:
-    """MLlib's GBT uses a doubled margin: 1 / (1 + exp(-2 m))."""
-    return logistic(F.lit(2.0) * margin)
-
-
 def as_score(p: Column) -> Column:
     """Scores are stored as 32-bit floats."""
     return p.cast("float")

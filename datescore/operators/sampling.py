@@ -1,7 +1,8 @@
 """Exact, seeded sampling and splitting.
 
 Contract: exact sizes, no replacement, the same rows for the same seed on any
-partitioning, disjoint parts. Rows are ordered by a seeded md5 of their key
+partitioning, disjoint parts, and no row is lost: a missing key field or group
+is a value like any other. Rows are ordered by a seeded md5 of their key
 (``functions.hashing``) and ranked within their group.
 
 Ranking without a single-task window
@@ -17,10 +18,11 @@ group into 65,536 buckets of (md5 being uniform) equal size:
    k is out; only the one boundary bucket per group is ranked, per distinct
    hash (copies of a key collapse before the shuffle).
 
-The count table is at most groups x 65,536 rows, a proven bound; it is
-written once and broadcast. Full ranks (folds) rank within (group, bucket):
-a shuffle whose partitions are balanced by the hash, whatever the class
-sizes.
+Full ranks (folds) add the offsets of distinct hashes within their bucket;
+the copies of one key are spread over SALTS windows, and rows that repeat in
+full are counted and repeated at the end, so no key gathers in one task.
+
+The operators read their input more than once: give them a written table.
 """
 
 from __future__ import annotations
@@ -30,11 +32,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from datescore.functions.hashing import hash_bucket, seeded_hash
+from datescore.functions.hashing import fields_text, hash_bucket, seeded_hash
 from datescore.session import materialize
 from datescore.schema import KEY, LABEL
 
 HEX_DIGITS = 4  # 16**4 = 65,536 buckets per group
+SALTS = 256  # windows that share the copies of one key in a full ranking
+COPY_BLOCK = 10_000  # rows one task repeats of a row that stands many times
 
 # The reference's seeds for the class samples and the split.
 POSITIVE_SEED = 1
@@ -42,28 +46,17 @@ NEGATIVE_SEED = 43
 SPLIT_SEED = 43
 FOLD_SEED = 90
 # Hash streams of the split and the folds, so their orders do not repeat the
-# class sample's order (which uses md5('<seed>|key') with no stream).
+# class sample's order (which uses no stream).
 SPLIT_STREAM = "split"
 FOLD_STREAM = "fold"
 
 KSpec = int | Callable[[Column], Column]
 
 
-def _bucketed(df: DataFrame, order_hash: Column) -> DataFrame:
-    return df.withColumn("_h", order_hash).withColumn("_b", hash_bucket(F.col("_h"), HEX_DIGITS))
-
-
-def _bucket_offsets(d: DataFrame, groups: list[str]) -> DataFrame:
-    """Per (group, bucket): rows, rows in earlier buckets of the group, group total."""
-    counts = d.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*groups)
-    return counts.select(
-        *groups,
-        "_b",
-        "_n",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_n").over(whole).alias("_total"),
+def _bucketed(df: DataFrame, order_hash: Column, groups: list[str]) -> DataFrame:
+    """Order hash ``_h``, its bucket ``_b`` and the group as one never-null text ``_g``."""
+    return (
+        df.withColumn("_h", order_hash).withColumn("_b", hash_bucket(F.col("_h"), HEX_DIGITS)).withColumn("_g", fields_text(groups))
     )
 
 
@@ -71,13 +64,6 @@ def _k_column(k: KSpec) -> Column:
     return F.lit(k) if isinstance(k, int) else k(F.col("_total"))
 
 
-# Boundary rows up to this many: their per-hash decisions (one small row per
-# distinct hash) are broadcast and every row is decided in a single scan.
-# Beyond it the boundary rows go through a separate branch (a second scan)
-# rather than a shuffle of all rows.
-EDGE_BROADCAST_ROWS = 2_000_000
-
-
 def flag_first_k(
     df: DataFrame,
     order_hash: Column,
@@ -86,46 +72,51 @@ def flag_first_k(
     flag: str = "sampled",
     require_k: bool = False,
     expected: DataFrame | None = None,
+    what: str = "group",
 ) -> DataFrame:
     """All rows of ``df`` plus boolean ``flag``: rank (by ``order_hash``, within ``groups``) <= k.
 
-    ``k`` is an int or a function of the group's row count (a Column). With
-    ``require_k`` a group with fewer than k rows fails the job, naming it;
-    ``expected`` (a frame of group values) makes absent groups fail too.
+    ``k`` is an int or a function of the group's row count (a Column), which may
+    also use the group's text ``_g``. With ``require_k`` a group with fewer
+    than k rows fails the job, naming it (as ``what``); ``expected`` (a frame of
+    group values) makes absent groups fail too. The status table is broadcast: callers
+    give groups of a fixed number.
 
     Three reads of ``df``, two of them pruned to the key columns:
     1. counts per (group, bucket) -> a status table of at most
        groups x 65,536 rows, written once under the shared folder (this runs
        when the function is called, so a short group fails here);
-    2. the rows of the boundary buckets only, aggregated per distinct hash
-       and written once (also at call time);
-    3. one full scan deciding every row with two broadcast lookups.
+    2. the rows of the boundary buckets only, aggregated per distinct hash,
+       decided and written (also at call time);
+    3. one full scan deciding every row by two joins. The status table is
+       broadcast by its bound; the decisions are a written table, so Spark
+       knows their size when it chooses the join.
     """
     groups = list(groups or [])
-    d = _bucketed(df, order_hash)
-    counts = d.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    d = _bucketed(df, order_hash, groups)
+    counts = d.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_n"))
     if expected is not None:
-        counts = counts.unionByName(expected.select(*groups, F.lit(-1).alias("_b"), F.lit(0).cast("long").alias("_n")))
-    earlier = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        absent = expected.select(fields_text(groups).alias("_g"), F.lit(-1).alias("_b"), F.lit(0).cast("long").alias("_n"))
+        counts = counts.unionByName(absent)
+    earlier = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     off = counts.select(
-        *groups,
+        "_g",
         "_b",
         "_n",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_n").over(Window.partitionBy(*groups)).alias("_total"),
+        F.sum("_n").over(Window.partitionBy("_g")).alias("_total"),
     )
     kcol = _k_column(k)
     before = F.col("_before")
     if require_k:
-        who = F.concat_ws(",", *[F.concat(F.lit(f"{g}="), F.col(g).cast("string")) for g in groups])
         msg = F.concat(
-            F.lit("cannot sample "), kcol.cast("string"), F.lit(" rows from ["), who,
-            F.lit("] of "), F.col("_total").cast("string"), F.lit(" rows"),
+            F.lit("cannot sample "), kcol.cast("string"), F.lit(f" rows from [{what}="),
+            F.regexp_replace("_g", r"\|(\d+:)?", ""), F.lit("] of "), F.col("_total").cast("string"), F.lit(" rows"),
         )
         before = F.when(F.col("_total") < kcol, F.raise_error(msg)).otherwise(before)
     status = materialize(
         off.select(
-            *groups,
+            "_g",
             "_b",
             "_n",
             before.alias("_before"),
@@ -137,21 +128,13 @@ def flag_first_k(
         ),
         "sample-status",
     )
-    edge_status = status.where(F.col("_s") == "edge")
-    edge_rows = edge_status.agg(F.sum("_n")).first()[0] or 0
-    decided = edge_decisions(d, edge_status, groups)
-    # The status table has at most groups x 65,536 rows: broadcast by construction.
-    joined = d.join(F.broadcast(status.select(*groups, "_b", "_s")), [*groups, "_b"], "inner")
-    out = [*df.columns, flag]
-    if edge_rows <= EDGE_BROADCAST_ROWS:
-        marked = joined.join(F.broadcast(decided), [*groups, "_b", "_h"], "left")
-        return marked.withColumn(flag, F.coalesce(F.col("_edge"), F.col("_s") == "in")).select(*out)
-    rest = joined.where(F.col("_s") != "edge").withColumn(flag, F.col("_s") == "in")
-    edge = joined.where(F.col("_s") == "edge").join(decided, [*groups, "_b", "_h"], "inner")
-    return edge.withColumnRenamed("_edge", flag).select(*out).unionByName(rest.select(*out))
-
-
-def edge_decisions(d: DataFrame, edge_status: DataFrame, groups: list[str]) -> DataFrame:
+    decided = materialize(edge_decisions(d, status.where(F.col("_s") == "edge")), "sample-edge")
+    joined = d.join(F.broadcast(status.select("_g", "_b", "_s")), ["_g", "_b"], "inner")
+    marked = joined.join(decided, ["_g", "_b", "_h"], "left")
+    return marked.withColumn(flag, F.coalesce(F.col("_edge"), F.col("_s") == "in")).select(*df.columns, flag)
+
+
+def edge_decisions(d: DataFrame, edge_status: DataFrame) -> DataFrame:
     """In or out for every distinct hash of the boundary buckets; robust to hot copies.
 
     Copies of one key share a hash. Boundary rows (key columns only) are
@@ -164,31 +147,27 @@ def edge_decisions(d: DataFrame, edge_status: DataFrame, groups: list[str]) -> D
     choice: that is a duplicate key, an input error, and the job fails
     naming the hash.
     """
-    edge = d.select(*groups, "_b", "_h").join(
-        F.broadcast(edge_status.select(*groups, "_b", "_before", "_k")), [*groups, "_b"], "inner"
-    )
+    edge = d.select("_g", "_b", "_h").join(F.broadcast(edge_status.select("_g", "_b", "_before", "_k")), ["_g", "_b"], "inner")
     sub_bucket = F.conv(F.substring(F.col("_h"), HEX_DIGITS + 1, HEX_DIGITS), 16, 10).cast("int")
     # About 1/65,536 of each group: written once, so the sub-bucket counts
     # and the ranking below read it instead of the input.
     per_hash = materialize(
         edge.withColumn("_b2", sub_bucket)
-        .groupBy(*groups, "_b", "_b2", "_h", "_before", "_k")
+        .groupBy("_g", "_b", "_b2", "_h", "_before", "_k")
         .agg(F.count(F.lit(1)).alias("_c")),
         "sample-boundary",
     )
-    sub_counts = per_hash.groupBy(*groups, "_b", "_b2").agg(F.sum("_c").alias("_n2"))
-    earlier_sub = Window.partitionBy(*groups, "_b").orderBy("_b2").rowsBetween(Window.unboundedPreceding, -1)
-    sub_offsets = sub_counts.select(
-        *groups, "_b", "_b2", F.coalesce(F.sum("_n2").over(earlier_sub), F.lit(0)).alias("_before2")
-    )
-    per_hash = per_hash.join(F.broadcast(sub_offsets), [*groups, "_b", "_b2"], "inner")
-    earlier = Window.partitionBy(*groups, "_b", "_b2").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
+    sub_counts = per_hash.groupBy("_g", "_b", "_b2").agg(F.sum("_c").alias("_n2"))
+    earlier_sub = Window.partitionBy("_g", "_b").orderBy("_b2").rowsBetween(Window.unboundedPreceding, -1)
+    sub_offsets = sub_counts.select("_g", "_b", "_b2", F.coalesce(F.sum("_n2").over(earlier_sub), F.lit(0)).alias("_before2"))
+    per_hash = per_hash.join(F.broadcast(sub_offsets), ["_g", "_b", "_b2"], "inner")
+    earlier = Window.partitionBy("_g", "_b", "_b2").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("_before") + F.col("_before2") + F.coalesce(F.sum("_c").over(earlier), F.lit(0))
     per_hash = per_hash.withColumn("_r0", start)
     straddles = (F.col("_r0") < F.col("_k")) & (F.col("_r0") + F.col("_c") > F.col("_k"))
     msg = F.concat(F.lit("duplicate key at the sampling boundary, order hash "), F.col("_h"))
     return per_hash.select(
-        *groups,
+        "_g",
         "_b",
         "_h",
         F.when(straddles, F.raise_error(msg)).otherwise(F.col("_r0") + F.col("_c") <= F.col("_k")).alias("_edge"),
@@ -198,27 +177,47 @@ def edge_decisions(d: DataFrame, edge_status: DataFrame, groups: list[str]) -> D
 def rank_by_hash(df: DataFrame, order_hash: Column, groups: list[str] | None = None, name: str = "rank") -> DataFrame:
     """Exact 1-based rank of every row within its group, ordered by ``order_hash``.
 
-    Rows are ranked within (group, hash bucket): every task holds about
-    1/65,536 of a group. Keys are unique (a class sample draws distinct keys),
-    so no bucket concentrates copies.
+    Distinct hashes are ranked within (group, hash bucket), about 1/65,536 of
+    a group. Rows that share a hash follow each other by their content: they
+    are spread over SALTS parts, and rows equal in all columns are one row with a count.
     """
     groups = list(groups or [])
-    d = _bucketed(df, order_hash)
-    off = _bucket_offsets(d, groups).select(*groups, "_b", "_before")
-    joined = d.join(F.broadcast(off), [*groups, "_b"], "inner")
-    w = Window.partitionBy(*groups, "_b").orderBy("_h")
-    return joined.withColumn(name, F.col("_before") + F.row_number().over(w)).select(*df.columns, name)
+    # Struct and map columns cannot be grouped; the feature tables have none.
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
+    content = F.md5(fields_text(df.columns))
+    d = _bucketed(rows, order_hash, groups).withColumn("_x", content)
+    d = materialize(d.withColumn("_t", F.pmod(F.xxhash64("_x"), F.lit(SALTS)).cast("int")), "rank-rows")
+    buckets = d.groupBy("_g", "_b").agg(F.sum("_c").alias("_n"))
+    earlier = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    bucket_start = buckets.select("_g", "_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    parts = d.groupBy("_g", "_b", "_h", "_t").agg(F.sum("_c").alias("_n"))
+    within = Window.partitionBy("_g", "_b").orderBy("_h", "_t").rowsBetween(Window.unboundedPreceding, -1)
+    part_start = parts.select("_g", "_b", "_h", "_t", F.coalesce(F.sum("_n").over(within), F.lit(0)).alias("_in"))
+    starts = part_start.join(bucket_start, ["_g", "_b"]).withColumn("_before", F.col("_before") + F.col("_in"))
+    copies = Window.partitionBy("_g", "_b", "_h", "_t").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    joined = d.join(starts.drop("_in"), ["_g", "_b", "_h", "_t"])
+    ranked = joined.withColumn(name, F.col("_before") + F.coalesce(F.sum("_c").over(copies), F.lit(0)) + 1)
+    once = ranked.where(F.col("_c") == 1).select(*df.columns, name)
+    many = ranked.where(F.col("_c") > 1).withColumn(
+        "_at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_c") - 1, F.lit(COPY_BLOCK).cast("long")))
+    )
+    repeated = (
+        many.repartition("_h", "_at")
+        .withColumn("_i", F.explode(F.sequence(F.col("_at"), F.least(F.col("_at") + COPY_BLOCK, F.col("_c")) - 1)))
+        .withColumn(name, F.col(name) + F.col("_i"))
+    )
+    return once.unionByName(repeated.select(*df.columns, name))
 
 
 # --- D1 / J1 / J2 -------------------------------------------------------------
 
 
 def class_order_hash(seeds: dict[int, int] | None = None, key: list[str] | None = None) -> Column:
-    """Seeded order key whose seed depends on the row's class."""
+    """Seeded order key whose seed depends on the row's class (no seed outside the classes)."""
     seeds = seeds or {1: POSITIVE_SEED, 0: NEGATIVE_SEED}
-    seed = None
+    seed = F.lit("")
     for cls, s in seeds.items():
-        seed = (F.when(F.col(LABEL) == cls, F.lit(str(s))) if seed is None else seed.when(F.col(LABEL) == cls, F.lit(str(s))))
+        seed = F.when(F.col(LABEL) == cls, F.lit(str(s))).otherwise(seed)
     return seeded_hash(seed, key or KEY)
 
 
@@ -227,18 +226,27 @@ def flag_class_sample(
 ) -> DataFrame:
     """D1 as a flag: exactly ``n`` rows of each class 1 and 0 are ``flag`` = true.
 
-    Rows with another (or no) label are never sampled. A class with fewer than
+    Rows with another (or no) label are never sampled; they form one group of
+    their own, so all rows are flagged in one pass. A class with fewer than
     ``n`` rows fails the job with a message naming it.
     """
     seeds = seeds or {1: POSITIVE_SEED, 0: NEGATIVE_SEED}
     classes = list(seeds)
-    in_class = F.coalesce(F.col(LABEL).isin(*classes), F.lit(False))
+    d = df.withColumn("_class", F.when(F.col(LABEL).isin(*classes), F.col(LABEL)))
     # A class with no row at all must fail too: name every class as expected.
-    expected = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in classes])).alias(LABEL))
+    wanted = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in classes])).alias("_class"))
+    texts = [f"|{len(str(c))}:{c}" for c in classes]
     flagged = flag_first_k(
-        df.where(in_class), class_order_hash(seeds, key), n, [LABEL], flag, require_k=True, expected=expected
+        d,
+        class_order_hash(seeds, key),
+        lambda total: F.when(F.col("_g").isin(*texts), F.lit(n)).otherwise(F.lit(0)),
+        ["_class"],
+        flag,
+        require_k=True,
+        expected=wanted,
+        what=LABEL,
     )
-    return flagged.unionByName(df.where(~in_class).withColumn(flag, F.lit(False)))
+    return flagged.select(*df.columns, flag)
 
 
 def class_sample(df: DataFrame, n: int, seeds: dict[int, int] | None = None, key: list[str] | None = None) -> DataFrame:
@@ -252,9 +260,11 @@ def holdout(df: DataFrame, n: int, seeds: dict[int, int] | None = None, key: lis
 
 
 def holdout_anti_join(df: DataFrame, sample: DataFrame, key: list[str] | None = None) -> DataFrame:
-    """J1 literally: all rows minus the sampled ones, on the row key."""
+    """J1 literally: all rows minus the sampled ones, on the row key (missing fields match each other)."""
     key = key or KEY
-    return df.join(sample.select(*key), key, "left_anti").select(*df.columns)
+    other = sample.select(*[F.col(c).alias(f"_s_{c}") for c in key])
+    on = [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in key]
+    return df.join(other, on, "left_anti").select(*df.columns)
 
 
 def union_rows(*parts: DataFrame) -> DataFrame:
