@@ -3,9 +3,9 @@
 An ensemble is a list of (weight, tree). A small ensemble compiles to nested
 ``CASE WHEN`` expressions: the score is computed JVM-side inside whole-stage
 codegen, and the same trees can be written as SQL for an exact oracle. Large
-ensembles (hundreds of deep trees) exceed the JVM method-size limit; they go
-through ``operators.model`` (MLlib's own transform) or
-``prefix_margins_udf`` (vectorised numpy over node arrays).
+ensembles (hundreds of deep trees) exceed the JVM method-size limit; their
+caller asks for the vectorised form (numpy over node arrays), which gives the
+same scores, or goes through ``operators.model`` (MLlib's own transform).
 """
 
 from __future__ import annotations
@@ -67,10 +67,6 @@ def probability(ensemble: Ensemble, k: int | None = None, margin_scale: float =
     return logistic(m if margin_scale == 1.0 else F.lit(margin_scale) * m)
 
 
-def depth(node: Node) -> int:
-    return 0 if isinstance(node, Leaf) else 1 + max(depth(node.left), depth(node.right))
-
-
 # The three-tree test ensemble of FIXTURES.md §4 (leaves are
 # invented; it has no predictive value). Missing inputs are filled with 0 first.
 FIXED_ENSEMBLE: Ensemble = [
@@ -101,33 +97,35 @@ FIXED_ENSEMBLE: Ensemble = [
 
 @dataclass
 class NodeArrays:
-    """One tree as flat arrays; node 0 is the root. Leaves have feature -1."""
+    """One tree as flat arrays; node 0 is the root. Leaves have feature -1.
+
+    ``inclusive`` is per node: the splits of one tree may compare differently.
+    """
 
     feature: np.ndarray
     threshold: np.ndarray
     left: np.ndarray
     right: np.ndarray
     value: np.ndarray
-    inclusive: bool
+    inclusive: np.ndarray
 
 
 def to_arrays(node: Node, features: list[str]) -> NodeArrays:
     index = {f: i for i, f in enumerate(features)}
-    feat, thr, left, right, val = [], [], [], [], []
-    inclusive = False
+    feat, thr, left, right, val, inclusive = [], [], [], [], [], []
 
     def visit(n: Node) -> int:
-        nonlocal inclusive
         i = len(feat)
         feat.append(-1)
         thr.append(0.0)
         left.append(-1)
         right.append(-1)
         val.append(0.0)
+        inclusive.append(False)
         if isinstance(n, Leaf):
             val[i] = float(n.value)
             return i
-        inclusive = n.inclusive
+        inclusive[i] = n.inclusive
         feat[i] = index[n.feature]
         thr[i] = float(n.threshold)
         left[i] = visit(n.left)
@@ -141,7 +139,7 @@ def to_arrays(node: Node, features: list[str]) -> NodeArrays:
         np.array(left, dtype=np.int32),
         np.array(right, dtype=np.int32),
         np.array(val, dtype=np.float64),
-        inclusive,
+        np.array(inclusive, dtype=bool),
     )
 
 
@@ -173,7 +171,7 @@ def prefix_margins_udf(ensemble: Ensemble, features: list[str], checkpoints: lis
             if not inner.any():
                 return value[idx]
             xv = x[rows, np.where(inner, f, 0)]
-            go_left = xv <= thr[idx] if inclusive else xv < thr[idx]
+            go_left = (xv < thr[idx]) | (inclusive[idx] & (xv == thr[idx]))
             idx = np.where(inner, np.where(go_left, left[idx], right[idx]), idx)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
@@ -197,30 +195,23 @@ def prefix_margins_udf(ensemble: Ensemble, features: list[str], checkpoints: lis
 
 # --- M10 for large ensembles, and ensembles stored as node tables -------------
 
-# Ensembles with more nodes than this are not compiled to CASE expressions: the
-# generated method would exceed the JVM's 64 KB limit and fall out of codegen.
-CASE_NODE_LIMIT = 2000
-
 NODE_TABLE_SCHEMA = (
     "tree int, weight double, node int, feature string, threshold double, "
     "left int, right int, value double, inclusive boolean"
 )
 
 
-def node_count(ensemble: Ensemble) -> int:
-    def count(n: Node) -> int:
-        return 1 if isinstance(n, Leaf) else 1 + count(n.left) + count(n.right)
-
-    return sum(count(t) for _, t in ensemble)
-
-
 def probability_column(
-    ensemble: Ensemble, features: list[str], k: int | None = None, margin_scale: float = 1.0
+    ensemble: Ensemble, features: list[str], k: int | None = None, margin_scale: float = 1.0, compiled: bool = True
 ) -> Column:
-    """P(class 1) of the first ``k`` trees, as CASE code or, for large
-    ensembles, a vectorised UDF over broadcast node arrays."""
+    """P(class 1) of the first ``k`` trees.
+
+    The caller chooses the form: ``compiled`` CASE code, or a vectorised UDF
+    over broadcast node arrays for ensembles whose code would exceed the JVM's
+    method limit. Both compare and add in the same order, so scores are equal.
+    """
     trees = ensemble[: k if k is not None else len(ensemble)]
-    if node_count(trees) <= CASE_NODE_LIMIT:
+    if compiled:
         return probability(trees, margin_scale=margin_scale)
     udf, _ = prefix_margins_udf(trees, features, [len(trees)])
     m = udf(*[F.col(c) for c in features]).getItem(0)

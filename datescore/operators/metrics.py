@@ -26,8 +26,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from datescore.schema import LABEL
+from datescore.session import materialize
 
-DEFAULT_AUC_BUCKETS = 64
+AUC_BUCKETS = 256  # fixed: they only balance the work
+CUT_ERROR = 1e-3  # rank error of the cut points between them
 _EXACT = "decimal(38,0)"
 
 
@@ -168,12 +170,6 @@ def binary_metrics(
 # --- AUC of scores -------------------------------------------------------------
 
 
-def default_buckets(spark) -> int:
-    """Buckets for the AUC: a few per shuffle partition, so each window task
-    holds about distinct scores / (4 x partitions) rows."""
-    return max(DEFAULT_AUC_BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
 def auc(
     scored: DataFrame,
     score: str = "score",
@@ -186,21 +182,20 @@ def auc(
     Output: ``by`` columns, auc (DOUBLE, null when a class is absent),
     positives, negatives (BIGINT).
 
-    Cut points are approximate quantiles of the distinct scores (at most
-    ``buckets`` doubles reach the driver); a score's bucket is found by
-    binary search (``Bucketizer``, JVM-side). Buckets only balance the work:
-    any monotone cut set gives the exact same AUC.
+    Cut points are loose quantiles of the distinct scores: a fixed number of
+    doubles on the driver, whatever the number of scores or partitions. A
+    score's bucket is found by binary search (``Bucketizer``, JVM-side).
+    Buckets only balance the work: any monotone cut set gives the same AUC.
 
     Like MLlib's evaluators this is an action: the distinct-score table is
-    persisted so the scoring upstream runs once for both the cut points and
-    the sums, and the result (one row per group) is returned as a frame.
+    written once under the shared folder, so the scoring upstream runs once
+    for both the cut points and the sums.
+
+    Without rows the result has no group; without ``by`` it is one row with a null
+    AUC and zero counts.
     """
     by = list(by or [])
-    distinct = score_histogram(scored, score, label, by).persist()
-    try:
-        return auc_from_histogram(distinct, by, buckets)
-    finally:
-        distinct.unpersist()
+    return auc_from_histogram(materialize(score_histogram(scored, score, label, by), "auc-histogram"), by, buckets)
 
 
 def score_histogram(scored: DataFrame, score: str = "score", label: str = LABEL, by: list[str] | None = None) -> DataFrame:
@@ -230,16 +225,14 @@ def histogram_pairs(hist: DataFrame, t: float = 0.5, inclusive: bool = False) ->
 
 
 def auc_from_histogram(distinct: DataFrame, by: list[str] | None = None, buckets: int | None = None) -> DataFrame:
-    """A9 from a score histogram (an action; the result is one row per group)."""
-    by = list(by or [])
-    result = _auc_from_distinct(distinct, by, buckets or default_buckets(distinct.sparkSession))
-    return distinct.sparkSession.createDataFrame(result.collect(), result.schema)
+    """A9 from a (written) score histogram; the result, one row per group, is written too."""
+    return materialize(_auc_from_distinct(distinct, list(by or []), buckets or AUC_BUCKETS), "auc")
 
 
 def _auc_from_distinct(distinct: DataFrame, by: list[str], b: int) -> DataFrame:
     fractions = [i / b for i in range(1, b)]
-    cuts = distinct.approxQuantile("_s", fractions, 1.0 / (10 * b)) if fractions else []
-    splits = [float("-inf"), *sorted({c for c in cuts if c == c}), float("inf")]
+    cuts = distinct.approxQuantile("_s", fractions, max(CUT_ERROR, 1.0 / (4 * b))) if fractions else []
+    splits = [float("-inf"), *sorted({c for c in cuts if c == c} or {0.0}), float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="_s", outputCol="_bk", handleInvalid="error").transform(distinct)
     within = Window.partitionBy(*by, "_bk").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     ranked = bucketed.withColumn("_nb", F.coalesce(F.sum("_neg").over(within), F.lit(0)).cast(_EXACT))
@@ -264,8 +257,8 @@ def _auc_from_distinct(distinct: DataFrame, by: list[str], b: int) -> DataFrame:
     return total.select(
         *by,
         F.coalesce(_guard(F.col("_bad"), "auc"), value).alias("auc"),
-        F.col("positives").cast("long").alias("positives"),
-        F.col("negatives").cast("long").alias("negatives"),
+        F.coalesce("positives", F.lit(0)).cast("long").alias("positives"),
+        F.coalesce("negatives", F.lit(0)).cast("long").alias("negatives"),
     )
 
 

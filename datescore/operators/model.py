@@ -35,7 +35,7 @@ from datescore.operators.metrics import (
     histogram_pairs,
     score_histogram,
 )
-from datescore.schema import FEATURES, KEY, LABEL
+from datescore.schema import FEATURES, KEY, LABEL, require_columns
 from datescore.session import checkpoint_root, materialize, work_path
 
 MLLIB_MARGIN_SCALE = 2.0
@@ -124,16 +124,16 @@ def prefix_model(model: PipelineModel, k: int) -> PipelineModel:
     (classic session; not available over Spark Connect).
     """
     g = gbt_stage(model)
-    sc = SparkContext.getOrCreate()
-    jtrees = g._java_obj.trees()
-    k = max(1, min(k, len(jtrees)))
-    gw = sc._gateway
-    jvm = sc._jvm
+    k = max(1, k)
+    if k >= g.getNumTrees:
+        return model
+    gw = SparkContext.getOrCreate()._gateway
+    jvm = gw.jvm
+    # Both arrays are copied on the JVM side: a few calls, whatever the number of trees.
     trees = gw.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, k)
     weights = gw.new_array(jvm.double, k)
-    for i in range(k):
-        trees[i] = jtrees[i]
-        weights[i] = float(g.treeWeights[i])
+    jvm.java.lang.System.arraycopy(g._java_obj.trees(), 0, trees, 0, k)
+    jvm.java.lang.System.arraycopy(g._java_obj.treeWeights(), 0, weights, 0, k)
     jprefix = jvm.org.apache.spark.ml.classification.GBTClassificationModel(f"{g.uid}_first{k}", trees, weights)
     prefix = GBTClassificationModel(jprefix)
     prefix.setFeaturesCol(g.getFeaturesCol())
@@ -148,8 +148,9 @@ def score(
     ``ntree_limit`` scores with the first trees only (M5).
     """
     keep = list(keep if keep is not None else KEY)
+    require_columns(df, FEATURES)
     m = prefix_model(model, ntree_limit) if ntree_limit else model
-    filled = fill_missing(df, subset=[c for c in FEATURES if c in df.columns])
+    filled = fill_missing(df, subset=FEATURES)
     out = m.transform(filled)
     return out.select(*keep, vector_to_array(F.col("probability")).getItem(1).alias("score"))
 
@@ -245,17 +246,18 @@ def auc_history(
 def early_stop(history: DataFrame, patience: int = 50, set_name: str = "val") -> int:
     """M4: the best number of trees under patience stopping on the M3 history.
 
-    Scans prefixes in order; stops once ``patience`` trees pass without a
-    strict improvement; returns the best prefix seen. The history has one row
-    per evaluated prefix (bounded by the number of trees), so it is read here.
+    Scans prefixes in order. A mark that improves strictly becomes the best,
+    however far it is from the last; a mark that does not, ``patience`` or more
+    trees after the best, stops the scan. The history has one row per
+    evaluated prefix (bounded by the number of trees), so it is read here.
     """
     rows = history.where(F.col("set") == set_name).select("trees", "auc").orderBy("trees").collect()
     best_k, best = None, float("-inf")
     for r in rows:
         if r["auc"] is None:
             continue
-        if best_k is not None and r["trees"] - best_k > patience:
-            break
         if r["auc"] > best:
             best_k, best = r["trees"], r["auc"]
+        elif r["trees"] - best_k >= patience:
+            break
     return int(best_k or (rows[-1]["trees"] if rows else 0))

@@ -65,12 +65,6 @@ def threshold(score: Column, t: float = 0.5, inclusive: bool = False) -> Column:
     return F.when(above, F.lit(1)).otherwise(F.lit(0))
 
 
-def with_prediction(
-    df: DataFrame, score: str = "score", t: float = 0.5, inclusive: bool = False, name: str = "prediction_label"
-) -> DataFrame:
-    return df.withColumn(name, threshold(F.col(score), t, inclusive))
-
-
 def label_prediction_pairs(df: DataFrame, score: str = "score", t: float = 0.5, inclusive: bool = True) -> DataFrame:
     """Truth and prediction of one row side by side, with a literal id."""
     return df.select(

@@ -45,9 +45,33 @@ FEATURES = [
     "is_trader",
 ]
 
-# The extract's 24 columns in extract order: user, dep date, date_cnt,
-# search date, the other 19 features, dt.
-EXTRACT_COLUMNS = [USER, DEP_DATE, FEATURES[0], SEARCH_DATE, *FEATURES[1:], PARTITION]
+# The extract's 24 columns in the order of the file.
+EXTRACT_COLUMNS = [
+    USER,
+    DEP_DATE,
+    "date_cnt",
+    SEARCH_DATE,
+    "pre_days",
+    "pre_days_max",
+    "pre_days_min",
+    "pre_days_avg",
+    "difference_between_dep_date_median",
+    "dep_date_span",
+    "search_date_cnt",
+    "search_date_single_cnt",
+    "search_date_rate",
+    "ota_date_cnt",
+    "ota_date_single_cnt",
+    "ota_date_rate",
+    "search_date_is_weekend",
+    "ota_date_is_weekend",
+    "ota_date_on_friday_night",
+    "ota_date_on_saturday_morning",
+    "history_weekend_rate",
+    "is_student",
+    "is_trader",
+    PARTITION,
+]
 
 TRAINING_COLUMNS = [*EXTRACT_COLUMNS, MEDIAN, LABEL]
 

@@ -2,13 +2,12 @@
 
 Jobs that must cut lineage or hand a table to a later step write under the
 folder the cluster names in ``spark.checkpoint.dir``. That setting is read
-from the session; only when it is unset (local tests) is a folder made here.
+from the session; where it is unset the warehouse holds the folder.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,25 +43,36 @@ def build_session(
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set one only when the session has none (local mode)."""
+    """The shared work folder: the session's checkpoint folder, else one in the warehouse.
+
+    No machine-local temporary folder is made up: executors on other hosts
+    would not see it. A cluster without ``spark.checkpoint.dir`` whose
+    warehouse is a local path fails here.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        if not sc.master.startswith("local"):
-            # A machine-local folder is invisible to executors on other hosts.
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        on_one_host = re.fullmatch(r"local(\[.*\])?", sc.master)
+        if not on_one_host and re.match(r"(file:|/)", warehouse):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        conf_dir = tempfile.mkdtemp(prefix="datescore-ckpt-")
-    sc.setCheckpointDir(conf_dir)
+        folder = f"{warehouse.rstrip('/')}/_datescore"
+    sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
+# Folders handed out by ``work_path`` in this application.
+_made: list[str] = []
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder for one job's output."""
-    root = checkpoint_root(spark)
-    return os.path.join(root, f"datescore-{name}-{uuid.uuid4().hex[:12]}")
+    path = f"{checkpoint_root(spark)}/datescore-{name}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
 
 
 def materialize(df, name: str):
@@ -73,4 +83,23 @@ def materialize(df, name: str):
     """
     path = work_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch_mark() -> int:
+    """How many work folders were made so far; ``clear_scratch`` goes back to here."""
+    return len(_made)
+
+
+def clear_scratch(spark: SparkSession, mark: int = 0) -> int:
+    """Delete the work folders made since ``mark``; for the end of a job whose results are read or loaded.
+
+    Frames that read these folders are no longer usable. Returns how many were deleted.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    done = 0
+    while len(_made) > mark:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        done += bool(path.getFileSystem(conf).delete(path, True))
+    return done

@@ -42,8 +42,3 @@ def scan_partition(source: DataFrame, dt: str | Column | None = None) -> DataFra
     """S1 + P1 + P2: the 24 extract columns of one day (default: yesterday, F1)."""
     day = previous_day() if dt is None else dt
     return project_extract(partition_filter(source, day))
-
-
-def scan_table_partition(spark: SparkSession, table: str, dt: str | Column | None = None) -> DataFrame:
-    """S1 on a catalog table."""
-    return scan_partition(spark.table(table), dt)

@@ -1,14 +1,32 @@
-"""Trained models as MLlib pipeline directories (metadata + Parquet nodes)."""
+"""Trained models as MLlib pipeline directories (metadata + Parquet nodes).
+
+The number of trees that early stopping chose is stored beside the model, so
+a job that loads it can score with that prefix.
+"""
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.sql import SparkSession
+from pyspark.sql.utils import AnalysisException
 
 
-def save_model(model: PipelineModel, path: str) -> str:
+def save_model(model: PipelineModel, path: str, best_trees: int | None = None) -> str:
     model.write().overwrite().save(path)
+    if best_trees is not None:
+        spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+        spark.range(1).selectExpr(f"CAST({int(best_trees)} AS INT) AS best_trees").write.parquet(f"{path}/selection")
     return path
 
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def load_best_trees(path: str) -> int | None:
+    """The stored choice of early stopping, None if the model has none."""
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    try:
+        return spark.read.parquet(f"{path}/selection").first()[0]
+    except AnalysisException:
+        return None

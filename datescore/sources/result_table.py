@@ -7,18 +7,19 @@ days are kept and a rerun of the same day is idempotent.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from datescore.schema import PARTITION, RESULT_COLUMNS, USER
 
-# Column and table comments of the result table.
-TABLE_COMMENT = "Departure-date prediction, offline version"
+TABLE_COMMENT = "Scores of (user, candidate date) pairs, one partition per scored day"
 COLUMN_COMMENTS = {
-    USER: "user name",
-    "dep_date": "searched departure date",
-    "q_ratio": "predicted score",
-    PARTITION: "partition, yyyymmdd, matches the search date",
+    USER: "who the candidate belongs to",
+    "dep_date": "candidate date",
+    "q_ratio": "probability of class 1, between 0 and 1",
+    PARTITION: "scored day of the feature table as yyyyMMdd",
 }
 
 
@@ -68,7 +69,7 @@ def overwrite_partition(result: DataFrame, table: str, dt: str) -> None:
     spark = result.sparkSession
     if not dt.isdigit():
         raise ValueError(f"bad partition value {dt!r}")
-    view = f"_datescore_load_{dt}"
+    view = f"_datescore_load_{uuid.uuid4().hex}"  # loads of one session may run side by side
     result.select(*RESULT_COLUMNS).createOrReplaceTempView(view)
     try:
         spark.sql(
@@ -79,17 +80,21 @@ def overwrite_partition(result: DataFrame, table: str, dt: str) -> None:
         spark.catalog.dropTempView(view)
 
 
-def load_csv_into_partition(spark: SparkSession, csv_path: str, table: str, dt: str) -> None:
+def load_csv_into_partition(
+    spark: SparkSession, csv_path: str, table: str, dt: str, user_column: str | None = None
+) -> None:
     """S5 from a file: replace partition ``dt`` with the rows of a result CSV.
 
     The counterpart of loading a local result file into one partition: the
-    header CSV is read with the fixed result schema (FAILFAST) and inserted
-    with static-partition overwrite.
+    header CSV is read by column name, with dates as ``yyyy-MM-dd`` or
+    ``yyyy/M/d``, and inserted with static-partition overwrite. ``user_column``
+    names the user column where the file calls it otherwise.
     """
     from datescore.schema import RESULT_SCHEMA
     from datescore.sources.text import read_result_csv
 
-    overwrite_partition(read_result_csv(spark, csv_path, RESULT_SCHEMA), table, dt)
+    names = {user_column: USER} if user_column else None
+    overwrite_partition(read_result_csv(spark, csv_path, RESULT_SCHEMA, names), table, dt)
 
 
 def overwrite_partitions_at(result_with_dt: DataFrame, path: str) -> None:
@@ -121,11 +126,21 @@ def partition_counts(table_df: DataFrame) -> DataFrame:
     return table_df.groupBy(PARTITION).agg(F.count(F.lit(1)).alias("count"))
 
 
-def latest_partitions(table_df: DataFrame, n: int = 5) -> DataFrame:
-    """A1 + L1: the ``n`` latest partitions with their row counts (a top-n)."""
-    return partition_counts(table_df).orderBy(F.desc(PARTITION)).limit(n)
+def partition_days(spark: SparkSession, table: str) -> list[str]:
+    """The days of the table, latest first, from the catalog (one entry per day; no data is read)."""
+    rows = spark.sql(f"SHOW PARTITIONS {_check_name(table)}").collect()
+    return sorted((r[0].partition("=")[2] for r in rows), reverse=True)
+
+
+def latest_partitions(spark: SparkSession, table: str, n: int = 5) -> DataFrame:
+    """A1 + L1: the ``n`` latest partitions with their row counts; only these are scanned.
+
+    A day whose partition holds no row is not counted, as in a grouped count.
+    """
+    rows = spark.table(_check_name(table)).where(F.col(PARTITION).isin(partition_days(spark, table)[:n]))
+    return partition_counts(rows).orderBy(F.desc(PARTITION))
 
 
 def peek(table_df: DataFrame, n: int = 5, order: list[str] | None = None) -> DataFrame:
-    """L2: a few rows; ordered by ``order`` (the key) so the answer is stable."""
-    return table_df.orderBy(*(order or [PARTITION, USER, "dep_date"])).limit(n)
+    """L2: a few rows: any (read from the first files only) or, on request, the first by ``order``."""
+    return (table_df.orderBy(*order) if order else table_df).limit(n)

@@ -61,7 +61,9 @@ def start(
 
     def on_batch(batch: DataFrame, _epoch: int) -> None:
         # Days present in the batch: at most one row per day reaches the driver.
-        days = [r[0] for r in batch.select(PARTITION).distinct().collect() if r[0] is not None]
+        days = [r[0] for r in batch.select(PARTITION).distinct().collect()]
+        if None in days:
+            raise ValueError(f"rows without a day ({PARTITION} is null) in {features_path}: name their partition and rerun")
         score_days(spark, features_path, sorted(days), output_path, model, ensemble, ntree_limit)
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_path)

@@ -91,12 +91,13 @@ def test_overwrite_one_partition_idempotent(spark, tmpdir_path):
         result_table.overwrite_partition(_result(spark, 3, "20240101", 0.3), t, "20240101")
         counts = dict(result_table.partition_counts(spark.table(t)).collect())
         assert counts == {"20240101": 3, "20240102": 7}
-        latest = result_table.latest_partitions(spark.table(t), 1).collect()
-        assert [tuple(r) for r in latest] == [("20240102", 7)]
-        assert "TakeOrderedAndProject" in result_table.latest_partitions(spark.table(t))._jdf.queryExecution().executedPlan().toString()
+        latest = result_table.latest_partitions(spark, t, 1)
+        assert [tuple(r) for r in latest.collect()] == [("20240102", 7)]
+        # Only the latest days are read, as partition filters.
+        assert "PartitionFilters: [isnotnull(dt" in latest._jdf.queryExecution().executedPlan().toString()
         result_table.drop_partition(spark, t, "20240102")
         assert dict(result_table.partition_counts(spark.table(t)).collect()) == {"20240101": 3}
-        peek = result_table.peek(spark.table(t)).collect()
+        peek = result_table.peek(spark.table(t), order=["dt", "user_name", "dep_date"]).collect()
         assert [r.user_name for r in peek] == ["u0", "u1", "u2"]
     finally:
         result_table.drop_table(spark, t)
@@ -122,6 +123,56 @@ def test_result_csv_plain_and_scientific_text(spark, tmpdir_path):
     assert vals[0] == vals[1] and abs(vals[0] - 0.00012345) < 1e-10
 
 
+def _file(folder, name, text_):
+    p = os.path.join(folder, name)
+    os.makedirs(p)
+    with open(os.path.join(p, "part-0.csv"), "w") as fh:
+        fh.write(text_)
+    return p
+
+
+def test_columns_are_read_by_header_name(spark, tmpdir_path):
+    names = list(reversed(EXTRACT_SCHEMA.names))
+    line = {n: "1" for n in names}
+    line.update(dep_date_of_search="2024-01-02", search_date="2024-01-01", dt="20240101", pre_days_max="9", pre_days_min="2")
+    p = _file(tmpdir_path, "shuffled", "\t".join(names) + "\n" + "\t".join(line[n] for n in names) + "\n")
+    r = text.read_tsv(spark, p, EXTRACT_SCHEMA).first()
+    assert (r.pre_days_max, r.pre_days_min, r.dt) == (9, 2, "20240101")
+    q = _file(tmpdir_path, "csv", "q_ratio,user_name,dep_date\n0.5,u1,2024-01-02\n")
+    r = text.read_result_csv(spark, q, RESULT_SCHEMA).first()
+    assert (r.user_name, str(r.dep_date), r.q_ratio) == ("u1", "2024-01-02", 0.5)
+
+
+def test_missing_and_unknown_columns_fail(spark, tmpdir_path):
+    import pytest
+
+    missing = _file(tmpdir_path, "missing", "user_name,dep_date\nu1,2024-01-02\n")
+    with pytest.raises(ValueError, match="missing columns .'q_ratio'"):
+        text.read_result_csv(spark, missing, RESULT_SCHEMA)
+    unknown = _file(tmpdir_path, "unknown", "user_name,dep_date,q_ratio,extra\nu1,2024-01-02,1,2\n")
+    with pytest.raises(ValueError, match="unknown columns .'extra'"):
+        text.read_result_csv(spark, unknown, RESULT_SCHEMA)
+
+
+def test_result_dates_with_slashes_and_other_user_column(spark, tmpdir_path):
+    import pytest
+
+    p = _file(tmpdir_path, "slashes", "who,dep_date,q_ratio\nu1,2019/7/5,0.5\nu2,2019/12/31,0.25\nu3,2019-07-06,1E-3\nu4,,0.1\n")
+    rows = text.read_result_csv(spark, p, RESULT_SCHEMA, {"who": "user_name"}).collect()
+    assert {(r.user_name, str(r.dep_date)) for r in rows} == {
+        ("u1", "2019-07-05"), ("u2", "2019-12-31"), ("u3", "2019-07-06"), ("u4", "None")
+    }
+    bad = _file(tmpdir_path, "bad", "user_name,dep_date,q_ratio\nu1,5 July,0.5\n")
+    with pytest.raises(Exception, match="bad date"):
+        text.read_result_csv(spark, bad, RESULT_SCHEMA).collect()
+
+
+def test_peek_reads_no_more_than_asked(spark):
+    df = spark.range(100).withColumn("dt", F.lit("20240101"))
+    assert "Sort" not in result_table.peek(df)._jdf.queryExecution().executedPlan().toString()
+    assert [r.id for r in result_table.peek(df, 3, order=["id"]).collect()] == [0, 1, 2]
+
+
 def test_key_and_feature_projections(spark):
     import pytest
 

@@ -132,3 +132,16 @@ def test_many_distinct_scores_many_buckets(features01):
     ).first()
     assert hist.count() > 3000
     assert ours.auc == num / (2 * p * n)
+
+
+def test_auc_does_not_depend_on_the_number_of_buckets(spark):
+    rows = [((i * 7919) % 997 / 997, int((i * 31) % 5 == 0)) for i in range(3000)]
+    two = MT.auc(frame(spark, rows), buckets=2).first()
+    many = MT.auc(frame(spark, rows), buckets=1000).first()
+    assert two == many and two.auc == pytest.approx(brute_auc(rows), abs=1e-12)
+
+
+def test_auc_of_an_empty_set_is_null_with_zero_counts(spark):
+    empty = frame(spark, [(0.5, 1)]).where("score > 1")
+    assert tuple(MT.auc(empty).first()) == (None, 0, 0)
+    assert MT.auc(empty.withColumn("g", F.lit(1)), by=["g"]).count() == 0

@@ -72,6 +72,38 @@ def test_early_stop_patience(spark):
     assert M.early_stop(hist, patience=3) == 5
 
 
+@pytest.mark.parametrize("every,patience", [(1, 1), (50, 50), (100, 50), (7, 3)])
+def test_early_stop_rising_history_takes_the_last_mark(spark, every, patience):
+    """Marks further apart than the patience: a mark that improves is never skipped."""
+    rows = [("val", k, k / 10_000) for k in range(every, 20 * every + 1, every)]
+    assert M.early_stop(spark.createDataFrame(rows, "set string, trees int, auc double"), patience) == 20 * every
+    falling = [("val", k, 1 - k / 10_000) for k in range(every, 20 * every + 1, every)]
+    assert M.early_stop(spark.createDataFrame(falling, "set string, trees int, auc double"), patience) == every
+
+
+def test_prefix_model_keeps_first_trees_and_the_whole_model(trained):
+    _, model = trained
+    g = M.gbt_stage(model)
+    first = M.gbt_stage(M.prefix_model(model, 3))
+    assert first.getNumTrees == 3 and first.treeWeights == g.treeWeights[:3]
+    assert M.prefix_model(model, 4) is model and M.prefix_model(model, 1500) is model
+
+
+def test_missing_feature_is_an_error(trained):
+    sample, model = trained
+    with pytest.raises(ValueError, match="ota_date_cnt"):
+        M.score(model, sample.drop("ota_date_cnt"), keep=KEY)
+
+
+def test_choice_of_trees_is_stored_with_the_model(trained, tmpdir_path):
+    _, model = trained
+    path = model_store.save_model(model, os.path.join(tmpdir_path, "m"), best_trees=3)
+    assert model_store.load_best_trees(path) == 3
+    assert M.gbt_stage(model_store.load_model(path)).getNumTrees == 4
+    bare = model_store.save_model(model, os.path.join(tmpdir_path, "bare"))
+    assert model_store.load_best_trees(bare) is None
+
+
 def test_evaluate_reports(trained, features01):
     sample, model = trained
     held = S.holdout(features01, 200)
