@@ -1,9 +1,12 @@
 """Command line for the jobs (``python -m datescore <job> ...``, or via spark-submit).
 
-Jobs: ``daily`` (W1), ``extract`` (W2), ``train`` (W3), ``tune`` (W4) and
-``features`` (derive the feature table from an events table). Every job runs
-in one Spark application; the session comes from the environment
-(spark-submit) and only falls back to local mode when none is configured.
+Jobs: ``daily`` (W1), ``extract`` (W2), ``train`` (W3), ``evaluate`` (a saved
+model), ``tune`` (W4), ``features`` (derive the feature table from an events
+table), and the operations on the result table: ``create-table``, ``load``,
+``drop-partition``, ``peek``, ``audit``, ``drop-table``. Every job runs in one
+Spark application; the session comes from the environment (spark-submit) and
+only falls back to local mode when none is configured. The work folders a job
+made are deleted when it ends.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from datescore.functions.dates import previous_day_value
 from datescore.operators import model as M
 from datescore.plans import jobs
 from datescore.schema import TRAINING_SCHEMA
+from datescore.session import clear_scratch, scratch_mark
 from datescore.sources import model_store, result_table, text
 from datescore.sources.feature_table import read_feature_table, write_feature_table
 from datescore.sources.fixture import build_features
@@ -48,25 +52,43 @@ def _training(spark: SparkSession, args) -> DataFrame:
 
 def _params(args) -> M.TreeParams:
     return M.TreeParams(
-        max_iter=args.max_iter, max_depth=args.max_depth, step_size=args.eta, seed=args.seed
+        max_iter=args.max_iter,
+        max_depth=args.max_depth,
+        step_size=args.eta,
+        min_info_gain=args.gamma,
+        subsampling_rate=args.subsample,
+        feature_subset=str(args.colsample),
+        min_instances_per_node=args.min_child_rows,
+        max_bins=args.max_bins,
+        seed=args.seed,
     )
 
 
+def _print_rows(df: DataFrame) -> None:
+    """The rows of a small result, tab-separated."""
+    for r in df.collect():
+        print("\t".join("NULL" if v is None else str(v) for v in r))
+
+
 def cmd_daily(spark: SparkSession, args) -> None:
     result_table.create_result_table(spark, args.table, args.location)
     model = model_store.load_model(args.model) if args.model else None
+    limit = args.ntree_limit
+    if args.best_trees:
+        limit = model_store.load_best_trees(args.model) if args.model else None
+        if limit is None:
+            raise SystemExit("--best-trees needs --model with a stored choice of early stopping")
     audit = jobs.daily_scoring(
         _features(spark, args),
         args.table,
         args.run_date,
         model=model,
-        ntree_limit=args.ntree_limit,
+        ntree_limit=limit,
         validate_keys=args.validate_keys,
         csv_path=args.csv,
         rebalance_output=args.rebalance_output,
     )
-    for r in audit.collect():
-        print(f"{r['dt']}\t{r['count']}")
+    _print_rows(audit)
 
 
 def cmd_extract(spark: SparkSession, args) -> None:
@@ -92,7 +114,7 @@ def cmd_train(spark: SparkSession, args) -> None:
 
 
 def cmd_tune(spark: SparkSession, args) -> None:
-    trials, best = jobs.tune(
+    trials, best, _folds = jobs.tune(
         _training(spark, args), args.n_sample, args.init_points, args.n_iter, args.parallelism, args.seed
     )
     if args.out:
@@ -105,6 +127,36 @@ def cmd_features(spark: SparkSession, args) -> None:
     print(write_feature_table(build_features(events, training=args.training), args.out))
 
 
+def cmd_evaluate(spark: SparkSession, args) -> None:
+    reports = jobs.evaluate_saved(_training(spark, args), args.model, args.threshold, args.ntree_limit)
+    print(json.dumps({name: [r.asDict() for r in df.collect()] for name, df in reports.items()}, default=str, indent=1))
+
+
+def cmd_create_table(spark: SparkSession, args) -> None:
+    print(result_table.create_result_table(spark, args.table, args.location))
+
+
+def cmd_load(spark: SparkSession, args) -> None:
+    result_table.load_csv_into_partition(spark, args.csv, args.table, args.dt, args.user_column)
+    _print_rows(result_table.latest_partitions(spark, args.table))
+
+
+def cmd_drop_partition(spark: SparkSession, args) -> None:
+    result_table.drop_partition(spark, args.table, args.dt)
+
+
+def cmd_peek(spark: SparkSession, args) -> None:
+    _print_rows(result_table.peek(spark.table(args.table), args.rows, args.order_by))
+
+
+def cmd_audit(spark: SparkSession, args) -> None:
+    _print_rows(result_table.latest_partitions(spark, args.table, args.days))
+
+
+def cmd_drop_table(spark: SparkSession, args) -> None:
+    result_table.drop_table(spark, args.table)
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="datescore")
     sub = p.add_subparsers(dest="job", required=True)
@@ -115,10 +167,13 @@ def parser() -> argparse.ArgumentParser:
         g.add_argument("--features-table", help="feature table in the catalog")
         sp.add_argument("--run-date", default=None, help="yyyy-MM-dd; the scored day is the day before (default: today)")
 
-    def training(sp):
+    def labelled(sp):
         g = sp.add_mutually_exclusive_group(required=True)
         g.add_argument("--training", help="training feature table (Parquet path)")
         g.add_argument("--training-tsv", help="training data as header TSV")
+
+    def training(sp):
+        labelled(sp)
         sp.add_argument("--n-sample", type=int, required=True, help="rows per class in the training sample")
         sp.add_argument("--seed", type=int, default=123)
 
@@ -128,6 +183,7 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--location", default=None, help="storage location when the table is created")
     d.add_argument("--model", default=None, help="saved model (default: the fixed test ensemble)")
     d.add_argument("--ntree-limit", type=int, default=1500)
+    d.add_argument("--best-trees", action="store_true", help="score with the trees early stopping chose for the model")
     d.add_argument("--csv", default=None, help="also write the day's result as header CSV")
     d.add_argument("--validate-keys", action="store_true")
     d.add_argument("--rebalance-output", action="store_true")
@@ -144,6 +200,11 @@ def parser() -> argparse.ArgumentParser:
     t.add_argument("--max-iter", type=int, default=2000)
     t.add_argument("--max-depth", type=int, default=7)
     t.add_argument("--eta", type=float, default=0.01)
+    t.add_argument("--gamma", type=float, default=0.03, help="least gain of a split")
+    t.add_argument("--subsample", type=float, default=0.75, help="rows of a tree")
+    t.add_argument("--colsample", type=float, default=0.81, help="features of a node")
+    t.add_argument("--min-child-rows", type=int, default=4)
+    t.add_argument("--max-bins", type=int, default=32)
     t.add_argument("--threshold", type=float, default=0.5)
     t.add_argument("--history-every", type=int, default=100)
     t.add_argument("--patience", type=int, default=50)
@@ -163,6 +224,31 @@ def parser() -> argparse.ArgumentParser:
     f.add_argument("--out", required=True)
     f.add_argument("--training", action="store_true", help="keep pre_days_median and label")
     f.set_defaults(run=cmd_features)
+
+    v = sub.add_parser("evaluate", help="judge a saved model on labelled rows")
+    labelled(v)
+    v.add_argument("--model", required=True)
+    v.add_argument("--threshold", type=float, default=0.5)
+    v.add_argument("--ntree-limit", type=int, default=1500)
+    v.set_defaults(run=cmd_evaluate)
+
+    def table(name, run, text):
+        sp = sub.add_parser(name, help=text)
+        sp.add_argument("--table", required=True)
+        sp.set_defaults(run=run)
+        return sp
+
+    table("create-table", cmd_create_table, "create the result table if absent").add_argument("--location", default=None)
+    o = table("load", cmd_load, "replace one day of the result table with a result CSV")
+    o.add_argument("--csv", required=True)
+    o.add_argument("--dt", required=True, help="yyyyMMdd")
+    o.add_argument("--user-column", default=None, help="what the file calls the user column")
+    table("drop-partition", cmd_drop_partition, "drop one day").add_argument("--dt", required=True)
+    k = table("peek", cmd_peek, "a few rows of the result table")
+    k.add_argument("--rows", type=int, default=5)
+    k.add_argument("--order-by", nargs="+", default=None, help="columns (default: any rows)")
+    table("audit", cmd_audit, "latest days with row counts").add_argument("--days", type=int, default=5)
+    table("drop-table", cmd_drop_table, "drop the result table")
     return p
 
 
@@ -171,7 +257,11 @@ def main(argv: list[str] | None = None) -> int:
     if getattr(args, "run_date", None) is not None:
         previous_day_value(args.run_date)  # validate the date early
     spark = _session()
-    args.run(spark, args)
+    mark = scratch_mark()
+    try:
+        args.run(spark, args)
+    finally:
+        clear_scratch(spark, mark)
     return 0
 
 

@@ -29,8 +29,8 @@ from datescore.operators.prepare import (
     threshold,
 )
 from datescore.plans import jobs
-from datescore.plans.oracle import DAY, N_SAMPLE, NEXT_DAY, OTHER_DAY
-from datescore.schema import EXTRACT_SCHEMA, FEATURES, KEY, LABEL, PARTITION, RESULT_SCHEMA
+from datescore.plans.oracle import DAY, INIT_POINTS, N_ITER, N_SAMPLE, NAMELESS_USER, QUERY_LIMIT, QUERY_MARK, QUERY_TREES
+from datescore.schema import EXTRACT_SCHEMA, FEATURES, KEY, LABEL, PARTITION, RESULT_SCHEMA, TRAINING_COLUMNS, TRAINING_SCHEMA, USER
 from datescore.session import materialize, work_path
 from datescore.sources import model_store, result_table, text
 from datescore.sources.feature_table import read_feature_table, scan_partition, write_feature_table
@@ -91,33 +91,46 @@ def class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- sampling, holdout, splits ---------------------------------------------------
+# These read their input more than once, so it is written first: one scan of
+# ``events`` a query. One user has no name there: no row may be lost for that.
+
+
+def _training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = _features(spark, sf_dir)
+    nameless = F.when(F.col(USER) != NAMELESS_USER, F.col(USER))
+    return materialize(f.withColumn(USER, nameless), "training-table")
+
+
+def _sample(training: DataFrame) -> DataFrame:
+    """The class sample, 2 x N_SAMPLE rows, written once."""
+    return materialize(S.class_sample(training, N_SAMPLE), "sample")
 
 
 def class_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exactly n rows per class, seeded per class."""
-    return S.class_sample(_features(spark, sf_dir), N_SAMPLE)
+    return S.class_sample(_training_table(spark, sf_dir), N_SAMPLE)
 
 
 def holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 via the sample flag (no join)."""
-    return S.holdout(_features(spark, sf_dir), N_SAMPLE)
+    return S.holdout(_training_table(spark, sf_dir), N_SAMPLE)
 
 
 def holdout_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 as an anti-join on the row key."""
-    f = _features(spark, sf_dir)
-    return S.holdout_anti_join(f, S.class_sample(f, N_SAMPLE))
+    f = _training_table(spark, sf_dir)
+    return S.holdout_anti_join(f, _sample(f))
 
 
 def training_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positives UNION ALL negatives."""
-    sample = S.class_sample(_features(spark, sf_dir), N_SAMPLE)
+    sample = _sample(_training_table(spark, sf_dir))
     return S.union_rows(class_rows(sample, 1), class_rows(sample, 0))
 
 
 def subset_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sizes of the positive sample, negative sample and holdout, in one aggregation."""
-    flagged = S.flag_class_sample(_features(spark, sf_dir), N_SAMPLE)
+    flagged = S.flag_class_sample(_training_table(spark, sf_dir), N_SAMPLE)
     role = (
         F.when(F.col("sampled") & (F.col(LABEL) == 1), F.lit("positive"))
         .when(F.col("sampled"), F.lit("negative"))
@@ -128,13 +141,13 @@ def subset_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def half_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact 50/50 split of the sample."""
-    sample = S.class_sample(_features(spark, sf_dir), N_SAMPLE)
+    sample = _sample(_training_table(spark, sf_dir))
     return S.half_split(sample).select(*KEY, LABEL, "is_test")
 
 
 def fold_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3: stratified 3-fold assignment of the sample."""
-    sample = S.class_sample(_features(spark, sf_dir), N_SAMPLE)
+    sample = _sample(_training_table(spark, sf_dir))
     return S.fold_assign(sample).select(*KEY, LABEL, "fold")
 
 
@@ -200,7 +213,7 @@ def auc_by_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fold_mean_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AUC per fold of the sample and its mean over folds."""
-    sample = S.fold_assign(S.class_sample(_features(spark, sf_dir), N_SAMPLE))
+    sample = materialize(S.fold_assign(_sample(_training_table(spark, sf_dir))), "folds")
     filled = fill_missing(sample, subset=FEATURES)
     scored = filled.select("fold", LABEL, E.probability(E.FIXED_ENSEMBLE).alias("score"))
     per_fold = MT.auc(scored, by=["fold"])
@@ -246,27 +259,29 @@ def _read_back(spark: SparkSession, table: str, name: str) -> DataFrame:
     return _copy_out(spark.table(table).select("user_name", "dep_date", "q_ratio", PARTITION), name)
 
 
+def _all_days_table(spark: SparkSession, features: DataFrame, tag: str) -> str:
+    """A result table with every day scored and loaded (S5 on a path, S6)."""
+    table, location = _table_name(spark, tag)
+    result_table.overwrite_partitions_at(jobs.score_with_ensemble(features), location)
+    return result_table.create_result_table(spark, table, location)
+
+
 def result_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Create, load two days, reload one with other scores, read back, drop."""
+    """All days loaded, one day replaced twice (the second time with other scores), read back, dropped."""
     features = _feature_table(spark, sf_dir)
-    table, location = _table_name(spark, "overwrite")
-    result_table.create_result_table(spark, table, location)
+    table = _all_days_table(spark, features, "overwrite")
     try:
-        for dt, k in [(DAY, None), (NEXT_DAY, None), (DAY, 2)]:
-            result_table.overwrite_partition(_day_result(features, dt, k), table, dt)
+        for k in (None, 2):
+            result_table.overwrite_partition(_day_result(features, DAY, k), table, DAY)
         return _read_back(spark, table, "overwrite-readback")
     finally:
         result_table.drop_table(spark, table)
 
 
 def drop_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load three days, drop the middle one, read back."""
-    features = _feature_table(spark, sf_dir)
-    table, location = _table_name(spark, "dropday")
-    result_table.create_result_table(spark, table, location)
+    """All days loaded, one dropped, read back."""
+    table = _all_days_table(spark, _feature_table(spark, sf_dir), "dropday")
     try:
-        for dt in (OTHER_DAY, DAY, NEXT_DAY):
-            result_table.overwrite_partition(_day_result(features, dt), table, dt)
         result_table.drop_partition(spark, table, DAY)
         return _read_back(spark, table, "dropday-readback")
     finally:
@@ -274,10 +289,10 @@ def drop_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def result_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S4 + S5 from a file: one day's result as CSV, loaded into a partition, read back."""
-    csv = text.write_result_csv(_day_result(_feature_table(spark, sf_dir), DAY), work_path(spark, "result-day-csv"))
-    table, location = _table_name(spark, "csvload")
-    result_table.create_result_table(spark, table, location)
+    """S4 + S5 from a file: all days loaded, one replaced from a result CSV with yyyy/M/d dates, read back."""
+    features = _feature_table(spark, sf_dir)
+    csv = text.write_result_csv(_day_result(features, DAY, 2), work_path(spark, "result-day-csv"), text.DATE_FORMATS[1])
+    table = _all_days_table(spark, features, "csvload")
     try:
         result_table.load_csv_into_partition(spark, csv, table, DAY)
         return _read_back(spark, table, "csvload-readback")
@@ -285,30 +300,29 @@ def result_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         result_table.drop_table(spark, table)
 
 
-def _loaded_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All days scored and written with dynamic partition overwrite (S5 on a path)."""
-    path = work_path(spark, "results")
-    result_table.overwrite_partitions_at(jobs.score_with_ensemble(_features(spark, sf_dir)), path)
-    return spark.read.option("basePath", path).schema(
-        "user_name STRING, dep_date DATE, q_ratio FLOAT, dt STRING"
-    ).parquet(path)
-
-
 def partition_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 + L1: latest five days of the result table with row counts."""
-    return result_table.latest_partitions(_loaded_results(spark, sf_dir))
+    table = _all_days_table(spark, _features(spark, sf_dir), "audit")
+    try:
+        return _copy_out(result_table.latest_partitions(spark, table), "audit-readback")
+    finally:
+        result_table.drop_table(spark, table)
 
 
 def result_peek(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L2: five rows of the result table, ordered by key."""
-    return result_table.peek(_loaded_results(spark, sf_dir)).select("user_name", "dep_date", "q_ratio", PARTITION)
+    """L2: five rows of the result table; ordered by key on request, so that the answer is stable."""
+    path = work_path(spark, "results")
+    result_table.overwrite_partitions_at(jobs.score_with_ensemble(_features(spark, sf_dir)), path)
+    results = spark.read.option("basePath", path).schema("user_name STRING, dep_date DATE, q_ratio FLOAT, dt STRING").parquet(path)
+    rows = result_table.peek(results, order=[PARTITION, USER, "dep_date"])
+    return rows.select("user_name", "dep_date", "q_ratio", PARTITION)
 
 
 def tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S2 + S3: one day written as header TSV (NULL for missing) and read back."""
-    day = project_extract(_features(spark, sf_dir).where(F.col(PARTITION) == DAY))
-    path = text.write_tsv(day, work_path(spark, "extract-tsv"))
-    return text.read_tsv(spark, path, EXTRACT_SCHEMA)
+    """S2 + S3: the training table, all days, as header TSV (NULL for missing) and read back."""
+    rows = _features(spark, sf_dir).select(*TRAINING_COLUMNS)
+    path = text.write_tsv(rows, work_path(spark, "training-tsv"))
+    return text.read_tsv(spark, path, TRAINING_SCHEMA)
 
 
 def extract_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,43 +351,102 @@ def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.run_available(spark, src, out, ckpt)
 
 
-# --- model jobs (rows-only checks) ------------------------------------------------------
+# --- model jobs ---------------------------------------------------------------------------
+# The reference's parameters with QUERY_TREES trees instead of 2000, of which
+# the first QUERY_LIMIT score (the reference: 1500 of 2000).
+
+QUERY_PARAMS = M.TreeParams(max_iter=QUERY_TREES)
 
-SMALL_TREES = M.TreeParams(max_iter=5, max_depth=4, min_instances_per_node=1)
+
+def _differ(a: DataFrame, b: DataFrame, on: list[str]) -> int:
+    """Rows of two scored frames whose scores differ, or that only one of them has."""
+    left, right = a.withColumnRenamed("score", "_a"), b.select(*[F.col(c).alias(f"_{c}") for c in on], F.col("score").alias("_b"))
+    both = left.join(right, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on], "full")
+    return both.where(F.coalesce(F.abs(F.col("_a") - F.col("_b")) > 1e-9, F.lit(True))).count()
 
 
 def train_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train on the sample, evaluate on the holdout."""
+    """Train on the sample, evaluate on the holdout; sizes and 0-mismatch counters."""
     path = work_path(spark, "model")
-    res = jobs.train_evaluate(_features(spark, sf_dir), N_SAMPLE, SMALL_TREES, model_path=path, history_every=1, patience=2)
-    reloaded = model_store.load_model(path)
-    held = S.holdout(_features(spark, sf_dir), N_SAMPLE)
-    scored = M.score(reloaded, held, keep=[*KEY, LABEL])
-    auc = MT.auc(scored).select(F.lit("auc").alias("metric"), F.col("auc").alias("value"))
-    best = spark.range(1).select(F.lit("best_trees").alias("metric"), F.lit(float(res.best_trees)).alias("value"))
-    return res.reports["metrics"].unionByName(auc).unionByName(best)
+    training = _training_table(spark, sf_dir)
+    res = jobs.train_evaluate(
+        training, N_SAMPLE, QUERY_PARAMS, model_path=path, history_every=QUERY_MARK, ntree_limit=QUERY_LIMIT
+    )
+    sample = res.sample
+    scored = materialize(M.score(res.model, sample, keep=[*KEY, LABEL], ntree_limit=QUERY_LIMIT), "sample-scores")
+    reloaded = M.score(model_store.load_model(path), sample, keep=KEY, ntree_limit=QUERY_LIMIT)
+    trees = M.to_ensemble(res.model)
+    filled = fill_missing(sample, subset=FEATURES)
+    summed = E.probability_column(trees, FEATURES, QUERY_LIMIT, M.MLLIB_MARGIN_SCALE, compiled=False).alias("score")
+    by_rows = MT.binary_metrics(label_prediction_pairs(scored, inclusive=False))
+    by_histogram = M.evaluate(scored)["metrics"]
+    marks = range(QUERY_MARK, QUERY_TREES + 1, QUERY_MARK)
+    values = {r.role: r.rows for r in res.sizes.collect()}
+    values |= {f"support_{r['class']}": r.support for r in res.reports["class_report"].collect() if r["class"] in "01"}
+    cells = res.reports["confusion"].select(F.sum(F.coalesce("true_0", F.lit(0)) + F.coalesce("true_1", F.lit(0))))
+    values |= {
+        "confusion_cells": cells.first()[0],
+        "trees": len(trees),
+        "history_rows": res.history.count(),
+        "best_trees_is_a_mark": int(model_store.load_best_trees(path) in marks),
+        "reload_mismatches": _differ(scored.drop(LABEL), reloaded, KEY),
+        "prefix_mismatches": _differ(scored.drop(LABEL), filled.select(*KEY, summed), KEY),
+        "report_mismatches": by_rows.exceptAll(by_histogram).count() + by_histogram.exceptAll(by_rows).count(),
+    }
+    return spark.createDataFrame([(m, int(v)) for m, v in values.items()], "metric string, value bigint")
 
 
 def tune(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A short two-stage search (3 points x 3 folds)."""
-    trials, _best = jobs.tune(_features(spark, sf_dir), N_SAMPLE, init_points=2, n_iter=1, parallelism=3)
-    return TU.trial_params(trials)
+    """The two-stage search at the reference's size; what must hold of each trial."""
+    res = jobs.tune(_training_table(spark, sf_dir), N_SAMPLE, init_points=INIT_POINTS, n_iter=N_ITER, parallelism=8)
+    trials, best = materialize(res[0], "trials"), res[1].first()
+    params = TU.trial_params(trials).withColumnRenamed("score", "_score").alias("p")
+    inside = F.lit(True)
+    for name, (lo, hi) in TU.SEARCH_BOX.items():
+        inside = inside & F.col(f"t.{name}").between(lo, hi)
+    whole = (F.col("p.max_depth") == F.floor("t.max_depth")) & (F.col("p.n_estimators") == F.greatest(F.lit(1), F.floor("t.n_estimators")))
+    first = trials.where(F.col("score") == trials.agg(F.max("score")).first()[0]).agg(F.min("trial_id")).first()[0]
+    sizes = {r.fold: r["count"] for r in res[2].groupBy("fold").count().collect()}
+    return trials.alias("t").join(params, F.col("t.trial_id") == F.col("p.trial_id")).select(
+        "t.trial_id",
+        "t.stage",
+        inside.alias("in_box"),
+        whole.alias("truncated"),
+        F.col("t.score").between(0, 1).alias("scored"),
+        F.lit(best.trial_id == first).alias("best_is_first_max"),
+        *[F.lit(sizes[k]).cast("bigint").alias(f"fold_{k}") for k in range(3)],
+    )
 
 
 def daily_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W1 with a trained model: train, save, load, score yesterday's partition, load it, audit."""
-    f = _features(spark, sf_dir)
-    sample = S.class_sample(f, N_SAMPLE)
-    model = M.train(sample, SMALL_TREES)
-    path = model_store.save_model(model, work_path(spark, "daily-model"))
-    features_path = write_feature_table(f.select(*EXTRACT_SCHEMA.names), work_path(spark, "features"))
-    table, location = _table_name(spark, "daily")
-    result_table.create_result_table(spark, table, location)
+    """W1 with a trained model: train, save, load, score yesterday's partition, replace it, audit."""
+    training = materialize(_features(spark, sf_dir), "training-table")
+    sample = _sample(training)
+    path = model_store.save_model(M.train(sample, QUERY_PARAMS), work_path(spark, "daily-model"))
+    features = write_feature_table(training.select(*EXTRACT_SCHEMA.names), work_path(spark, "features"))
+    table = _all_days_table(spark, training, "daily")
     try:
-        jobs.daily_scoring(
-            read_feature_table(spark, features_path), table, RUN_DATE, model=model_store.load_model(path), ntree_limit=1500
+        before = _copy_out(spark.table(table).where(F.col(PARTITION) != DAY), "daily-before")
+        audit = jobs.daily_scoring(
+            read_feature_table(spark, features), table, RUN_DATE, model=model_store.load_model(path), ntree_limit=QUERY_LIMIT
+        )
+        audited = audit.agg(F.sum("count")).first()[0]
+        spark.catalog.refreshTable(table)
+        after = spark.table(table).where(F.col(PARTITION) != DAY)
+        same = before.exceptAll(after).isEmpty() and after.exceptAll(before).isEmpty()
+        day = spark.table(table).where(F.col(PARTITION) == DAY)
+        ok = (F.col("q_ratio") > 0) & (F.col("q_ratio") < 1)
+        return _copy_out(
+            day.select(
+                "user_name",
+                "dep_date",
+                PARTITION,
+                F.coalesce(ok, F.lit(False)).alias("in_range"),
+                F.lit(same).alias("others_unchanged"),
+                F.lit(audited).cast("bigint").alias("audit_rows"),
+            ),
+            "daily-readback",
         )
-        return _copy_out(spark.table(table), "daily-readback")
     finally:
         result_table.drop_table(spark, table)
 

@@ -20,7 +20,7 @@ from datescore.operators import sampling as S
 from datescore.operators import tuning as TU
 from datescore.operators.metrics import auc, subset_sizes
 from datescore.operators.prepare import check_unique_key, result_rows
-from datescore.schema import DEP_DATE, FEATURES, KEY, LABEL, PARTITION, USER
+from datescore.schema import DEP_DATE, FEATURES, KEY, LABEL, PARTITION, USER, require_columns
 from datescore.sources import model_store, result_table, text
 from datescore.session import checkpoint_root, materialize
 from datescore.sources.feature_table import scan_partition
@@ -31,7 +31,8 @@ from datescore.sources.feature_table import scan_partition
 
 def score_with_ensemble(features: DataFrame, ensemble: E.Ensemble = E.FIXED_ENSEMBLE, k: int | None = None) -> DataFrame:
     """P7 -> M10 (first ``k`` trees) -> P8/P9, with ``dt`` carried along."""
-    filled = fill_missing(features, subset=[c for c in FEATURES if c in features.columns])
+    require_columns(features, FEATURES)
+    filled = fill_missing(features, subset=FEATURES)
     scored = filled.select(USER, DEP_DATE, PARTITION, E.probability_column(ensemble, FEATURES, k).alias("score"))
     return result_rows(scored, extra=[PARTITION])
 
@@ -81,7 +82,7 @@ def daily_scoring(
     if csv_path:
         loaded = spark.table(table).where(F.col(PARTITION) == dt).select("user_name", "dep_date", "q_ratio")
         text.write_result_csv(loaded, csv_path)
-    return result_table.latest_partitions(spark.table(table))
+    return result_table.latest_partitions(spark, table)
 
 
 # --- W2: extract only ------------------------------------------------------------
@@ -104,6 +105,7 @@ class TrainResult:
     reports: dict[str, DataFrame]
     history: DataFrame | None
     best_trees: int | None
+    sample: DataFrame
 
 
 def train_evaluate(
@@ -118,9 +120,12 @@ def train_evaluate(
 ) -> TrainResult:
     """P7 -> D1 -> J1/J2 -> D2 -> M2 -> M7 -> A2 -> S9.
 
-    The sample flag splits sample and holdout with no join. The split rows
-    are written once under the shared checkpoint folder, so the boosting loop
-    (one pass per tree) and the evaluation read a fixed, fault-tolerant input.
+    The sample flag splits sample and holdout with no join, from one flagged
+    frame. ``training`` is read four times (counts and boundary pruned to the key
+    columns, the sample, the holdout), so give it as a stored table. The split
+    rows are written once under the shared folder, so the boosting loop (one
+    pass per tree) and the evaluation read a fixed, fault-tolerant input. The
+    choice of early stopping is stored with the model.
     """
     checkpoint_root(training.sparkSession)
     flagged = S.flag_class_sample(training, n_sample)
@@ -147,8 +152,16 @@ def train_evaluate(
     held_size = hist.agg(F.sum(F.col("_pos") + F.col("_neg") + F.col("_bad")).cast("long").alias("rows"))
     sizes = sample_sizes.unionByName(held_size.select(F.lit("holdout").alias("role"), "rows"))
     if model_path:
-        model_store.save_model(model, model_path)
-    return TrainResult(model, model_path, sizes, reports, history, best)
+        model_store.save_model(model, model_path, best)
+    return TrainResult(model, model_path, sizes, reports, history, best, sample)
+
+
+def evaluate_saved(labelled: DataFrame, model_path: str, threshold: float = 0.5, ntree_limit: int | None = 1500) -> dict[str, DataFrame]:
+    """S10 -> M6 -> M7: a stored model judged on labelled rows."""
+    scored = M.score(model_store.load_model(model_path), labelled, keep=[*KEY, LABEL], ntree_limit=ntree_limit)
+    reports = M.evaluate(scored, threshold)
+    reports.pop("histogram")
+    return reports
 
 
 # --- W4: tune -----------------------------------------------------------------------
@@ -161,13 +174,13 @@ def tune(
     n_iter: int = TU.N_ITER,
     parallelism: int = 4,
     seed: int = 90,
-) -> tuple[DataFrame, DataFrame]:
-    """D1 -> D3 -> M8 (+A10) -> M9 -> L3. Returns (trials, best trial)."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """D1 -> D3 -> M8 (+A10) -> M9 -> L3. Returns (trials, best trial, folded sample)."""
     checkpoint_root(training.sparkSession)
     sample = materialize(S.class_sample(training, n_sample), "sample")
     folded = materialize(S.fold_assign(sample), "folds")
     trials = TU.search(folded, init_points=init_points, n_iter=n_iter, seed=seed, parallelism=parallelism)
-    return trials, TU.best_trial(trials)
+    return trials, TU.best_trial(trials), folded
 
 
 def prefix_auc(features: DataFrame, ensemble: E.Ensemble = E.FIXED_ENSEMBLE) -> DataFrame:

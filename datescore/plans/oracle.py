@@ -121,20 +121,32 @@ scored AS (
 
 
 def _md5_key(seed_sql: str) -> str:
-    return (
-        f"md5(concat({seed_sql}, '|', user_name, '|', dt, '|', CAST(dep_date_of_search AS VARCHAR)))"
+    fields = ", '|', ".join(
+        f"CASE WHEN {c} IS NULL THEN '-' ELSE concat(length(CAST({c} AS VARCHAR)), ':', CAST({c} AS VARCHAR)) END"
+        for c in ("user_name", "dt", "dep_date_of_search")
     )
+    return f"md5(concat({seed_sql}, '|', {fields}))"
 
 
+# The sampling queries run on features where one user has no name.
+NAMELESS_USER = "u149"
 SAMPLE = f"""
+keyed AS (
+  SELECT * REPLACE (CASE WHEN user_name = '{NAMELESS_USER}' THEN NULL ELSE user_name END AS user_name) FROM features),
 smp AS (
   SELECT *, row_number() OVER (
     PARTITION BY label ORDER BY {_md5_key("CASE WHEN label = 1 THEN '1' ELSE '43' END")}) AS rn
-  FROM features WHERE label IN (0, 1)),
+  FROM keyed WHERE label IN (0, 1)),
 sample AS (SELECT * EXCLUDE (rn) FROM smp WHERE rn <= {N_SAMPLE})
 """
 
 KEYS = "user_name, dt, dep_date_of_search"
+SAME_KEY = " AND ".join(f"s.{c} IS NOT DISTINCT FROM f.{c}" for c in KEYS.split(", "))
+TRAINING = f"{EXTRACT}, pre_days_median, label"
+
+# Settings of the registered model jobs.
+QUERY_TREES, QUERY_LIMIT, QUERY_MARK = 20, 15, 5
+INIT_POINTS, N_ITER = 10, 25
 
 
 def auc_sql(source: str, by: str = "") -> str:
@@ -243,16 +255,15 @@ SQL: dict[str, str] = {
     "class_counts": with_ctes() + "SELECT label, count(*) AS rows FROM features GROUP BY label",
     "class_sample": with_ctes(SAMPLE) + "SELECT * FROM sample",
     "holdout": with_ctes(SAMPLE)
-    + f"SELECT * FROM features f WHERE NOT EXISTS (SELECT 1 FROM sample s WHERE s.user_name = f.user_name "
-    f"AND s.dt = f.dt AND s.dep_date_of_search = f.dep_date_of_search)",
+    + f"SELECT * FROM keyed f WHERE NOT EXISTS (SELECT 1 FROM sample s WHERE {SAME_KEY})",
     "holdout_anti_join": with_ctes(SAMPLE)
-    + f"SELECT f.* FROM features f ANTI JOIN sample s USING ({KEYS})",
+    + f"SELECT f.* FROM keyed f ANTI JOIN sample s ON {SAME_KEY}",
     "training_union": with_ctes(SAMPLE)
     + "SELECT * FROM sample WHERE label = 1 UNION ALL SELECT * FROM sample WHERE label = 0",
     "subset_sizes": with_ctes(SAMPLE)
     + f"""SELECT CASE WHEN s.label = 1 THEN 'positive' WHEN s.label = 0 THEN 'negative' ELSE 'holdout' END AS role,
               count(*) AS rows
-       FROM features f LEFT JOIN sample s USING ({KEYS}) GROUP BY 1""",
+       FROM keyed f LEFT JOIN sample s ON {SAME_KEY} GROUP BY 1""",
     "half_split": with_ctes(
         SAMPLE,
         f"""sp AS (SELECT *, row_number() OVER (ORDER BY {_md5_key("'split|43'")}) AS r,
@@ -289,7 +300,7 @@ SQL: dict[str, str] = {
         f"""fo AS (SELECT *, CAST((row_number() OVER (PARTITION BY label ORDER BY {_md5_key("'fold|90'")}) - 1) % 3
                           AS INTEGER) AS fold FROM sample)""",
         f"filled AS (SELECT user_name, dep_date_of_search, search_date, dt, label, fold, {FILLED_FEATURES} FROM fo)",
-        SCORED.replace("filled AS", "filled AS"),
+        SCORED,
         auc_sql("scored", "fold"),
     )
     + "SELECT fold, auc, positives, negatives, round(avg(auc) OVER (), 12) AS mean_auc FROM auc_out",
@@ -297,15 +308,45 @@ SQL: dict[str, str] = {
     + "SELECT trees AS trial_id, trees, auc AS score FROM auc_out ORDER BY auc DESC, trees ASC LIMIT 1",
     "result_overwrite": with_ctes(FILLED, SCORED)
     + f"""SELECT {RESULT_OF.format(s='score2')} FROM scored WHERE dt = '{DAY}'
-       UNION ALL SELECT {RESULT_OF.format(s='score')} FROM scored WHERE dt = '{NEXT_DAY}'""",
+       UNION ALL SELECT {RESULT_OF.format(s='score')} FROM scored WHERE dt <> '{DAY}'""",
     "drop_partition": with_ctes(FILLED, SCORED)
-    + f"SELECT {RESULT_OF.format(s='score')} FROM scored WHERE dt IN ('{OTHER_DAY}', '{NEXT_DAY}')",
+    + f"SELECT {RESULT_OF.format(s='score')} FROM scored WHERE dt <> '{DAY}'",
     "partition_audit": with_ctes() + "SELECT dt, count(*) AS count FROM features GROUP BY dt ORDER BY dt DESC LIMIT 5",
     "result_peek": with_ctes(FILLED, SCORED)
     + f"SELECT {RESULT_OF.format(s='score')} FROM scored ORDER BY dt, user_name, dep_date_of_search LIMIT 5",
-    "tsv_roundtrip": with_ctes() + f"SELECT {EXTRACT} FROM features WHERE dt = '{DAY}'",
+    "tsv_roundtrip": with_ctes() + f"SELECT {TRAINING} FROM features",
     "extract_job": with_ctes() + f"SELECT {EXTRACT} FROM features WHERE dt = '{DAY}'",
-    "result_csv_load": with_ctes(FILLED, SCORED) + f"SELECT {RESULT_OF.format(s='score')} FROM scored WHERE dt = '{DAY}'",
+    # One day comes from a file (another score), with dates as the reference writes them; the others stay.
+    "result_csv_load": with_ctes(FILLED, SCORED)
+    + f"""SELECT {RESULT_OF.format(s='score2')} FROM scored WHERE dt = '{DAY}'
+       UNION ALL SELECT {RESULT_OF.format(s='score')} FROM scored WHERE dt <> '{DAY}'""",
+    "train_evaluate": with_ctes(SAMPLE)
+    + f"""SELECT 'positive' AS metric, CAST({N_SAMPLE} AS BIGINT) AS value
+       UNION ALL SELECT 'negative', {N_SAMPLE}
+       UNION ALL SELECT 'holdout', count(*) - 2 * {N_SAMPLE} FROM keyed
+       UNION ALL SELECT 'support_0', count(*) - {N_SAMPLE} FROM keyed WHERE label = 0
+       UNION ALL SELECT 'support_1', count(*) - {N_SAMPLE} FROM keyed WHERE label = 1
+       UNION ALL SELECT 'confusion_cells', count(*) - 2 * {N_SAMPLE} FROM keyed
+       UNION ALL SELECT 'trees', {QUERY_TREES}
+       UNION ALL SELECT 'history_rows', 2 * {QUERY_TREES // QUERY_MARK}
+       UNION ALL SELECT 'best_trees_is_a_mark', 1
+       UNION ALL SELECT 'reload_mismatches', 0
+       UNION ALL SELECT 'prefix_mismatches', 0
+       UNION ALL SELECT 'report_mismatches', 0""",
+    "tune": with_ctes(
+        SAMPLE,
+        f"""fo AS (SELECT *, (row_number() OVER (PARTITION BY label ORDER BY {_md5_key("'fold|90'")}) - 1) % 3 AS fold
+                 FROM sample)""",
+        "sizes AS (SELECT count(*) FILTER (fold = 0) AS fold_0, count(*) FILTER (fold = 1) AS fold_1, "
+        "count(*) FILTER (fold = 2) AS fold_2 FROM fo)",
+    )
+    + f"""SELECT CAST(t.i AS INTEGER) AS trial_id, CASE WHEN t.i < {INIT_POINTS} THEN 'random' ELSE 'guided' END AS stage,
+              true AS in_box, true AS truncated, true AS scored, true AS best_is_first_max, sizes.*
+       FROM range({INIT_POINTS + N_ITER}) t(i), sizes""",
+    "daily_scoring": with_ctes()
+    + f"""SELECT user_name, dep_date_of_search AS dep_date, dt, true AS in_range, true AS others_unchanged,
+              (SELECT CAST(sum(n) AS BIGINT) FROM (SELECT count(*) AS n FROM features GROUP BY dt ORDER BY dt DESC LIMIT 5)) AS audit_rows
+       FROM features WHERE dt = '{DAY}'""",
     "result_csv_roundtrip": with_ctes(FILLED, SCORED)
     + "SELECT user_name, dep_date_of_search AS dep_date, CAST(score AS FLOAT) AS q_ratio FROM scored",
 }

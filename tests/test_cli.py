@@ -73,3 +73,47 @@ def test_daily_with_saved_model(spark, tmpdir_path, capsys):
         assert scores == 0
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_table_operations(spark, tmpdir_path, capsys):
+    """Create, load by hand (a file with other names and dates), peek, audit, drop a day, drop the table."""
+    csv = os.path.join(tmpdir_path, "result.csv")
+    with open(csv, "w") as fh:
+        fh.write("who,dep_date,q_ratio\nu1,2019/7/5,0.5\nu2,2019/7/16,0.25\n")
+    table = "cli_ops"
+    try:
+        main(["create-table", "--table", table, "--location", os.path.join(tmpdir_path, "t")])
+        for dt in ("20190701", "20190702"):
+            main(["load", "--table", table, "--csv", csv, "--dt", dt, "--user-column", "who"])
+        capsys.readouterr()
+        main(["audit", "--table", table, "--days", "1"])
+        assert capsys.readouterr().out.split() == ["20190702", "2"]
+        main(["peek", "--table", table, "--rows", "1", "--order-by", "dt", "user_name"])
+        assert capsys.readouterr().out.split() == ["u1", "2019-07-05", "0.5", "20190701"]
+        main(["drop-partition", "--table", table, "--dt", "20190702"])
+        assert [r.dt for r in spark.table(table).select("dt").distinct().collect()] == ["20190701"]
+        main(["drop-table", "--table", table])
+        assert not spark.catalog.tableExists(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_training_parameters_and_evaluate(spark, tmpdir_path, capsys):
+    import json
+
+    from datescore.operators import model as M
+    from datescore.sources import model_store
+
+    feats = os.path.join(tmpdir_path, "training")
+    main(["features", "--events", "/root/testdata/sf0.01/events.parquet", "--out", feats, "--training"])
+    model = os.path.join(tmpdir_path, "model")
+    main(["train", "--training", feats, "--n-sample", "100", "--model-out", model, "--max-iter", "2", "--max-depth", "2",
+          "--gamma", "0.01", "--subsample", "0.5", "--colsample", "0.5", "--min-child-rows", "3", "--max-bins", "16",
+          "--history-every", "1", "--patience", "1"])
+    g = M.gbt_stage(model_store.load_model(model))
+    assert (g.getMaxIter(), g.getMinInfoGain(), g.getSubsamplingRate(), g.getMinInstancesPerNode(), g.getMaxBins()) == (2, 0.01, 0.5, 3, 16)
+    assert g.getFeatureSubsetStrategy() == "0.5" and model_store.load_best_trees(model) in (1, 2)
+    capsys.readouterr()
+    main(["evaluate", "--training", feats, "--model", model])
+    reports = json.loads(capsys.readouterr().out)
+    assert set(reports) == {"class_report", "metrics", "confusion", "auc"} and 0 <= reports["auc"][0]["auc"] <= 1

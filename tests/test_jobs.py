@@ -58,6 +58,24 @@ def test_train_evaluate_job(spark, tmpdir_path):
     assert res.reports["confusion"].count() >= 1
 
 
+def test_ensemble_scoring_needs_every_feature(spark):
+    import pytest
+
+    f = features_from_dir(spark, SF001, training=False)
+    with pytest.raises(ValueError, match="is_trader"):
+        jobs.score_with_ensemble(f.drop("is_trader"))
+
+
+def test_scratch_is_deleted_at_the_end_of_a_job(spark):
+    from datescore.session import clear_scratch, materialize, scratch_mark
+
+    mark = scratch_mark()
+    df = materialize(spark.range(5), "scratch-test")
+    path = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(path) and df.count() == 5
+    assert clear_scratch(spark, mark) == 1 and not os.path.exists(path)
+
+
 def test_prefix_auc_matches_single(spark):
     f = features_from_dir(spark, SF001)
     per_k = {r.trees: r.auc for r in jobs.prefix_auc(f).collect()}
