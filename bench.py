@@ -11,6 +11,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -94,7 +95,9 @@ BENCH = {
 
 
 def main() -> None:
-    spark = build_session(f"local[{CPUS}]", shuffle_partitions=CPUS)
+    # A work folder of its own for this local run.
+    folder = {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="datescore-bench-")}
+    spark = build_session(f"local[{CPUS}]", shuffle_partitions=CPUS, **folder)
     # Warm-up: JVM, codegen and Python workers.
     run(C.score_pairs(spark, "/root/testdata/sf0.001"))
     run(C.auc_scores(spark, "/root/testdata/sf0.001"))

@@ -28,7 +28,7 @@ def plan(df) -> str:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]")
+    spark = build_session("local[8]", **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="datescore-plans-")})
     f = features_from_dir(spark, sf_dir)
     stored = read_feature_table(
         spark, write_feature_table(f.drop("label", "pre_days_median"), tempfile.mkdtemp(prefix="plans-") + "/f")
@@ -39,8 +39,8 @@ def main() -> None:
         ("Feature table from events: two exchanges, partial aggregation first", f),
         ("W1, fixed ensemble: one stage, partition filter at the scan, CASE code", jobs.score_with_ensemble(day)),
         ("W1, trained GBT (first 1500 trees): one stage", jobs.score_with_model(day, model, 1500)),
-        ("D1 class sample (after the status table is written): broadcast joins only", S.class_sample(f, 200)),
-        ("D3 folds: exchange on (label, hash bucket)", S.fold_assign(S.class_sample(f, 200))),
+        ("D1 class sample (after status and boundary decisions are written): broadcast joins only", S.class_sample(f, 200)),
+        ("D3 folds: exchange on (group, hash bucket, hash, part)", S.fold_assign(S.class_sample(f, 200))),
         ("A9 input: score histogram (partial aggregation per score)", MT.score_histogram(C._scored(spark, sf_dir))),
     ]
     print("# Physical plans\n")
