@@ -30,7 +30,7 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from datescore.llm.common import arrow_schema, column, slices, texts_of, tokenizer_bytes, tokenizer_path
+from datescore.llm.common import arrow_schema, column, slices, texts_of, to_python, tokenizer_bytes, tokenizer_path
 
 CHUNKS = 250_000  # chunks in a generation of the memo; two generations are held
 PAIRS = 400_000  # neighbour decisions memoised in a task
@@ -230,7 +230,7 @@ def encode_documents(docs: DataFrame, ranks_path: str | None = None, pattern: st
             ids = pa.array([bpe.encode(t).astype(np.int64) for t in texts_of(batch)], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), ids], ["doc_id", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, ids array<bigint>")
+    return to_python(docs.select("doc_id", "text")).mapInArrow(run, "doc_id bigint, ids array<bigint>")
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -271,4 +271,4 @@ def encode_and_decode(docs: DataFrame, ranks_path: str | None = None, pattern: s
                 schema=schema,
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, DIGESTS)
+    return to_python(docs.select("doc_id", "text")).mapInArrow(run, DIGESTS)

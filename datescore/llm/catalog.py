@@ -46,7 +46,8 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return toxicity.score_documents(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model).withColumnRenamed("rejected", "toxic")
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,5 +92,31 @@ r AS (
   FROM d
   WINDOW w AS (PARTITION BY h ORDER BY length(t) DESC, doc_id))
 SELECT doc_id, keep_id, group_size, rn = 1 AS kept, h AS text_sha256 FROM r
+""",
+    "op9_ngram_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END) AS g
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+  FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+e AS (
+  SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * k >= 90 * (na.n + nb.n - k)),
+l AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (
+  SELECT doc_id, doc_id AS c FROM documents
+  UNION
+  SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS component_id
+FROM documents d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
 """,
 }

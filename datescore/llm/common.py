@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import os
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` holds at most ``limit`` bytes of text in each piece.
 
     A single longer text makes a piece of its own: memory is bounded by
@@ -61,6 +62,28 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20)
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    release()
+
+
+def release() -> None:
+    """At the end of a task, give freed memory back: Python workers live on and serve all stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+TEXT_ROWS = 1_000  # texts are long: rows of them in one batch sent to Python
+
+
+def to_python(df: DataFrame) -> DataFrame:
+    """``df`` as it is; rows that hold texts go to Python in batches of at most TEXT_ROWS."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(conf.get(key))
+    if now <= 0 or now > TEXT_ROWS:
+        conf.set(key, str(TEXT_ROWS))
+    return df
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
@@ -68,6 +91,16 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [t or "" for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]
 
 
+def keep_rows(docs: DataFrame, keep: Callable[[list[str]], list[bool]]) -> DataFrame:
+    """The rows of ``docs`` whose texts (null as empty) ``keep`` says to keep, with all their columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            yield batch.filter(pa.array(keep(texts_of(batch)), pa.bool_()))
+
+    return to_python(docs).mapInArrow(run, docs.schema)
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from datescore.llm.common import arrow_schema, column, parallelism, slices, texts_of
+from datescore.llm.common import arrow_schema, column, parallelism, slices, texts_of, to_python
 
 LANES = 128
 WIDE = 8
@@ -100,7 +100,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
                 [column(batch, "doc_id"), pa.array(as_text(*fingerprints(texts_of(batch))))], ["doc_id", "fingerprint"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fingerprint string")
+    return to_python(docs.select("doc_id", "text")).mapInArrow(run, "doc_id bigint, fingerprint string")
 
 
 # --- the next document ----------------------------------------------------------------
@@ -155,7 +155,7 @@ def with_next(docs: DataFrame, apply, schema: str) -> DataFrame:
     dealt = sent.repartition(parallelism(spark), "part").sortWithinPartitions(
         F.desc("part"), F.asc("guest"), F.desc_nulls_last("doc_id"), F.asc("text")
     )
-    return dealt.mapInArrow(apply, schema)
+    return to_python(dealt).mapInArrow(apply, schema)
 
 
 RESULT = (

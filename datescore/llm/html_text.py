@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from datescore.llm.common import arrow_schema, column, parallelism, slices, texts_of
+from datescore.llm.common import arrow_schema, column, parallelism, slices, texts_of, to_python
 
 _BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form"
@@ -318,4 +318,4 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     )
     number = F.lpad(F.coalesce(F.col("page_id").cast("string"), F.lit("")), 20, "0")
     rows = rows.withColumn("k", F.concat_ws("\x01", "host", "path", number))
-    return _in_url_order(rows).drop("k").mapInArrow(_difference, RESULT)
+    return to_python(_in_url_order(rows).drop("k")).mapInArrow(_difference, RESULT)

@@ -11,8 +11,10 @@ when the Jaccard similarity of their sets reaches num / den.
    one. Nodes are joined on prefix n-grams, under the length filter (sizes within
    t) and the positional filter (what can still be shared after the first
    common n-gram).
-4. Each distinct pair is verified once: the suffix filter (how far the
-   halves of the two sorted sets must differ) and then the intersection.
+4. The suffix filter bounds from below how far two sets differ, from the number
+   of their n-grams in each of BINS ranges of hashes; pairs that differ too
+   far go before their sets are fetched.
+5. Each distinct pair that is left is verified once, on the whole sets.
 
 A group of near copies would make all pairs of its members. So pairs are taken in two
 rounds. First every node of a prefix n-gram's list is paired with the list's
@@ -21,7 +23,7 @@ pairs of nodes in different components are taken, under the same filters, less t
 already verified. No link between components is lost, and links inside
 a component change nothing in the result.
 
-At scale: texts are scanned three times and never shuffled. What is shuffled is prefix
+At scale: texts are scanned four times and never shuffled. What is shuffled is prefix
 rows (about 1 - t of the n-grams), then lists of at least two nodes, then
 the sets of nodes that stand in a pair, found in the scan by a fixed-size bit
 map. Long lists are never gathered: counts and hubs are aggregated before the
@@ -39,12 +41,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from datescore.llm.common import arrow_schema, column, free_name, parallelism, slices, written
+from datescore.llm.common import arrow_schema, column, free_name, parallelism, slices, to_python, written
 
 SLOTS = 1 << 20  # counters of the frequency table
 SLOT_BLOCK = 1 << 12  # counters in one row of it
 MAP_BITS = 23  # of the bit map of nodes in pairs
+BINS = 128  # ranges of hashes the suffix filter counts in
 
 _LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], dtype=np.uint8)
 _WHITE = np.isin(np.arange(256), [0x20, 9, 10, 11, 12, 13])
@@ -131,7 +135,13 @@ def _batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
 
 # --- nodes and frequencies --------------------------------------------------------------
 
-NODES = "doc_id bigint, n_shingles bigint, node bigint, block int, counts binary"
+NODES = "doc_id bigint, n_shingles bigint, node bigint, bins binary, block int, counts binary"
+
+
+def bins_of(grams: np.ndarray) -> bytes:
+    """How many of a set's n-grams lie in each range of hashes, at most 255."""
+    counts = np.bincount((grams >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64), minlength=BINS)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
 def _nodes(docs: DataFrame, n: int) -> DataFrame:
@@ -139,21 +149,27 @@ def _nodes(docs: DataFrame, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(NODES)
-        counters = np.zeros(SLOTS, dtype=np.int64)
+        counters, seen = np.zeros(SLOTS, dtype=np.int64), set()
         for batch in slices(batches, "text"):
             sets = _sets(batch, n)
             counters += np.bincount(_slot(np.concatenate(sets)), minlength=SLOTS)
             ids = column(batch, "doc_id").to_pylist()
-            yield _batch([(i, len(s), node_of(s), None, None) for i, s in zip(ids, sets)], schema)
+            rows = []
+            for i, s in zip(ids, sets):
+                node = node_of(s)
+                first = node is not None and node not in seen
+                seen.add(node)
+                rows.append((i, len(s), node, bins_of(s) if first else None, None, None))
+            yield _batch(rows, schema)
         rows = []
         for block in range(SLOTS // SLOT_BLOCK):
             part = counters[block * SLOT_BLOCK : (block + 1) * SLOT_BLOCK]
             if part.any():
-                rows.append((None, None, None, block, part.astype("<i8").tobytes()))
+                rows.append((None, None, None, None, block, part.astype("<i8").tobytes()))
         if rows:
             yield _batch(rows, schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, NODES)
+    return to_python(docs.select("doc_id", "text")).mapInArrow(run, NODES)
 
 
 def _slot(grams: np.ndarray) -> np.ndarray:
@@ -228,7 +244,7 @@ def _prefixes(docs: DataFrame, n: int, num: int, den: int, frequencies) -> DataF
                 schema=schema,
             )
 
-    return docs.select("text").mapInArrow(run, PREFIXES)
+    return to_python(docs.select("text")).mapInArrow(run, PREFIXES)
 
 
 def _may_link(size: Column, pos: Column, size2: Column, pos2: Column, num: int, den: int) -> Column:
@@ -240,10 +256,10 @@ def _may_link(size: Column, pos: Column, size2: Column, pos2: Column, num: int,
 
 def _lists(prefixes: DataFrame) -> DataFrame:
     """Rows of n-grams that at least two nodes hold, with the hub of each list."""
-    hub = F.min(F.struct("pos", "size", "node"))
-    stats = prefixes.groupBy("gram").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), hub.alias("hub"))
-    shared = stats.where("lo <> hi").select("gram", "hub")
-    return prefixes.join(shared, "gram")
+    ends = prefixes.groupBy("gram").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+    shared = written(prefixes.join(ends.where("lo <> hi").select("gram"), "gram"), "join-shared")
+    hubs = shared.groupBy("gram").agg(F.min(F.struct("pos", "size", "node")).alias("hub"))
+    return shared.join(hubs, "gram")
 
 
 def _ordered(a: Column, b: Column) -> list[Column]:
@@ -310,28 +326,41 @@ def _node_sets(docs: DataFrame, n: int, pairs: DataFrame) -> DataFrame:
             if rows:
                 yield _batch(rows, schema)
 
-    return docs.select("text").mapInArrow(run, "node bigint, grams binary").dropDuplicates(["node"])
+    return to_python(docs.select("text")).mapInArrow(run, "node bigint, grams binary").dropDuplicates(["node"])
+
 
+def need(both, num: int, den: int):
+    """What two sets of ``both`` n-grams in all must share to link."""
+    return -(-num * both // (num + den))
 
-def differ_at_least(x: np.ndarray, y: np.ndarray, depth: int = 3) -> int:
-    """Suffix filter: a lower bound of the symmetric difference of two sorted sets, from halving one of them."""
-    if not depth or not len(x) or not len(y):
-        return abs(len(x) - len(y))
-    middle = len(y) // 2
-    cut = int(np.searchsorted(x, y[middle]))
-    return differ_at_least(x[:cut], y[:middle], depth - 1) + differ_at_least(x[cut:], y[middle:], depth - 1)
+
+def differ_at_least(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Lower bounds of the symmetric differences of sets, from rows of their bin counts."""
+    return np.abs(x.astype(np.int16) - y.astype(np.int16)).sum(axis=1)
 
 
 def similar(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
-    both = len(x) + len(y)
-    need = -(-num * both // (num + den))
-    if differ_at_least(x, y) > both - 2 * need:
-        return False
-    return len(np.intersect1d(x, y, assume_unique=True)) >= need
+    return len(np.intersect1d(x, y, assume_unique=True)) >= need(len(x) + len(y), num, den)
+
 
+def _suffix_filter(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """``pairs`` without those whose bin counts already tell that they differ too far."""
+    bins = nodes.where("bins IS NOT NULL").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("bins").alias("bins"))
+    both = pairs.join(bins.toDF("a", "m", "x"), "a").join(bins.toDF("b", "n", "y"), "b").select("a", "b", "m", "n", "x", "y")
 
-def _links(docs: DataFrame, n: int, num: int, den: int, pairs: DataFrame) -> DataFrame:
-    """The pairs that link, each verified once on whole sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(column(batch, c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("x", "y"))
+            size = column(batch, "m").to_numpy() + column(batch, "n").to_numpy()
+            keep = differ_at_least(x, y) <= size - 2 * need(size, num, den)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return both.mapInArrow(run, "a bigint, b bigint")
+
+
+def _links(docs: DataFrame, n: int, num: int, den: int, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs that link: suffix filter, then each verified once on whole sets."""
+    pairs = written(_suffix_filter(pairs, nodes, num, den), "join-plausible")
     if pairs.isEmpty():
         return pairs
     sets = _node_sets(docs, n, pairs)
@@ -393,12 +422,12 @@ def near_classes(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> Da
     spark = docs.sparkSession
     found = written(_nodes(docs, n), "join-nodes")
     frequencies = spark.sparkContext.broadcast(_frequencies(found))
-    lists = written(_lists(written(_prefixes(docs, n, num, den, frequencies), "join-prefixes")), "join-shared")
+    lists = written(_lists(written(_prefixes(docs, n, num, den, frequencies), "join-prefixes")), "join-lists")
     first = written(_hub_pairs(lists, num, den), "join-pairs")
-    links = written(_links(docs, n, num, den, first), "join-links")
+    links = written(_links(docs, n, num, den, first, found), "join-links")
     roots = written(components(links), "join-roots")
     second = written(_cross_pairs(lists, roots, first, num, den), "join-pairs")
-    more = written(_links(docs, n, num, den, second), "join-links")
+    more = written(_links(docs, n, num, den, second, found), "join-links")
     if not more.isEmpty():
         # The components so far, as stars, with the new links between them.
         stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
@@ -413,17 +442,14 @@ def near_classes(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> Da
     return out.select("doc_id", "n_shingles", "node", own.alias("component_id"))
 
 
-def node_column(n: int):
-    """Column function: the node of a text."""
+def with_node(docs: DataFrame, n: int, name: str) -> DataFrame:
+    """``docs`` with the node of each text as one more column."""
 
-    @F.pandas_udf("bigint")
-    def node(texts: pd.Series) -> pd.Series:
-        out = []
-        for k in range(0, len(texts), 500):
-            out += [node_of(s) for s in shingle_sets([(t or "").encode() for t in texts[k : k + 500]], n)]
-        return pd.Series(out, dtype="Int64")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            yield batch.append_column(name, pa.array([node_of(s) for s in _sets(batch, n)], pa.int64()))
 
-    return node
+    return to_python(docs).mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
 
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
@@ -434,23 +460,21 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFr
     """
     classes = written(near_classes(docs, n, num, den).where("node IS NOT NULL"), "near-classes")
     rows = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    node, i, m, c = (free_name(docs, f"_near_{k}") for k in ("node", "id", "least", "rows"))
     # One node of the smallest doc_id: a doc_id may stand more than once in a component.
-    node, extra = free_name(docs, "_node"), free_name(docs, "_rows")
-    which = F.coalesce(F.col("component_id"), F.col("node"))
-    stay = rows.groupBy("component_id", F.when(F.col("component_id").isNull(), which).alias("_w")).agg(
-        F.min("node").alias("_n")
-    )
-    count = rows.groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias(extra)).toDF("_i", "_m", extra)
-    on = (F.col("_n") == F.col("_m")) & F.col("component_id").eqNullSafe(F.col("_i"))
-    stay = written(stay.join(count, on).select("_i", "_n", extra), "near-stay")
-    mine = docs.withColumn(node, node_column(n)(F.coalesce("text", F.lit("")))).alias("m")
-    on = (F.col(f"m.{node}") == F.col("_n")) & F.col("m.doc_id").eqNullSafe(F.col("_i"))
+    # A component without any doc_id is known by its node.
+    nameless = F.when(F.col("component_id").isNull(), F.col("node"))
+    stay = rows.groupBy(F.col("component_id").alias(i), nameless.alias("nameless")).agg(F.min("node").alias(m)).drop("nameless")
+    count = rows.groupBy(F.col("doc_id").alias("of"), F.col("node").alias("at")).agg(F.count(F.lit(1)).alias(c))
+    stay = stay.join(count, (F.col(m) == F.col("at")) & F.col(i).eqNullSafe(F.col("of"))).select(i, m, c)
+    stay = written(stay, "near-stay")
+    mine = with_node(docs, n, node).alias("m")
 
     def matched(of: DataFrame) -> DataFrame:
-        return mine.join(of, on).select("m.*")
+        return mine.join(of, (F.col(node) == F.col(m)) & F.col("m.doc_id").eqNullSafe(F.col(i))).select("m.*")
 
     empty = mine.where(F.col(node).isNull())
-    if stay.where(F.col(extra) > 1).isEmpty():
+    if stay.where(F.col(c) > 1).isEmpty():
         return matched(stay).unionByName(empty).select(*docs.columns)
-    once = matched(stay.where(F.col(extra) > 1)).dropDuplicates(["doc_id", node])
-    return matched(stay.where(F.col(extra) == 1)).unionByName(once).unionByName(empty).select(*docs.columns)
+    once = matched(stay.where(F.col(c) > 1)).dropDuplicates(["doc_id", node])
+    return matched(stay.where(F.col(c) == 1)).unionByName(once).unionByName(empty).select(*docs.columns)

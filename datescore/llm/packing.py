@@ -28,7 +28,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from datescore.llm.bpe import default_pattern
-from datescore.llm.common import arrow_schema, column, ranked, repeat_rows, slices, texts_of, tokenizer_bytes, tokenizer_path, written
+from datescore.llm.common import (
+    arrow_schema,
+    column,
+    ranked,
+    repeat_rows,
+    slices,
+    texts_of,
+    to_python,
+    tokenizer_bytes,
+    tokenizer_path,
+    written,
+)
 
 WINDOW = 1024
 END_ID = 0
@@ -56,10 +67,8 @@ class TokenIds:
     """
 
     def __init__(self, data: bytes, pattern: str):
-        from tokenizers import Tokenizer
-
         spec = json.loads(data)
-        self.tokenizer = Tokenizer.from_str(data.decode())
+        self.data, self.tokenizer = data, None
         self.added = [t["content"] for t in spec.get("added_tokens") or []]
         self.fast = None
         model, pre = spec["model"], spec.get("pre_tokenizer") or {}
@@ -75,6 +84,10 @@ class TokenIds:
 
     def __call__(self, text: str) -> np.ndarray:
         if self.fast is None or any(a in text for a in self.added):
+            if self.tokenizer is None:  # made only where it is needed: it is large
+                from tokenizers import Tokenizer
+
+                self.tokenizer = Tokenizer.from_str(self.data.decode())
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
         return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), dtype="<u4")
 
@@ -115,7 +128,7 @@ def pieces(
                 [pa.array(values, field.type) for values, field in zip(zip(*rows), schema)], schema=schema
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, ddl)
+    return to_python(docs.select("doc_id", "text")).mapInArrow(run, ddl)
 
 
 # --- the plan ---------------------------------------------------------------------------

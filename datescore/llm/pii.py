@@ -22,12 +22,11 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from datescore.llm.common import arrow_schema, column, slices, texts_of, written
+from datescore.llm.common import arrow_schema, column, slices, texts_of, to_python, written
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -169,7 +168,7 @@ def edges(docs: DataFrame) -> DataFrame:
                     [pa.array(values, f.type) for values, f in zip(zip(*rows), schema)], schema=schema
                 )
 
-    return docs.select("text").mapInArrow(run, EDGES).distinct()
+    return to_python(docs.select("text")).mapInArrow(run, EDGES).distinct()
 
 
 def trusted_patterns(
@@ -244,7 +243,7 @@ def extract(docs: DataFrame, patterns: dict[str, str] | None = None) -> DataFram
             arrays += [pa.array(values, f.type) for values, f in zip(zip(*rows), list(schema)[1:])]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, RESULT)
+    return to_python(docs.select("doc_id", "text")).mapInArrow(run, RESULT)
 
 
 def masked(text: str, spans: list[Span]) -> str:
@@ -265,11 +264,13 @@ def mask_documents(docs: DataFrame, patterns: dict[str, str] | None = None) -> D
     if patterns is None:
         patterns = trusted_patterns(docs)
 
-    @F.pandas_udf("string")
-    def mask(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else masked(t, found_spans(t, patterns)[1]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            at = batch.schema.get_field_index("text")
+            texts = [None if t is None else masked(t, found_spans(t, patterns)[1]) for t in batch.column(at).to_pylist()]
+            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
-    out = docs.withColumn("text", mask("text"))
+    out = to_python(docs).mapInArrow(run, docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from datescore.llm.common import arrow_schema, column, free_name, slices, texts_of, written
+from datescore.llm.common import arrow_schema, column, keep_rows, release, slices, texts_of, to_python, written
 
 SAMPLE = 12_000  # labelled rows the model is fitted on, at most
 MAX_FEATURES = 4_000
@@ -117,6 +117,8 @@ def _feature_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             counts[int(toxic)].update(features(text))
     names = list(counts[0].keys() | counts[1].keys())
     yield pd.DataFrame({"feature": names, "n0": [counts[0][f] for f in names], "n1": [counts[1][f] for f in names]})
+    del counts, names
+    release()
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -137,7 +139,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_features
     sizes = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return OrdinalModel({}, [])
-    counts = rows.select("text", "toxic").mapInPandas(_feature_counts, "feature string, n0 long, n1 long")
+    counts = to_python(rows.select("text", "toxic")).mapInPandas(_feature_counts, "feature string, n0 long, n1 long")
     counts = counts.groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
     def odds(n: str, total: int):
@@ -201,15 +203,9 @@ def score_documents(docs: DataFrame, model: OrdinalModel, reject: float = REJECT
             arrays += [pa.array(v, f.type) for v, f in zip(values, list(schema)[1:])]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCORES)
+    return to_python(docs.select("doc_id", "text")).mapInArrow(run, SCORES)
 
 
 def drop_toxic(docs: DataFrame, model: OrdinalModel, reject: float = REJECT) -> DataFrame:
     """The rows of ``docs`` that are not rejected, all columns as they were."""
-    flag = free_name(docs, "_rejected")
-
-    @F.pandas_udf("boolean")
-    def rejected(texts: pd.Series) -> pd.Series:
-        return pd.Series(_scores(model, [t or "" for t in texts], reject)[2], dtype=bool)
-
-    return docs.withColumn(flag, rejected(F.coalesce("text", F.lit("")))).where(~F.col(flag)).drop(flag)
+    return keep_rows(docs, lambda texts: [not r for r in _scores(model, texts, reject)[2]])
