@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from datescore.llm.common import arrow_schema, column, slices, written
+from datescore.llm.common import arrow_schema, column, slices, to_python, written
 
 ORDER = 5
 MAX_NODES = 1 << 22
@@ -65,12 +65,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def grams(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
     """Keys (context and byte, ``order`` + 1 bytes) of all positions, and the positions of each text."""
     pad = END * order
-    a = np.frombuffer(b"".join([pad + t + END for t in texts]), dtype=np.uint8).astype(np.uint64)
+    data = b"".join([pad + t + END for t in texts])
     lengths = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-    n = len(a) - order
-    key = np.zeros(n, dtype=np.uint64)
-    for k in range(order + 1):
-        key = (key << np.uint64(8)) | a[k : k + n]
+    n = len(data) - order
+    # Eight bytes read at every position, big-endian, of which the first order + 1 are kept.
+    every = np.ndarray((n,), dtype=">u8", buffer=data + bytes(8), strides=(1,))
+    key = every.astype(np.uint64) >> np.uint64(8 * (7 - order))
     # Of text i, the symbols begin at the sum of the lengths before it plus the pads up to it.
     keep = np.ones(n, dtype=bool)
     starts = np.cumsum(lengths) - lengths + order * np.arange(len(texts))
@@ -120,7 +120,7 @@ class _Table:
             todo, slot = todo[rest], (slot[rest] + 1) & self.mask
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Rank of each key, -1 where it is absent."""
@@ -137,6 +137,48 @@ class _Table:
         return np.where(self.keys[out] == keys, out, np.int32(-1))
 
 
+class _Values(_Table):
+    """Open-addressing table from 64-bit keys to values, both kept in the slots: two reads a lookup."""
+
+    EMPTY = ~np.uint64(0)  # no gram of up to seven bytes
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.values = values
+        super().__init__(keys)
+
+    def __getstate__(self):
+        return self.keys, self.values
+
+    def __setstate__(self, state: tuple):
+        self.keys, self.values = state
+        self._build()
+
+    def _build(self) -> None:
+        super()._build()
+        full = self.rank >= 0
+        self.slot_keys = np.where(full, self.keys[self.rank], self.EMPTY) if len(self.keys) else np.full(len(full), self.EMPTY)
+        self.slot_values = np.where(full, self.values[self.rank], 0.0) if len(self.keys) else np.zeros(len(full))
+        del self.rank
+
+    def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values of the keys, and the positions of those that are absent (whose values mean nothing)."""
+        slot = self._slot(keys)
+        held = self.slot_keys.take(slot, mode="clip")
+        out = self.slot_values.take(slot, mode="clip")
+        absent = []
+        on = np.flatnonzero(held != keys)
+        while len(on):
+            empty = held[on] == self.EMPTY
+            absent.append(on[empty])
+            on = on[~empty]
+            slot[on] = (slot[on] + 1) & self.mask
+            held[on] = self.slot_keys[slot[on]]
+            found = held[on] == keys[on]
+            out[on[found]] = self.slot_values[slot[on[found]]]
+            on = on[~found]
+        return out, np.concatenate(absent) if absent else on
+
+
 class PpmModel:
     """The pretrained trie as arrays, from the counts of its longest grams."""
 
@@ -162,15 +204,17 @@ class PpmModel:
                 level["rest"] = lower["total"][short] - gone + fresh
                 level["fresh"] = fresh
             self.levels.append(level)
+        self.distinct = len(self.levels[0]["grams"].keys)  # bytes seen at all
         longest = self.levels[-1]
         size = longest["total"] + longest["distinct"]
-        self.top = np.log10(longest["count"] / size[longest["of"]]) if len(counts) else np.zeros(0)
-        # Grams of the longest contexts are found in ``top`` alone.
-        longest["count"] = longest["of"] = None
+        top = np.log10(longest["count"] / size[longest["of"]]) if len(counts) else np.zeros(0)
+        # Grams of the longest contexts are looked up in ``top`` alone.
+        self.top = _Values(longest["grams"].keys, top)
+        longest["grams"] = longest["count"] = longest["of"] = None
 
     @property
     def nodes(self) -> int:
-        return len(self.top)
+        return len(self.top.keys)
 
     def log10(self, keys: np.ndarray) -> np.ndarray:
         """log10 probability of the last byte of each gram after the bytes before it."""
@@ -178,10 +222,8 @@ class PpmModel:
         if self.nodes:
             for start in range(0, len(keys), BLOCK):  # blocks that stay in the processor's cache
                 block = keys[start : start + BLOCK]
-                rank = self.levels[-1]["grams"].find(block)
-                here = self.top[rank]
-                miss = np.flatnonzero(rank < 0)
-                here[miss] = self._escaped(block[miss])
+                here, absent = self.top.get(block)
+                here[absent] = self._escaped(block[absent])
                 out[start : start + BLOCK] = here
         return out
 
@@ -193,7 +235,8 @@ class PpmModel:
         for j in range(self.order, -1, -1):
             level = self.levels[j]
             g = keys[todo] & np.uint64((1 << (8 * (j + 1))) - 1)
-            rank = level["grams"].find(g)
+            # The caller has not found these grams at the longest contexts.
+            rank = level["grams"].find(g) if j < self.order else np.full(len(g), -1)
             hit = rank >= 0
             up = above[todo]
             fresh = up < 0  # no exclusion: the longest known context starts here
@@ -216,7 +259,7 @@ class PpmModel:
             out[todo[lost]] += np.log10(escape[lost] / size[lost])
             above[todo] = np.where(known, ctx, up)
             todo = todo[~hit]
-        out[todo] -= math.log10(256 - len(self.levels[0]["grams"].keys))
+        out[todo] -= math.log10(256 - self.distinct)
         return out
 
     def score(self, texts: list[bytes]) -> np.ndarray:
@@ -276,6 +319,8 @@ COUNTS = "word binary, gram bigint, n bigint"
 
 def corpus_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
     """Counts of all words (gram null) and all byte grams (word null) of the column ``text``."""
+    if not 1 <= order <= 6:
+        raise ValueError("a gram of order + 1 bytes is kept in 64 bits: the order is 1 to 6")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(COUNTS)
@@ -301,7 +346,7 @@ def corpus_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
                 found, keys, counts = Counter(), keys[:0], counts[:0]
         yield from out(found, keys, counts)
 
-    return texts.select("text").mapInArrow(run, COUNTS).groupBy("word", "gram").agg(F.sum("n").alias("n"))
+    return to_python(texts.select("text")).mapInArrow(run, COUNTS).groupBy("word", "gram").agg(F.sum("n").alias("n"))
 
 
 def ppm_model(counts: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES) -> PpmModel:
@@ -315,6 +360,22 @@ def ppm_model(counts: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES)
     return PpmModel(rows["gram"].to_numpy().astype(np.uint64), rows["n"].to_numpy(), order)
 
 
+def frequent_words(vocabulary: DataFrame, most: int) -> DataFrame:
+    """The words above the least count that at most ``most`` words reach.
+
+    The count is found in a histogram of logarithms (at most a thousand rows),
+    so no task sorts or gathers the vocabulary.
+    """
+    size = F.floor(F.log2("n") * 16).cast("int")
+    edge, total = None, 0
+    for r in sorted(vocabulary.groupBy(size.alias("bin")).count().collect(), reverse=True):
+        total += r["count"]
+        if total > most:
+            break
+        edge = r.bin
+    return vocabulary.where(size >= edge if edge is not None else F.lit(False))
+
+
 FIRST = "uid bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, logs double, score double"
 
 
@@ -332,7 +393,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, frequent: int = FREQUEN
     vocabulary = counts.where("word IS NOT NULL").select("word", "n")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     model = ppm_model(counts, order)
-    top = vocabulary.orderBy(F.desc("n"), "word").limit(frequent).toArrow()  # a fixed number of words
+    top = frequent_words(vocabulary, frequent).toArrow()
     shared = spark.sparkContext.broadcast((model, top.combine_chunks()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,14 +405,21 @@ def score_documents(docs: DataFrame, order: int = ORDER, frequent: int = FREQUEN
         uid = TaskContext.get().partitionId() << 33
         for batch in slices(batches, "text"):
             texts = [lowered(t) for t in column(batch, "text").to_pylist()]
-            rest = []
+            rest, rare_words, rare_counts = [], [], []
             for t in texts:
                 tokens = words(t)
                 logs = list(map(known.get, tokens))
-                rare = Counter(w for w, x in zip(tokens, logs) if x is None) if None in logs else {}
-                logs = [x for x in logs if x is not None]
-                rest.append((len(tokens), len(logs), math.fsum(logs), [{"word": w, "n": n} for w, n in rare.items()]))
-            n_tokens, n_known, logs, rare = zip(*rest)
+                found = [x for x in logs if x is not None]
+                if len(found) < len(logs):
+                    rare = Counter([w for w, x in zip(tokens, logs) if x is None])
+                    rare_words += rare
+                    rare_counts += rare.values()
+                rest.append((len(tokens), len(found), math.fsum(found), len(rare_words)))
+            n_tokens, n_known, logs, ends = zip(*rest)
+            rare = pa.ListArray.from_arrays(
+                pa.array([0, *ends], pa.int32()),
+                pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(rare_counts, pa.int64())], ["word", "n"]),
+            )
             values = [
                 range(uid, uid + len(texts)),
                 column(batch, "doc_id"),
@@ -360,13 +428,13 @@ def score_documents(docs: DataFrame, order: int = ORDER, frequent: int = FREQUEN
                 n_known,
                 logs,
                 model.score(texts),
-                rare,
             ]
             uid += len(texts)
-            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema)], schema=schema)
+            arrays = [pa.array(v, f.type) for v, f in zip(values, schema)]
+            yield pa.RecordBatch.from_arrays([*arrays, rare], schema=schema)
 
     ddl = FIRST + ", rare array<struct<word:binary,n:bigint>>"
-    first = written(rows.mapInArrow(run, ddl), "lm-scores")
+    first = written(to_python(rows).mapInArrow(run, ddl), "lm-scores")
     asked = first.select("uid", F.inline("rare")).withColumnRenamed("n", "times")
     found = asked.join(vocabulary, "word").groupBy("uid").agg(
         F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more_logs"), F.sum("times").alias("more_known")
@@ -393,4 +461,4 @@ def score_adaptively(docs: DataFrame, order: int = ORDER) -> DataFrame:
                 [column(batch, "doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, score double")
+    return to_python(docs.select("doc_id", "text")).mapInArrow(run, "doc_id bigint, score double")
