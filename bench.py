@@ -51,19 +51,42 @@ def cv_two_settings(spark, sf_dir):
     return None
 
 
+def repeat_trees(model, times: int):
+    """The model with its trees ``times`` times over: the cost of scoring with so many trees, without
+    the hour that training them takes here."""
+    from pyspark import SparkContext
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.classification import GBTClassificationModel
+
+    g = M.gbt_stage(model)
+    gw = SparkContext.getOrCreate()._gateway
+    n = g.getNumTrees
+    trees = gw.new_array(gw.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n * times)
+    weights = gw.new_array(gw.jvm.double, n * times)
+    for k in range(times):
+        gw.jvm.java.lang.System.arraycopy(g._java_obj.trees(), 0, trees, k * n, n)
+        gw.jvm.java.lang.System.arraycopy(g._java_obj.treeWeights(), 0, weights, k * n, n)
+    many = GBTClassificationModel(gw.jvm.org.apache.spark.ml.classification.GBTClassificationModel(f"{g.uid}_many", trees, weights))
+    many.setFeaturesCol(g.getFeaturesCol())
+    return PipelineModel(stages=[*model.stages[:-1], many])
+
+
 class DailyJob:
     """W1 alone, as run every day: the stored feature table and the model exist
     (set up untimed); the timed part scans yesterday's partition, scores it
     and replaces it in the result table."""
 
-    def __init__(self, spark, sf_dir, trained: bool):
+    def __init__(self, spark, sf_dir, trees: int = 0):
         from datescore.sources.feature_table import read_feature_table, write_feature_table
         from datescore.session import work_path
 
         f = features_from_dir(spark, sf_dir, training=True)
         self.source = read_feature_table(spark, write_feature_table(f.drop("label", "pre_days_median"), work_path(spark, "bench-features")))
-        self.model = M.train(S.class_sample(f, 200), M.TreeParams(max_iter=20, max_depth=7, min_instances_per_node=1)) if trained else None
-        self.table = "bench_w1_" + ("model" if trained else "ensemble")
+        self.model = None
+        if trees:
+            params = M.TreeParams(max_iter=20, max_depth=7, min_instances_per_node=1)
+            self.model = repeat_trees(M.train(S.class_sample(f, 200), params), trees // 20)
+        self.table = f"bench_w1_{trees}_trees"
         from datescore.sources import result_table
 
         result_table.drop_table(spark, self.table)
@@ -102,8 +125,9 @@ def main() -> None:
     run(C.score_pairs(spark, "/root/testdata/sf0.001"))
     run(C.auc_scores(spark, "/root/testdata/sf0.001"))
     queries = dict(BENCH)
-    queries["w1_day_ensemble"] = DailyJob(spark, SF_DIR, trained=False)
-    queries["w1_day_gbt20"] = DailyJob(spark, SF_DIR, trained=True)
+    queries["w1_day_ensemble"] = DailyJob(spark, SF_DIR)
+    queries["w1_day_gbt20"] = DailyJob(spark, SF_DIR, trees=20)
+    queries["w1_day_gbt1500_of_2000"] = DailyJob(spark, SF_DIR, trees=2000)
     times = {}
     for name, q in queries.items():
         t = time.perf_counter()

@@ -25,7 +25,6 @@ from datescore.operators.prepare import (
     class_rows,
     feature_matrix,
     label_prediction_pairs,
-    project_extract,
     threshold,
 )
 from datescore.plans import jobs
