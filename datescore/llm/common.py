@@ -44,7 +44,7 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` holds at most ``limit`` bytes of text in each piece.
 
     A single longer text makes a piece of its own: memory is bounded by
