@@ -87,6 +87,13 @@ def add_counts(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The counts of several parts as one."""
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return add_counts(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
+
+
 class _Table:
     """Open-addressing table from 64-bit keys to their rank in the sorted key array."""
 
@@ -334,17 +341,21 @@ def corpus_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
                 arrays = [pa.nulls(g, pa.binary()), pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))]
                 yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-        found, keys, counts = Counter(), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        found: Counter = Counter()
+        parts, held = [], 0  # counted grams of several slices, merged when there are many
         for batch in slices(batches, "text"):
             texts = [lowered(t) for t in column(batch, "text").to_pylist()]
             for t in texts:
                 found.update(words(t))
-            new, n = np.unique(grams(texts, order)[0], return_counts=True)
-            keys, counts = add_counts(np.concatenate([keys, new]), np.concatenate([counts, n]))
-            if len(found) > FLUSH or len(keys) > 2 * FLUSH:
-                yield from out(found, keys, counts)
-                found, keys, counts = Counter(), keys[:0], counts[:0]
-        yield from out(found, keys, counts)
+            parts.append(np.unique(grams(texts, order)[0], return_counts=True))
+            held += len(parts[-1][0])
+            if held > 2 * FLUSH:
+                parts = [merged(parts)]
+                if len(found) > FLUSH or len(parts[0][0]) > FLUSH:
+                    yield from out(found, *parts[0])
+                    found, parts = Counter(), []
+                held = sum(len(p[0]) for p in parts)
+        yield from out(found, *merged(parts))
 
     return to_python(texts.select("text")).mapInArrow(run, COUNTS).groupBy("word", "gram").agg(F.sum("n").alias("n"))
 
