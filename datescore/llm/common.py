@@ -24,6 +24,10 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Ranges of a sorted order for each shuffle partition: several small ones even out what hashing deals to a task.
+RANGES = 4
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from datescore.llm.common import arrow_schema, column, parallelism, slices, texts_of, to_python
+from datescore.llm.common import RANGES, arrow_schema, column, parallelism, slices, texts_of, to_python
 
 LANES = 128
 WIDE = 8
@@ -140,7 +140,7 @@ def with_next(docs: DataFrame, apply, schema: str) -> DataFrame:
     all goes behind the last of all.
     """
     spark = docs.sparkSession
-    cuts, heads = _ranges(docs, parallelism(spark))
+    cuts, heads = _ranges(docs, RANGES * parallelism(spark))
     full = sorted(heads, reverse=True)
     # One row per range at most: a bounded broadcast.
     guests = spark.createDataFrame(
