@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from datescore.llm.common import arrow_schema, column, parallelism, slices, texts_of, to_python
+from datescore.llm.common import RANGES, arrow_schema, column, parallelism, slices, texts_of, to_python
 
 _BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form"
@@ -258,7 +258,7 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out([_result(before, page, None)])
 
 
-CUT_SAMPLE = 32  # URLs looked at for each range
+CUT_SAMPLE = 8  # URLs looked at for each range
 
 
 def _range_of(cuts: list[str]):
@@ -282,10 +282,11 @@ def _in_url_order(rows: DataFrame) -> DataFrame:
     """
     spark = rows.sparkSession
     n = parallelism(spark)
+    ranges = RANGES * n
     keys = rows.select("k")
-    some = keys.orderBy(F.xxhash64("k"), "k").limit(CUT_SAMPLE * n).collect()
+    some = keys.orderBy(F.xxhash64("k"), "k").limit(CUT_SAMPLE * ranges).collect()
     seen = sorted(r.k for r in some)
-    cuts = sorted({seen[i * len(seen) // n] for i in range(1, n)}) if seen else []
+    cuts = sorted({seen[i * len(seen) // ranges] for i in range(1, ranges)}) if seen else []
     part = _range_of(cuts)
     ends = keys.groupBy(part("k").alias("part")).agg(F.min("k").alias("first"), F.max("k").alias("last")).collect()
     ends = sorted(ends)
