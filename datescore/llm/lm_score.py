@@ -14,9 +14,12 @@ text at once. ``PpmTrie`` is the same model one byte at a time; it also scores
 adaptively, learning each byte after coding it.
 
 At scale: one scan counts words and context grams (both summed in the task
-before the shuffle), a second scores. The trie is broadcast only if it has at
-most MAX_NODES nodes; beyond that the order is lowered by one, which sums the
-same counts over shorter contexts (order 1 has at most 2^16 nodes by construction). Word counts grow with the input and are never
+before the shuffle), a second scores. The order is the same at every size. A trie
+of at most MAX_NODES nodes is broadcast; of a larger one only the most
+frequent grams are, with their probabilities, and the other grams of a document
+are joined by shuffle (each distinct one looked up once, in tables of the longer
+contexts; the orders of at most MAX_NODES / 4 nodes, at least order 1 with its
+2^16, are broadcast). Word counts grow with the input and are never
 broadcast whole: the FREQUENT most frequent words are (a fixed number), the
 other words of a document are joined by shuffle.
 """
@@ -189,8 +192,9 @@ class _Values(_Table):
 class PpmModel:
     """The pretrained trie as arrays, from the counts of its longest grams."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int = ORDER):
-        self.order = order
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int = ORDER, below: bool = False):
+        """``below``: the model stands below longer contexts, and ``escaped`` also finds its longest grams."""
+        self.order, self.below = order, below
         keys, counts = add_counts(keys.astype(np.uint64), counts.astype(np.int64))
         self.levels = []  # from order 0 up: grams, log counts, contexts and their logs
         for j in range(order + 1):
@@ -217,7 +221,8 @@ class PpmModel:
         top = np.log10(longest["count"] / size[longest["of"]]) if len(counts) else np.zeros(0)
         # Grams of the longest contexts are looked up in ``top`` alone.
         self.top = _Values(longest["grams"].keys, top)
-        longest["grams"] = longest["count"] = longest["of"] = None
+        if not below:
+            longest["grams"] = longest["count"] = longest["of"] = None
 
     @property
     def nodes(self) -> int:
@@ -230,41 +235,43 @@ class PpmModel:
             for start in range(0, len(keys), BLOCK):  # blocks that stay in the processor's cache
                 block = keys[start : start + BLOCK]
                 here, absent = self.top.get(block)
-                here[absent] = self._escaped(block[absent])
+                here[absent] = self.escaped(block[absent])
                 out[start : start + BLOCK] = here
         return out
 
-    def _escaped(self, keys: np.ndarray) -> np.ndarray:
-        """The same for grams that the longest context has not seen."""
+    def escaped(self, keys: np.ndarray, rest: np.ndarray | None = None, fresh: np.ndarray | None = None) -> np.ndarray:
+        """The same for grams that the longest context has not seen.
+
+        ``rest`` and ``fresh`` are what a longer known context leaves in its next shorter one (-1: there is none).
+        """
         out = np.zeros(len(keys))
         todo = np.arange(len(keys))
-        above = np.full(len(keys), -1, dtype=np.int64)  # the context that excludes, one level up
+        rest = np.full(len(keys), -1, dtype=np.int64) if rest is None else rest.copy()
+        fresh = np.full(len(keys), -1, dtype=np.int64) if fresh is None else fresh.copy()
         for j in range(self.order, -1, -1):
             level = self.levels[j]
             g = keys[todo] & np.uint64((1 << (8 * (j + 1))) - 1)
-            # The caller has not found these grams at the longest contexts.
-            rank = level["grams"].find(g) if j < self.order else np.full(len(g), -1)
+            # The caller has not found these grams at the longest contexts, unless those stand below others.
+            rank = level["grams"].find(g) if j < self.order or self.below else np.full(len(g), -1)
             hit = rank >= 0
-            up = above[todo]
-            fresh = up < 0  # no exclusion: the longest known context starts here
             ctx = np.full(len(g), -1, dtype=np.int64)
             if hit.any():
                 ctx[hit] = level["of"][rank[hit]]
             miss = np.flatnonzero(~hit)
             ctx[miss] = level["contexts"].find(g[miss] >> np.uint64(8) if j else np.zeros(len(miss), dtype=np.uint64))
             known = ctx >= 0
-            size, escape = np.zeros(len(g)), np.zeros(len(g))
-            a, b = known & fresh, ~fresh
+            size, escape = rest[todo].astype(float), fresh[todo].astype(float)
+            none = size < 0  # no exclusion: the longest known context starts here
+            size[none] = escape[none] = 0
+            a = known & none
             size[a] = level["total"][ctx[a]] + level["distinct"][ctx[a]]
             escape[a] = level["distinct"][ctx[a]]
-            if b.any():
-                higher = self.levels[j + 1]
-                size[b], escape[b] = higher["rest"][up[b]], higher["fresh"][up[b]]
             if hit.any():
                 out[todo[hit]] += np.log10(level["count"][rank[hit]] / size[hit])
             lost = ~hit & (size > 0)
             out[todo[lost]] += np.log10(escape[lost] / size[lost])
-            above[todo] = np.where(known, ctx, up)
+            if j and known.any():
+                rest[todo[known]], fresh[todo[known]] = level["rest"][ctx[known]], level["fresh"][ctx[known]]
             todo = todo[~hit]
         out[todo] -= math.log10(256 - self.distinct)
         return out
@@ -273,6 +280,36 @@ class PpmModel:
         keys, lengths = grams(texts, self.order)
         return np.add.reduceat(self.log10(keys), np.cumsum(lengths) - lengths) if len(texts) else np.zeros(0)
 
+    def known_and_rare(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Scores of the texts, and no grams left to look up (see ``FrequentGrams``)."""
+        none = np.zeros(0, np.int64)
+        return self.score(texts), none, none, none
+
+
+class FrequentGrams:
+    """log10 probabilities of the most frequent grams of a trie too large to be broadcast."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, order: int):
+        self.table, self.order = _Values(keys, values), order
+
+    def known_and_rare(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Sums over the grams held, and of the others the text (ascending), the gram and how often it stands there."""
+        keys, lengths = grams(texts, self.order)
+        values, missing = np.zeros(len(keys)), []
+        for start in range(0, len(keys), BLOCK):
+            here, absent = self.table.get(keys[start : start + BLOCK])
+            here[absent] = 0.0
+            values[start : start + BLOCK] = here
+            missing.append(absent + start)
+        missing = np.concatenate(missing)
+        sums = np.add.reduceat(values, np.cumsum(lengths) - lengths)
+        text = np.repeat(np.arange(len(texts)), lengths)[missing]
+        rare = keys[missing]
+        order = np.lexsort((rare, text))
+        text, rare = text[order], rare[order]
+        first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (rare[1:] != rare[:-1])])) if len(rare) else missing
+        return sums, text[first], rare[first].view(np.int64), np.diff(np.concatenate([first, [len(rare)]]))
+
 
 class PpmTrie:
     """The same model byte by byte, from nested counts; adaptive when it learns from what it codes."""
@@ -360,15 +397,101 @@ def corpus_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
     return to_python(texts.select("text")).mapInArrow(run, COUNTS).groupBy("word", "gram").agg(F.sum("n").alias("n"))
 
 
-def ppm_model(counts: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES) -> PpmModel:
+def _mask(order: int) -> int:
+    """The bits of a gram of ``order`` + 1 bytes."""
+    return (1 << (8 * (order + 1))) - 1
+
+
+def _shorter(table: DataFrame, order: int) -> DataFrame:
+    """Counts of the grams of ``order`` from those of a longer one."""
+    return table.groupBy(F.col("gram").bitwiseAND(_mask(order)).alias("gram")).agg(F.sum("n").alias("n"))
+
+
+def ppm_model(counts: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES, below: bool = False) -> PpmModel:
     """The trie from the counted grams; the order is lowered until it has at most ``max_nodes`` nodes."""
     table = counts.where("gram IS NOT NULL")
     while order > 1 and table.count() > max_nodes:
         order -= 1
-        table = table.withColumn("gram", F.col("gram").bitwiseAND((1 << (8 * (order + 1))) - 1))
-        table = table.groupBy("gram").agg(F.sum("n").alias("n"))
+        table = _shorter(table, order)
     rows = table.select("gram", "n").toArrow()
-    return PpmModel(rows["gram"].to_numpy().astype(np.uint64), rows["n"].to_numpy(), order)
+    return PpmModel(rows["gram"].to_numpy().astype(np.uint64), rows["n"].to_numpy(), order, below)
+
+
+class GramTables:
+    """A trie that may have any number of nodes: its longer contexts as tables, its shorter ones as a model.
+
+    Every probability is that of the full trie; only where it is looked up differs.
+    """
+
+    def __init__(self, counts: DataFrame, order: int, max_base: int):
+        self.order = order
+        self.levels = {order: counts.where("gram IS NOT NULL").select("gram", "n")}
+        while order > 1 and self.levels[order].count() > max_base:
+            order -= 1
+            self.levels[order] = written(_shorter(self.levels[order + 1], order), "lm-grams")
+        self.base = ppm_model(self.levels[order], order, max_base, below=True)
+        self.contexts = {j: self._contexts(j) for j in range(self.order, order, -1)}
+
+    def _contexts(self, j: int) -> DataFrame:
+        """Contexts of a level: their counts, and what is left in the next shorter one without their bytes."""
+        context = F.shiftright("gram", 8).alias("context")
+        lower = self.levels[j - 1]
+        count = lower.select(F.col("gram").alias("short"), F.col("n").alias("below"))
+        own = self.levels[j].withColumn("short", F.col("gram").bitwiseAND(_mask(j - 1))).join(count, "short")
+        own = own.groupBy(context).agg(
+            F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"), F.sum("below").alias("gone")
+        )
+        short = lower.groupBy(F.shiftright("gram", 8).alias("short")).agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds"))
+        left = own.withColumn("short", F.col("context").bitwiseAND(_mask(j - 2))).join(short, "short")
+        fresh = F.col("kinds") - F.col("distinct")
+        left = left.select("context", "total", "distinct", (F.col("all") - F.col("gone") + fresh).alias("rest"), fresh.alias("fresh"))
+        return written(left, "lm-contexts")
+
+    def frequent(self, most: int) -> FrequentGrams:
+        top = frequent_words(self.levels[self.order], most).withColumn("context", F.shiftright("gram", 8))
+        value = F.log10(F.col("n") / (F.col("total") + F.col("distinct"))).alias("value")
+        rows = top.join(self.contexts[self.order], "context").select("gram", value).toArrow()
+        return FrequentGrams(rows["gram"].to_numpy().astype(np.uint64), rows["value"].to_numpy(), self.order)
+
+    def values(self, asked: DataFrame) -> DataFrame:
+        """gram and value (log10 probability) of the distinct grams ``asked``."""
+        done = []
+        todo = asked.select(
+            "gram", F.lit(0.0).alias("value"), F.lit(None).cast("long").alias("rest"), F.lit(None).cast("long").alias("fresh")
+        )
+        for j in range(self.order, self.base.order, -1):
+            count = self.levels[j].withColumnRenamed("gram", "key")
+            found = self.contexts[j].withColumnsRenamed({"rest": "rest_below", "fresh": "fresh_below"})
+            at = todo.withColumn("key", F.col("gram").bitwiseAND(_mask(j))).withColumn("context", F.shiftright("key", 8))
+            at = at.join(count, "key", "left").join(found, "context", "left")
+            # Without an exclusion the longest known context starts here.
+            size = F.coalesce("rest", F.col("total") + F.col("distinct"))
+            escape = F.when(F.col("rest").isNotNull(), F.col("fresh")).otherwise(F.col("distinct"))
+            part = F.when(size > 0, F.log10(F.coalesce("n", escape) / size)).otherwise(F.lit(0.0))
+            at = at.select(
+                "gram",
+                F.col("n").isNotNull().alias("seen"),
+                (F.col("value") + part).alias("value"),
+                F.coalesce("rest_below", "rest").alias("rest"),
+                F.coalesce("fresh_below", "fresh").alias("fresh"),
+            )
+            at = written(at, "lm-asked")
+            done.append(at.where("seen").select("gram", "value"))
+            todo = at.where("NOT seen").drop("seen")
+        shared = asked.sparkSession.sparkContext.broadcast(self.base)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            base = shared.value
+            for batch in batches:
+                gram, value, rest, fresh = (column(batch, c).to_numpy() for c in ("gram", "value", "rest", "fresh"))
+                value = value + base.escaped(gram.astype(np.uint64), rest, fresh)
+                yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(value)], ["gram", "value"])
+
+        left = todo.withColumns({c: F.coalesce(c, F.lit(-1).cast("long")) for c in ("rest", "fresh")})
+        out = left.mapInArrow(run, "gram bigint, value double")
+        for d in done:
+            out = out.unionByName(d)
+        return out
 
 
 def frequent_words(vocabulary: DataFrame, most: int) -> DataFrame:
@@ -390,20 +513,26 @@ def frequent_words(vocabulary: DataFrame, most: int) -> DataFrame:
 FIRST = "uid bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, logs double, score double"
 
 
-def score_documents(docs: DataFrame, order: int = ORDER, frequent: int = FREQUENT) -> DataFrame:
+def score_documents(
+    docs: DataFrame, order: int = ORDER, frequent: int = FREQUENT, max_nodes: int = MAX_NODES
+) -> DataFrame:
     """Base and model scores of every row, learnt from the rows that are not held out.
 
     doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Null and empty texts are
     the end alone. Repeated doc_ids are rows like any other, and learnt from as often as they stand.
     With no training rows counts are empty (every token unknown) and bytes are equally likely. An empty table gives an
-    empty result; other columns are not read.
+    empty result; other columns are not read. A trie of more than ``max_nodes`` nodes is not broadcast
+    whole; the scores are the same.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", held_out().alias("held_out"))
     counts = written(corpus_counts(rows.where(~F.col("held_out")), order), "lm-counts")
     vocabulary = counts.where("word IS NOT NULL").select("word", "n")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    model = ppm_model(counts, order)
+    tables = None
+    if order > 1 and counts.where("gram IS NOT NULL").count() > max_nodes:
+        tables = GramTables(counts, order, max_nodes // 4)
+    model = tables.frequent(max_nodes // 2) if tables else ppm_model(counts, order)
     top = frequent_words(vocabulary, frequent).toArrow()
     shared = spark.sparkContext.broadcast((model, top.combine_chunks()))
 
@@ -411,7 +540,8 @@ def score_documents(docs: DataFrame, order: int = ORDER, frequent: int = FREQUEN
         model, top = shared.value
         known = {w: math.log10(n + 1) for w, n in zip(top["word"].to_pylist(), top["n"].to_pylist())}
         rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
-        schema = pa.schema([*arrow_schema(FIRST), ("rare", rare_type)])
+        grams_type = pa.list_(pa.struct([("gram", pa.int64()), ("times", pa.int64())]))
+        schema = pa.schema([*arrow_schema(FIRST), ("rare", rare_type), ("grams", grams_type)])
         # Unique in the written table: the partition and a running number.
         uid = TaskContext.get().partitionId() << 33
         for batch in slices(batches, "text"):
@@ -431,6 +561,11 @@ def score_documents(docs: DataFrame, order: int = ORDER, frequent: int = FREQUEN
                 pa.array([0, *ends], pa.int32()),
                 pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(rare_counts, pa.int64())], ["word", "n"]),
             )
+            scores, of, gram, times = model.known_and_rare(texts)
+            left = pa.ListArray.from_arrays(
+                pa.array(np.searchsorted(of, np.arange(len(texts) + 1)), pa.int32()),
+                pa.StructArray.from_arrays([pa.array(gram, pa.int64()), pa.array(times, pa.int64())], ["gram", "times"]),
+            )
             values = [
                 range(uid, uid + len(texts)),
                 column(batch, "doc_id"),
@@ -438,27 +573,33 @@ def score_documents(docs: DataFrame, order: int = ORDER, frequent: int = FREQUEN
                 n_tokens,
                 n_known,
                 logs,
-                model.score(texts),
+                scores,
             ]
             uid += len(texts)
             arrays = [pa.array(v, f.type) for v, f in zip(values, schema)]
-            yield pa.RecordBatch.from_arrays([*arrays, rare], schema=schema)
+            yield pa.RecordBatch.from_arrays([*arrays, rare, left], schema=schema)
 
-    ddl = FIRST + ", rare array<struct<word:binary,n:bigint>>"
+    ddl = FIRST + ", rare array<struct<word:binary,n:bigint>>, grams array<struct<gram:bigint,times:bigint>>"
     first = written(to_python(rows).mapInArrow(run, ddl), "lm-scores")
     asked = first.select("uid", F.inline("rare")).withColumnRenamed("n", "times")
     found = asked.join(vocabulary, "word").groupBy("uid").agg(
         F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more_logs"), F.sum("times").alias("more_known")
     )
     size = math.log10(total + distinct + 1)
-    return first.drop("rare").join(found, "uid", "left").select(
+    out, score = first.drop("rare", "grams").join(found, "uid", "left"), F.col("score")
+    if tables:
+        asked = first.select("uid", F.inline("grams"))
+        value = tables.values(asked.select("gram").distinct())
+        more = asked.join(value, "gram").groupBy("uid").agg(F.sum(F.col("times") * F.col("value")).alias("more_score"))
+        out, score = out.join(more, "uid", "left"), score + F.coalesce("more_score", F.lit(0.0))
+    return out.select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(size)).alias("base_score"),
-        "score",
+        score.alias("score"),
     )
 
 

@@ -77,6 +77,14 @@ def test_documents_equal_brute_force(spark, frequent):
     assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in got) == _brute(data, 2)
 
 
+@pytest.mark.parametrize("order,max_nodes", [(2, 40), (3, 1000), (5, 4000)])
+def test_a_trie_over_the_node_bound_gives_the_same_scores(spark, order, max_nodes):
+    """Frequent grams in the task, the others by shuffle: no order is lowered."""
+    data = [(i, t) for i, t in rows() if len(t or "") < 2000] + [(n, f"zebra {n} \u20ac new") for n in range(500, 560)]
+    got = L.score_documents(frame(spark, data), order=order, max_nodes=max_nodes).collect()
+    assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in got) == _brute(data, order)
+
+
 def test_order_is_lowered_to_the_node_bound(spark):
     docs = frame(spark)
     counts = L.corpus_counts(docs, 4)
