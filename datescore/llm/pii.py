@@ -11,9 +11,10 @@ trusted pattern. Trusted patterns then find identifiers that no fixed form
 knows, in a second scan.
 
 At scale: both scans are without a shuffle of texts; the graph holds one
-row per distinct (pattern, instance) and is aggregated before it is shuffled;
-what is broadcast is the list of trusted patterns, at most MAX_PATTERNS (a
-fixed size of the model: the best by support).
+row per distinct (pattern, instance) and is aggregated before it is shuffled.
+All trusted patterns count at any size. Up to MAX_PATTERNS are broadcast; of more,
+those with most support are, and the other contexts of the candidates are joined
+to the table of patterns by shuffle (masking then shuffles the texts once).
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from datescore.llm.common import arrow_schema, column, slices, texts_of, to_python, written
 
@@ -32,7 +35,7 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 TRUST = 0.7  # confidence from which a pattern is trusted
 MIN_SEEDS = 3  # distinct seeds a trusted pattern surrounds
-MAX_PATTERNS = 50_000
+MAX_PATTERNS = 50_000  # trusted patterns that are broadcast
 
 # The base forms of the contract. The quantifiers that cannot
 # give back characters are possessive, so that long runs are read once.
@@ -171,10 +174,8 @@ def edges(docs: DataFrame) -> DataFrame:
     return to_python(docs.select("text")).mapInArrow(run, EDGES).distinct()
 
 
-def trusted_patterns(
-    docs: DataFrame, rounds: int = ROUNDS, trust: float = TRUST, min_seeds: int = MIN_SEEDS, most: int = MAX_PATTERNS
-) -> dict[str, str]:
-    """Patterns and the kind each is trusted for, by rounds over the pattern-instance graph."""
+def pattern_table(docs: DataFrame, rounds: int = ROUNDS, trust: float = TRUST, min_seeds: int = MIN_SEEDS) -> DataFrame:
+    """All patterns (pattern, kind, n, c) and the kind each is trusted for, by rounds over the pattern-instance graph."""
     graph = written(edges(docs), "pii-edges")
     seeds = graph.where("kind IS NOT NULL").select("instance", "kind").distinct().withColumn("score", F.lit(1.0))
     links = graph.select("pattern", "instance").distinct()
@@ -194,7 +195,18 @@ def trusted_patterns(
     best = patterns.groupBy("pattern").agg(
         F.max_by("kind", F.struct("confidence", "kind")).alias("kind"), F.max("n").alias("n"), F.max("confidence").alias("c")
     )
-    rows = best.orderBy(F.desc("n"), F.desc("c"), "pattern").limit(most).collect()  # the model's fixed size
+    return written(best, "pii-trusted")
+
+
+def trusted_patterns(
+    docs: DataFrame, rounds: int = ROUNDS, trust: float = TRUST, min_seeds: int = MIN_SEEDS, most: int = MAX_PATTERNS
+) -> dict[str, str]:
+    """The trusted patterns with most support, at most ``most``, and their kinds."""
+    return _most_support(pattern_table(docs, rounds, trust, min_seeds), most)
+
+
+def _most_support(table: DataFrame, most: int) -> dict[str, str]:
+    rows = table.orderBy(F.desc("n"), F.desc("c"), "pattern").limit(most).collect()
     return {r.pattern: r.kind for r in rows}
 
 
@@ -209,8 +221,81 @@ def found_spans(text: str, patterns: dict[str, str]) -> tuple[list[Span], list[S
         for start, end in candidates(text, base):
             kinds = [patterns[p] for p in contexts(text, start, end) if p in patterns]
             if kinds:
-                added.append((max(set(kinds), key=lambda k: (kinds.count(k), -KINDS.index(k))), start, end))
-    return base, sorted(base + added, key=lambda s: (KINDS.index(s[0]), s[1]))
+                added.append((_most_named(kinds), start, end))
+    return base, _in_order(base + added)
+
+
+def _most_named(kinds: list[str]) -> str:
+    return max(set(kinds), key=lambda k: (kinds.count(k), -KINDS.index(k)))
+
+
+def _in_order(spans: list[Span]) -> list[Span]:
+    return sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1]))
+
+
+_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+_ASKED = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kinds", pa.list_(pa.string())), ("rest", pa.list_(pa.string()))]))
+_FIELDS = "_pii_base array<struct<kind:string,start:int,end:int>>, _pii_asked array<struct<start:int,end:int,kinds:array<string>,rest:array<string>>>"
+
+
+def _with_all_patterns(rows: DataFrame, table: DataFrame, most: int, keep_text: bool) -> DataFrame:
+    """``rows`` (with ``text``, dropped unless ``keep_text``) and what ``_all_spans`` reads: found with a table of any size.
+
+    Contexts that the broadcast patterns do not hold are looked up in ``table`` by shuffle; each
+    candidate has the kind that it would have with all patterns in one place.
+    """
+    hot = _most_support(table, most)
+    columns = [c for c in rows.columns if keep_text or c != "text"]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uid = TaskContext.get().partitionId() << 33  # unique in the written table: the partition and a running number
+        for batch in slices(batches, "text"):
+            bases, asked = [], []
+            for text in texts_of(batch):
+                base = base_spans(text)
+                bases.append([{"kind": k, "start": a, "end": b} for k, a, b in base])
+                found = []
+                for start, end in candidates(text, base):
+                    around = contexts(text, start, end)
+                    kinds = [hot[p] for p in around if p in hot]
+                    found.append({"start": start, "end": end, "kinds": kinds, "rest": [p for p in around if p not in hot]})
+                asked.append(found)
+            arrays = [column(batch, c) for c in columns]
+            arrays += [pa.array(range(uid, uid + len(bases)), pa.int64()), pa.array(bases, _SPANS), pa.array(asked, _ASKED)]
+            uid += len(bases)
+            yield pa.RecordBatch.from_arrays(arrays, [*columns, "_pii_uid", "_pii_base", "_pii_asked"])
+
+    kept = rows.select(*columns)
+    fields = T.StructType([*kept.schema, T.StructField("_pii_uid", T.LongType())])
+    for f in T.StructType.fromDDL(_FIELDS):
+        fields = fields.add(f)
+    first = written(to_python(rows).mapInArrow(scan, fields), "pii-candidates")
+    asked = first.select("_pii_uid", F.inline("_pii_asked")).select("_pii_uid", "start", F.explode("rest").alias("pattern"))
+    hits = asked.join(table.select("pattern", "kind"), "pattern")
+    hits = hits.groupBy("_pii_uid").agg(F.collect_list(F.struct("start", "kind")).alias("_pii_hits"))
+    return first.join(hits, "_pii_uid", "left").drop("_pii_uid")
+
+
+def _all_spans(batch: pa.RecordBatch) -> list[list[Span]]:
+    """Spans of each row from what ``_with_all_patterns`` found."""
+    out = []
+    for base, asked, hits in zip(*(column(batch, c).to_pylist() for c in ("_pii_base", "_pii_asked", "_pii_hits"))):
+        named: dict[int, list[str]] = {}
+        for h in hits or []:
+            named.setdefault(h["start"], []).append(h["kind"])
+        spans = [(b["kind"], b["start"], b["end"]) for b in base]
+        for c in asked:
+            kinds = c["kinds"] + named.get(c["start"], [])
+            if kinds:
+                spans.append((_most_named(kinds), c["start"], c["end"]))
+        out.append(_in_order(spans))
+    return out
+
+
+def _model(docs: DataFrame, most: int) -> tuple[dict[str, str] | None, DataFrame | None]:
+    """The trusted patterns to broadcast, or their table if they are more than ``most``."""
+    table = pattern_table(docs)
+    return (None, table) if table.count() > most else (_most_support(table, most), None)
 
 
 def _joined(spans: list[Span]) -> str:
@@ -220,30 +305,43 @@ def _joined(spans: list[Span]) -> str:
 RESULT = "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string"
 
 
-def extract(docs: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
+def extract(docs: DataFrame, patterns: dict[str, str] | None = None, most: int = MAX_PATTERNS) -> DataFrame:
     """Personal data of every row: base counts and digest, and all spans.
 
     Null and empty texts have no spans. Rows are independent: repeated or null
     doc_ids are rows like any other; other columns are not read. ``patterns``
-    come from ``trusted_patterns`` (by default learnt from ``docs``).
+    come from ``trusted_patterns`` (by default all that are learnt from
+    ``docs``, of which at most ``most`` are broadcast).
     """
+    table = None
     if patterns is None:
-        patterns = trusted_patterns(docs)
+        patterns, table = _model(docs, most)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batch: pa.RecordBatch, found: list[tuple[list[Span], list[Span]]]) -> pa.RecordBatch:
         schema = arrow_schema(RESULT)
+        out = []
+        for base, spans in found:
+            kinds = [k for k, _, _ in base]
+            digest = hashlib.sha256(_joined(base).encode()).hexdigest()
+            out.append((*map(kinds.count, KINDS), digest, _joined(spans)))
+        arrays = [column(batch, "doc_id").cast(pa.int64())]
+        arrays += [pa.array(values, f.type) for values, f in zip(zip(*out), list(schema)[1:])]
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            rows = []
-            for text in texts_of(batch):
-                base, spans = found_spans(text, patterns)
-                kinds = [k for k, _, _ in base]
-                digest = hashlib.sha256(_joined(base).encode()).hexdigest()
-                rows.append((*map(kinds.count, KINDS), digest, _joined(spans)))
-            arrays = [column(batch, "doc_id").cast(pa.int64())]
-            arrays += [pa.array(values, f.type) for values, f in zip(zip(*rows), list(schema)[1:])]
-            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+            yield rows(batch, [found_spans(text, patterns) for text in texts_of(batch)])
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                bases = [[(b["kind"], b["start"], b["end"]) for b in base] for base in column(batch, "_pii_base").to_pylist()]
+                yield rows(batch, list(zip(bases, _all_spans(batch))))
 
-    return to_python(docs.select("doc_id", "text")).mapInArrow(run, RESULT)
+    texts = docs.select("doc_id", "text")
+    if table is None:
+        return to_python(texts).mapInArrow(run, RESULT)
+    return to_python(_with_all_patterns(texts, table, most, keep_text=False)).mapInArrow(finish, RESULT)
 
 
 def masked(text: str, spans: list[Span]) -> str:
@@ -256,21 +354,35 @@ def masked(text: str, spans: list[Span]) -> str:
     return "".join(out) + text[at:]
 
 
-def mask_documents(docs: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
+def mask_documents(docs: DataFrame, patterns: dict[str, str] | None = None, most: int = MAX_PATTERNS) -> DataFrame:
     """``docs`` with personal data masked in ``text`` and, where there is one, ``n_chars`` counted again.
 
     All rows stay, with their other columns; a null text stays null.
     """
+    table = None
     if patterns is None:
-        patterns = trusted_patterns(docs)
+        patterns, table = _model(docs, most)
+
+    def put(batch: pa.RecordBatch, texts: list[str | None]) -> pa.RecordBatch:
+        at = batch.schema.get_field_index("text")
+        return batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            at = batch.schema.get_field_index("text")
-            texts = [None if t is None else masked(t, found_spans(t, patterns)[1]) for t in batch.column(at).to_pylist()]
-            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+            texts = column(batch, "text").to_pylist()
+            yield put(batch, [None if t is None else masked(t, found_spans(t, patterns)[1]) for t in texts])
 
-    out = to_python(docs).mapInArrow(run, docs.schema)
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            texts = zip(column(batch, "text").to_pylist(), _all_spans(batch))
+            done = put(batch, [None if t is None else masked(t, spans) for t, spans in texts])
+            yield done.select(names)
+
+    names = docs.columns
+    if table is None:
+        out = to_python(docs).mapInArrow(run, docs.schema)
+    else:
+        out = to_python(_with_all_patterns(docs, table, most, keep_text=True)).mapInArrow(finish, docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -78,6 +78,20 @@ def test_a_second_round_follows_patterns_of_found_identifiers(spark):
     assert all(got[100 + i] == f"email:12:{12 + len(x)}" for i, x in enumerate(ids))
 
 
+def test_patterns_beyond_the_broadcast_count_too(spark):
+    """More trusted patterns than are broadcast: spans and masked texts are the same."""
+    leads = ["please call me", "ring us at", "fax goes to", "mobile is now"]
+    data = [(100 * k + i, f"{lead} +1 (724) 555-{1000 + i + 50 * k} {lead[:4]}") for k, lead in enumerate(leads) for i in range(9 - k)]
+    data += [(1000 + k, f"{lead} 0049-77{k}-12 {lead[:4]}") for k, lead in enumerate(leads)] + [(2000, None), (2001, ""), (1000, leads[0])]
+    docs = frame(spark, data)
+    for most in (0, 1, 3, 50_000):
+        got = sorted((r.doc_id, r.n_phone, r.base_sha256, r.spans) for r in P.extract(docs, most=most).collect())
+        assert {i: s for i, _, _, s in got if 1000 < i < 2000} == {1000 + k: f"phone:{len(leads[k]) + 1}:{len(leads[k]) + 12}" for k in (1, 2, 3)}
+        texts = sorted((r.doc_id, r.text or "", r.n_chars) for r in P.mask_documents(docs, most=most).collect())
+        first = (got, texts) if most == 0 else first
+        assert (got, texts) == first and len(texts) == len(data)
+
+
 def test_masking_keeps_rows_and_columns(spark):
     docs = frame(spark, [(1, "mail a@b.cd now"), (2, None), (3, "clean")])
     got = P.mask_documents(docs)
