@@ -2,7 +2,7 @@
 
 Seeds are the entities that fixed forms find in every text: e-mail addresses,
 IP addresses, payment cards (Luhn) and phone numbers. Around each seed, and around each
-other token that looks like an identifier, the lexical context induces
+other token or run of digit groups that looks like an identifier, the lexical context induces
 patterns: the two words before it, the words on both sides, or the key before
 ``=`` or ``:``. Patterns and the instances they surround form a bipartite
 graph that Spark scores for a few rounds: a pattern's confidence for a kind is
@@ -47,6 +47,9 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _MARK = re.compile(r"[0-9@]")
 _WORD = re.compile(r"\S+")
+# Digit groups with separators of the contract between them, not cut out of a longer token.
+_GROUP = r"[0-9]++(?![^\s().\-\"'\]}>,;:!?])"
+_RUN = re.compile(rf"(?<![^\s=:\"'(\[{{<+]){_GROUP}(?:[ ().-]++{_GROUP})+")
 
 Span = tuple[str, int, int]
 
@@ -102,12 +105,46 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
+def digit_runs(text: str, base: list[Span]) -> list[tuple[int, int]]:
+    """Longest runs of digit groups, at least five digits, with a space or bracket between them.
+
+    The text between the fixed forms is read; a bracket or ``+`` at an end that belongs to the run is of it.
+    """
+    out, at = [], 0
+    for a, b in [*sorted((s, e) for _, s, e in base), (len(text), len(text))]:
+        for m in _RUN.finditer(text, at, a) if at < a else ():
+            start, end = m.span()
+            run = m.group()
+            if not any(c in run for c in " ()") or len(_DIGIT.findall(run)) < 5:
+                continue
+            depth = lowest = 0
+            for c in run:
+                depth += (c == "(") - (c == ")")
+                lowest = min(lowest, depth)
+            if lowest < 0 and start > at and text[start - 1] == "(":
+                start -= 1
+                depth += 1
+            if start > at and text[start - 1] == "+":
+                start -= 1
+            if depth > 0 and text[end : end + 1] == ")" and end < a:
+                end += 1
+            out.append((start, end))
+        at = max(at, b)
+    return out
+
+
 def candidates(text: str, base: list[Span]) -> list[tuple[int, int]]:
-    """Other tokens that look like identifiers: at least five characters, with a digit or ``@``.
+    """Other spans that look like identifiers: single tokens and ``digit_runs``.
 
-    The token is what stands between white space, after the last ``=``, ``:``
-    or quote in it and without punctuation at its ends.
+    A token is what stands between white space, after the last ``=``, ``:``
+    or quote in it and without punctuation at its ends: at least five characters, with a digit or ``@``.
     """
+    if not _MARK.search(text):
+        return []
+    return list(dict.fromkeys(_tokens(text, base) + digit_runs(text, base)))
+
+
+def _tokens(text: str, base: list[Span]) -> list[tuple[int, int]]:
     taken = sorted((s, e) for _, s, e in base)
     out, at, k = [], 0, 0
     while m := _MARK.search(text, at):
@@ -222,7 +259,17 @@ def found_spans(text: str, patterns: dict[str, str]) -> tuple[list[Span], list[S
             kinds = [patterns[p] for p in contexts(text, start, end) if p in patterns]
             if kinds:
                 added.append((_most_named(kinds), start, end))
-    return base, _in_order(base + added)
+    return base, _in_order(base + _outermost(added))
+
+
+def _outermost(spans: list[Span]) -> list[Span]:
+    """Without the spans that lie inside another: a token of a found run is not an identifier of its own."""
+    out, reach = [], -1
+    for s in sorted(spans, key=lambda s: (s[1], -s[2])):
+        if s[2] > reach:
+            out.append(s)
+            reach = s[2]
+    return out
 
 
 def _most_named(kinds: list[str]) -> str:
@@ -270,9 +317,9 @@ def _with_all_patterns(rows: DataFrame, table: DataFrame, most: int, keep_text:
     for f in T.StructType.fromDDL(_FIELDS):
         fields = fields.add(f)
     first = written(to_python(rows).mapInArrow(scan, fields), "pii-candidates")
-    asked = first.select("_pii_uid", F.inline("_pii_asked")).select("_pii_uid", "start", F.explode("rest").alias("pattern"))
+    asked = first.select("_pii_uid", F.inline("_pii_asked")).select("_pii_uid", "start", "end", F.explode("rest").alias("pattern"))
     hits = asked.join(table.select("pattern", "kind"), "pattern")
-    hits = hits.groupBy("_pii_uid").agg(F.collect_list(F.struct("start", "kind")).alias("_pii_hits"))
+    hits = hits.groupBy("_pii_uid").agg(F.collect_list(F.struct("start", "end", "kind")).alias("_pii_hits"))
     return first.join(hits, "_pii_uid", "left").drop("_pii_uid")
 
 
@@ -280,15 +327,15 @@ def _all_spans(batch: pa.RecordBatch) -> list[list[Span]]:
     """Spans of each row from what ``_with_all_patterns`` found."""
     out = []
     for base, asked, hits in zip(*(column(batch, c).to_pylist() for c in ("_pii_base", "_pii_asked", "_pii_hits"))):
-        named: dict[int, list[str]] = {}
+        named: dict[tuple[int, int], list[str]] = {}
         for h in hits or []:
-            named.setdefault(h["start"], []).append(h["kind"])
-        spans = [(b["kind"], b["start"], b["end"]) for b in base]
+            named.setdefault((h["start"], h["end"]), []).append(h["kind"])
+        spans = []
         for c in asked:
-            kinds = c["kinds"] + named.get(c["start"], [])
+            kinds = c["kinds"] + named.get((c["start"], c["end"]), [])
             if kinds:
                 spans.append((_most_named(kinds), c["start"], c["end"]))
-        out.append(_in_order(spans))
+        out.append(_in_order([(b["kind"], b["start"], b["end"]) for b in base] + _outermost(spans)))
     return out
 
 

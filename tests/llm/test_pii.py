@@ -78,6 +78,29 @@ def test_a_second_round_follows_patterns_of_found_identifiers(spark):
     assert all(got[100 + i] == f"email:12:{12 + len(x)}" for i, x in enumerate(ids))
 
 
+def test_candidates_with_spaces_and_brackets_are_whole():
+    for run in ("(724) 555-7058", "020 7946 095", "4041 8949 7460 8796", "+(44) 20 7946", "020 7946 (095)", "724.555 7058", "(724)555-7058"):
+        for text in (f"please call me {run} thanks", f"tel: {run}, or", run, f"id=({run})"):
+            at = text.index(run)
+            assert (at, at + len(run)) in P.candidates(text, P.base_spans(text)), text
+    # Not out of a longer token, not across a fixed form, not too short; tokens stay candidates.
+    for text in ("ab12 345678x", "1 2 3", "10.0.0.1 12", "plain text"):
+        assert P.digit_runs(text, P.base_spans(text)) == [], text
+    assert P.candidates("call 555-7058 12", []) == [(5, 13), (5, 16)]
+    for text in ("9 " * 100_000, "9" + "( " * 100_000, "9(" * 100_000, "9 x" * 100_000):
+        P.candidates(text, [])
+
+
+def test_trusted_contexts_find_numbers_with_spaces_and_brackets(spark):
+    data = [(i, f"please call me +1 (724) 555-{1000 + i} thanks {i}") for i in range(30)]
+    data += [(100, "please call me (724) 555-7058 thanks"), (101, "please call me 020 7946 095 thanks")]
+    docs = frame(spark, data)
+    for most in (0, 50_000):
+        got = {r.doc_id: r.spans for r in P.extract(docs, most=most).collect()}
+        assert (got[100], got[101], got[3]) == ("phone:15:29", "phone:15:27", "phone:15:32")
+    assert {r.doc_id: r.text for r in P.mask_documents(docs).collect()}[100] == "please call me [PHONE] thanks"
+
+
 def test_patterns_beyond_the_broadcast_count_too(spark):
     """More trusted patterns than are broadcast: spans and masked texts are the same."""
     leads = ["please call me", "ring us at", "fax goes to", "mobile is now"]
