@@ -10,7 +10,8 @@ adverts, ...): there the words differ from page to page while the place in the
 template is the same, so the key is that place, and a run of lines in one place
 counts as one. Two checks follow the differencing. Lines of a page's own article
 are not the site's even when the neighbour has them too (copied articles, quoted
-passages), so they stay; and where a page marks its article, nothing outside
+passages), so they stay, but for blocks whose class or id calls them furniture and
+whose place the neighbour has too; and where a page marks its article, nothing outside
 it is main text, whether or not the neighbour happened to share it.
 
 At scale: one shuffle of the pages by ranges of (host, path), which split a
@@ -49,6 +50,7 @@ _NAMES = re.compile(
     re.I,
 )
 _ARTICLE = frozenset(("article", "main"))
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _SPACE = re.compile(r"\s+")
 # A start tag closes these open elements, up to the nearest block that may hold them.
 _CLOSES = {
@@ -69,6 +71,7 @@ class Line(NamedTuple):
     key: str
     furniture: bool
     article: bool
+    named: bool  # inside the article, in a block that only a class or id calls furniture
 
 
 class _Lines(HTMLParser):
@@ -77,20 +80,21 @@ class _Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, str, bool, bool, bool]] = []  # tag, place, silent, furniture, article
+        self.open: list[tuple[str, str, bool, bool, bool, bool]] = []  # tag, place, silent, furniture, article, named
         self.text: list[str] = []
 
-    def _state(self) -> tuple[bool, bool, bool]:
-        return self.open[-1][2:] if self.open else (False, False, False)
+    def _state(self) -> tuple[bool, bool, bool, bool]:
+        return self.open[-1][2:] if self.open else (False, False, False, False)
 
     def flush(self) -> None:
         if self.text:
             text = _SPACE.sub(" ", "".join(self.text)).strip()
             self.text = []
             if text:
-                _, furniture, article = self._state()
+                _, furniture, article, named = self._state()
                 place = "/".join(p for _, p, *_ in self.open if p)
-                self.lines.append(Line(text, "place " + place if furniture else "text " + text, furniture, article))
+                key = "place " + place if furniture or named else "text " + text
+                self.lines.append(Line(text, key, furniture, article, named))
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in _BLOCKS:
@@ -103,7 +107,7 @@ class _Lines(HTMLParser):
             self._close_implied(("p",))
         if tag in _VOID:
             return
-        silent, furniture, article = self._state()
+        silent, furniture, article, named = self._state()
         if tag in _ARTICLE and not furniture:
             article = True
         names = {k: (v or "") for k, v in attrs}
@@ -111,10 +115,14 @@ class _Lines(HTMLParser):
             silent = True
         marked = _NAMES.search(names.get("class", "")) or _NAMES.search(names.get("id", ""))
         marked = marked and tag not in ("html", "body", "article", "main")
+        if marked and article:
+            # A name alone is not sure there: its place must be the neighbour's too. A heading's id names its section.
+            named = named or tag not in _HEADINGS
+            marked = False
         if tag in _FURNITURE or (tag == "header" and not article) or marked or names.get("role", "").lower() in _ROLES:
             furniture = True
         place = tag + "." + names.get("class", "") if tag in _BLOCKS else ""
-        self.open.append((tag, place, silent, furniture, article))
+        self.open.append((tag, place, silent, furniture, article, named))
 
     def _close_implied(self, tags: tuple[str, ...]) -> None:
         for k in range(len(self.open) - 1, -1, -1):
@@ -185,7 +193,7 @@ def _slots(lines: list[Line]) -> tuple[list[str], list[int]]:
     """Keys with runs of one furniture place as one, and the slot of each line."""
     keys, slot = [], []
     for line in lines:
-        if not (line.furniture and keys and keys[-1] == line.key):
+        if not ((line.furniture or line.named) and keys and keys[-1] == line.key):
             keys.append(line.key)
         slot.append(len(keys) - 1)
     return keys, slot
@@ -201,7 +209,7 @@ def main_text(lines: list[Line], neighbour: list[Line] | None) -> str:
         out = []
         for line, s in zip(lines, slot):
             own = line.article and not line.furniture
-            if differ and s in shared and not own:
+            if differ and s in shared and (not own or line.named):
                 continue
             if not line.furniture and (own or not marked):
                 out.append(line.text)

@@ -39,6 +39,21 @@ def test_shared_lines_of_unmarked_pages_are_deleted():
     assert H.main_text(a, a) == "Welcome to the site Home own words Home All rights"
 
 
+def test_names_inside_the_article_need_the_neighbour():
+    """A class or id alone does not drop text of the article; a place that the neighbour has too does."""
+
+    def own(body):
+        return H.page_lines(f"<body><article><h1>Head</h1>{body}</article></body>")
+
+    section = own('<h2 id="related-work">Related work</h2><p>Others did</p><div class="post-header"><p>By line</p></div>')
+    other = own('<p>Body</p><div class="share"><p>Send one</p></div>')
+    again = own('<p>More</p><div class="share"><p>Send two</p><p>Send three</p></div>')
+    for neighbour in (None, other):
+        assert H.main_text(section, neighbour) == "Head Related work Others did By line"
+    assert H.main_text(section, section).startswith("Head Related work Others did")
+    assert (H.main_text(other, again), H.main_text(again, other)) == ("Head Body", "Head More")
+
+
 def test_broken_html():
     assert H.main_text(H.page_lines("<article><p>Cut &am"), None) == "Cut &am"
     assert H.main_text(H.page_lines("<article><p>A<p>B</i></article></div>C"), None) == "A B"
