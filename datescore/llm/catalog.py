@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from datescore.llm import bpe, exact_dedup, fingerprints, html_text, lm_score, ngram_join, packing, pii, sharding, toxicity
+from datescore.llm import (
+    bpe,
+    centroids,
+    decontaminate,
+    exact_dedup,
+    fingerprints,
+    html_text,
+    lm_score,
+    ngram_join,
+    packing,
+    pii,
+    sharding,
+    token_links,
+    toxicity,
+)
 from datescore.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +81,18 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edits(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_report(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_links.link_scores(read_table(spark, sf_dir, "documents"))
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlap_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_pii": op2_pii,
@@ -78,6 +104,9 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_ngram_join": op9_ngram_join,
     "op10_fingerprints": op10_fingerprints,
+    "op11_centroids": op11_centroids,
+    "op12_token_links": op12_token_links,
+    "op13_decontaminate": op13_decontaminate,
 }
 
 SQL: dict[str, str] = {
@@ -119,4 +148,6 @@ r AS (
 SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS component_id
 FROM documents d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
 """,
+    "op11_centroids": centroids.report_sql(),
+    "op13_decontaminate": decontaminate.REPORT_SQL,
 }
