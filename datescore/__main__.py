@@ -18,6 +18,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from datescore.functions.dates import previous_day_value
+from datescore.operators import boosting as B
 from datescore.operators import model as M
 from datescore.plans import jobs
 from datescore.schema import TRAINING_SCHEMA
@@ -72,18 +73,15 @@ def _print_rows(df: DataFrame) -> None:
 
 def cmd_daily(spark: SparkSession, args) -> None:
     result_table.create_result_table(spark, args.table, args.location)
-    model = model_store.load_model(args.model) if args.model else None
-    limit = args.ntree_limit
-    if args.best_trees:
-        limit = model_store.load_best_trees(args.model) if args.model else None
-        if limit is None:
-            raise SystemExit("--best-trees needs --model with a stored choice of early stopping")
+    if args.best_trees and not (args.model and model_store.load_best_trees(args.model)):
+        raise SystemExit("--best-trees needs --model with a stored choice of early stopping")
+    limit = None if args.best_trees else args.ntree_limit
+    model = model_store.load_index(args.model, limit) if args.model else None
     audit = jobs.daily_scoring(
         _features(spark, args),
         args.table,
         args.run_date,
         model=model,
-        ntree_limit=limit,
         validate_keys=args.validate_keys,
         csv_path=args.csv,
         rebalance_output=args.rebalance_output,
@@ -96,6 +94,35 @@ def cmd_extract(spark: SparkSession, args) -> None:
     print(out)
 
 
+def _boost_params(args) -> B.BoostParams:
+    return B.BoostParams(
+        rounds=args.max_iter,
+        max_depth=args.max_depth,
+        eta=args.eta,
+        reg_lambda=args.reg_lambda,
+        reg_alpha=args.reg_alpha,
+        gamma=args.gamma,
+        min_child_weight=args.min_child_weight,
+        subsample=args.subsample,
+        colsample_bytree=args.colsample_bytree,
+        colsample_bylevel=args.colsample_bylevel,
+        early_stopping_rounds=args.patience,
+        seed=args.seed,
+        max_bins=args.max_bins,
+        block=args.history_every,
+    )
+
+
+def cmd_boost(spark: SparkSession, args) -> None:
+    res = jobs.train_boosted(
+        _training(spark, args), args.n_sample, _boost_params(args), args.model_out, args.threshold, args.ntree_limit
+    )
+    report = {name: [r.asDict() for r in df.collect()] for name, df in res.reports.items()}
+    report["sizes"] = [r.asDict() for r in res.sizes.collect()]
+    report |= {"trees": len(res.booster.trees), "best_trees": res.booster.best_trees, "history": res.booster.history}
+    print(json.dumps(report, default=str, indent=1))
+
+
 def cmd_train(spark: SparkSession, args) -> None:
     res = jobs.train_evaluate(
         _training(spark, args),
@@ -182,7 +209,7 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--table", required=True)
     d.add_argument("--location", default=None, help="storage location when the table is created")
     d.add_argument("--model", default=None, help="saved model (default: the fixed test ensemble)")
-    d.add_argument("--ntree-limit", type=int, default=1500)
+    d.add_argument("--ntree-limit", type=int, default=None, help="trees that score (default: the stored choice, else 1500)")
     d.add_argument("--best-trees", action="store_true", help="score with the trees early stopping chose for the model")
     d.add_argument("--csv", default=None, help="also write the day's result as header CSV")
     d.add_argument("--validate-keys", action="store_true")
@@ -211,6 +238,26 @@ def parser() -> argparse.ArgumentParser:
     t.add_argument("--ntree-limit", type=int, default=1500)
     t.set_defaults(run=cmd_train)
 
+    b = sub.add_parser("boost", help="W3 with leaf penalties, missing values and a stop during training")
+    training(b)
+    b.add_argument("--model-out", required=True)
+    b.add_argument("--max-iter", type=int, default=2000)
+    b.add_argument("--max-depth", type=int, default=7)
+    b.add_argument("--eta", type=float, default=0.01)
+    b.add_argument("--reg-lambda", type=float, default=1.0, help="L2 penalty of leaves")
+    b.add_argument("--reg-alpha", type=float, default=1.0, help="L1 penalty of leaves")
+    b.add_argument("--gamma", type=float, default=0.03, help="least gain of a split")
+    b.add_argument("--min-child-weight", type=float, default=0.8, help="least Hessian weight of a child")
+    b.add_argument("--subsample", type=float, default=0.75, help="rows of a tree")
+    b.add_argument("--colsample-bytree", type=float, default=0.9)
+    b.add_argument("--colsample-bylevel", type=float, default=0.9)
+    b.add_argument("--max-bins", type=int, default=64)
+    b.add_argument("--threshold", type=float, default=0.5)
+    b.add_argument("--history-every", type=int, default=50, help="trees between two marks (and checkpoints)")
+    b.add_argument("--patience", type=int, default=50)
+    b.add_argument("--ntree-limit", type=int, default=None, help="trees that score the holdout (default: the best number)")
+    b.set_defaults(run=cmd_boost)
+
     u = sub.add_parser("tune", help="W4: cross-validated search over the tree parameters")
     training(u)
     u.add_argument("--init-points", type=int, default=10)
@@ -229,7 +276,7 @@ def parser() -> argparse.ArgumentParser:
     labelled(v)
     v.add_argument("--model", required=True)
     v.add_argument("--threshold", type=float, default=0.5)
-    v.add_argument("--ntree-limit", type=int, default=1500)
+    v.add_argument("--ntree-limit", type=int, default=None, help="trees that score (default: the stored choice, else 1500)")
     v.set_defaults(run=cmd_evaluate)
 
     def table(name, run, text):

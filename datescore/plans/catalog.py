@@ -11,24 +11,40 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from datescore.functions.dates import previous_day_value
 from datescore.functions.fill import fill_missing
+from datescore.operators import boosting as B
 from datescore.operators import ensemble as E
 from datescore.operators import metrics as MT
 from datescore.operators import model as M
+from datescore.operators import quantiles
 from datescore.operators import sampling as S
+from datescore.operators import tree_index
 from datescore.operators import tuning as TU
 from datescore.operators.prepare import (
     class_rows,
     feature_matrix,
     label_prediction_pairs,
+    result_rows,
     threshold,
 )
 from datescore.plans import jobs
-from datescore.plans.oracle import DAY, INIT_POINTS, N_ITER, N_SAMPLE, NAMELESS_USER, QUERY_LIMIT, QUERY_MARK, QUERY_TREES
+from datescore.plans.oracle import (
+    BOOST,
+    BOOST_CUTS,
+    DAY,
+    INIT_POINTS,
+    N_ITER,
+    N_SAMPLE,
+    NAMELESS_USER,
+    QUERY_LIMIT,
+    QUERY_MARK,
+    QUERY_TREES,
+)
 from datescore.schema import EXTRACT_SCHEMA, FEATURES, KEY, LABEL, PARTITION, RESULT_SCHEMA, TRAINING_COLUMNS, TRAINING_SCHEMA, USER
 from datescore.session import materialize, work_path
 from datescore.sources import model_store, result_table, text
@@ -420,14 +436,24 @@ def tune(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 with a trained model: train, save, load, score yesterday's partition, replace it, audit."""
     training = materialize(_features(spark, sf_dir), "training-table")
-    sample = _sample(training)
-    path = model_store.save_model(M.train(sample, QUERY_PARAMS), work_path(spark, "daily-model"))
+    path = model_store.save_model(M.train(_sample(training), QUERY_PARAMS), work_path(spark, "daily-model"))
+    return _daily(spark, training, model_store.load_model(path))
+
+
+def daily_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 with a stored second-order model: its node table is loaded as a threshold index; missing values are not filled."""
+    training = materialize(_features(spark, sf_dir), "training-table")
+    booster = B.train(_sample(training), B.BoostParams(rounds=6, max_depth=4, eta=0.3, block=3))
+    return _daily(spark, training, model_store.load_index(model_store.save_booster(booster, work_path(spark, "daily-booster"))))
+
+
+def _daily(spark: SparkSession, training: DataFrame, model) -> DataFrame:
     features = write_feature_table(training.select(*EXTRACT_SCHEMA.names), work_path(spark, "features"))
     table = _all_days_table(spark, training, "daily")
     try:
         before = _copy_out(spark.table(table).where(F.col(PARTITION) != DAY), "daily-before")
         audit = jobs.daily_scoring(
-            read_feature_table(spark, features), table, RUN_DATE, model=model_store.load_model(path), ntree_limit=QUERY_LIMIT
+            read_feature_table(spark, features), table, RUN_DATE, model=model, ntree_limit=QUERY_LIMIT
         )
         audited = audit.agg(F.sum("count")).first()[0]
         spark.catalog.refreshTable(table)
@@ -450,6 +476,106 @@ def daily_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
         result_table.drop_table(spark, table)
 
 
+# --- scoring by thresholds, second-order boosting -------------------------------------------
+
+
+def index_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate pair scored by the threshold index of the fixed ensemble's node table."""
+    index = tree_index.from_node_table(E.node_table(spark, E.FIXED_ENSEMBLE), FEATURES, fill=True)
+    return result_rows(tree_index.score(index, _features(spark, sf_dir), [USER, "dep_date_of_search", PARTITION]), extra=[PARTITION])
+
+
+def _root_histogram(spark: SparkSession, sf_dir: str):
+    """Sums of the root of a first tree over all rows: (features, codes, 3), with the fixed cuts for every feature."""
+    cuts = [BOOST_CUTS] * len(FEATURES)
+    params = B.BoostParams(subsample=1.0, max_bins=len(BOOST_CUTS) + 1, **BOOST)
+    rows = materialize(B.bin_rows(_features(spark, sf_dir), FEATURES, cuts, F.lit(False), KEY), "root-rows")
+    root = B.Tree()
+    root.add(0.0, 0.0)
+    return B.histogram(rows, [], root, [0], 0, len(FEATURES), params)[0], params
+
+
+def boost_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: gradient and Hessian sums of the root for each feature and bin (-1: missing), all rows, fixed cuts."""
+    hist, params = _root_histogram(spark, sf_dir)
+    rows = [
+        (name, -1 if code == params.max_bins else code, int(n), g / B.UNIT, h / B.UNIT)
+        for name, cells in zip(FEATURES, hist.tolist())
+        for code, (g, h, n) in enumerate(cells)
+        if n
+    ]
+    return spark.createDataFrame(rows, "feature string, bin int, rows bigint, g double, h double")
+
+
+def boost_root_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: each feature's best split of the root: leaf penalties, least Hessian weight, side of missing values."""
+    hist, params = _root_histogram(spark, sf_dir)
+    rows = []
+    for f, name in enumerate(FEATURES):
+        active = np.arange(len(FEATURES)) == f
+        split = B.best_splits(hist[None], [len(BOOST_CUTS)] * len(FEATURES), active, params)[0]
+        if split:
+            threshold = float(BOOST_CUTS[split["bin"]]) if split["bin"] < len(BOOST_CUTS) else None
+            rows.append((name, threshold, split["missing_left"], split["gain"], int(split["left"][2])))
+    return spark.createDataFrame(rows, "feature string, threshold double, missing_left boolean, gain double, left_rows bigint")
+
+
+def quantile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: the mergeable summary of each feature; its size and its deciles' rank bounds against counted ranks."""
+    size = 200
+    table = materialize(_features(spark, sf_dir).select(*[F.col(c).cast("double") for c in FEATURES]), "quantile-rows")
+    found = quantiles.summaries(table, FEATURES, size)
+    asked = {name: s.values_at(np.arange(1, 10) / 10 * s.total) for name, s in zip(FEATURES, found)}
+    counts = [
+        F.count(F.when(F.col(name) < v if below else F.col(name) <= v, 1)).alias(f"{name}_{i}_{below}")
+        for name, values in asked.items()
+        for i, v in enumerate(values.tolist())
+        for below in (0, 1)
+    ]
+    true = table.agg(*counts).first()
+    rows = []
+    for name, s in zip(FEATURES, found):
+        at = np.searchsorted(s.value, asked[name])
+        held = all(
+            s.below[k] <= true[f"{name}_{i}_1"] and true[f"{name}_{i}_0"] <= s.through[k]
+            and abs((true[f"{name}_{i}_1"] + true[f"{name}_{i}_0"]) / 2 - (s.below[k] + s.through[k]) / 2) <= max(1.0, s.error() * s.total)
+            for i, k in enumerate(at)
+        )
+        rows.append((name, int(s.total), len(s.value) <= size + 2, held))
+    return spark.createDataFrame(rows, "feature string, rows bigint, bounded boolean, ranks_hold boolean")
+
+
+def boost_train_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W3 M2 M3 M4 M5 M7 S9 S10 with the second-order booster: stopped by patience; sizes and 0-mismatch counters."""
+    path = work_path(spark, "booster")
+    params = B.BoostParams(rounds=200, max_depth=3, eta=0.5, block=4, early_stopping_rounds=8)
+    res = jobs.train_boosted(_training_table(spark, sf_dir), N_SAMPLE, params, model_path=path)
+    booster, sample = res.booster, res.sample
+    validation = {k: a for k, name, a in booster.history if name == "val"}
+    marks = range(params.block, len(booster.trees) + 1, params.block)
+    scored = materialize(tree_index.score(booster.index(), sample, [*KEY, LABEL]), "booster-scores")
+    reloaded = tree_index.score(model_store.load_index(path), sample, KEY)
+    # The history comes from stored margins; here the best prefix is scored anew.
+    split = S.half_split(sample)
+    sets = tree_index.score(booster.index(), split, ["is_test", LABEL])
+    again = {("val" if r["is_test"] else "train"): r["auc"] for r in MT.auc(sets, by=["is_test"]).collect()}
+    kept = {name: a for k, name, a in booster.history if k == booster.best_trees}
+    values = {r.role: r.rows for r in res.sizes.collect()}
+    values |= {f"support_{r['class']}": r.support for r in res.reports["class_report"].collect() if r["class"] in "01"}
+    cells = res.reports["confusion"].select(F.sum(F.coalesce("true_0", F.lit(0)) + F.coalesce("true_1", F.lit(0))))
+    values |= {
+        "confusion_cells": cells.first()[0],
+        "stopped_before_the_last_round": len(booster.trees) < params.rounds,
+        "trees_after_the_best": len(booster.trees) - booster.best_trees,
+        "marks_missing": len(set(marks) ^ set(validation)),
+        "best_is_the_first_maximum": booster.best_trees == min(k for k, a in validation.items() if a == max(validation.values())),
+        "best_trees_differ_from_the_stored": model_store.load_best_trees(path) - booster.best_trees,
+        "reload_mismatches": _differ(scored.drop(LABEL), reloaded, KEY),
+        "history_mismatches": sum(abs(again[name] - kept[name]) > 1e-9 for name in ("train", "val")),
+    }
+    return spark.createDataFrame([(m, int(v)) for m, v in values.items()], "metric string, value bigint")
+
+
 QUERIES: dict[str, Query] = {
     "feature_extract": feature_extract,
     "fill_missing": fill_missing_q,
@@ -486,6 +612,12 @@ QUERIES: dict[str, Query] = {
     "train_evaluate": train_evaluate,
     "tune": tune,
     "daily_scoring": daily_scoring,
+    "index_scores": index_scores,
+    "boost_histogram": boost_histogram,
+    "boost_root_split": boost_root_split,
+    "quantile_summary": quantile_summary,
+    "boost_train_evaluate": boost_train_evaluate,
+    "daily_boosted": daily_boosted,
 }
 
 

@@ -14,12 +14,15 @@ from pyspark.sql import functions as F
 
 from datescore.functions.dates import previous_day_value
 from datescore.functions.fill import fill_missing
+from datescore.operators import boosting as B
 from datescore.operators import ensemble as E
 from datescore.operators import model as M
 from datescore.operators import sampling as S
+from datescore.operators import tree_index
 from datescore.operators import tuning as TU
 from datescore.operators.metrics import auc, subset_sizes
 from datescore.operators.prepare import check_unique_key, result_rows
+from datescore.operators.tree_index import TreeIndex
 from datescore.schema import DEP_DATE, FEATURES, KEY, LABEL, PARTITION, USER, require_columns
 from datescore.sources import model_store, result_table, text
 from datescore.session import checkpoint_root, materialize
@@ -37,8 +40,14 @@ def score_with_ensemble(features: DataFrame, ensemble: E.Ensemble = E.FIXED_ENSE
     return result_rows(scored, extra=[PARTITION])
 
 
-def score_with_model(features: DataFrame, model: PipelineModel, ntree_limit: int | None = None) -> DataFrame:
-    """P7 -> M1 -> M5/M6 -> P8/P9, with ``dt`` carried along."""
+def score_with_model(features: DataFrame, model: PipelineModel | TreeIndex, ntree_limit: int | None = None) -> DataFrame:
+    """P7 -> M1 -> M5/M6 -> P8/P9, with ``dt`` carried along.
+
+    A threshold index (``model_store.load_index``) holds the trees it was loaded
+    with; it starts at once whatever their number, so it is the form for many trees.
+    """
+    if isinstance(model, TreeIndex):
+        return result_rows(tree_index.score(model, features, [USER, DEP_DATE, PARTITION]), extra=[PARTITION])
     scored = M.score(model, features, keep=[USER, DEP_DATE, PARTITION], ntree_limit=ntree_limit)
     return result_rows(scored, extra=[PARTITION])
 
@@ -47,7 +56,7 @@ def daily_scoring(
     source: DataFrame,
     table: str,
     run_date: str | None = None,
-    model: PipelineModel | None = None,
+    model: PipelineModel | TreeIndex | None = None,
     ntree_limit: int | None = 1500,
     ensemble: E.Ensemble | None = None,
     validate_keys: bool = False,
@@ -142,23 +151,60 @@ def train_evaluate(
         history = M.auc_history(model, sets, every=history_every)
         best = M.early_stop(history, patience)
     scored = M.score(model, held, keep=[*KEY, LABEL], ntree_limit=ntree_limit)
-    reports = M.evaluate(scored, threshold)
-    # A11 from what is already written: the sample and the holdout's histogram
-    # (every holdout row, any label, is counted there); no further pass.
-    hist = reports.pop("histogram")
-    sample_sizes = subset_sizes(
-        sample.select(F.when(F.col(LABEL) == 1, F.lit("positive")).otherwise(F.lit("negative")).alias("role")), "role"
-    )
-    held_size = hist.agg(F.sum(F.col("_pos") + F.col("_neg") + F.col("_bad")).cast("long").alias("rows"))
-    sizes = sample_sizes.unionByName(held_size.select(F.lit("holdout").alias("role"), "rows"))
+    reports, sizes = _judged(scored, sample, threshold)
     if model_path:
         model_store.save_model(model, model_path, best)
     return TrainResult(model, model_path, sizes, reports, history, best, sample)
 
 
-def evaluate_saved(labelled: DataFrame, model_path: str, threshold: float = 0.5, ntree_limit: int | None = 1500) -> dict[str, DataFrame]:
-    """S10 -> M6 -> M7: a stored model judged on labelled rows."""
-    scored = M.score(model_store.load_model(model_path), labelled, keep=[*KEY, LABEL], ntree_limit=ntree_limit)
+def _judged(scored: DataFrame, sample: DataFrame, threshold: float) -> tuple[dict[str, DataFrame], DataFrame]:
+    """M7 on the scored holdout, and A11 from what is already written: the sample and the holdout's histogram."""
+    reports = M.evaluate(scored, threshold)
+    hist = reports.pop("histogram")  # every holdout row, any label, is counted there
+    role = F.when(F.col(LABEL) == 1, F.lit("positive")).otherwise(F.lit("negative"))
+    held = hist.agg(F.sum(F.col("_pos") + F.col("_neg") + F.col("_bad")).cast("long").alias("rows"))
+    return reports, subset_sizes(sample, role).unionByName(held.select(F.lit("holdout").alias("role"), "rows"))
+
+
+@dataclass
+class BoostResult:
+    booster: B.Booster
+    model_path: str | None
+    sizes: DataFrame
+    reports: dict[str, DataFrame]
+    sample: DataFrame
+
+
+def train_boosted(
+    training: DataFrame,
+    n_sample: int,
+    params: B.BoostParams = B.BoostParams(),
+    model_path: str | None = None,
+    threshold: float = 0.5,
+    ntree_limit: int | None = None,
+) -> BoostResult:
+    """W3 with the second-order booster: D1 -> J1 -> D2 -> M2/M3/M4 -> M7 -> A2 -> S9.
+
+    As ``train_evaluate``, but with the reference's leaf penalties, missing values
+    as they are (no P7), and the AUC history and the stop inside the training. The
+    holdout is scored by the trees that early stopping chose, unless ``ntree_limit`` says otherwise.
+    """
+    checkpoint_root(training.sparkSession)
+    flagged = S.flag_class_sample(training, n_sample)
+    sample = materialize(flagged.where(F.col("sampled")).drop("sampled"), "sample")
+    split = materialize(S.half_split(sample), "split")
+    booster = B.train(split, params, is_val=F.col("is_test"))
+    held = flagged.where(~F.col("sampled")).drop("sampled")
+    scored = tree_index.score(booster.index(ntree_limit), held, [*KEY, LABEL])
+    reports, sizes = _judged(scored, sample, threshold)
+    if model_path:
+        model_store.save_booster(booster, model_path)
+    return BoostResult(booster, model_path, sizes, reports, sample)
+
+
+def evaluate_saved(labelled: DataFrame, model_path: str, threshold: float = 0.5, ntree_limit: int | None = None) -> dict[str, DataFrame]:
+    """S10 -> M6 -> M7: a stored model of either kind judged on labelled rows, with ``model_store.trees_to_use`` trees."""
+    scored = tree_index.score(model_store.load_index(model_path, ntree_limit), labelled, [*KEY, LABEL])
     reports = M.evaluate(scored, threshold)
     reports.pop("histogram")
     return reports

@@ -148,6 +148,49 @@ TRAINING = f"{EXTRACT}, pre_days_median, label"
 QUERY_TREES, QUERY_LIMIT, QUERY_MARK = 20, 15, 5
 INIT_POINTS, N_ITER = 10, 25
 
+# Settings of the root's histogram and splits: the same cuts for every feature, and penalties.
+BOOST_CUTS = [0.25, 0.5, 1.0, 2.0, 3.0, 5.0, 8.0, 13.0]
+BOOST = {"reg_lambda": 1.0, "reg_alpha": 1.0, "min_child_weight": 0.8}
+
+
+def _root_cells() -> str:
+    """Rows, gradients and Hessians of a first tree's root (margin 0: p = 1/2) for each feature and bin."""
+    bins = " + ".join(f"CAST({{c}} >= {t}::DOUBLE AS INTEGER)" for t in BOOST_CUTS)
+    each = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {i} AS f, CASE WHEN {c} IS NULL THEN -1 ELSE {bins.format(c=c)} END AS bin, label FROM features"
+        for i, c in enumerate(FEATURE_NAMES)
+    )
+    return f"""
+cells AS (
+  SELECT feature, f, CAST(bin AS INTEGER) AS bin, count(*) AS rows,
+         sum(0.5::DOUBLE - label) AS g, count(*) * 0.25::DOUBLE AS h
+  FROM ({each}) GROUP BY ALL)"""
+
+
+def _leaf_score(g: str, h: str) -> str:
+    t = f"greatest(abs({g}) - {BOOST['reg_alpha']}::DOUBLE, 0.0::DOUBLE)"
+    return f"({t} * {t} / ({h} + {BOOST['reg_lambda']}::DOUBLE))"
+
+
+def _root_split_sql() -> str:
+    last, least = len(BOOST_CUTS), BOOST["min_child_weight"]
+    cuts = ", ".join(f"({i}, {t}::DOUBLE)" for i, t in enumerate(BOOST_CUTS))
+    gain = f"{_leaf_score('gl', 'hl')} + {_leaf_score('g - gl', 'h - hl')} - {_leaf_score('g', 'h')}"
+    return f"""SELECT feature, threshold, missing_left, gain, left_rows FROM (
+  SELECT feature, threshold, side = 1 AS missing_left, {gain} AS gain, nl AS left_rows,
+         row_number() OVER (PARTITION BY feature ORDER BY {gain} DESC, b, side) AS r
+  FROM sides
+  WHERE nl > 0 AND n - nl > 0 AND hl >= {least}::DOUBLE AND h - hl >= {least}::DOUBLE AND {gain} > 1e-6
+    AND (b < {last} OR side = 0)) WHERE r = 1""", f"""
+cuts AS (SELECT * FROM (VALUES {cuts}, ({last}, NULL)) t(b, threshold)),
+whole AS (SELECT feature, CAST(sum(rows) AS BIGINT) AS n, sum(g) AS g, sum(h) AS h FROM cells GROUP BY feature)""", """
+sides AS (
+  SELECT w.feature, c.b, c.threshold, s.side, w.n, w.g, w.h,
+         CAST(coalesce(sum(x.rows), 0) AS BIGINT) AS nl, coalesce(sum(x.g), 0) AS gl, coalesce(sum(x.h), 0) AS hl
+  FROM whole w CROSS JOIN cuts c CROSS JOIN (VALUES (0), (1)) s(side)
+       LEFT JOIN cells x ON x.feature = w.feature AND (x.bin BETWEEN 0 AND c.b OR s.side = 1 AND x.bin = -1)
+  GROUP BY ALL)"""
+
 
 def auc_sql(source: str, by: str = "") -> str:
     """Tie-aware AUC over ``source`` (columns score, label[, by]) with exact integer sums."""
@@ -347,6 +390,27 @@ SQL: dict[str, str] = {
     + f"""SELECT user_name, dep_date_of_search AS dep_date, dt, true AS in_range, true AS others_unchanged,
               (SELECT CAST(sum(n) AS BIGINT) FROM (SELECT count(*) AS n FROM features GROUP BY dt ORDER BY dt DESC LIMIT 5)) AS audit_rows
        FROM features WHERE dt = '{DAY}'""",
+    "index_scores": with_ctes(FILLED, SCORED) + f"SELECT {RESULT_OF.format(s='score')} FROM scored",
+    "boost_histogram": with_ctes(_root_cells()) + "SELECT feature, bin, rows, g, h FROM cells",
+    "boost_root_split": with_ctes(_root_cells(), *_root_split_sql()[1:]) + _root_split_sql()[0],
+    "quantile_summary": with_ctes()
+    + " UNION ALL ".join(f"SELECT '{c}' AS feature, count({c}) AS rows, true AS bounded, true AS ranks_hold FROM features" for c in FEATURE_NAMES),
+    "boost_train_evaluate": with_ctes(SAMPLE)
+    + f"""SELECT 'positive' AS metric, CAST({N_SAMPLE} AS BIGINT) AS value
+       UNION ALL SELECT 'negative', {N_SAMPLE}
+       UNION ALL SELECT 'holdout', count(*) - 2 * {N_SAMPLE} FROM keyed
+       UNION ALL SELECT 'support_0', count(*) - {N_SAMPLE} FROM keyed WHERE label = 0
+       UNION ALL SELECT 'support_1', count(*) - {N_SAMPLE} FROM keyed WHERE label = 1
+       UNION ALL SELECT 'confusion_cells', count(*) - 2 * {N_SAMPLE} FROM keyed
+       UNION ALL SELECT 'stopped_before_the_last_round', 1
+       UNION ALL SELECT 'trees_after_the_best', 8
+       UNION ALL SELECT 'marks_missing', 0
+       UNION ALL SELECT 'best_is_the_first_maximum', 1
+       UNION ALL SELECT 'best_trees_differ_from_the_stored', 0
+       UNION ALL SELECT 'reload_mismatches', 0
+       UNION ALL SELECT 'history_mismatches', 0""",
     "result_csv_roundtrip": with_ctes(FILLED, SCORED)
     + "SELECT user_name, dep_date_of_search AS dep_date, CAST(score AS FLOAT) AS q_ratio FROM scored",
 }
+# The same job with another kind of model: the same rows.
+SQL["daily_boosted"] = SQL["daily_scoring"]

@@ -86,6 +86,14 @@ def materialize(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a work folder that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if path in _made:
+        _made.remove(path)
+    return bool(target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True))
+
+
 def scratch_mark() -> int:
     """How many work folders were made so far; ``clear_scratch`` goes back to here."""
     return len(_made)
@@ -96,10 +104,7 @@ def clear_scratch(spark: SparkSession, mark: int = 0) -> int:
 
     Frames that read these folders are no longer usable. Returns how many were deleted.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     done = 0
     while len(_made) > mark:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
-        done += bool(path.getFileSystem(conf).delete(path, True))
+        done += delete_path(spark, _made[-1])
     return done
