@@ -192,16 +192,19 @@ def node_table(model: PipelineModel, features: list[str] | None = None) -> DataF
     return saved_node_table(spark, path, features)
 
 
-def saved_node_table(spark: SparkSession, path: str, features: list[str] | None = None) -> DataFrame:
+def saved_node_table(spark: SparkSession, path: str, features: list[str] | None = None, tag: str | None = None) -> DataFrame:
     """The node table of a GBT stage saved at ``path``.
 
     MLlib stores an ensemble as Parquet rows (treeID, nodeData) and one row of
     metadata for each tree. Its splits send ``x <= threshold`` to the left child.
+    ``path`` may stand for several stages; then ``tag`` is a pattern whose group,
+    found in the file's name, becomes the column ``tag`` that tells them apart.
     """
     names = F.array(*[F.lit(c) for c in features or FEATURES])
-    weights = spark.read.parquet(f"{path}/treesMetadata").toDF("treeID", "metadata", "weight").drop("metadata")
+    of = (F.regexp_extract(F.input_file_name(), tag, 1) if tag else F.lit("")).alias("tag")
+    weights = spark.read.parquet(f"{path}/treesMetadata").toDF("treeID", "metadata", "weight").select("treeID", "weight", of)
     # One row for each tree, whatever the data.
-    nodes = spark.read.parquet(f"{path}/data").join(F.broadcast(weights), "treeID")
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData", of).join(F.broadcast(weights), ["tag", "treeID"])
     n = F.col("nodeData")
     leaf = n["leftChild"] < 0
     return nodes.select(
@@ -214,6 +217,7 @@ def saved_node_table(spark: SparkSession, path: str, features: list[str] | None
         F.when(~leaf, n["rightChild"].cast("int")).alias("right"),
         F.when(leaf, n["prediction"]).alias("value"),
         F.when(~leaf, F.lit(True)).alias("inclusive"),
+        *(["tag"] if tag else []),
     )
 
 

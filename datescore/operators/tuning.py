@@ -1,12 +1,12 @@
 """Hyper-parameter search.
 
-M8 scores one parameter set by k-fold AUC; M9 searches a box. The reference
-drives a Gaussian-process optimiser that evaluates one point at a time. Here
-the search is re-aimed for a cluster: stage 1 draws seeded random points in
-the box, stage 2 draws points in a box shrunk around the best of stage 1.
-All points of a stage and all their folds are independent, so they are fit
-as concurrent Spark jobs (``parallelism``). Every fit is itself distributed;
-only the trial table (one row per point) reaches the driver.
+M8 scores one parameter set by k-fold AUC; M9 searches a box: stage 1 draws
+seeded random points in it, stage 2 asks a Gaussian-process model of the scores
+so far for batches of points with the best expected improvement. The points of a
+batch and all their folds are independent, so they are fit as concurrent Spark
+jobs (``parallelism``), and all held-out folds are scored by all their models in
+one pass. Every fit is itself distributed; only the trial table (one row per
+point) and the trees (bounded by the models) reach the driver.
 """
 
 from __future__ import annotations
@@ -17,15 +17,18 @@ from dataclasses import dataclass
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-from pyspark.ml.functions import vector_to_array
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from datescore.functions.link import float_param, int_param
+from datescore.functions.link import float_param, int_param, logistic
 from datescore.operators import model as M
+from datescore.operators import surrogate
 from datescore.operators.metrics import auc, mean_over
+from datescore.operators.tree_index import TreeIndex
 from datescore.schema import FEATURES, LABEL
+from datescore.session import delete_path, work_path
 
 # The reference's search box. MLlib has no L1/L2 leaf
 # penalties; minInfoGain and subsamplingRate stand in as the regularisers
@@ -40,6 +43,8 @@ SEARCH_BOX: dict[str, tuple[float, float]] = {
 INIT_POINTS = 10
 N_ITER = 25
 FOLDS = 3
+BATCH = 5  # guided points that are tried side by side
+WHOLE = ("max_depth", "n_estimators")
 # The tuner's constant parameters (subsample 0.9,
 # colsample_bytree 0.9, random_state 90).
 TUNER_BASE = M.TreeParams(subsampling_rate=0.9, feature_subset="0.9", seed=90, min_instances_per_node=1, min_info_gain=0.0)
@@ -84,15 +89,6 @@ def draw(box: dict[str, tuple[float, float]], count: int, seed: int) -> list[Poi
     return [Point(**{n: float(cols[n][i]) for n in names}) for i in range(count)]
 
 
-def shrink(box: dict[str, tuple[float, float]], center: Point, factor: float = 0.25) -> dict[str, tuple[float, float]]:
-    out = {}
-    for name, (lo, hi) in box.items():
-        half = (hi - lo) * factor
-        c = getattr(center, name)
-        out[name] = (max(lo, c - half), min(hi, c + half))
-    return out
-
-
 def cross_validate(
     folded: DataFrame,
     points: list[Point],
@@ -104,39 +100,70 @@ def cross_validate(
     """M8 + A10: mean AUC over ``folds`` for each point; ``folded`` has a ``fold`` column.
 
     Every (point, fold) fit is an independent distributed job submitted from a
-    driver thread pool, so up to ``parallelism`` fits share the cluster. Then
-    all held-out folds are scored by their models in one plan and the
-    tie-aware AUC (A9) of every (point, fold) comes from one grouped AUC
-    computation; the mean over folds is a Spark aggregation. No model is
-    refit on all rows (only the scores are needed).
+    driver thread pool, so up to ``parallelism`` fits share the cluster. The
+    trees of all of them are read back as one node table, and one pass over the
+    rows scores each with the models that were fit without its fold
+    (``score_held_out``). The tie-aware AUC (A9) of every (point, fold) comes
+    from one grouped AUC computation, the mean over folds from a Spark
+    aggregation. No model is refit on all rows (only the scores are needed).
     """
     feats = list(features or FEATURES)
+    spark = folded.sparkSession
     data = M.training_frame(folded, feats, keep=["fold"]).withColumn("fold", F.col("fold").cast("int")).persist()
+    root = work_path(spark, "fold-models")
 
-    def fit(task: tuple[int, int]):
+    def fit(task: tuple[int, int]) -> None:
         i, k = task
-        return i, k, M.estimator(points[i].params(base), feats).fit(data.where(F.col("fold") != k))
+        model = M.estimator(points[i].params(base), feats).fit(data.where(F.col("fold") != k))
+        M.gbt_stage(model).write().save(f"{root}/{i}-{k}")
 
     try:
         tasks = [(i, k) for i in range(len(points)) for k in range(folds)]
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            models = list(pool.map(fit, tasks))
-        scored = None
-        for i, k, model in models:
-            part = model.transform(data.where(F.col("fold") == k)).select(
-                F.lit(i).alias("trial"),
-                F.lit(k).alias("fold"),
-                LABEL,
-                vector_to_array(F.col("probability")).getItem(1).alias("score"),
-            )
-            scored = part if scored is None else scored.unionByName(part)
-        per_fold = auc(scored, by=["trial", "fold"])
+            list(pool.map(fit, tasks))
+        indexes = held_out_indexes(spark, root, feats, folds, len(points))
+        per_fold = auc(score_held_out(data, indexes, feats), by=["trial", "fold"])
         means = {r["trial"]: r["score"] for r in mean_over(per_fold, "auc", ["trial"], "score").collect()}
     finally:
         data.unpersist()
+        delete_path(spark, root)
     return [float("nan") if means.get(i) is None else float(means[i]) for i in range(len(points))]
 
 
+def held_out_indexes(spark, root: str, features: list[str], folds: int, trials: int) -> list[TreeIndex]:
+    """One threshold index for each fold: the models of all points that were fit without it, stored at ``root/point-fold``."""
+    nodes = M.saved_node_table(spark, f"{root}/*", features, tag=r"/(\d+-\d+)/").toArrow().to_pandas()
+    both = nodes["tag"].str.split("-", expand=True).astype(int)
+    nodes = nodes.assign(model=both[0], fold=both[1])
+    out = []
+    for k in range(folds):
+        own = nodes[nodes["fold"] == k]
+        # Trees of different models have numbers of their own.
+        own = own.assign(tree=own["tree"] + own["model"] * (int(nodes["tree"].max()) + 1))
+        index = TreeIndex(own, features, M.MLLIB_MARGIN_SCALE, fill=True)
+        index.models = trials
+        out.append(index)
+    return out
+
+
+def score_held_out(data: DataFrame, indexes: list[TreeIndex], features: list[str]) -> DataFrame:
+    """(trial, fold, label, score): every row scored by all models of its fold's index, in one pass over ``data``."""
+    shared = data.sparkSession.sparkContext.broadcast(indexes)
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def margins(fold: pd.Series, *columns: pd.Series) -> pd.Series:
+        x = np.column_stack([c.to_numpy(dtype=np.float64, na_value=np.nan) for c in columns])
+        out = np.full((len(x), shared.value[0].models), np.nan)
+        for k, index in enumerate(shared.value):
+            rows = np.flatnonzero(fold.to_numpy() == k)
+            out[rows] = index.margins(x[rows])
+        return pd.Series(list(out))
+
+    m = margins(F.col("fold"), *[F.col(c).cast("double") for c in features])
+    long = data.select("fold", LABEL, F.posexplode(m).alias("trial", "_m"))
+    return long.select("trial", "fold", LABEL, logistic(F.lit(indexes[0].margin_scale) * F.col("_m")).alias("score"))
+
+
 def search(
     folded: DataFrame,
     box: dict[str, tuple[float, float]] | None = None,
@@ -145,20 +172,26 @@ def search(
     seed: int = 90,
     parallelism: int = 4,
     base: M.TreeParams = TUNER_BASE,
+    batch: int = BATCH,
 ) -> DataFrame:
-    """M9: two-stage search; returns the trial table (one row per evaluated point)."""
+    """M9: random points, then guided batches; returns the trial table (one row per evaluated point)."""
     box = box or SEARCH_BOX
-    first = draw(box, init_points, seed)
-    s1 = cross_validate(folded, first, base, parallelism=parallelism)
-    scores = np.array(s1, dtype=float)
-    # No stage 2 when no stage-1 point could be scored (e.g. a one-class fold).
-    best = first[int(np.nanargmax(scores))] if first and not np.isnan(scores).all() else None
-    second = draw(shrink(box, best), n_iter, seed + 1) if best is not None and n_iter else []
-    s2 = cross_validate(folded, second, base, parallelism=parallelism) if second else []
+    names = list(Point.__dataclass_fields__)
+    bounds = np.array([box[n] for n in names], dtype=float)
+    whole = np.array([n in WHOLE for n in names])
+    points = draw(box, init_points, seed)
+    scores = cross_validate(folded, points, base, parallelism=parallelism) if points else []
+    # No guided stage when no point could be scored (e.g. a one-class fold).
+    while len(points) < init_points + n_iter and not np.isnan(np.array(scores, dtype=float)).all():
+        tried = np.array([[getattr(p, n) for n in names] for p in points])
+        count = min(batch, init_points + n_iter - len(points))
+        asked = surrogate.propose(tried, np.array(scores, dtype=float), bounds, count, seed + len(points), whole)
+        new = [Point(*map(float, row)) for row in asked]
+        scores += cross_validate(folded, new, base, parallelism=parallelism)
+        points += new
     rows = []
-    for i, (p, s, stage) in enumerate(
-        [(p, s, "random") for p, s in zip(first, s1)] + [(p, s, "guided") for p, s in zip(second, s2)]
-    ):
+    for i, (p, s) in enumerate(zip(points, scores)):
+        stage = "random" if i < init_points else "guided"
         rows.append(
             (i, stage, p.max_depth, p.n_estimators, p.eta, p.min_info_gain, p.subsampling_rate, None if math.isnan(s) else s)
         )

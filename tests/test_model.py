@@ -134,3 +134,24 @@ def test_best_trial_ties_lowest_id(spark):
 def test_f3_truncation():
     p = TU.Point(7.9, 0.4, 0.05, 0.01, 0.8).params(TU.TUNER_BASE)
     assert (p.max_depth, p.max_iter) == (7, 1)
+
+
+def test_one_pass_over_the_folds_scores_like_each_model(spark, features01):
+    """Every (point, fold) AUC from the shared indexes equals that of the model scored alone."""
+    from datescore.operators.metrics import auc
+    from datescore.operators.sampling import fold_assign
+    from datescore.session import materialize
+
+    folded = materialize(fold_assign(S.class_sample(features01, 200)), "folds")
+    base = TU.TUNER_BASE.replace(seed=7)
+    points = [TU.Point(2.9, 3.2, 0.2, 0.0, 1.0), TU.Point(4.0, 2.0, 0.1, 0.0, 0.8)]
+    got = TU.cross_validate(folded, points, base, parallelism=4)
+    for point, mean in zip(points, got):
+        aucs = []
+        for k in range(3):
+            data = M.training_frame(folded, keep=["fold"])
+            model = M.estimator(point.params(base)).fit(data.where(F.col("fold") != k))
+            scored = M.score(model, folded.where(F.col("fold") == k), keep=[LABEL])
+            aucs.append(auc(scored).first()["auc"])
+        assert mean == pytest.approx(sum(aucs) / 3, abs=1e-9)
+    assert not [p for p in os.listdir(spark.sparkContext.getCheckpointDir().removeprefix("file:")) if "fold-models" in p]
