@@ -1,19 +1,25 @@
 """The day-partitioned result table (S5-S8) and its audit queries (A1, L1, L2).
 
 A Parquet datasource table partitioned by ``dt``. Loading a day replaces
-exactly that partition (``INSERT OVERWRITE ... PARTITION (dt=...)``): other
-days are kept and a rerun of the same day is idempotent.
+exactly that partition: other days are kept and a rerun of the same day is
+idempotent. The day is written to a folder of its own (``_loads/<dt>-<number>``
+under the table's location, hidden from readers) and then the catalog's
+partition is pointed there, in one step: a load that fails leaves the old rows
+readable, and no reader sees a half-written day. The folder that was replaced
+stays until the next load of the day, for readers that have begun with it.
 """
 
 from __future__ import annotations
 
-import uuid
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from datescore.schema import PARTITION, RESULT_COLUMNS, USER
 
+LOADS = "_loads"  # of days, under the table's location
+DONE = "_SUCCESS"  # in the folder of a finished load
 TABLE_COMMENT = "Scores of (user, candidate date) pairs, one partition per scored day"
 COLUMN_COMMENTS = {
     USER: "who the candidate belongs to",
@@ -54,30 +60,74 @@ def create_result_table(spark: SparkSession, table: str, location: str | None =
         # Days already stored at the location (written by earlier runs) become
         # visible partitions, also when the catalog does not persist.
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        for dt, folders in _loads(spark, location).items():
+            if LOADS in folders[-1]:
+                _point(spark, table, dt, folders[-1])
     return table
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The folder as a Hadoop path and its file system (any scheme)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _loads(spark: SparkSession, location: str, dt: str = "*") -> dict[str, list[str]]:
+    """The finished loads of each day, oldest first (a few folder names a day; no data is read).
+
+    The oldest may be a plain ``dt=`` folder that was written by path.
+    """
+    _, fs = _hadoop(spark, location)
+    out: dict[str, list[str]] = {}
+    for status in fs.globStatus(_hadoop(spark, f"{location}/{PARTITION}={dt}")[0]) or []:
+        path = status.getPath()
+        out[path.getName().partition("=")[2]] = [path.toString()]
+    found = fs.globStatus(_hadoop(spark, f"{location}/{LOADS}/{dt}-*/{DONE}")[0]) or []
+    for folder in sorted(status.getPath().getParent().toString() for status in found):
+        day = folder.rpartition("/")[2].partition("-")[0]
+        out.setdefault(day, []).append(folder)
+    return out
+
+
+def _delete(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
+        path, fs = _hadoop(spark, folder)
+        fs.delete(path, True)
+
+
+def _point(spark: SparkSession, table: str, dt: str, folder: str) -> None:
+    """The switch: readers that begin from now on see ``folder`` as the day."""
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({PARTITION}='{dt}') LOCATION '{folder}'")
+    spark.sql(f"ALTER TABLE {table} PARTITION ({PARTITION}='{dt}') SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_check_name(table)}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
 def _mkdirs(spark: SparkSession, location: str) -> None:
     """Create the table folder on its file system (any Hadoop scheme) if absent."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(location)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+    path, fs = _hadoop(spark, location)
+    fs.mkdirs(path)
 
 
 def overwrite_partition(result: DataFrame, table: str, dt: str) -> None:
-    """Replace partition ``dt`` of ``table`` with ``result`` (user, dep_date, q_ratio)."""
+    """Replace partition ``dt`` of ``table`` with ``result`` (user, dep_date, q_ratio), at once or not at all."""
     spark = result.sparkSession
     if not dt.isdigit():
         raise ValueError(f"bad partition value {dt!r}")
-    view = f"_datescore_load_{uuid.uuid4().hex}"  # loads of one session may run side by side
-    result.select(*RESULT_COLUMNS).createOrReplaceTempView(view)
-    try:
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {_check_name(table)} PARTITION ({PARTITION}='{dt}') "
-            f"SELECT {', '.join(RESULT_COLUMNS)} FROM {view}"
-        )
-    finally:
-        spark.catalog.dropTempView(view)
+    location = table_location(spark, table)
+    before = _loads(spark, location, dt).get(dt, [])
+    folder = f"{location}/{LOADS}/{dt}-{time.time_ns():020d}"
+    types = {"dep_date": "date", "q_ratio": "float"}
+    columns = [F.col(c).cast(types.get(c, "string")).alias(c) for c in RESULT_COLUMNS]
+    result.select(*columns).write.parquet(folder)
+    done, fs = _hadoop(spark, f"{folder}/{DONE}")
+    fs.create(done, True).close()
+    _point(spark, table, dt, folder)
+    _delete(spark, before[:-1])  # the one just replaced may still be read
 
 
 def load_csv_into_partition(
@@ -110,10 +160,12 @@ def overwrite_partitions_at(result_with_dt: DataFrame, path: str) -> None:
 
 
 def drop_partition(spark: SparkSession, table: str, dt: str) -> None:
-    """S7."""
+    """The day leaves the catalog, then its files go."""
     if not dt.isdigit():
         raise ValueError(f"bad partition value {dt!r}")
+    folders = _loads(spark, table_location(spark, table), dt).get(dt, [])
     spark.sql(f"ALTER TABLE {_check_name(table)} DROP IF EXISTS PARTITION ({PARTITION}='{dt}')")
+    _delete(spark, folders)
 
 
 def drop_table(spark: SparkSession, table: str) -> None:

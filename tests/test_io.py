@@ -208,3 +208,60 @@ def test_hot_day_is_split_across_writers(spark, tmpdir_path):
     cold_files = glob.glob(os.path.join(path, "dt=20240110", "*.parquet"))
     assert len(hot_files) > 1 and len(cold_files) >= 1
     assert spark.read.parquet(path).count() == 20000
+
+
+def _loads(location):
+    folder = os.path.join(location, result_table.LOADS)
+    return sorted(os.listdir(folder)) if os.path.isdir(folder) else []
+
+
+def test_a_load_that_fails_leaves_the_day_readable(spark, tmpdir_path):
+    """The job dies midway, after files were written: readers still see the old rows, also in a new catalog."""
+    t, location = "t_atomic", os.path.join(tmpdir_path, "atomic")
+    result_table.create_result_table(spark, t, location)
+    try:
+        result_table.overwrite_partition(_result(spark, 5, "20240101", 0.1), t, "20240101")
+        begun = [f.removeprefix("file://") for f in spark.table(t).inputFiles()]
+        boom = F.when(F.col("user_name") == "u90", F.raise_error(F.lit("midway"))).otherwise(F.lit(0.9)).cast("float")
+        many = spark.range(100).repartition(4, "id").select(
+            F.concat(F.lit("u"), "id").alias("user_name"), F.lit(None).cast("date").alias("dep_date"), F.lit(0).alias("x")
+        )
+        try:
+            result_table.overwrite_partition(many.withColumn("q_ratio", boom), t, "20240101")
+            raise AssertionError("the load should have failed")
+        except Exception as e:
+            assert "midway" in str(e)
+        for _ in range(2):
+            rows = spark.table(t).collect()
+            assert len(rows) == 5 and {round(r.q_ratio, 5) for r in rows} == {0.1}
+            spark.sql(f"DROP TABLE {t}")
+            result_table.create_result_table(spark, t, location)
+        # A reader that began before a load can finish; the load after that takes its files away.
+        result_table.overwrite_partition(_result(spark, 7, "20240101", 0.2), t, "20240101")
+        assert begun and all(map(os.path.exists, begun)) and spark.table(t).count() == 7
+        result_table.overwrite_partition(_result(spark, 8, "20240101", 0.3), t, "20240101")
+        assert not any(map(os.path.exists, begun)) and spark.table(t).count() == 8
+        done = [d for d in _loads(location) if os.path.exists(os.path.join(location, result_table.LOADS, d, result_table.DONE))]
+        assert len(done) == 2
+        result_table.drop_partition(spark, t, "20240101")
+        spark.sql(f"DROP TABLE {t}")
+        result_table.create_result_table(spark, t, location)
+        assert spark.table(t).count() == 0
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def test_a_day_written_by_path_is_replaced_in_the_catalog(spark, tmpdir_path):
+    t, location = "t_by_path", os.path.join(tmpdir_path, "bypath")
+    both = _result(spark, 4, "20240101", 0.1).withColumn("dt", F.lit("20240101"))
+    both = both.unionByName(_result(spark, 6, "20240102", 0.2).withColumn("dt", F.lit("20240102")))
+    result_table.overwrite_partitions_at(both, location)
+    result_table.create_result_table(spark, t, location)
+    try:
+        result_table.overwrite_partition(_result(spark, 9, "20240101", 0.5), t, "20240101")
+        assert {r.dt: r["count"] for r in spark.table(t).groupBy("dt").count().collect()} == {"20240101": 9, "20240102": 6}
+        spark.sql(f"DROP TABLE {t}")
+        result_table.create_result_table(spark, t, location)  # a catalog that knew nothing finds the newest load
+        assert {r.dt: r["count"] for r in spark.table(t).groupBy("dt").count().collect()} == {"20240101": 9, "20240102": 6}
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
