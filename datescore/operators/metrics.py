@@ -13,7 +13,8 @@ AUC = P(score of a positive > score of a negative) + 1/2 P(equal). Scores are
 grouped first (one row per distinct score with its positive and negative
 counts), so a score shared by a third of all rows is one row. Approximate
 quantiles of the distinct scores cut them into B ordered buckets, B growing
-with the shuffle partitions; a running sum inside each bucket gives the
+with their number, and a bucket that is still too large is cut again by its own
+quantiles; a running sum inside each bucket gives the
 negatives below a score within its bucket, and a running sum over the B
 bucket totals gives the negatives in all lower buckets. No step orders all
 rows in one task; the only unpartitioned window runs over B rows.
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 from datescore.schema import LABEL
 from datescore.session import materialize
 
-AUC_BUCKETS = 256  # fixed: they only balance the work
+AUC_BUCKET_ROWS = 100_000  # distinct scores that one window sorts
+AUC_FAN = 256  # buckets that one round of cuts makes of a bucket, at most
 CUT_ERROR = 1e-3  # rank error of the cut points between them
 _EXACT = "decimal(38,0)"
 
@@ -182,8 +184,8 @@ def auc(
     Output: ``by`` columns, auc (DOUBLE, null when a class is absent),
     positives, negatives (BIGINT).
 
-    Cut points are loose quantiles of the distinct scores: a fixed number of
-    doubles on the driver, whatever the number of scores or partitions. A
+    Cut points are loose quantiles of the distinct scores: on the driver, one
+    double for about AUC_BUCKET_ROWS of them (``buckets`` fixes the number). A
     score's bucket is found by binary search (``Bucketizer``, JVM-side).
     Buckets only balance the work: any monotone cut set gives the same AUC.
 
@@ -226,14 +228,49 @@ def histogram_pairs(hist: DataFrame, t: float = 0.5, inclusive: bool = False) ->
 
 def auc_from_histogram(distinct: DataFrame, by: list[str] | None = None, buckets: int | None = None) -> DataFrame:
     """A9 from a (written) score histogram; the result, one row per group, is written too."""
-    return materialize(_auc_from_distinct(distinct, list(by or []), buckets or AUC_BUCKETS), "auc")
+    cuts = _quantile_cuts(distinct, buckets) if buckets else bucket_cuts(distinct)
+    return materialize(_auc_from_distinct(distinct, list(by or []), cuts), "auc")
 
 
-def _auc_from_distinct(distinct: DataFrame, by: list[str], b: int) -> DataFrame:
+def _quantile_cuts(distinct: DataFrame, b: int) -> list[float]:
     fractions = [i / b for i in range(1, b)]
     cuts = distinct.approxQuantile("_s", fractions, max(CUT_ERROR, 1.0 / (4 * b))) if fractions else []
-    splits = [float("-inf"), *sorted({c for c in cuts if c == c} or {0.0}), float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="_s", outputCol="_bk", handleInvalid="error").transform(distinct)
+    return sorted({c for c in cuts if abs(c) < float("inf")})
+
+
+def bucket_cuts(distinct: DataFrame, rows: int | None = None) -> list[float]:
+    """Cut points after which no bucket holds many more than ``rows`` scores (AUC_BUCKET_ROWS), unless they are equal.
+
+    The first round takes quantiles of all scores; a bucket that is still too
+    large is cut by its own quantiles, all such buckets in one aggregation.
+    """
+    limit = rows or AUC_BUCKET_ROWS
+    n = distinct.count()
+    if n <= limit:
+        return []
+    cuts = _quantile_cuts(distinct, min(AUC_FAN, -(-n // limit) + 1))
+    while True:
+        counted = _bucketed(distinct, cuts).groupBy("_bk").count()
+        heavy = {int(r["_bk"]): r["count"] for r in counted.where(F.col("count") > 2 * limit).collect()}
+        if not heavy:
+            return cuts
+        parts = min(AUC_FAN, -(-max(heavy.values()) // limit) + 1)
+        fractions = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+        inside = _bucketed(distinct, cuts).where(F.col("_bk").cast("int").isin(list(heavy)))
+        own = inside.groupBy("_bk").agg(F.percentile_approx("_s", fractions, F.lit(10_000)).alias("q")).collect()
+        finer = sorted({*cuts, *(c for r in own for c in r["q"] if abs(c) < float("inf"))})
+        if finer == cuts:  # what is left in a heavy bucket is one score in many groups
+            return cuts
+        cuts = finer
+
+
+def _bucketed(distinct: DataFrame, cuts: list[float]) -> DataFrame:
+    splits = [float("-inf"), *(cuts or [0.0]), float("inf")]
+    return Bucketizer(splits=splits, inputCol="_s", outputCol="_bk", handleInvalid="error").transform(distinct)
+
+
+def _auc_from_distinct(distinct: DataFrame, by: list[str], cuts: list[float]) -> DataFrame:
+    bucketed = _bucketed(distinct, cuts)
     within = Window.partitionBy(*by, "_bk").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     ranked = bucketed.withColumn("_nb", F.coalesce(F.sum("_neg").over(within), F.lit(0)).cast(_EXACT))
     # Twice the Mann-Whitney count: pos * (2 * negatives below + negatives tied).
@@ -243,7 +280,7 @@ def _auc_from_distinct(distinct: DataFrame, by: list[str], b: int) -> DataFrame:
         F.sum(F.col("_pos").cast(_EXACT) * (F.lit(2) * F.col("_nb") + F.col("_neg").cast(_EXACT))).alias("_twice"),
         F.sum("_bad").alias("_bad"),
     )
-    # At most ``buckets`` rows per group: the running sum over buckets is small.
+    # One row per bucket and group: the running sum over buckets is small.
     lower = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = per_bucket.withColumn("_off", F.coalesce(F.sum("_N").over(lower), F.lit(0)).cast(_EXACT))
     total = per_bucket.groupBy(*by).agg(

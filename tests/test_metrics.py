@@ -145,3 +145,25 @@ def test_auc_of_an_empty_set_is_null_with_zero_counts(spark):
     empty = frame(spark, [(0.5, 1)]).where("score > 1")
     assert tuple(MT.auc(empty).first()) == (None, 0, 0)
     assert MT.auc(empty.withColumn("g", F.lit(1)), by=["g"]).count() == 0
+
+
+def test_heavy_buckets_are_cut_again(spark):
+    """Scores crowd in a narrow range that the first cuts do not tell apart; every bucket ends small, the AUC is exact."""
+    import random
+
+    rng = random.Random(3)
+    rows = [(0.5 + rng.random() * 1e-9, int(rng.random() < 0.4)) for _ in range(6000)] + [(float(k), k % 2) for k in range(-50, 50)]
+    hist = MT.score_histogram(frame(spark, rows)).persist()
+    cuts = MT.bucket_cuts(hist, 100)
+    sizes = [r["count"] for r in MT._bucketed(hist, cuts).groupBy("_bk").count().collect()]
+    assert max(sizes) <= 200 and len(cuts) < 400
+    many = MT._auc_from_distinct(hist, [], cuts).first()
+    one = MT._auc_from_distinct(hist, [], []).first()
+    assert many == one and one.positives + one.negatives == len(rows)
+    assert MT.bucket_cuts(hist, 10_000) == []
+
+
+def test_one_score_in_many_groups_cannot_be_cut(spark):
+    df = spark.range(3000).select(F.col("id").alias("g"), F.lit(0.25).alias("score"), (F.col("id") % 2).cast("int").alias("label"))
+    hist = MT.score_histogram(df, by=["g"])
+    assert len(MT.bucket_cuts(hist, 100)) <= 1
