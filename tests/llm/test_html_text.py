@@ -1,9 +1,14 @@
-"""Line differencing against a plain table, and pages with all kinds of furniture."""
+"""Page differencing: tables with and without semantic tags, alignment against a plain table, all kinds of furniture."""
 
 from __future__ import annotations
 
 import random
+import re
+from collections import defaultdict
 
+import pytest
+
+from conftest import SF01
 from datescore.llm import html_text as H
 
 PAGE = (
@@ -79,6 +84,7 @@ def test_common_is_a_longest_common_subsequence():
         got = H.common(a, b)
         it = iter(b)
         assert len(got) == length(a, b) and all(any(x == y for y in it) for x in (a[i] for i in sorted(got)))
+        assert [got[i] for i in sorted(got)] == sorted(set(got.values())) and all(a[i] == b[j] for i, j in got.items())
 
 
 def test_pages_pair_with_the_nearest_path_of_their_host(spark):
@@ -101,3 +107,101 @@ def test_edge_cases(spark):
     assert sorted((r.page_id or 0, r.n_chars) for r in got) == [(0, 43), (1, 0), (2, 0), (2, 0), (4, 43 + 5 * 30_000)]
     assert all(r.n_chars == len(r.text) for r in got)
     assert H.extract_pages(df.limit(0)).count() == 0
+
+
+# --- the neighbours decide ------------------------------------------------------------------
+
+
+def _hosts(spark, change):
+    """The pages of the table by host, in URL order, with their html changed, and the text by the author's tags."""
+    out = defaultdict(list)
+    for r in spark.read.parquet(f"{SF01}/pages.parquet").collect():
+        host, path = re.match(r"[a-z]+://([^/?#]+)([^?#]*)", r.url).groups()
+        gold = H.extract(H.page_blocks(H.page_lines(r.html)), []).text
+        out[host].append(((path, str(r.page_id).zfill(20)), H.page_blocks(H.page_lines(change(r.html))), gold))
+    return [sorted(pages, key=lambda p: p[0]) for pages in out.values()]
+
+
+def _around(pages, k):
+    return [pages[j][1] for j in range(max(0, k - H.NEAR), min(len(pages), k + H.NEAR + 1)) if j != k]
+
+
+CHANGES = {
+    "as it is": lambda html: html,
+    "no article": lambda html: re.sub(r"<(/?)(article|main)\b", r"<\1div", html),
+    "no semantic tag": lambda html: re.sub(r"<(/?)(article|main|nav|footer|aside|header|section)\b", r"<\1div", html),
+}
+
+
+@pytest.mark.parametrize("name", CHANGES)
+def test_neighbours_alone_find_the_article(spark, name):
+    """Without the tags' check: the blocks that the neighbours do not call template are the article, on 0.95 of the pages and more."""
+    same = total = 0
+    for pages in _hosts(spark, CHANGES[name]):
+        for k, (_, blocks, gold) in enumerate(pages):
+            if len(pages) < 3:
+                continue
+            verdicts = H.compare(blocks, _around(pages, k))
+            same += " ".join(x.text for b, v in zip(blocks, verdicts) if not v.template for x in b.lines) == gold
+            total += 1
+    assert total > 100 and same >= 0.95 * total
+
+
+@pytest.mark.parametrize("name", CHANGES)
+def test_extraction_with_and_without_semantic_tags(spark, name):
+    pages_of = _hosts(spark, CHANGES[name])
+    got = [(H.extract(blocks, _around(pages, k)), gold) for pages in pages_of for k, (_, blocks, gold) in enumerate(pages)]
+    assert sum(t.text == gold for t, gold in got) >= 0.95 * len(got)
+    assert sum(t.deleted > 0 for t, _ in got) >= 0.9 * len(got)
+    if name == "as it is":
+        assert all(t.text == gold for t, gold in got)
+
+
+def test_a_neighbour_changes_the_text():
+    def plain(article, menu):
+        return H.page_lines(f"<body><div><a>{menu}</a></div><div><h2>Title {menu}</h2><p>{article}</p></div><div>All rights {menu}</div></body>")
+
+    a, b, c = plain("word " * 90, "one"), plain("word " * 30, "two"), plain("word " * 200, "three")
+    assert H.main_text(a) == "one Title one " + "word " * 90 + "All rights one"
+    assert H.main_text(a, b, c) == ("Title one " + "word " * 90).strip()
+
+
+def test_a_near_copy_keeps_its_article():
+    body = [" ".join(f"w{i}-{k}" for k in range(20)) for i in range(12)]
+
+    def plain(paragraphs, menu):
+        return H.page_lines(f"<body><div>{menu}</div><div>{''.join(f'<p>{p}</p>' for p in paragraphs)}</div><div>All rights {menu}</div></body>")
+
+    changed = [*body[:5], "something else here", *body[6:]]
+    others = [plain([f"text {k} " * (9 * k + 4)] * (k + 1), f"m{k}") for k in range(4)]
+    a, b = plain(body, "x"), plain(changed, "y")
+    for page, near, text in ((a, b, body), (b, a, changed)):
+        assert H.main_text(page, near, *others) == " ".join(text)
+    # A repeated line of most neighbours goes from a page that marks nothing.
+    share = [plain([f"text {k} " * (9 * k + 4), "Share this page"], "m") for k in range(4)]
+    assert "Share this page" not in H.main_text(share[0], *share[1:])
+
+
+def test_a_repeated_notice_inside_the_article_goes_and_a_copied_article_stays():
+    def marked(text, notice="Terms apply to all"):
+        return H.page_lines(f"<body><article><h1>Head {text[:3]}</h1><p>{text}</p><div class='x'>{notice}</div></article></body>")
+
+    pages = [marked(f"a{k} " * (10 + 30 * k)) for k in range(5)]
+    assert "Terms" not in H.main_text(pages[0], *pages[1:]) and "Terms" in H.main_text(pages[0])
+    copies = [marked("one two three four five six seven") for _ in range(5)]
+    assert H.main_text(copies[0], *copies[1:]).startswith("Head one one two three four five six seven")
+
+
+def test_results_do_not_depend_on_ranges(spark):
+    pages = spark.read.parquet(f"{SF01}/pages.parquet")
+    odd = [(-1, None, "<p>a</p>"), (None, None, "<p>b b b</p>"), (None, None, "<p>c</p>"), (None, None, None)]
+    pages = pages.select("page_id", "url", "html").unionByName(spark.createDataFrame(odd, "page_id long, url string, html string"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        results = []
+        for n in (1, 7, 120):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            results.append(sorted(map(str, H.extract_pages(pages).collect())))
+        assert results[0] == results[1] == results[2] and len(results[0]) == pages.count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
