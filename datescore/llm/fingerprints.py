@@ -6,19 +6,23 @@ modulo powers of two: eight lanes modulo 2^64 (equality) and LANES lanes modulo
 the units; adding or taking away a unit is one vector addition, so a text that
 changes is fingerprinted again from its changed units alone (``combine``).
 
-Two fingerprints are equal when the texts have the same multiset of units.
-The scalar product of the +-1 lanes estimates how many units two texts share
-(each lane is an unbiased estimate), so their cosine is a likeness from 0 to 1
-with an error of about 1/sqrt(LANES).
-
-Units are the paragraphs (lines) of the text, split further after the end of a
-sentence; white space around a unit does not count.
+Two fingerprints are equal when the texts have the same multiset of units. In the
+lanes, the second and later copies of a unit have vectors of their own, so their
+scalar product estimates how many units two texts share, copies counted as often
+as both have them (each lane is an unbiased estimate), and their cosine is a
+likeness from 0 to 1 with an error of about 1/sqrt(LANES); a line that is repeated
+a thousand times does not outweigh the rest. A change to copies that are there
+already says how many (``after``).
+
+Units are the paragraphs (lines) of the text, cut further after words that their
+own characters choose: pieces of LEAST to MOST words, which are found again
+whatever was changed before or after them. White space around words does not count.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,43 +33,107 @@ from pyspark.sql import functions as F
 
 from datescore.llm.common import RANGES, arrow_schema, column, parallelism, slices, texts_of, to_python
 
-LANES = 128
+LANES = 512
 WIDE = 8
-_UNIT_END = re.compile(r"(?<=[.!?]) |\n")
+LEAST, MOST = 2, 6  # words of a unit
+
+
+def units(text: str) -> list[str]:
+    """The pieces of a text's paragraphs, each with one space between its words, without empty ones."""
+    out = []
+    for paragraph in text.split("\n"):
+        held: list[str] = []
+        for word in paragraph.split():
+            held.append(word)
+            n = len(held)
+            if n >= LEAST and ((ord(word[0]) ^ ord(word[-1]) ^ len(word)) & 1 == 0 or n >= MOST):
+                out.append(" ".join(held))
+                held = []
+        if held:
+            out.append(" ".join(held))
+    return out
 
 
-def units(text: str) -> list[bytes]:
-    """The paragraphs and sentences of a text as UTF-8, without empty ones."""
-    return [u.encode() for p in _UNIT_END.split(text) if (u := p.strip())]
+def _digests(texts: list[str]) -> np.ndarray:
+    """(n, WIDE) 64-bit words hashed from each text."""
+    data = b"".join([hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=8 * WIDE).digest() for t in texts])
+    return np.frombuffer(data, dtype="<u8").reshape(-1, WIDE)
 
 
-def _vectors(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The (n, WIDE) 64-bit words and the (n, LANES) signs hashed from each unit."""
-    digests = b"".join([hashlib.blake2b(u, digest_size=64).digest() for u in parts])
-    words = np.frombuffer(digests, dtype="<u8").reshape(-1, WIDE)
-    # Half of the lanes' bits would do for signs; they come from the first words, mixed.
-    mixed = (words[:, : LANES // 64] * np.uint64(0x9E3779B97F4A7C15)) ^ words[:, LANES // 64 : LANES // 32]
-    signs = np.unpackbits(np.ascontiguousarray(mixed).view(np.uint8), axis=1).astype(np.int32) * 2 - 1
-    return words, signs
+def _signs(words: np.ndarray, copy: np.ndarray) -> np.ndarray:
+    """(n, LANES) bits for the ``copy``-th copy (from 0) of units with these words."""
+    z = words + (copy.astype(np.uint64)[:, None] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return np.unpackbits((z ^ (z >> np.uint64(31))).view(np.uint8), axis=1)
 
 
-def fingerprints(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of many texts: (n, WIDE) words modulo 2^64 and (n, LANES) lanes modulo 2^32."""
-    each = [units(t) for t in texts]
-    counts = np.array([len(e) for e in each], dtype=np.int64)
+def fingerprints(texts: list[str], after: list[Counter] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of many texts: (n, WIDE) words modulo 2^64 and (n, LANES) lanes modulo 2^32.
+
+    ``after``: for each text, the copies of units that are there before its own.
+    """
+    names: dict[str, int] = {}
+    unit, copy, counts = [], [], []
+    for k, text in enumerate(texts):
+        seen = dict(after[k]) if after else {}
+        own = units(text)
+        counts.append(len(own))
+        for u in own:
+            unit.append(names.setdefault(u, len(names)))
+            n = seen.get(u, 0)
+            copy.append(n)
+            seen[u] = n + 1
     words = np.zeros((len(texts), WIDE), dtype=np.uint64)
     lanes = np.zeros((len(texts), LANES), dtype=np.int32)
-    full = np.flatnonzero(counts)
-    if len(full):
-        w, s = _vectors([u for e in each for u in e])
-        starts = np.cumsum(counts[full]) - counts[full]
-        words[full] = np.add.reduceat(w, starts, axis=0)
-        lanes[full] = np.add.reduceat(s, starts, axis=0, dtype=np.int32)
+    if not unit:
+        return words, lanes
+    digests = _digests(list(names))
+    at, number = np.array(unit), np.array(copy)
+    starts = np.cumsum(counts) - counts
+    # A few texts at a time: the bits of one unit are LANES bytes.
+    for first, last in _stretches(np.array(counts), 1 << 14):
+        some = np.flatnonzero(np.array(counts[first:last])) + first
+        if not len(some):
+            continue
+        lo, hi = starts[first], starts[last - 1] + counts[last - 1]
+        cut = starts[some] - lo
+        words[some] = np.add.reduceat(digests[at[lo:hi]], cut, axis=0)
+        lanes[some] = _sums(digests, at[lo:hi], number[lo:hi], cut)
     return words, lanes
 
 
+def _stretches(counts: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Runs of texts with at most ``limit`` units together (or one text)."""
+    first, held = 0, 0
+    for k, n in enumerate(counts.tolist()):
+        if k > first and held + n > limit:
+            yield first, k
+            first, held = k, 0
+        held += n
+    yield first, len(counts)
+
+
+def _sums(digests: np.ndarray, at: np.ndarray, number: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """Lanes of texts whose units begin at ``cut``: +1 for each bit set, -1 for each that is not; in pieces of units."""
+    out = np.zeros((len(cut), LANES), dtype=np.int32)
+    step = 1 << 14
+    for lo in range(0, len(at), step):
+        hi = min(lo + step, len(at))
+        bits = _signs(digests[at[lo:hi]], number[lo:hi])
+        inside = np.unique(np.maximum(cut[cut < hi], lo)) - lo
+        first = int(np.searchsorted(cut, lo, side="right")) - 1
+        sums = np.add.reduceat(bits, inside, axis=0, dtype=np.int32)
+        n = np.diff(np.append(inside, hi - lo)).astype(np.int32)
+        out[max(first, 0) : max(first, 0) + len(inside)] += 2 * sums - n[:, None]
+    return out
+
+
 def combine(a: tuple, b: tuple, sign: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints after inserting (sign 1) or deleting (sign -1) the units of ``b``."""
+    """Fingerprints after inserting (sign 1) or deleting (sign -1) the units of ``b``.
+
+    Where ``a`` has copies of these units, ``b`` is made ``after`` those that stay.
+    """
     if sign == 1:
         return a[0] + b[0], a[1] + b[1]
     return a[0] - b[0], a[1] - b[1]
@@ -114,7 +182,7 @@ def _ranges(docs: DataFrame, parts: int) -> tuple[list[int], dict[int, int | Non
     """
     ids = docs.select("doc_id")
     fractions = [i / parts for i in range(1, parts)]
-    cuts = ids.agg(F.percentile_approx("doc_id", fractions, 10_000)).first()[0] if fractions else []
+    cuts = ids.agg(F.percentile_approx("doc_id", fractions, max(10_000, 10 * parts))).first()[0] if fractions else []
     cuts = sorted(set(cuts or []))
     heads = ids.groupBy(_range_of(cuts)(F.col("doc_id")).alias("part")).agg(F.max("doc_id").alias("head")).collect()
     return cuts, {r.part: r.head for r in heads}

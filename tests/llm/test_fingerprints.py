@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from datescore.llm import fingerprints as P
+from conftest import SF01
 from llm_corpus import empty, frame, rows
 
 
@@ -23,6 +24,48 @@ def test_equal_for_any_order_and_only_for_equal_multisets():
     assert set(_text("")) == {"0"} and _text("") == _text(" \n ") and len(_text("x")) == 2 * (8 * P.WIDE + 4 * P.LANES)
 
 
+def test_copies_of_units_that_are_there_are_inserted_after_them():
+    a, b = "x y z\nx y z\np q r", "x y z\nnew words here"
+    whole = P.fingerprints([a + "\n" + b])
+    added = P.fingerprints([b], [Counter(P.units(a))])
+    assert P.as_text(*P.combine(P.fingerprints([a]), added)) == P.as_text(*whole)
+    assert P.as_text(*P.combine(whole, added, -1)) == P.as_text(*P.fingerprints([a]))
+
+
+def test_units_are_found_again_after_changes():
+    words = [f"w{k * 7919 % 1000}" for k in range(400)]
+    assert all(len(u.split()) <= P.MOST for u in P.units(" ".join(words))) and P.units(" \n\t") == []
+    assert " ".join(P.units("a  b\tc\nd")) == "a b c d"
+    changed = Counter(P.units(" ".join(["other", "start", "x", *words])))
+    assert sum((Counter(P.units(" ".join(words))) & changed).values()) > 0.9 * len(P.units(" ".join(words)))
+
+
+def test_long_texts_are_summed_in_pieces():
+    text = "\n".join(f"line number {k % 9000} here" for k in range(30_000))
+    words, lanes = P.fingerprints(["", "a b", text, "", "c d e f"])
+    for k, t in enumerate(["", "a b", text, "", "c d e f"]):
+        one = P.fingerprints([t])
+        assert (words[k] == one[0][0]).all() and (lanes[k] == one[1][0]).all()
+    total, seen = np.zeros(P.LANES, dtype=np.int64), Counter()
+    for u in P.units(text):
+        total += P._signs(P._digests([u]), np.array([seen[u]]))[0].astype(np.int64) * 2 - 1
+        seen[u] += 1
+    assert (lanes[2] == total).all()
+
+
+def test_likeness_on_the_table(spark):
+    """Half of a text is unchanged, so it is like its edited text; it is unlike the next document, unless they share much."""
+    data = sorted(((r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF01}/documents.parquet").collect()), reverse=True)
+    texts = [t for _, t in data]
+    edited = [t[: len(t) - len(t) // 2] + texts[(k + 1) % len(texts)][: len(t) // 2] for k, t in enumerate(texts)]
+    prints, changed = P.fingerprints(texts), P.fingerprints(edited)
+    after = tuple(np.roll(x, -1, axis=0) for x in prints)
+    long = np.array([len(t) >= 100 for t in texts])
+    near_edited, near_next = P.likeness(prints, changed)[long], P.likeness(prints, after)[long]
+    assert (near_edited < 0.2).mean() < 0.002 and np.median(near_edited) > 0.4
+    assert (near_next > 0.2).mean() < 0.002
+
+
 def test_insertion_and_deletion_are_additions():
     whole, part, rest = (P.fingerprints([t]) for t in ("a b c\nd e f\ng", "d e f", "a b c\ng"))
     assert P.as_text(*P.combine(rest, part)) == P.as_text(*whole)
