@@ -5,17 +5,23 @@ Two texts are equal when they are the same after every character of
 
 The index is a table in the shared folder, one row per bucket of the digest
 space: the bucket's cuckoo filter (four 16-bit fingerprints a cell) and its
-content, i.e. the stored digests with the row that represents each. Inserting
-or deleting rewrites the buckets as a new version; a filter that overflows is
-doubled and refilled from the stored keys. A probe asks the filter first; a
-hit counts only if the digest is among the bucket's stored keys.
-
-At scale: texts are reduced to 32 bytes by Spark's own functions in the scan;
-the copies of a text collapse in the partial aggregation before the shuffle;
-buckets are sized by the number of distinct digests; and a bucket whose
-documents exceed 1/1024 of the table (a text copied into a third of all rows)
-is dealt to several tasks, each with its own copy of that bucket. Probing
-streams: a task holds one bucket and one Arrow batch.
+content, i.e. the stored digests with the row that represents each. The index
+decides which texts are equal: rows are inserted in batches, each asks the filter
+first; a miss is a new text and is stored without a look at the content; a hit is
+verified against the bucket's stored keys, and if it is a copy it may become the
+representative. A filter that overflows is doubled and refilled from the stored
+keys. Deleting takes a live digest out of both. Buckets are split as keys come in
+(linear hashing), so a bucket holds about KEYS_PER_BUCKET of them at any size.
+
+A change rewrites only the buckets it touches, as a new version beside the old
+ones; the directory (bucket, version) says which rows are live, and after
+VERSIONS versions the live rows are written together.
+
+At scale: texts are reduced to 32 bytes by Spark's own functions in the scan; a
+task collapses the copies it meets, so a text copied into a third of all rows is
+one row for each task; the rest goes to its bucket. A bucket whose documents
+exceed 1/1024 of the table is dealt to several tasks in the probe, each with its
+own copy of that bucket. Probing streams: a task holds one bucket and one Arrow batch.
 """
 
 from __future__ import annotations
@@ -24,15 +30,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
-from datescore.llm.common import WHITE, free_name, parallelism, scratch, text_or_empty, written
+from datescore.llm.common import WHITE, column, free_name, parallelism, scratch, text_or_empty, written
 
 DIGEST = 32
 CELL = 4  # fingerprints in a cell
 MAX_KICKS = 200
 KEYS_PER_BUCKET = 20_000
+LEAST_BUCKETS = 256
+CHUNK = 4096  # rows that ask a filter together
+HELD = 100_000  # digests that a task collapses before it sends them on
+VERSIONS = 8
 SPREAD = 1024  # a bucket with more than 1/SPREAD of the rows goes to several tasks
 
 CONTENT = "digest binary, keep_id bigint, keep_chars bigint, group_size bigint"
@@ -149,24 +161,46 @@ class _Bucket:
             else {}
         )
 
+        self.reads = 0  # digests looked up in the content
+
+    def _verify(self, digest: bytes) -> tuple | None:
+        self.reads += 1
+        return self.content.get(digest)
+
     def probe(self, digests: list[bytes]) -> list[tuple | None]:
         hit = self.filter.hits(_matrix(digests))
-        return [self.content.get(d) if h else None for d, h in zip(digests, hit)]
+        return [self._verify(d) if h else None for d, h in zip(digests, hit)]
 
     def put(self, rows: list[tuple]) -> None:
-        """Insert (digest, keep_id, keep_chars, group_size); a live digest keeps its better row and adds sizes."""
-        fresh = []
-        for (d, i, c, n), known in zip(rows, self.probe([r[0] for r in rows])):
-            known = self.content.get(d) if d in self.content else known
-            if known is None:
-                fresh.append(d)
-                self.content[d] = (i, c, n)
-            else:
-                ki, kc, kn = known
-                better = c > kc or (c == kc and i is not None and (ki is None or i < ki))
-                self.content[d] = (i if better else ki, c if better else kc, n + kn)
-        if fresh and not self.filter.insert_all(_matrix(fresh)):
-            self.filter = CuckooFilter.of(_matrix(list(self.content)))
+        """Insert (digest, keep_id, keep_chars, group_size) in chunks; a live digest keeps its better row and adds sizes.
+
+        A chunk's own copies collapse; then the filter is asked. Misses are new
+        and stored at once, hits are verified.
+        """
+        for start in range(0, len(rows), CHUNK):
+            chunk: dict[bytes, tuple] = {}
+            for d, *row in rows[start : start + CHUNK]:
+                chunk[d] = better(chunk.get(d), tuple(row))
+            digests = list(chunk)
+            fresh = []
+            for d, hit in zip(digests, self.filter.hits(_matrix(digests))):
+                known = self._verify(d) if hit else None
+                if known is None:
+                    fresh.append(d)
+                    self.content[d] = chunk[d]
+                else:
+                    self.content[d] = better(known, chunk[d])
+            if fresh and not self.filter.insert_all(_matrix(fresh)):
+                self.filter = CuckooFilter.of(_matrix(list(self.content)))
+
+    @classmethod
+    def of(cls, content: dict[bytes, tuple]) -> _Bucket:
+        """A bucket of stored keys, its filter built from them."""
+        out = cls()
+        out.content = content
+        if content:
+            out.filter = CuckooFilter.of(_matrix(list(content)))
+        return out
 
     def drop(self, digests: list[bytes]) -> None:
         live = [d for d, known in zip(digests, self.probe(digests)) if known is not None]
@@ -190,39 +224,93 @@ class _Bucket:
         )
 
 
+def better(a: tuple | None, b: tuple) -> tuple:
+    """(keep_id, keep_chars, group_size) of two groups of one text: more characters, then the smaller id (null last)."""
+    if a is None:
+        return b
+    (i, c, n), (k, d, m) = a, b
+    second = d > c or (d == c and k is not None and (i is None or k < i))
+    return (k if second else i, d if second else c, n + m)
+
+
 def _longs(values) -> list[int | None]:
     """Pandas may hand a nullable array over as floats or objects."""
     return [None if v is None or v != v else int(v) for v in values]
 
 
-def _bucket_of(n: int):
-    """Bucket of a digest: its first 32 bits, modulo the number of buckets."""
-    return F.pmod(F.conv(F.hex(F.substring(F.col("digest"), 1, 4)), 16, 10).cast("long"), F.lit(n)).cast("int")
+def bucket_number(h, n: int):
+    """Linear hashing: bucket of the hash ``h`` (integers or an array) among ``n``; one more bucket moves keys of one only."""
+    m = 1 << max(0, n - 1).bit_length()
+    b = h % m
+    return np.where(b >= n, b - m // 2, b)
+
+
+def _bucket_of(n: int) -> Column:
+    """``bucket_number`` of the first 32 bits of ``digest``."""
+    m = 1 << max(0, n - 1).bit_length()
+    b = F.pmod(F.conv(F.hex(F.substring(F.col("digest"), 1, 4)), 16, 10).cast("long"), F.lit(m))
+    return F.when(b >= n, b - m // 2).otherwise(b).cast("int")
+
+
+def _hashes(digests: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(digests[:, :4]).view(">u4").ravel().astype(np.int64)
 
 
 class CuckooIndex:
     """Live digests with their representatives; insert, delete, probe.
 
-    Every change writes a new version next to the old one, so a failed job
-    leaves the last version as it was.
+    Every change writes the buckets it touches as a new version next to the old
+    ones, so a failed job leaves the last version as it was.
     """
 
-    def __init__(self, spark: SparkSession, n_keys: int, path: str | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        n_keys: int = 0,
+        path: str | None = None,
+        keys_per_bucket: int = KEYS_PER_BUCKET,
+        least_buckets: int = LEAST_BUCKETS,
+    ):
+        """``n_keys``: about how many are expected; only where to begin, as buckets are split."""
         self.spark = spark
-        self.n_buckets = max(256, -(-n_keys // KEYS_PER_BUCKET))
+        self.keys_per_bucket = keys_per_bucket
+        self.n_buckets = max(least_buckets, -(-n_keys // keys_per_bucket))
         self.path = path or scratch(spark, "cuckoo-index")
         self.version = 0
-        spark.createDataFrame([], BUCKETS).write.parquet(self._at())
+        self.first = 0  # versions before it are no longer read
+        self._rows([]).write.parquet(f"{self.path}/rows/version=0")
+        spark.createDataFrame([], "bucket int, live int").write.parquet(f"{self.path}/directory/{self.version}")
 
-    def _at(self) -> str:
-        return f"{self.path}/v{self.version}"
+    def _rows(self, rows: list) -> DataFrame:
+        return self.spark.createDataFrame(rows, BUCKETS)
+
+    def directory(self) -> DataFrame:
+        """(bucket, live): the version that holds each bucket."""
+        return self.spark.read.schema("bucket int, live int").parquet(f"{self.path}/directory/{self.version}")
 
     def table(self) -> DataFrame:
-        return self.spark.read.schema(BUCKETS).parquet(self._at())
+        """The live rows."""
+        parts = [f"{self.path}/rows/version={v}" for v in range(self.first, self.version + 1)]
+        schema = self._rows([]).schema.add("version", IntegerType())
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/rows").parquet(*parts)
+        live = self.directory().withColumnRenamed("bucket", "_b")
+        return rows.join(live, (F.col("bucket") == F.col("_b")) & (F.col("version") == F.col("live"))).drop("_b", "live", "version")
+
+    def _write(self, rows: DataFrame, whole: bool = False) -> None:
+        """``rows`` are the new state of their buckets; all others stay (or go, if ``rows`` are the ``whole`` index)."""
+        old, version = self.directory(), self.version + 1
+        rows.write.parquet(f"{self.path}/rows/version={version}")
+        new = self.spark.read.parquet(f"{self.path}/rows/version={version}").select("bucket", F.lit(version).alias("live"))
+        kept = old.join(new.select("bucket"), "bucket", "left_anti")
+        (new if whole else kept.unionByName(new)).write.parquet(f"{self.path}/directory/{version}")
+        self.version = version
+        if whole:
+            self.first = version
 
     def _change(self, changes: DataFrame) -> None:
-        empty = self.spark.createDataFrame([], BUCKETS)
-        both = changes.withColumn("bucket", _bucket_of(self.n_buckets)).unionByName(self.table(), allowMissingColumns=True)
+        changes = written(changes.withColumn("bucket", _bucket_of(self.n_buckets)), "dedup-changes")
+        touched = self.table().join(changes.select("bucket").distinct(), "bucket", "left_semi")
+        both = changes.unionByName(touched, allowMissingColumns=True)
 
         def apply(pdf: pd.DataFrame) -> pd.DataFrame:
             old = pdf[pdf["filter"].notna()]
@@ -242,12 +330,45 @@ class CuckooIndex:
             bucket.drop([bytes(d) for d in new.loc[new["gone"].astype(bool), "digest"]])
             return bucket.row(int(pdf["bucket"].iloc[0]))
 
-        out = both.groupBy("bucket").applyInPandas(apply, empty.schema)
-        self.version += 1
-        out.write.parquet(self._at())
+        self._write(both.groupBy("bucket").applyInPandas(apply, self._rows([]).schema))
+        self._split()
+        if self.version - self.first >= VERSIONS:
+            self._write(self.table(), whole=True)
+
+    def n_keys(self) -> int:
+        """Live digests."""
+        return (self.table().agg(F.sum(F.octet_length("digests"))).first()[0] or 0) // DIGEST
+
+    def _split(self) -> None:
+        """More buckets for more keys; only the buckets whose keys move are read and written."""
+        n, more = self.n_buckets, -(-self.n_keys() // self.keys_per_bucket)
+        if more <= n:
+            return
+
+        def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in frames:
+                for row in pdf.itertuples():
+                    old = _Bucket(row)
+                    to = bucket_number(_hashes(_matrix(list(old.content))), more) if old.content else np.array([row.bucket])
+                    parts: dict[int, dict] = {int(row.bucket): {}}
+                    for b, (d, value) in zip(to.tolist(), old.content.items()):
+                        parts.setdefault(b, {})[d] = value
+                    for b, content in parts.items():
+                        yield _Bucket.of(content).row(b)
+
+        # New buckets take keys from these, step by step of the growth.
+        parents = self.spark.range(n, more).select(F.col("id").alias("b"))
+        while True:  # a new bucket's parent may itself be new; log2(more / n) steps
+            m = F.pow(F.lit(2), F.ceil(F.log2(F.col("b") + 1)) - 1).cast("long")
+            parents = parents.select(F.when(F.col("b") >= n, F.col("b") - m).otherwise(F.col("b")).alias("b")).distinct()
+            if parents.where(F.col("b") >= n).isEmpty():
+                break
+        moved = self.table().join(parents.select(F.col("b").cast("int").alias("bucket")), "bucket", "left_semi")
+        self._write(moved.mapInPandas(split, self._rows([]).schema))
+        self.n_buckets = more
 
     def insert(self, rows: DataFrame) -> None:
-        """``rows``: digest (binary), keep_id, keep_chars, group_size; at most one row a digest."""
+        """``rows``: digest (binary), keep_id, keep_chars, group_size; several rows of a digest are groups of one text."""
         self._change(
             rows.select("digest", "keep_id", F.col("keep_chars").alias("keep_char"), "group_size", F.lit(False).alias("gone"))
         )
@@ -273,7 +394,7 @@ class CuckooIndex:
         hot = loads.join(F.broadcast(total)).where(F.col("n") * SPREAD > F.col("total"))
         salts = F.broadcast(hot.select("bucket", F.ceil(F.col("n") * SPREAD / F.col("total")).cast("int").alias("salts")))
         n = F.coalesce(F.col("salts"), F.lit(1))
-        asked = rows.join(salts, "bucket", "left").withColumn("salt", F.pmod(F.xxhash64("doc_id"), n).cast("int"))
+        asked = rows.join(salts, "bucket", "left").withColumn("salt", F.pmod(F.xxhash64("doc_id", "n_chars"), n).cast("int"))
         kept = self.table().join(salts, "bucket", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), n - 1)))
         both = asked.drop("salts").withColumn("asks", F.lit(1)).unionByName(
             kept.drop("salts").withColumn("asks", F.lit(0)), allowMissingColumns=True
@@ -341,22 +462,35 @@ def _keys(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", digest_of().alias("digest"), F.length(text_or_empty()).cast("long").alias("n_chars"))
 
 
-def representatives(keys: DataFrame) -> DataFrame:
-    """One row per digest: the longest original text, then the smallest doc_id (null last)."""
-    best = F.max(F.struct("n_chars", F.bitwise_not("doc_id").alias("_i"))).alias("_best")
-    return keys.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), best).select(
-        "digest",
-        F.bitwise_not("_best._i").alias("keep_id"),
-        F.col("_best.n_chars").alias("keep_chars"),
-        "group_size",
-    )
+def collapsed(keys: DataFrame) -> DataFrame:
+    """``keys`` as groups (digest, keep_id, keep_chars, group_size): the copies that a task meets are one row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bytes, tuple] = {}
+
+        def out() -> pa.RecordBatch:
+            ids, chars, sizes = zip(*held.values())
+            arrays = [pa.array(list(held), pa.binary()), *(pa.array(v, pa.int64()) for v in (ids, chars, sizes))]
+            return pa.RecordBatch.from_arrays(arrays, names=["digest", "keep_id", "keep_chars", "group_size"])
+
+        for batch in batches:
+            for d, i, c in zip(*(column(batch, name).to_pylist() for name in ("digest", "doc_id", "n_chars"))):
+                held[d] = better(held.get(d), (i, c, 1))
+            if len(held) >= HELD:
+                yield out()
+                held = {}
+        if held:
+            yield out()
+
+    return keys.select("digest", "doc_id", "n_chars").mapInArrow(run, CONTENT)
 
 
 def classes(keys: DataFrame, index: CuckooIndex | None = None) -> DataFrame:
     """``keys`` (digest, doc_id, n_chars) with keep_id, keep_chars, group_size and kept."""
     if index is None:
-        index = CuckooIndex(keys.sparkSession, keys.agg(F.approx_count_distinct("digest")).first()[0])
-    index.insert(representatives(keys))
+        # Only where to begin: buckets are split as keys come in.
+        index = CuckooIndex(keys.sparkSession, keys.count())
+    index.insert(collapsed(keys))
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_chars") == F.col("keep_chars")) & F.col("first")
     return index.probe(keys).withColumn("kept", kept)
 

@@ -95,3 +95,70 @@ def test_batches_through_one_index(spark):
     D.exact_dedup(a, index).collect()
     got = {r.doc_id: (r.keep_id, r.group_size) for r in D.exact_dedup(b, index).collect()}
     assert got == {3: (3, 2), 7: (7, 1)}
+
+
+# --- the filter decides ---------------------------------------------------------------------
+
+
+def test_only_hits_read_the_content():
+    """Misses are inserted without a look at the content; hits are verified, copies merged."""
+    bucket = D._Bucket()
+    new = [(bytes(d), i, 10, 1) for i, d in enumerate(_digests(6000))]
+    bucket.put(new)
+    false_hits = bucket.reads
+    assert len(bucket.content) == 6000 and false_hits < 60
+    bucket.put([(d, i + 10_000, 10, 2) for d, i, _, _ in new[:500]])
+    assert bucket.reads == false_hits + 500 and len(bucket.content) == 6000
+    assert all(bucket.content[d] == (i, 10, 3) for d, i, _, _ in new[:500])
+    before = bucket.reads
+    assert bucket.probe([bytes(d) for d in _digests(3000, 50_000)]) == [None] * 3000 and bucket.reads - before < 30
+    # Copies in one call: the first chunk stores, later ones hit.
+    other = D._Bucket()
+    other.put([(bytes(_digests(1, 7)[0]), i, 5 + (i == 3), 1) for i in range(10_000)])
+    assert list(other.content.values()) == [(3, 6, 10_000)] and other.reads == -(-10_000 // D.CHUNK) - 1
+
+
+def test_linear_hashing_moves_keys_of_one_bucket():
+    h = np.random.default_rng(1).integers(0, 1 << 32, 20_000)
+    for n in range(1, 70):
+        b, more = D.bucket_number(h, n), D.bucket_number(h, n + 1)
+        assert b.min() >= 0 and b.max() < n
+        moved = b != more
+        assert (more[moved] == n).all() and len(np.unique(b[moved])) <= 1
+
+
+def test_buckets_are_split_and_only_touched_ones_are_written(spark):
+    def rows_of(ids):
+        return spark.createDataFrame([(bytes(d), i, 10, 1) for i, d in zip(ids, _digests(len(ids), ids[0]))], D.CONTENT)
+
+    index = D.CuckooIndex(spark, keys_per_bucket=100, least_buckets=2)
+    index.insert(rows_of(range(0, 900)))
+    assert index.n_buckets == 9 and index.n_keys() == 900
+    index.insert(rows_of(range(450, 2600)))
+    assert index.n_buckets == 26 and index.n_keys() == 2600
+    sizes = [len(r.keep_ids) for r in index.table().collect()]
+    assert len(sizes) == 26 and sum(sizes) == 2600 and max(sizes) < 300
+    assert {r.bucket for r in index.table().collect()} == set(range(26))
+    content = {bytes(d): n for r in index.table().collect() for d, n in zip(D._matrix(bytes(r.digests)), r.group_sizes)}
+    assert content == {bytes(d): 2 if 450 <= i < 900 else 1 for i, d in enumerate(_digests(2600))}
+    # A small batch writes the buckets it touches.
+    index.insert(rows_of([5]))
+    last = spark.read.parquet(f"{index.path}/rows/version={index.version}").count()
+    assert last == 1 and index.n_keys() == 2600
+    for k in range(D.VERSIONS):
+        index.insert(rows_of([k]))
+    assert index.first > 0 and index.n_keys() == 2600  # written together, old versions are no longer read
+    asked = spark.createDataFrame([(bytes(d), i, 10) for i, d in enumerate(_digests(2700))], "digest binary, doc_id long, n_chars long")
+    assert sorted(r.doc_id for r in index.probe(asked).collect() if r.found) == list(range(2600))
+
+
+def test_many_small_batches_equal_one(spark):
+    data = rows()
+    whole = Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in D.exact_dedup(frame(spark, data)).collect())
+    index = D.CuckooIndex(spark, keys_per_bucket=8, least_buckets=1)
+    for k in range(0, len(data), 30):
+        got = D.exact_dedup(frame(spark, data[k : k + 30]), index)
+    keys = D._keys(frame(spark, data))
+    again = index.probe(keys).collect()
+    assert Counter((r.doc_id, r.keep_id, r.group_size, bytes(r.digest).hex()) for r in again) == whole
+    assert got.count() == len(data) % 30 or 30
