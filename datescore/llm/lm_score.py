@@ -407,13 +407,9 @@ def _shorter(table: DataFrame, order: int) -> DataFrame:
     return table.groupBy(F.col("gram").bitwiseAND(_mask(order)).alias("gram")).agg(F.sum("n").alias("n"))
 
 
-def ppm_model(counts: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES, below: bool = False) -> PpmModel:
-    """The trie from the counted grams; the order is lowered until it has at most ``max_nodes`` nodes."""
-    table = counts.where("gram IS NOT NULL")
-    while order > 1 and table.count() > max_nodes:
-        order -= 1
-        table = _shorter(table, order)
-    rows = table.select("gram", "n").toArrow()
+def ppm_model(counts: DataFrame, order: int = ORDER, below: bool = False) -> PpmModel:
+    """The trie from the counted grams, all of them: the caller knows that they are few enough to broadcast."""
+    rows = counts.where("gram IS NOT NULL").select("gram", "n").toArrow()
     return PpmModel(rows["gram"].to_numpy().astype(np.uint64), rows["n"].to_numpy(), order, below)
 
 
@@ -429,7 +425,7 @@ class GramTables:
         while order > 1 and self.levels[order].count() > max_base:
             order -= 1
             self.levels[order] = written(_shorter(self.levels[order + 1], order), "lm-grams")
-        self.base = ppm_model(self.levels[order], order, max_base, below=True)
+        self.base = ppm_model(self.levels[order], order, below=True)
         self.contexts = {j: self._contexts(j) for j in range(self.order, order, -1)}
 
     def _contexts(self, j: int) -> DataFrame:

@@ -85,18 +85,14 @@ def test_a_trie_over_the_node_bound_gives_the_same_scores(spark, order, max_node
     assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in got) == _brute(data, order)
 
 
-def test_order_is_lowered_to_the_node_bound(spark):
-    docs = frame(spark)
-    counts = L.corpus_counts(docs, 4)
-    full, cut = L.ppm_model(counts, 4), L.ppm_model(counts, 4, max_nodes=full_nodes(docs, 2))
-    assert (full.order, cut.order) == (4, 2)
-    direct = L.ppm_model(L.corpus_counts(docs, 2), 2)
-    texts = [b"alpha1 beta2", b"unseen"]
-    assert cut.score(texts) == pytest.approx(direct.score(texts), rel=0.2)
-
-
-def full_nodes(docs, order):
-    return len(L.ppm_model(L.corpus_counts(docs, 4), 4).levels[order]["grams"].keys)
+def test_the_bound_given_is_the_one_that_holds(spark, monkeypatch):
+    """A bound above the default keeps the whole trie in the broadcast, with all its orders."""
+    monkeypatch.setattr(L, "MAX_NODES", 10)
+    data = [(i, t) for i, t in rows() if len(t or "") < 2000]
+    got = L.score_documents(frame(spark, data), order=3, max_nodes=1 << 22).collect()
+    assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in got) == _brute(data, 3)
+    counts = L.corpus_counts(frame(spark, data), 3)
+    assert L.ppm_model(counts, 3).order == 3
 
 
 def test_empty_and_untrained_tables(spark):
