@@ -8,9 +8,15 @@ Features are the distinct words of the whole text and their beginnings of 4, 5
 and 6 letters (lower case), so that inflected and compound forms share
 evidence. Spark counts, over a bounded sample of labelled rows, in how many
 toxic and clean documents each feature stands, and keeps the most telling; the
-fit runs on these alone. The tables give one toxic bit, so the grades of the
-toxic training rows are set from their text: 2 when a row holds at least as
-many strongly toxic features as the median toxic row, else 1.
+fit runs on these alone. The tables give one toxic bit, so the toxic training
+rows are graded by what a model fitted on the other half of the sample says of
+them (two-fold cross-fitting): 2 from the median toxic row on, else 1. A row's own
+label and features take no part in the score that grades it.
+
+The cutoff comes from the sample as well. The ordinal model of each half scores the
+other half; the cutoff is the middle of the severities around the best one at which
+the share of toxic rows found, less CLEAN_COST times the share of clean rows lost,
+is within SLACK of its maximum.
 
 At scale: scoring is one scan without a shuffle; what is broadcast (at most
 MAX_FEATURES weights) does not depend on the input.
@@ -35,10 +41,11 @@ from datescore.llm.common import arrow_schema, column, keep_rows, release, slice
 SAMPLE = 12_000  # labelled rows the model is fitted on, at most
 MAX_FEATURES = 4_000
 MIN_Z = 3.0  # of a feature's log odds ratio; only features that speak for toxicity are kept
-STRONG = 3.0  # log odds ratio of a strongly toxic feature
 L2 = 1e-5
 STEPS = 400
-REJECT = 0.2  # expected severity from which a document is rejected
+CLEAN_COST = 5.0  # a share of clean rows lost weighs as much as this share of toxic rows missed
+SLACK = 0.005
+REJECT = 0.2  # the cutoff where the sample is too small to choose one
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -53,10 +60,15 @@ def features(text: str) -> set[str]:
 
 @dataclass
 class OrdinalModel:
-    """Weights of the features and the ordered thresholds; ``thresholds`` empty: nothing was learnt."""
+    """Weights of the features, the ordered thresholds and the cutoff; ``thresholds`` empty: nothing was learnt.
+
+    ``held_out``: recall and precision at the cutoff over the cross-fitted rows of the sample, where there were enough.
+    """
 
     weights: dict[str, float]
     thresholds: list[float]
+    reject: float = REJECT
+    held_out: tuple[float, float] | None = None
 
     def margin(self, text: str) -> float:
         w = self.weights
@@ -109,6 +121,37 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_features: int, l2:
     return p[:n_features], (p[n_features] + np.concatenate([[0.0], np.cumsum(gaps)])).tolist()
 
 
+def cross_fitted(rows: list[np.ndarray], grades: np.ndarray, n_features: int) -> np.ndarray | None:
+    """Expected severity of every row by the model of the other half; None where a half lacks a grade."""
+    half = np.arange(len(rows)) % 2
+    if any(set(grades[half == h]) != set(range(int(grades.max()) + 1)) for h in (0, 1)):
+        return None
+    out = np.zeros(len(rows))
+    for h in (0, 1):
+        weights, thresholds = fit_ordinal([rows[k] for k in np.flatnonzero(half != h)], grades[half != h], n_features)
+        model = OrdinalModel({}, thresholds)
+        out[half == h] = model.above(np.array([weights[rows[k]].sum() for k in np.flatnonzero(half == h)])).sum(axis=1)
+    return out
+
+
+def choose_cutoff(severity: np.ndarray, toxic: np.ndarray) -> float:
+    """The cutoff from scores that the rows' own labels did not make (see above)."""
+    bad, clean = np.sort(severity[toxic == 1]), np.sort(severity[toxic == 0])
+    steps = np.unique(np.concatenate([[0.0], severity, [severity.max() + 1e-6]]))
+    at = (steps[1:] + steps[:-1]) / 2
+    found = 1 - np.searchsorted(bad, at) / len(bad)
+    lost = 1 - np.searchsorted(clean, at) / len(clean)
+    gain = found - CLEAN_COST * lost
+    best = int(gain.argmax())
+    good = gain >= gain[best] - SLACK
+    low, high = best, best
+    while low > 0 and good[low - 1]:
+        low -= 1
+    while high + 1 < len(at) and good[high + 1]:
+        high += 1
+    return float((at[low] + at[high]) / 2)
+
+
 def _feature_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Documents of each class that hold a feature, within a partition (bounded by the sample)."""
     counts = (Counter(), Counter())
@@ -155,7 +198,6 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_features
         .collect()
     )
     number = {r.feature: k for k, r in enumerate(best)}
-    strong = {k for k, r in enumerate(best) if r.ratio >= STRONG}
 
     def numbers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -166,12 +208,19 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_features
     table = rows.mapInPandas(numbers, "doc_id long, toxic int, at array<int>").toPandas().sort_values("doc_id")
     at = [np.asarray(a, dtype=np.int64) for a in table["at"]]
     toxic = table["toxic"].to_numpy()
-    hits = np.array([len(strong.intersection(a.tolist())) for a in at])
-    grades = np.where(toxic == 0, 0, np.where(hits >= max(2, np.median(hits[toxic == 1])), 2, 1))
     if not number:
         return OrdinalModel({}, [])
+    grades, reject, held_out = toxic.astype(np.int64), REJECT, None
+    told = cross_fitted(at, grades, len(number))
+    if told is not None:
+        grades = np.where(toxic == 0, 0, np.where(told >= np.median(told[toxic == 1]), 2, 1))
+        severity = cross_fitted(at, grades, len(number))
+        if severity is not None:
+            reject = choose_cutoff(severity, toxic)
+            said = severity >= reject
+            held_out = (float(said[toxic == 1].mean()), float((toxic[said] == 1).mean()) if said.any() else 1.0)
     weights, thresholds = fit_ordinal(at, grades, len(number))
-    return OrdinalModel({f: float(weights[k]) for f, k in number.items()}, thresholds)
+    return OrdinalModel({f: float(weights[k]) for f, k in number.items()}, thresholds, reject, held_out)
 
 
 SCORES = "doc_id bigint, severity double, grade int, rejected boolean"
@@ -187,14 +236,16 @@ def _scores(model: OrdinalModel, texts: list[str], reject: float) -> tuple[list,
     return severity.tolist(), grade.tolist(), (severity >= reject).tolist()
 
 
-def score_documents(docs: DataFrame, model: OrdinalModel, reject: float = REJECT) -> DataFrame:
-    """Expected severity, likeliest grade and rejection of every row, from its whole text.
+def score_documents(docs: DataFrame, model: OrdinalModel, reject: float | None = None) -> DataFrame:
+    """Expected severity, likeliest grade and rejection (the model's cutoff, if none is given) of every row, from its whole text.
 
     Null and empty texts have no features and are scored by the thresholds
     alone (clean). Rows are independent: repeated or null doc_ids are scored
     like any other; other columns are not read.
     """
 
+    reject = model.reject if reject is None else reject
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(SCORES)
         for batch in slices(batches, "text"):
@@ -206,6 +257,11 @@ def score_documents(docs: DataFrame, model: OrdinalModel, reject: float = REJECT
     return to_python(docs.select("doc_id", "text")).mapInArrow(run, SCORES)
 
 
-def drop_toxic(docs: DataFrame, model: OrdinalModel, reject: float = REJECT) -> DataFrame:
-    """The rows of ``docs`` that are not rejected, all columns as they were."""
+def drop_toxic(docs: DataFrame, model: OrdinalModel, reject: float | None = None) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, all columns as they were.
+
+    Null and empty texts are clean and stay, as does every row under an empty
+    model; rows are judged alone, so repeated rows share their fate.
+    """
+    reject = model.reject if reject is None else reject
     return keep_rows(docs, lambda texts: [not r for r in _scores(model, texts, reject)[2]])

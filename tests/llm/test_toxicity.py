@@ -61,6 +61,50 @@ def test_public_table_accuracy(spark):
     assert right > 0.93
 
 
+def test_recall_and_precision_on_held_out_rows(spark):
+    """Fitted on three quarters of the labelled rows, judged on the rest: toxic rows are found and clean ones left alone."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = sorted((r.doc_id, r.toxic) for r in labels.select("doc_id", "toxic").collect())
+    known, held = [r for r in rows if r[0] % 4], dict(r for r in rows if r[0] % 4 == 0)
+    model = X.train(docs, spark.createDataFrame(known, "doc_id long, toxic int"))
+    got = {r.doc_id: r.rejected for r in X.score_documents(docs, model).collect() if r.doc_id in held}
+    hit = sum(got[i] and bool(t) for i, t in held.items() if i in got)
+    assert hit / sum(held[i] for i in got) > 0.85 and hit / sum(got.values()) > 0.9
+    # What the cross-fitting said of the sample holds for rows it never saw.
+    assert model.held_out[0] == pytest.approx(hit / sum(held[i] for i in got), abs=0.08)
+    assert 0 < model.reject < 2
+
+
+def test_cutoff_is_chosen_between_the_classes():
+    rng = np.random.default_rng(2)
+    severity = np.concatenate([rng.uniform(0, 0.1, 900), rng.uniform(0.7, 1.8, 100)])
+    toxic = np.repeat([0, 1], [900, 100])
+    assert 0.3 < X.choose_cutoff(severity, toxic) < 0.5
+    # A toxic row among the clean ones does not pull it down, a clean one far up does not pull it there.
+    severity[950], severity[0] = 0.01, 1.79
+    assert 0.1 < X.choose_cutoff(severity, toxic) < 0.7
+    assert X.cross_fitted([np.array([0])] * 3, np.array([0, 0, 1]), 1) is None
+
+
+def test_grades_do_not_come_from_the_row_itself():
+    """A row is graded by the model of the other half: changing its label does not change its own score."""
+    rng = np.random.default_rng(4)
+    rows = [np.flatnonzero(rng.random(12) < 0.3) for _ in range(400)]
+    grades = np.array([int(r.size and r[0] < 3) for r in rows])
+    before = X.cross_fitted(rows, grades, 12)
+    grades[10] = 1 - grades[10]
+    after = X.cross_fitted(rows, grades, 12)
+    assert before[10] == after[10] and (before != after).any()
+
+
+def test_very_long_clean_documents_stay(spark):
+    docs, labels = _planted(1500)
+    model = X.train(frame(spark, docs), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    clean = [t for (_, t), (_, toxic) in zip(docs, labels) if not toxic]
+    long = [(k, " ".join(clean[k::3])) for k in range(3)]
+    assert X.score_documents(frame(spark, long), model).where("rejected").count() == 0
+
+
 def test_edge_cases(spark):
     docs, labels = _planted(800)
     model = X.train(frame(spark, docs), spark.createDataFrame([*labels, (None, 1), (3, None), (9999, 1)], "doc_id long, toxic int"))
