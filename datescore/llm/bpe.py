@@ -252,7 +252,9 @@ DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 str
 def encode_and_decode(docs: DataFrame, ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
     """Digests of every row's ids (little-endian unsigned 32-bit) and of the bytes decoded from them.
 
-    The ids stay in the task: a table of ids would be larger than the texts.
+    The ids stay in the task: a table of ids would be larger than the texts. Null and empty texts have no
+    ids; a text of any length is encoded whole. Rows are independent, so repeated rows and ids have equal
+    results; an empty table gives none. Columns other than doc_id and text are not read.
     """
     data, pattern = _vocabulary(docs, ranks_path), pattern or default_pattern()
 

@@ -600,7 +600,11 @@ def score_documents(
 
 
 def score_adaptively(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """doc_id and the adaptive code length (log10) of every row: each text by a trie that learns it as it goes."""
+    """doc_id and the adaptive code length (log10) of every row: each text by a trie that learns it as it goes.
+
+    Null and empty texts are the end alone. Rows are independent: repeated rows have equal lengths, an empty table gives
+    none, other columns are not read. A trie grows with its text (order + 1 entries a byte at most) and goes with it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

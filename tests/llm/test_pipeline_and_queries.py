@@ -53,3 +53,20 @@ def test_stages_work_on_what_their_predecessor_kept(spark):
     assert 0 < docs.count() < size
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF001)
     assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_stages_take_awkward_rows_and_empty_tables(spark, monkeypatch):
+    """Nulls, repeated rows and ids, very long texts; then no rows at all: every stage runs, and keeps the columns."""
+    from llm_corpus import empty, frame
+
+    docs = frame(spark).select("doc_id", "text", "lang", "source", "n_chars")
+    for start in (docs, empty(spark).select(*docs.columns)):
+        table, size = start, start.count()
+        for name, stage in corpus_pipeline.STAGES:
+            table = corpus_pipeline.written(stage(spark, table, SF001), f"odd-{name}")
+            if name != "packing":
+                assert table.columns == docs.columns
+            if name == "near_dedup":
+                texts = [r.text for r in table.select("text").collect()]
+                assert len({"".join((t or "").split()) for t in texts}) == len(texts)
+        assert bool(table.count()) == bool(size)
