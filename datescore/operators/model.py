@@ -23,6 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import is_remote
 
 from datescore.functions.fill import fill_missing
 from datescore.operators import ensemble as E
@@ -124,6 +125,8 @@ def prefix_model(model: PipelineModel, k: int) -> PipelineModel:
     Built with the public JVM constructor of ``GBTClassificationModel``
     (classic session; not available over Spark Connect).
     """
+    if is_remote():
+        raise RuntimeError("a prefix of an MLlib model needs a classic session; over Spark Connect score with model_store.load_index")
     g = gbt_stage(model)
     k = max(1, k)
     if k >= g.getNumTrees:

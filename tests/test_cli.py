@@ -117,3 +117,30 @@ def test_training_parameters_and_evaluate(spark, tmpdir_path, capsys):
     main(["evaluate", "--training", feats, "--model", model])
     reports = json.loads(capsys.readouterr().out)
     assert set(reports) == {"class_report", "metrics", "confusion", "auc"} and 0 <= reports["auc"][0]["auc"] <= 1
+
+
+def test_boost_evaluate_and_score_a_day(spark, tmpdir_path, capsys):
+    """A second-order model from the command line: trained, judged with the trees it chose, and scoring a day."""
+    import json
+
+    from datescore.sources import model_store
+
+    feats, model = (os.path.join(tmpdir_path, n) for n in ("training", "booster"))
+    main(["features", "--events", "/root/testdata/sf0.01/events.parquet", "--out", feats, "--training"])
+    capsys.readouterr()
+    main(["boost", "--training", feats, "--n-sample", "100", "--model-out", model, "--max-iter", "12", "--max-depth", "2", "--eta", "0.5",
+          "--reg-alpha", "0.5", "--max-bins", "16", "--history-every", "2", "--patience", "4"])
+    report = json.loads(capsys.readouterr().out)
+    assert report["best_trees"] == model_store.load_best_trees(model) <= report["trees"] <= 12
+    assert [h[0] for h in report["history"][::2]] == list(range(2, report["trees"] + 1, 2))
+    main(["evaluate", "--training", feats, "--model", model])
+    assert 0 <= json.loads(capsys.readouterr().out)["auc"][0]["auc"] <= 1
+    table = "t_cli_boost"
+    try:
+        main(["daily", "--features", feats, "--run-date", "2024-01-16", "--table", table, "--location", os.path.join(tmpdir_path, "r"),
+              "--model", model, "--best-trees"])
+        rows = spark.table(table)
+        assert rows.count() == spark.read.parquet(feats).where("dt = '20240115'").count() > 0
+        assert rows.where("q_ratio <= 0 or q_ratio >= 1 or q_ratio is null").count() == 0
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")

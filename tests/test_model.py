@@ -155,3 +155,9 @@ def test_one_pass_over_the_folds_scores_like_each_model(spark, features01):
             aucs.append(auc(scored).first()["auc"])
         assert mean == pytest.approx(sum(aucs) / 3, abs=1e-9)
     assert not [p for p in os.listdir(spark.sparkContext.getCheckpointDir().removeprefix("file:")) if "fold-models" in p]
+
+
+def test_prefix_over_connect_says_what_to_use(monkeypatch):
+    monkeypatch.setattr(M, "is_remote", lambda: True)
+    with pytest.raises(RuntimeError, match="load_index"):
+        M.prefix_model(None, 3)
