@@ -15,8 +15,9 @@ group into 65,536 buckets of (md5 being uniform) equal size:
 2. a running sum over the buckets of a group gives each bucket's offset
    (at most 65,536 rows per group);
 3. a bucket that lies wholly before rank k is in, one that starts at or after
-   k is out; only the one boundary bucket per group is ranked, per distinct
-   hash (copies of a key collapse before the shuffle).
+   k is out, so one cut per group decides by comparison; only the one boundary
+   bucket per group is ranked, per distinct hash (copies of a key collapse
+   before the shuffle).
 
 Full ranks (folds) add the offsets of distinct hashes within their bucket;
 the copies of one key are spread over SALTS windows, and rows that repeat in
@@ -79,21 +80,61 @@ def flag_first_k(
     ``k`` is an int or a function of the group's row count (a Column), which may
     also use the group's text ``_g``. With ``require_k`` a group with fewer
     than k rows fails the job, naming it (as ``what``); ``expected`` (a frame of
-    group values) makes absent groups fail too. The status table is broadcast: callers
+    group values) makes absent groups fail too. The cuts are broadcast: callers
     give groups of a fixed number.
 
     Three reads of ``df``, two of them pruned to the key columns:
-    1. counts per (group, bucket) -> a status table of at most
-       groups x 65,536 rows, written once under the shared folder (this runs
-       when the function is called, so a short group fails here);
+    1. counts per (group, bucket) -> one cut per group, written once under the
+       shared folder (this runs when the function is called, so a short group
+       fails here);
     2. the rows of the boundary buckets only, aggregated per distinct hash,
        decided and written (also at call time);
-    3. one full scan deciding every row by two joins. The status table is
-       broadcast by its bound; the decisions are a written table, so Spark
-       knows their size when it chooses the join.
+    3. one full scan deciding every row by two joins. The cuts are broadcast by
+       their bound; the decisions are a written table, so Spark knows their
+       size when it chooses the join.
     """
     groups = list(groups or [])
     d = _bucketed(df, order_hash, groups)
+    cuts = _cuts(d, k, require_k, expected, groups, what)
+    decided = materialize(edge_decisions(d, _edges(cuts)), "sample-edge")
+    return _marked(d, cuts, decided, flag).select(*df.columns, flag)
+
+
+def first_k_and_rest(
+    df: DataFrame,
+    order_hash: Column,
+    k: KSpec,
+    groups: list[str] | None = None,
+    require_k: bool = False,
+    expected: DataFrame | None = None,
+    what: str = "group",
+) -> tuple[DataFrame, DataFrame]:
+    """The rows that ``flag_first_k`` flags and the others, as two frames.
+
+    For a k that is small beside ``df``: after the counts, one full scan writes the
+    rows up to the boundary buckets (at most k rows and one bucket a group), from
+    which the boundary is decided and the first frame read. Only the others need
+    another scan, when they are asked for.
+    """
+    groups = list(groups or [])
+    d = _bucketed(df, order_hash, groups)
+    cuts = _cuts(d, k, require_k, expected, groups, what)
+    up_to = F.coalesce("_edge_b", "_last_b")
+    near = d.join(F.broadcast(cuts.select("_g", up_to.alias("_up_to"))), "_g").where(F.col("_b") <= F.col("_up_to"))
+    near = materialize(near.drop("_up_to"), "sample-near")
+    decided = materialize(edge_decisions(near, _edges(cuts)), "sample-edge")
+    first = _marked(near, cuts, decided, "_in").where(F.col("_in"))
+    rest = _marked(d, cuts, decided, "_in").where(~F.col("_in"))
+    return first.select(*df.columns), rest.select(*df.columns)
+
+
+def _cuts(
+    d: DataFrame, k: KSpec, require_k: bool, expected: DataFrame | None, groups: list[str], what: str
+) -> DataFrame:
+    """Where rank k falls, one row per group: ``_last_b``, the last bucket wholly inside, and the boundary bucket.
+
+    ``_edge_b`` is null where k falls between two buckets; ``_before`` counts the rows below it.
+    """
     counts = d.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_n"))
     if expected is not None:
         absent = expected.select(fields_text(groups).alias("_g"), F.lit(-1).alias("_b"), F.lit(0).cast("long").alias("_n"))
@@ -114,24 +155,28 @@ def flag_first_k(
             F.regexp_replace("_g", r"\|(\d+:)?", ""), F.lit("] of "), F.col("_total").cast("string"), F.lit(" rows"),
         )
         before = F.when(F.col("_total") < kcol, F.raise_error(msg)).otherwise(before)
-    status = materialize(
-        off.select(
-            "_g",
-            "_b",
-            "_n",
-            before.alias("_before"),
-            kcol.alias("_k"),
-            F.when(before + F.col("_n") <= kcol, F.lit("in"))
-            .when(before >= kcol, F.lit("out"))
-            .otherwise(F.lit("edge"))
-            .alias("_s"),
-        ),
-        "sample-status",
+    inside = F.col("_before") + F.col("_n") <= F.col("_k")
+    edge = ~inside & (F.col("_before") < F.col("_k"))
+    # The buckets of a group are in order, so the inside ones come first and at most one is the edge.
+    status = off.select("_g", "_b", "_n", before.alias("_before"), kcol.alias("_k")).groupBy("_g").agg(
+        F.max(F.when(inside, F.col("_b"))).alias("_last_b"),
+        F.max(F.when(edge, F.struct("_b", "_before", "_k"))).alias("_e"),
     )
-    decided = materialize(edge_decisions(d, status.where(F.col("_s") == "edge")), "sample-edge")
-    joined = d.join(F.broadcast(status.select("_g", "_b", "_s")), ["_g", "_b"], "inner")
-    marked = joined.join(decided, ["_g", "_b", "_h"], "left")
-    return marked.withColumn(flag, F.coalesce(F.col("_edge"), F.col("_s") == "in")).select(*df.columns, flag)
+    return materialize(
+        status.select("_g", "_last_b", F.col("_e._b").alias("_edge_b"), F.col("_e._before").alias("_before"), F.col("_e._k").alias("_k")),
+        "sample-cuts",
+    )
+
+
+def _edges(cuts: DataFrame) -> DataFrame:
+    """The boundary buckets of ``_cuts``, as ``edge_decisions`` takes them."""
+    return cuts.where(F.col("_edge_b").isNotNull()).select("_g", F.col("_edge_b").alias("_b"), "_before", "_k")
+
+
+def _marked(d: DataFrame, cuts: DataFrame, decided: DataFrame, flag: str) -> DataFrame:
+    """``d`` with the flag: inside by its bucket, or by the decision on its hash."""
+    marked = d.join(F.broadcast(cuts.select("_g", "_last_b")), "_g").join(decided, ["_g", "_b", "_h"], "left")
+    return marked.withColumn(flag, F.coalesce(F.col("_edge"), F.col("_b") <= F.col("_last_b"), F.lit(False)))
 
 
 def edge_decisions(d: DataFrame, edge_status: DataFrame) -> DataFrame:
@@ -230,28 +275,37 @@ def flag_class_sample(
     their own, so all rows are flagged in one pass. A class with fewer than
     ``n`` rows fails the job with a message naming it.
     """
+    d, order_hash, how = _class_ranks(df, n, seeds, key)
+    return flag_first_k(d, order_hash, flag=flag, **how).select(*df.columns, flag)
+
+
+def _class_ranks(df: DataFrame, n: int, seeds: dict[int, int] | None, key: list[str] | None) -> tuple[DataFrame, Column, dict]:
+    """D1 in the terms of ``flag_first_k``: its frame, order and arguments."""
     seeds = seeds or {1: POSITIVE_SEED, 0: NEGATIVE_SEED}
     classes = list(seeds)
     d = df.withColumn("_class", F.when(F.col(LABEL).isin(*classes), F.col(LABEL)))
     # A class with no row at all must fail too: name every class as expected.
     wanted = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in classes])).alias("_class"))
     texts = [f"|{len(str(c))}:{c}" for c in classes]
-    flagged = flag_first_k(
-        d,
-        class_order_hash(seeds, key),
-        lambda total: F.when(F.col("_g").isin(*texts), F.lit(n)).otherwise(F.lit(0)),
-        ["_class"],
-        flag,
-        require_k=True,
-        expected=wanted,
-        what=LABEL,
-    )
-    return flagged.select(*df.columns, flag)
+
+    def k(total: Column) -> Column:
+        return F.when(F.col("_g").isin(*texts), F.lit(n)).otherwise(F.lit(0))
+
+    return d, class_order_hash(seeds, key), {"k": k, "groups": ["_class"], "require_k": True, "expected": wanted, "what": LABEL}
+
+
+def class_sample_and_holdout(
+    df: DataFrame, n: int, seeds: dict[int, int] | None = None, key: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """D1 + J2 and J1: the two class samples together, and every other row (no join: the sample's rank)."""
+    d, order_hash, how = _class_ranks(df, n, seeds, key)
+    sample, rest = first_k_and_rest(d, order_hash, **how)
+    return sample.select(*df.columns), rest.select(*df.columns)
 
 
 def class_sample(df: DataFrame, n: int, seeds: dict[int, int] | None = None, key: list[str] | None = None) -> DataFrame:
     """D1 + J2: the union of the two class samples (positives and negatives)."""
-    return flag_class_sample(df, n, seeds, key).where(F.col("sampled")).drop("sampled")
+    return class_sample_and_holdout(df, n, seeds, key)[0]
 
 
 def holdout(df: DataFrame, n: int, seeds: dict[int, int] | None = None, key: list[str] | None = None) -> DataFrame:

@@ -28,7 +28,7 @@ from datescore.operators import surrogate
 from datescore.operators.metrics import auc, mean_over
 from datescore.operators.tree_index import TreeIndex
 from datescore.schema import FEATURES, LABEL
-from datescore.session import delete_path, work_path
+from datescore.session import delete_path, materialize_packed, work_path
 
 # The reference's search box. MLlib has no L1/L2 leaf
 # penalties; minInfoGain and subsamplingRate stand in as the regularisers
@@ -100,7 +100,10 @@ def cross_validate(
     """M8 + A10: mean AUC over ``folds`` for each point; ``folded`` has a ``fold`` column.
 
     Every (point, fold) fit is an independent distributed job submitted from a
-    driver thread pool, so up to ``parallelism`` fits share the cluster. The
+    driver thread pool, so up to ``parallelism`` fits share the cluster; the
+    largest start first, so none is left running alone at the end. Each reads the
+    rows from their written table and MLlib keeps its own copy, so that the fits
+    spread over the executors and do not gather at one cached copy. The
     trees of all of them are read back as one node table, and one pass over the
     rows scores each with the models that were fit without its fold
     (``score_held_out``). The tie-aware AUC (A9) of every (point, fold) comes
@@ -108,8 +111,20 @@ def cross_validate(
     aggregation. No model is refit on all rows (only the scores are needed).
     """
     feats = list(features or FEATURES)
-    spark = folded.sparkSession
-    data = M.training_frame(folded, feats, keep=["fold"]).withColumn("fold", F.col("fold").cast("int")).persist()
+    return _validate(fold_rows(folded, feats), points, base, folds, parallelism, feats)
+
+
+def fold_rows(folded: DataFrame, features: list[str]) -> DataFrame:
+    """The folded rows as the fits and the scoring read them, written once."""
+    rows = M.training_frame(folded, features, keep=["fold"]).withColumn("fold", F.col("fold").cast("int"))
+    return materialize_packed(rows, "fold-rows")
+
+
+def _validate(
+    data: DataFrame, points: list[Point], base: M.TreeParams, folds: int, parallelism: int, feats: list[str]
+) -> list[float]:
+    """``cross_validate`` on written ``fold_rows``."""
+    spark = data.sparkSession
     root = work_path(spark, "fold-models")
 
     def fit(task: tuple[int, int]) -> None:
@@ -118,14 +133,15 @@ def cross_validate(
         M.gbt_stage(model).write().save(f"{root}/{i}-{k}")
 
     try:
-        tasks = [(i, k) for i in range(len(points)) for k in range(folds)]
+        params = [p.params(base) for p in points]
+        largest = sorted(range(len(points)), key=lambda i: -params[i].max_iter * params[i].max_depth)
+        tasks = [(i, k) for i in largest for k in range(folds)]
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             list(pool.map(fit, tasks))
         indexes = held_out_indexes(spark, root, feats, folds, len(points))
         per_fold = auc(score_held_out(data, indexes, feats), by=["trial", "fold"])
         means = {r["trial"]: r["score"] for r in mean_over(per_fold, "auc", ["trial"], "score").collect()}
     finally:
-        data.unpersist()
         delete_path(spark, root)
     return [float("nan") if means.get(i) is None else float(means[i]) for i in range(len(points))]
 
@@ -180,14 +196,15 @@ def search(
     bounds = np.array([box[n] for n in names], dtype=float)
     whole = np.array([n in WHOLE for n in names])
     points = draw(box, init_points, seed)
-    scores = cross_validate(folded, points, base, parallelism=parallelism) if points else []
+    data = fold_rows(folded, FEATURES)
+    scores = _validate(data, points, base, FOLDS, parallelism, FEATURES) if points else []
     # No guided stage when no point could be scored (e.g. a one-class fold).
     while len(points) < init_points + n_iter and not np.isnan(np.array(scores, dtype=float)).all():
         tried = np.array([[getattr(p, n) for n in names] for p in points])
         count = min(batch, init_points + n_iter - len(points))
         asked = surrogate.propose(tried, np.array(scores, dtype=float), bounds, count, seed + len(points), whole)
         new = [Point(*map(float, row)) for row in asked]
-        scores += cross_validate(folded, new, base, parallelism=parallelism)
+        scores += _validate(data, new, base, FOLDS, parallelism, FEATURES)
         points += new
     rows = []
     for i, (p, s) in enumerate(zip(points, scores)):

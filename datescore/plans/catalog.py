@@ -46,7 +46,7 @@ from datescore.plans.oracle import (
     QUERY_TREES,
 )
 from datescore.schema import EXTRACT_SCHEMA, FEATURES, KEY, LABEL, PARTITION, RESULT_SCHEMA, TRAINING_COLUMNS, TRAINING_SCHEMA, USER
-from datescore.session import materialize, work_path
+from datescore.session import materialize, materialize_packed, work_path
 from datescore.sources import model_store, result_table, text
 from datescore.sources.feature_table import read_feature_table, scan_partition, write_feature_table
 from datescore.sources.fixture import features_from_dir
@@ -118,7 +118,7 @@ def _training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sample(training: DataFrame) -> DataFrame:
     """The class sample, 2 x N_SAMPLE rows, written once."""
-    return materialize(S.class_sample(training, N_SAMPLE), "sample")
+    return materialize_packed(S.class_sample(training, N_SAMPLE), "sample")
 
 
 def class_sample(spark: SparkSession, sf_dir: str) -> DataFrame:

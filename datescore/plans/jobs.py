@@ -25,7 +25,7 @@ from datescore.operators.prepare import check_unique_key, result_rows
 from datescore.operators.tree_index import TreeIndex
 from datescore.schema import DEP_DATE, FEATURES, KEY, LABEL, PARTITION, USER, require_columns
 from datescore.sources import model_store, result_table, text
-from datescore.session import checkpoint_root, materialize
+from datescore.session import checkpoint_root, materialize, materialize_packed
 from datescore.sources.feature_table import scan_partition
 
 
@@ -223,8 +223,8 @@ def tune(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """D1 -> D3 -> M8 (+A10) -> M9 -> L3. Returns (trials, best trial, folded sample)."""
     checkpoint_root(training.sparkSession)
-    sample = materialize(S.class_sample(training, n_sample), "sample")
-    folded = materialize(S.fold_assign(sample), "folds")
+    sample = materialize_packed(S.class_sample(training, n_sample), "sample")
+    folded = materialize_packed(S.fold_assign(sample), "folds")
     trials = TU.search(folded, init_points=init_points, n_iter=n_iter, seed=seed, parallelism=parallelism)
     return trials, TU.best_trial(trials), folded
 

@@ -86,6 +86,21 @@ def materialize(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+FILE_ROWS = 50_000  # rows of a training task
+
+
+def materialize_packed(df, name: str):
+    """``df`` written once, in as few files as its rows need (about ``FILE_ROWS`` a file).
+
+    For rows that many small jobs read, as boosting does for each level of each
+    tree. A sample is written by as many tasks as its source was read by, and each
+    of its few rows' files would be a task of every later job.
+    """
+    table = materialize(df, name)
+    files = max(1, -(-table.count() // FILE_ROWS))
+    return materialize(table.coalesce(files), name) if files < len(table.inputFiles()) else table
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete a work folder that nothing reads any more."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

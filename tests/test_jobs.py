@@ -58,6 +58,43 @@ def test_train_evaluate_job(spark, tmpdir_path):
     assert res.reports["confusion"].count() >= 1
 
 
+def _in_many_files(spark):
+    """The training features in 12 files, as a large input has them."""
+    from datescore.session import materialize
+
+    table = materialize(features_from_dir(spark, SF01).repartition(12), "many-files")
+    assert len(table.inputFiles()) == 12
+    return table
+
+
+def test_tuner_reads_its_rows_in_files_by_their_number(spark, monkeypatch):
+    """The folds and the fits' rows stand in one file, however many tasks read the input; the largest fits start first."""
+    from datescore.operators import tuning as TU
+
+    seen, fits = [], []
+    validate, estimator = TU._validate, M.estimator
+    monkeypatch.setattr(TU, "_validate", lambda data, *a: seen.append(len(data.inputFiles())) or validate(data, *a))
+    monkeypatch.setattr(M, "estimator", lambda p, f=None: fits.append(p.max_iter * p.max_depth) or estimator(p, f))
+    box = {**TU.SEARCH_BOX, "max_depth": (2, 4), "n_estimators": (1, 4)}
+    monkeypatch.setattr(TU, "SEARCH_BOX", box)
+    trials, _, folded = jobs.tune(_in_many_files(spark), 60, init_points=3, n_iter=2, parallelism=1)
+    assert seen == [1, 1] and len(folded.inputFiles()) == 1
+    assert fits[:9] == sorted(fits[:9], reverse=True) and fits[9:] == sorted(fits[9:], reverse=True)
+    assert folded.count() == 120 and trials.where("score between 0 and 1").count() == 5
+
+
+def test_packed_rows_are_all_there(spark, monkeypatch):
+    from datescore import session
+
+    rows = spark.range(0, 1000, numPartitions=20)
+    packed = session.materialize_packed(rows, "packed")
+    assert len(packed.inputFiles()) == 1 and packed.exceptAll(rows).count() == 0 and packed.count() == 1000
+    monkeypatch.setattr(session, "FILE_ROWS", 150)
+    packed = session.materialize_packed(rows, "packed")
+    assert len(packed.inputFiles()) == 7 and packed.exceptAll(rows).count() == 0 and packed.count() == 1000
+    assert session.materialize_packed(rows.where("id < 0"), "packed").count() == 0
+
+
 def test_ensemble_scoring_needs_every_feature(spark):
     import pytest
 

@@ -199,6 +199,30 @@ def test_events_are_scanned_once_in_all_executions(spark, tmpdir_path):
         assert scans() == 1, name
 
 
+def test_class_sample_reads_its_input_twice(spark, features01):
+    """Once for the counts, once for the rows; the boundary and the sample come from the rows found."""
+    from conftest import scans_of
+    from datescore.session import materialize
+
+    table = materialize(features01, "scanned-table")
+    with scans_of(spark, "scanned-table") as scans:
+        sample = S.class_sample(table, 200).collect()
+    assert len(sample) == 400 and scans() == 2
+
+
+def test_sample_and_holdout_are_the_flagged_rows_and_the_others(spark):
+    """Missing keys, labels outside the classes, and cuts between two buckets or at the last row."""
+    df = _with_null_keys(spark).withColumn(LABEL, F.when(F.col("id") < 390, F.col(LABEL)).when(F.col("id") < 395, 7))
+    n1 = df.where("label = 1").count()
+    for n in (0, 1, 50, n1):
+        sample, held = S.class_sample_and_holdout(df, n, key=[*KEY, "id"])
+        flagged = S.flag_class_sample(df, n, key=[*KEY, "id"])
+        assert sample.columns == held.columns == df.columns
+        assert sorted(r.id for r in sample.collect()) == sorted(r.id for r in flagged.where("sampled").collect())
+        assert sorted(r.id for r in held.collect()) == sorted(r.id for r in flagged.where("not sampled").collect())
+        assert sample.count() == 2 * n and held.count() == 400 - 2 * n
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(sizes=st.tuples(st.integers(0, 50), st.integers(1, 50)), parts=st.integers(1, 4))
 def test_property_folds_cover_all(spark, sizes, parts):
