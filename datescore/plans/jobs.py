@@ -25,7 +25,7 @@ from datescore.operators.prepare import check_unique_key, result_rows
 from datescore.operators.tree_index import TreeIndex
 from datescore.schema import DEP_DATE, FEATURES, KEY, LABEL, PARTITION, USER, require_columns
 from datescore.sources import model_store, result_table, text
-from datescore.session import checkpoint_root, materialize, materialize_packed
+from datescore.session import checkpoint_root, materialize_packed
 from datescore.sources.feature_table import scan_partition
 
 
@@ -129,21 +129,21 @@ def train_evaluate(
 ) -> TrainResult:
     """P7 -> D1 -> J1/J2 -> D2 -> M2 -> M7 -> A2 -> S9.
 
-    The sample flag splits sample and holdout with no join, from one flagged
-    frame. ``training`` is read four times (counts and boundary pruned to the key
-    columns, the sample, the holdout), so give it as a stored table. The split
-    rows are written once under the shared folder, so the boosting loop (one
-    pass per tree) and the evaluation read a fixed, fault-tolerant input. The
+    The class samples' cuts split sample and holdout with no join on the rows.
+    ``training`` is read three times (counts pruned to the key columns, the
+    sample, the holdout), so give it as a stored table. The split
+    rows are written once under the shared folder, so the boosting loop (a few
+    jobs per tree) and the evaluation read a fixed, fault-tolerant input, in
+    files by their number of rows, not by the tasks that read the input. The
     choice of early stopping is stored with the model.
     """
     checkpoint_root(training.sparkSession)
-    flagged = S.flag_class_sample(training, n_sample)
+    sample, held = S.class_sample_and_holdout(training, n_sample)
     # 2 x n rows, written once: the split's two passes read it, not the input.
-    sample = materialize(flagged.where(F.col("sampled")).drop("sampled"), "sample")
-    split = materialize(S.half_split(sample), "split")
+    sample = materialize_packed(sample, "sample")
+    split = materialize_packed(S.half_split(sample), "split")
     train_part = split.where(~F.col("is_test"))
     val_part = split.where(F.col("is_test"))
-    held = flagged.where(~F.col("sampled")).drop("sampled")
     model = M.train(train_part, params)
     history, best = None, None
     if history_every:
@@ -190,11 +190,10 @@ def train_boosted(
     holdout is scored by the trees that early stopping chose, unless ``ntree_limit`` says otherwise.
     """
     checkpoint_root(training.sparkSession)
-    flagged = S.flag_class_sample(training, n_sample)
-    sample = materialize(flagged.where(F.col("sampled")).drop("sampled"), "sample")
-    split = materialize(S.half_split(sample), "split")
+    sample, held = S.class_sample_and_holdout(training, n_sample)
+    sample = materialize_packed(sample, "sample")
+    split = materialize_packed(S.half_split(sample), "split")
     booster = B.train(split, params, is_val=F.col("is_test"))
-    held = flagged.where(~F.col("sampled")).drop("sampled")
     scored = tree_index.score(booster.index(ntree_limit), held, [*KEY, LABEL])
     reports, sizes = _judged(scored, sample, threshold)
     if model_path:

@@ -95,6 +95,16 @@ def test_packed_rows_are_all_there(spark, monkeypatch):
     assert session.materialize_packed(rows.where("id < 0"), "packed").count() == 0
 
 
+def test_training_reads_its_rows_in_files_by_their_number(spark, monkeypatch):
+    """A sample of a many-file input is trained on in one partition: a level of a tree is no wave of near-empty tasks."""
+    parts, train = [], M.train
+    monkeypatch.setattr(M, "train", lambda df, p: parts.append(df.rdd.getNumPartitions()) or train(df, p))
+    table = _in_many_files(spark)
+    res = jobs.train_evaluate(table, 100, M.TreeParams(max_iter=2, max_depth=2, min_instances_per_node=1))
+    assert parts == [1] and len(res.sample.inputFiles()) == 1
+    assert dict(res.sizes.collect()) == {"positive": 100, "negative": 100, "holdout": table.count() - 200}
+
+
 def test_ensemble_scoring_needs_every_feature(spark):
     import pytest
 
