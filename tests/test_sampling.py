@@ -199,11 +199,12 @@ def test_events_are_scanned_once_in_all_executions(spark, tmpdir_path):
         assert scans() == 1, name
 
 
-def test_class_sample_reads_its_input_twice(spark, features01):
+def test_class_sample_reads_its_input_twice(spark, features01, monkeypatch):
     """Once for the counts, once for the rows; the boundary and the sample come from the rows found."""
     from conftest import scans_of
     from datescore.session import materialize
 
+    monkeypatch.setattr(S, "HEX_DIGITS", 1)  # 16 buckets a class: rank 200 falls inside one
     table = materialize(features01, "scanned-table")
     with scans_of(spark, "scanned-table") as scans:
         sample = S.class_sample(table, 200).collect()
